@@ -228,47 +228,41 @@ def confusion(predictions: DataFrame, label: str = "label", prediction: str = "p
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def binary_metrics(table: DataFrame, places: int = 6) -> DataFrame:
-    """Accuracy, f1, precision and recall of class 1 from a confusion table, as one row."""
-    n, truth, said = F.col("n"), F.col("label") == 1, F.col("prediction") == 1
-    tp, fp, fn = (F.sum(F.when(c, n).otherwise(0)) for c in (truth & said, ~truth & said, truth & ~said))
-    right = F.sum(F.when(F.col("label") == F.col("prediction"), n).otherwise(0))
-    precision, recall = safe_ratio(tp, tp + fp), safe_ratio(tp, tp + fn)
-    return table.agg(
-        F.round(safe_ratio(right, F.sum(n)), places).alias("accuracy"),
-        F.round(harmonic_mean(precision, recall), places).alias("f1"),
-        F.round(precision, places).alias("precision"),
-        F.round(recall, places).alias("recall"),
+def classifier_metrics(table: DataFrame, places: int = 6) -> DataFrame:
+    """One row from a confusion table: accuracy, then f1, precision and recall of class 1, then
+    the same three averaged over all classes by their support."""
+    right = F.col("label") == F.col("prediction")
+    roles = F.array(
+        F.struct(F.col("label").alias("c"), F.col("n").alias("support"), F.lit(0).alias("predicted")),
+        F.struct(F.col("prediction").alias("c"), F.lit(0).alias("support"), F.col("n").alias("predicted")),
     )
-
-
-def weighted_metrics(table: DataFrame, places: int = 6) -> DataFrame:
-    """Precision, recall and f1 averaged over classes by their support, as one row."""
     per_class = (
-        table.select(
-            "n",
-            F.inline(
-                F.array(
-                    F.struct(F.col("label").alias("c"), F.lit(1).alias("actual"), F.lit(0).alias("said")),
-                    F.struct(F.col("prediction").alias("c"), F.lit(0).alias("actual"), F.lit(1).alias("said")),
-                )
-            ),
-            (F.col("label") == F.col("prediction")).cast("int").alias("right"),
-        )
+        table.withColumn("_tp", F.when(right, F.col("n")).otherwise(0))
+        .select("_tp", F.inline(roles))
         .groupBy("c")
         .agg(
-            F.sum(F.col("n") * F.col("actual") * F.col("right")).alias("tp"),
-            F.sum(F.col("n") * F.col("actual")).alias("support"),
-            F.sum(F.col("n") * F.col("said")).alias("predicted"),
+            F.sum(F.when(F.col("support") > 0, F.col("_tp")).otherwise(0)).alias("tp"),
+            F.sum("support").alias("support"),
+            F.sum("predicted").alias("predicted"),
         )
         .withColumn("p", safe_ratio(F.col("tp"), F.col("predicted")))
         .withColumn("r", safe_ratio(F.col("tp"), F.col("support")))
         .withColumn("f", harmonic_mean(F.col("p"), F.col("r")))
     )
-    total = F.sum("support")
-    return per_class.agg(
-        *[
-            F.round(safe_ratio(F.sum(F.col(m) * F.col("support")), total), places).alias(name)
-            for m, name in (("p", "weightedPrecision"), ("r", "weightedRecall"), ("f", "weightedF1"))
-        ]
-    )
+
+    def of_positive(name: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("c") == 1, F.col(name))), F.lit(0.0))
+
+    def weighted(name: str) -> Column:
+        return safe_ratio(F.sum(F.col(name) * F.col("support")), F.sum("support"))
+
+    metrics = {
+        "accuracy": safe_ratio(F.sum("tp"), F.sum("support")),
+        "f1": of_positive("f"),
+        "precision": of_positive("p"),
+        "recall": of_positive("r"),
+        "weightedPrecision": weighted("p"),
+        "weightedRecall": weighted("r"),
+        "weightedF1": weighted("f"),
+    }
+    return per_class.agg(*[F.round(m, places).alias(name) for name, m in metrics.items()])

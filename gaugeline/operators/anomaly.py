@@ -154,8 +154,10 @@ def fit_isolation_forest(
             {"tree": [tree], "feature": [feature], "threshold": [threshold], "path": [path]}
         )
 
-    # One row per tree, so what comes back is bounded by the parameters, not by the table.
-    grown = samples.groupBy("tree").applyInPandas(grow, TREE_DDL).collect()
+    # A fixed partition number, as AQE would merge these few megabytes into a single task.
+    tasks = min(trees, train.sparkSession.sparkContext.defaultParallelism)
+    grown = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, TREE_DDL).collect()
+    # One row per tree came back: bounded by the parameters, not by the table.
     return _from_rows(sorted(grown, key=lambda row: row["tree"]), columns, sample_rows)
 
 

@@ -1,13 +1,15 @@
 """Exact order statistics of large columns without sorting the table in one task.
 
-A column is cut into value ranges ("tiles") at approximate quantiles.  Only row counts per
+A column is cut into value ranges ("tiles") at quantiles of a sample.  Only row counts per
 tile are gathered; from them follows which few tiles hold the wanted ranks, and only the
-rows of those tiles are looked at again.  The approximate cuts decide how even the tiles
-are, never the result: ranks come from exact counts.  Equal values are collapsed to
+rows of those tiles are looked at again.  The sampled cuts decide how even the tiles are,
+never the result: ranks come from exact counts.  Equal values are collapsed to
 (value, count) before any shuffle, so one dominant value cannot overload a task.
 
-The frame is read three times (cuts, tile counts, wanted tiles), so pass a table or a
-materialised stage.  Group columns must not be null.
+A frame counted to have at most ``ONE_TILE_ROWS`` rows takes Spark's own exact aggregate or
+window instead, which is fewer passes.  The frame is read up to four times (rows, sample,
+tile counts, wanted tiles), so pass a table or a materialised stage.  Group columns must not
+be null.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Sequence
 from math import ceil, floor
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,16 +26,30 @@ from pyspark.sql import functions as F
 from gaugeline.functions import keys
 from gaugeline.sources.workspace import pin_if_small
 
-TILES = 512
+ONE_TILE_ROWS = 1_000_000
+MAX_TILES = 4096
+SAMPLE_ROWS = 200_000
+SEED = 42
 
 
-def with_tiles(df: DataFrame, value: str, tiles: int = TILES) -> DataFrame:
+def sampled_cuts(df: DataFrame, value: str, rows: int, one_tile_rows: int) -> list[float]:
+    """Distinct finite tile boundaries from a sample of bounded size; more tiles for more rows."""
+    tiles = min(MAX_TILES, 2 * ceil(rows / one_tile_rows) + 6)
+    share = min(1.0, SAMPLE_ROWS / rows)
+    drawn = df.select(F.col(value).cast("double").alias("v")).sample(False, share, SEED).toArrow()
+    values = drawn.column("v").to_numpy()
+    values = values[np.isfinite(values)]
+    if not values.size:
+        return [0.0]
+    return np.unique(np.quantile(values, np.arange(1, tiles) / tiles, method="lower")).tolist()
+
+
+def with_tiles(df: DataFrame, value: str, rows: int, one_tile_rows: int = ONE_TILE_ROWS) -> DataFrame:
     """Adds ``_tile``: the number of the value range; it never decreases with the value."""
-    infinite = (float("-inf"), float("inf"))
-    probabilities = [i / tiles for i in range(1, tiles)]
-    cuts = set(df.approxQuantile(value, probabilities, 0.25 / tiles)) - set(infinite)
+    if rows <= one_tile_rows:
+        return df.withColumn("_tile", F.lit(0))
     ranges = Bucketizer(
-        splits=[infinite[0], *sorted(cuts or {0.0}), infinite[1]],
+        splits=[float("-inf"), *sampled_cuts(df, value, rows, one_tile_rows), float("inf")],
         inputCol="_cut",
         outputCol="_tile",
         handleInvalid="keep",
@@ -57,14 +74,22 @@ class Tiled(NamedTuple):
     totals: DataFrame
 
 
-def tile_column(df: DataFrame, value: str, by: Sequence[str] = ()) -> Tiled:
+def tile_column(
+    df: DataFrame, value: str, by: Sequence[str] = (), one_tile_rows: int = ONE_TILE_ROWS
+) -> Tiled:
     by = list(by)
     present = df.filter(F.col(value).isNotNull())
-    frame = with_tiles(present, value)
-    counts = pin_if_small(frame.groupBy(*by, "_tile").agg(F.count(F.lit(1)).alias("_rows")))
-    # One row per group and tile, at most TILES + 1 rows per group.
-    starts = counts.withColumn("_start", rows_before("_rows", "_tile", by))
-    totals = counts.groupBy(*by).agg(F.sum("_rows").alias("_total"))
+    totals = pin_if_small(present.groupBy(*by).agg(F.count(F.lit(1)).alias("_total")))
+    rows = totals.agg(F.sum("_total")).first()[0] or 0
+    frame = with_tiles(present, value, rows, one_tile_rows)
+    if rows <= one_tile_rows:
+        starts = totals.select(
+            *by, F.lit(0).alias("_tile"), F.col("_total").alias("_rows"), F.lit(0).alias("_start")
+        )
+    else:
+        counts = pin_if_small(frame.groupBy(*by, "_tile").agg(F.count(F.lit(1)).alias("_rows")))
+        # One row per group and tile, at most MAX_TILES + 1 rows per group.
+        starts = counts.withColumn("_start", rows_before("_rows", "_tile", by))
     return Tiled(frame, value, by, starts, totals)
 
 
@@ -103,23 +128,38 @@ def values_at(tiled: Tiled, ranks: DataFrame | Sequence[int]) -> DataFrame:
 # -- quantiles ----------------------------------------------------------------------------------
 
 
-def quantile_values(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float]:
+def quantile_values(
+    df: DataFrame, value: str, probabilities: Sequence[float], one_tile_rows: int = ONE_TILE_ROWS
+) -> list[float]:
     """Exact quantiles of one column with linear interpolation; empty input gives an empty list."""
-    tiled = tile_column(df, value)
-    total = tiled.totals.first()
-    if total is None or not total["_total"]:
+    present = df.select(value).filter(F.col(value).isNotNull())
+    rows = present.count()
+    if rows == 0:
         return []
-    positions = [(total["_total"] - 1) * p for p in probabilities]
+    if rows <= one_tile_rows:
+        return list(present.agg(F.percentile(F.col(value).cast("double"), list(probabilities))).first()[0])
+    positions = [(rows - 1) * p for p in probabilities]
     ranks = sorted({r for p in positions for r in (floor(p), ceil(p))})
-    at = {row["_rank"]: float(row[value]) for row in values_at(tiled, ranks).collect()}
+    found = values_at(tile_column(present, value, (), one_tile_rows), ranks).collect()
+    at = {row["_rank"]: float(row[value]) for row in found}
     return [at[floor(p)] + (at[ceil(p)] - at[floor(p)]) * (p - floor(p)) for p in positions]
 
 
 def quantiles_by(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str]
+    df: DataFrame,
+    value: str,
+    probabilities: dict[str, float],
+    by: Sequence[str],
+    one_tile_rows: int = ONE_TILE_ROWS,
 ) -> DataFrame:
     """Exact quantiles per group: ``(*by, <name>...)`` for ``{name: probability}``."""
-    tiled = tile_column(df, value, by)
+    present = df.select(*by, value).filter(F.col(value).isNotNull())
+    if present.count() <= one_tile_rows:
+        number = F.col(value).cast("double")
+        return present.groupBy(*by).agg(
+            *[F.percentile(number, float(p)).alias(name) for name, p in probabilities.items()]
+        )
+    tiled = tile_column(present, value, by, one_tile_rows)
     position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
     ends = [f(p).cast("bigint") for p in position.values() for f in (F.floor, F.ceil)]
     ranks = tiled.totals.select(*by, F.explode(F.array_distinct(F.array(*ends))).alias("_rank"))
@@ -147,44 +187,63 @@ def approx_quantiles_by(
 # -- top k --------------------------------------------------------------------------------------
 
 
-def top_k(df: DataFrame, score: str, k: int, key: str) -> DataFrame:
+def _best_first(score: str, key: str) -> list[Column]:
+    return [F.desc(score), F.asc("_word"), F.asc(key)]
+
+
+def top_k(
+    df: DataFrame, score: str, k: int, key: str, one_tile_rows: int = ONE_TILE_ROWS
+) -> DataFrame:
     """The k rows with the highest score; ties go to the smaller hash of the unique row key.
 
-    Works for a k that grows with the table: rows are kept by comparing them with a cut-off,
-    and neither a sort nor a limit funnels k rows through one task.
+    A k that grows with the table is no limit and no sort of k rows in one task: rows are
+    kept by comparing them with a cut-off found by ``values_at``.
     """
-    if k <= 0:
-        return df.limit(0)
-    tiled = tile_column(df, score)
-    total = tiled.totals.first()
-    if total is None or total["_total"] is None or total["_total"] <= k:
-        return df.filter(F.col(score).isNotNull())
-    cut = values_at(tiled, [total["_total"] - k]).first()
-    needed = k - (total["_total"] - cut["_below"] - cut["_equal"])
+    present = df.filter(F.col(score).isNotNull())
+    hashed = present.withColumn("_word", keys.bucket32(key))
+    rows = present.count()
+    if k <= 0 or rows <= k:
+        return present if k > 0 else present.limit(0)
+    if rows <= one_tile_rows:
+        return hashed.orderBy(*_best_first(score, key)).limit(k).drop("_word")
+    cut = values_at(tile_column(present, score, (), one_tile_rows), [rows - k]).first()
+    needed = k - (rows - cut["_below"] - cut["_equal"])
     cut_score = F.lit(cut[score])
     if needed == cut["_equal"]:
-        return df.filter(F.col(score) >= cut_score)
+        return present.filter(F.col(score) >= cut_score)
 
-    hashed = df.withColumn("_word", keys.bucket32(key))
     ties = hashed.filter(F.col(score) == cut_score)
-    tie = values_at(tile_column(ties, "_word"), [needed - 1]).first()
+    tie = values_at(tile_column(ties, "_word", (), one_tile_rows), [needed - 1]).first()
     last = needed - tie["_below"]
     certain = (F.col(score) > cut_score) | ((F.col(score) == cut_score) & (F.col("_word") < tie["_word"]))
-    kept = hashed.filter(certain)
     # Rows that agree in score and in the 32-bit hash: about one per four billion ties.
     collided = ties.filter(F.col("_word") == tie["_word"])
     if last < tie["_equal"]:
         collided = collided.orderBy(key).limit(last)
-    return kept.unionByName(collided).drop("_word")
+    return hashed.filter(certain).unionByName(collided).drop("_word")
 
 
-def top_k_flags(df: DataFrame, score: str, sizes: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+def top_k_flags(
+    df: DataFrame,
+    score: str,
+    sizes: DataFrame,
+    key: str,
+    by: Sequence[str],
+    one_tile_rows: int = ONE_TILE_ROWS,
+) -> DataFrame:
     """Adds ``_top`` (1/0): whether the row is among its group's ``_k`` highest scores.
 
     ``sizes`` holds ``(*by, _k)``.  Same tie rule as ``top_k``.
     """
     by = list(by)
-    tiled = tile_column(df, score, by)
+    hashed = df.withColumn("_word", keys.bucket32(key))
+    if df.count() <= one_tile_rows:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*_best_first(score, key)))
+        top = F.col(score).isNotNull() & (place <= F.col("_k"))
+        ranked = hashed.join(pin_if_small(sizes), by, "left")
+        return ranked.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).drop("_word", "_k")
+
+    tiled = tile_column(df, score, by, one_tile_rows)
     ranks = (
         tiled.totals.join(sizes, by)
         .withColumn("_rank", F.greatest(F.col("_total") - F.col("_k"), F.lit(0)))
@@ -200,53 +259,52 @@ def top_k_flags(df: DataFrame, score: str, sizes: DataFrame, key: str, by: Seque
             (F.col("_k") - (F.col("_total") - F.col("_below") - F.col("_equal"))).alias("_need"),
         )
     )
-    hashed = df.withColumn("_word", keys.bucket32(key)).join(cuts, by, "left")
-    split_ties = cuts.filter(F.col("_need") < F.col("_ties"))
-    if split_ties.isEmpty():
-        top = F.col(score) >= F.col("_cut")
-        return hashed.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).drop(
-            "_word", "_cut", "_ties", "_need"
+    joined = hashed.join(cuts, by, "left")
+    tie = (F.col(score) == F.col("_cut")) & (F.col("_need") < F.col("_ties"))
+    by_hash = F.lit(False)
+    split_groups = cuts.filter(F.col("_need") < F.col("_ties"))
+    if not split_groups.isEmpty():
+        ties = joined.filter(tie).select(*by, key, "_word")
+        last_ranks = split_groups.select(*by, (F.col("_need") - 1).alias("_rank"))
+        words = pin_if_small(
+            values_at(tile_column(ties, "_word", by, one_tile_rows), last_ranks)
+            .join(split_groups, by)
+            .select(
+                *by,
+                F.col("_word").alias("_last_word"),
+                (F.col("_need") - F.col("_below")).alias("_last"),
+                F.col("_equal").alias("_collided"),
+            )
         )
-
-    ties = hashed.filter((F.col(score) == F.col("_cut")) & (F.col("_need") < F.col("_ties")))
-    words = pin_if_small(
-        values_at(
-            tile_column(ties, "_word", by), split_ties.select(*by, (F.col("_need") - 1).alias("_rank"))
+        # Only rows equal in score and 32-bit hash are ranked by the key itself.
+        won = pin_if_small(
+            ties.join(words.filter(F.col("_last") < F.col("_collided")), by)
+            .filter(F.col("_word") == F.col("_last_word"))
+            .withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(key)))
+            .filter(F.col("_place") <= F.col("_last"))
+            .select(*by, key, F.lit(True).alias("_won"))
         )
-        .join(split_ties, by)
-        .select(
-            *by,
-            F.col("_word").alias("_last_word"),
-            (F.col("_need") - F.col("_below")).alias("_last"),
-            F.col("_equal").alias("_collided"),
+        joined = joined.join(words, by, "left").join(won, [*by, key], "left")
+        settled = (F.col("_last") >= F.col("_collided")) | F.coalesce("_won", F.lit(False))
+        by_hash = (F.col("_word") < F.col("_last_word")) | (
+            (F.col("_word") == F.col("_last_word")) & settled
         )
-    )
-    # Only rows equal in score and 32-bit hash are ranked by the key itself.
-    winners = (
-        ties.join(words.filter(F.col("_last") < F.col("_collided")), by)
-        .filter(F.col("_word") == F.col("_last_word"))
-        .withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(key)))
-        .filter(F.col("_place") <= F.col("_last"))
-        .select(*by, key, F.lit(True).alias("_won"))
-    )
-    won = pin_if_small(winners)
-    joined = hashed.join(words, by, "left").join(won, [*by, key], "left")
-    by_hash = (F.col("_word") < F.col("_last_word")) | (
-        (F.col("_word") == F.col("_last_word"))
-        & ((F.col("_last") >= F.col("_collided")) | F.coalesce("_won", F.lit(False)))
-    )
     top = (F.col(score) > F.col("_cut")) | (
         (F.col(score) == F.col("_cut")) & ((F.col("_need") >= F.col("_ties")) | by_hash)
     )
-    return joined.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).drop(
-        "_word", "_cut", "_ties", "_need", "_last_word", "_last", "_collided", "_won"
-    )
+    return joined.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).select(*df.columns, "_top")
 
 
 # -- full ranking -------------------------------------------------------------------------------
 
 
-def counts_below(df: DataFrame, value: str, amounts: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+def counts_below(
+    df: DataFrame,
+    value: str,
+    amounts: dict[str, Column],
+    by: Sequence[str] = (),
+    one_tile_rows: int = ONE_TILE_ROWS,
+) -> DataFrame:
     """Per distinct value: the summed amounts and their sums over all smaller values.
 
     ``amounts`` maps a name to an expression; each gives columns ``<name>`` and
@@ -255,9 +313,14 @@ def counts_below(df: DataFrame, value: str, amounts: dict[str, Column], by: Sequ
     """
     by = list(by)
     names = list(amounts)
-    frame = with_tiles(df.filter(F.col(value).isNotNull()), value)
-    tile_key = [*by, "_tile"]
+    present = df.filter(F.col(value).isNotNull())
+    rows = present.count()
     sums = [F.sum(expr).alias(name) for name, expr in amounts.items()]
+    if rows <= one_tile_rows:
+        counted = present.groupBy(*by, value).agg(*sums)
+        return counted.select("*", *[rows_before(n, value, by).alias(f"{n}_below") for n in names])
+    frame = with_tiles(present, value, rows, one_tile_rows)
+    tile_key = [*by, "_tile"]
     starts = pin_if_small(
         frame.groupBy(*tile_key)
         .agg(*sums)

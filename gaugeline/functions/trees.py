@@ -55,14 +55,27 @@ def grow_tree(x: np.ndarray, depth: int, rng: np.random.Generator) -> tuple[np.n
 def mean_path_lengths(
     x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, path: np.ndarray
 ) -> np.ndarray:
-    """Mean path length of each row; ``x`` is features by rows, the others trees by nodes."""
-    rows = x.shape[1]
+    """Mean path length of each row; ``x`` is rows by features, the others trees by nodes.
+
+    All rows of the batch walk one tree level at a time, in buffers made once per batch.
+    """
+    rows, width = x.shape
     depth = int(path.shape[1]).bit_length() - 1
-    flat, lane = np.ascontiguousarray(x).ravel(), np.arange(rows)
-    total = np.zeros(rows)
-    for f, t, p in zip(feature, threshold, path, strict=True):
-        node = 1 + (x[f[0]] > t[0])
-        for _ in range(depth - 1):
-            node = 2 * node + 1 + (flat[f[node] * rows + lane] > t[node])
-        total += p[node - f.size]
+    flat, row_start = np.ascontiguousarray(x).ravel(), np.arange(rows) * width
+    total, value, cut = np.zeros(rows), np.empty(rows), np.empty(rows)
+    node, place, right = np.empty(rows, np.intp), np.empty(rows, np.intp), np.empty(rows, bool)
+    for f, t, p in zip(feature.astype(np.intp), threshold, path, strict=True):
+        node[:] = 0
+        for _ in range(depth):
+            np.take(f, node, out=place, mode="clip")
+            np.add(place, row_start, out=place)
+            np.take(flat, place, out=value, mode="clip")
+            np.take(t, node, out=cut, mode="clip")
+            np.greater(value, cut, out=right)
+            np.add(node, node, out=node)
+            np.add(node, right, out=node, casting="unsafe")
+            node += 1
+        node -= f.size
+        np.take(p, node, out=value, mode="clip")
+        total += value
     return total / len(feature)

@@ -30,7 +30,6 @@ SEED = 42
 # The two operating points and their quantiles of the training scores.
 OPERATING_POINTS = {"isolation_forest": 0.95, "isolation_forest_strict": 0.99}
 TREE_DDL = "tree INT, feature ARRAY<INT>, threshold ARRAY<DOUBLE>, path ARRAY<DOUBLE>"
-SCORE_BATCH = 8192
 
 
 @dataclass(frozen=True)
@@ -54,12 +53,8 @@ class IsolationForest:
         def path_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             feature, threshold, path = trees.value
             for batch in batches:
-                x = np.vstack([column.to_numpy(dtype=float) for column in batch])
-                parts = [
-                    mean_path_lengths(x[:, i : i + SCORE_BATCH], feature, threshold, path)
-                    for i in range(0, x.shape[1], SCORE_BATCH)
-                ]
-                lengths = np.concatenate(parts) if parts else np.zeros(0)
+                x = np.column_stack([column.to_numpy(dtype=float) for column in batch])
+                lengths = mean_path_lengths(x, feature, threshold, path)
                 yield pd.Series(np.exp2(-lengths / scale) - 0.5)
 
         filled = [

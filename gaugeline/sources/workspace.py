@@ -67,14 +67,19 @@ def pin_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables and files below a plan (the plan's own estimate multiplies at joins)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def spread_if_narrow(df: DataFrame) -> DataFrame:
     """Spread a small scan over all cores before Python-heavy work.
 
-    Compares the optimizer's size estimate with what gives one full input split per
-    core.  Anything larger already has enough splits and is returned unchanged.
+    Compares the bytes to scan with what gives one full input split per core.  Anything
+    larger already has enough splits and is returned unchanged.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < split_bytes * cores else df
+    return df.repartition(cores) if scanned_bytes(df) < split_bytes * cores else df

@@ -13,15 +13,19 @@ from gaugeline.functions import labels
 NULL_CHECKED_FEATURES = 10
 
 
-def quality_report(df: DataFrame, features: Sequence[str], has_label: bool) -> DataFrame:
-    """Long table ``(metric, value)`` from one scan and one shuffle.
+COPIES = "_copies"
+
+
+def collapse_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows with the number of their copies, combined map-side: a row repeated a
+    billion times costs one shuffled record per task."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
 
-    Equal rows are first collapsed to (row, copies), map-side too, so a row repeated a
-    billion times costs one shuffled record per task; every metric is then a weighted sum.
-    """
+def quality_of_groups(groups: DataFrame, features: Sequence[str], has_label: bool) -> DataFrame:
+    """Long table ``(metric, value)`` from collapsed rows: every metric is a weighted sum."""
     checked = ["class", *features[:NULL_CHECKED_FEATURES]]
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    copies = F.col("_copies")
+    copies = F.col(COPIES)
     totals = groups.agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicate_rows"),
@@ -34,6 +38,11 @@ def quality_report(df: DataFrame, features: Sequence[str], has_label: bool) -> D
     return totals.unpivot([], names, "metric", "value")
 
 
+def quality_report(df: DataFrame, features: Sequence[str], has_label: bool) -> DataFrame:
+    """All quality metrics from one scan and one shuffle."""
+    return quality_of_groups(collapse_copies(df), features, has_label)
+
+
 def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

@@ -155,10 +155,9 @@ def quantiles_by(
     """Exact quantiles per group: ``(*by, <name>...)`` for ``{name: probability}``."""
     present = df.select(*by, value).filter(F.col(value).isNotNull())
     if present.count() <= one_tile_rows:
-        number = F.col(value).cast("double")
-        return present.groupBy(*by).agg(
-            *[F.percentile(number, float(p)).alias(name) for name, p in probabilities.items()]
-        )
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+        found = present.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), wanted).alias("_q"))
+        return found.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)])
     tiled = tile_column(present, value, by, one_tile_rows)
     position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
     ends = [f(p).cast("bigint") for p in position.values() for f in (F.floor, F.ceil)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,23 @@ from gaugeline.sources.workspace import stage_table
 KEY = "row_key"
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
+def with_row_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Content hash of the row: unique once duplicates are gone."""
-    return df.withColumn(KEY, F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
+    return df.withColumn(KEY, F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})))
+
+
+def intervals_table(scored: DataFrame, thresholds: dict[str, float]) -> DataFrame:
+    """Bootstrap intervals per algorithm and split, drawn once for all operating points."""
+    metrics = {a: anomaly.anomaly_flag("anomaly_score", t) for a, t in thresholds.items()}
+    drawn = evaluate.bootstrap_intervals(
+        scored, metrics | {"score_mean": F.col("anomaly_score")}, ("split",), KEY
+    )
+    algorithms = F.array(*[F.lit(a) for a in thresholds])
+    rates = drawn.filter(F.col("metric").isin(*thresholds)).withColumns(
+        {"algorithm": F.col("metric"), "metric": F.lit("anomaly_rate")}
+    )
+    means = drawn.filter(F.col("metric") == "score_mean").withColumn("algorithm", F.explode(algorithms))
+    return rates.unionByName(means)
 
 
 def metrics_table(scored: DataFrame, thresholds: dict[str, float], labelled: bool) -> DataFrame:
@@ -52,9 +68,10 @@ def metrics_table(scored: DataFrame, thresholds: dict[str, float], labelled: boo
 def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) -> dict[str, str]:
     """Runs every stage and writes every report; returns the path of each report.
 
-    Two stages are written to the shared folder: the deduplicated rows and the scored rows.
-    Everything between them is a projection or a broadcast join and is recomputed from these
-    for free, and a lost executor never costs more than a re-read.
+    Two stages are written to the shared folder: the distinct rows with their copy counts, which
+    both the quality report and the dedup read, and the scored rows.  Everything between them is
+    a projection or a broadcast join, cheap to repeat from these, and a lost executor never costs
+    more than a re-read.
     """
     spark = raw.sparkSession
     log = StageLog()
@@ -65,17 +82,20 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
 
     try:
         ingested = ingest(raw)
-        log.run(
-            "ingestion_validation", lambda: ingested.frame, None,
+        groups = log.run(
+            "ingestion_validation",
+            lambda: stage_table(with_row_key(quality.collapse_copies(ingested.frame), ingested.frame.columns), "rows"),
+            None,
             "Schema checks + required columns + null/duplicate metrics",
+            count=lambda frame: frame.agg(F.sum(quality.COPIES)).first()[0] or 0,
         )
         report(
             "data_quality_report",
-            quality.quality_report(ingested.frame, ingested.features, ingested.has_label),
+            quality.quality_of_groups(groups, ingested.features, ingested.has_label),
         )
         clean = log.run(
             "basic_etl",
-            lambda: stage_table(with_row_key(quality.clean_rows(ingested.frame)), "clean"),
+            lambda: groups.drop(quality.COPIES).withColumn("class", labels.clean_label("class")),
             log.rows_of("ingestion_validation"), "Dedup + normalization",
         )
         enriched = log.run(
@@ -126,14 +146,7 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
         if "timestamp" not in exported.columns:
             exported = exported.withColumn("timestamp", F.lit(None).cast("timestamp"))
         report("anomaly_scores", exported)
-        flags = anomaly.by_operating_point(scored, thresholds)
-        report(
-            "bootstrap_confidence_intervals",
-            evaluate.bootstrap_intervals(
-                flags, {"anomaly_rate": F.col("anomaly_flag"), "score_mean": F.col("anomaly_score")},
-                ("algorithm", "split"), KEY,
-            ),
-        )
+        report("bootstrap_confidence_intervals", intervals_table(scored, thresholds))
         report("class_distribution", reports.class_distribution(enriched))
         report("split_summary", reports.split_summary(parts))
         report("family_risk_distribution", reports.mode_risk_distribution(enriched))

@@ -20,6 +20,7 @@ from gaugeline.functions.trees import (
     mean_unsuccessful_search,
     tree_depth,
 )
+from gaugeline.operators.evaluate import score_summary
 from gaugeline.operators.features import fill_features
 from gaugeline.operators.selection import quantile_values
 from gaugeline.sources.workspace import spread_if_narrow
@@ -185,6 +186,26 @@ def by_operating_point(scored: DataFrame, thresholds: dict[str, float], score: s
     )
 
 
+def operating_point_summary(
+    scored: DataFrame, thresholds: dict[str, float], score: str = "anomaly_score"
+) -> DataFrame:
+    """``score_summary`` per algorithm and split without repeating the rows per algorithm: the
+    scores are summarised once per split, and only the flag rate differs between the points."""
+    points = list(thresholds.items())
+    rates = {f"_rate{i}": anomaly_flag(score, t) for i, (_, t) in enumerate(points)}
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("algorithm"),
+                F.col(f"_rate{i}").alias("anomaly_rate"),
+                F.round(F.lit(t), 6).alias("anomaly_threshold"),
+            )
+            for i, (name, t) in enumerate(points)
+        ]
+    )
+    return score_summary(scored, ("split",), score, rates).select("*", F.inline(rows)).drop(*rates)
+
+
 def anomaly_scores(scored: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     """The scored-row export; time and label only where the table has them."""
     optional = [c for c in ("timestamp", "class") if c in scored.columns]

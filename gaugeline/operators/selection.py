@@ -38,7 +38,7 @@ def sampled_cuts(df: DataFrame, value: str, rows: int, one_tile_rows: int) -> li
     share = min(1.0, SAMPLE_ROWS / rows)
     drawn = df.select(F.col(value).cast("double").alias("v")).sample(False, share, SEED).toArrow()
     values = drawn.column("v").to_numpy()
-    values = values[np.isfinite(values)]
+    values = values[np.isfinite(values)] + 0.0
     if not values.size:
         return [0.0]
     return np.unique(np.quantile(values, np.arange(1, tiles) / tiles, method="lower")).tolist()
@@ -54,7 +54,8 @@ def with_tiles(df: DataFrame, value: str, rows: int, one_tile_rows: int = ONE_TI
         outputCol="_tile",
         handleInvalid="keep",
     )
-    tiled = ranges.transform(df.withColumn("_cut", F.col(value).cast("double")))
+    # Adding 0.0 turns -0.0 into 0.0: equal values must share a tile.
+    tiled = ranges.transform(df.withColumn("_cut", F.col(value).cast("double") + F.lit(0.0)))
     return tiled.withColumn("_tile", F.col("_tile").cast("int")).drop("_cut")
 
 
@@ -142,7 +143,12 @@ def quantile_values(
     ranks = sorted({r for p in positions for r in (floor(p), ceil(p))})
     found = values_at(tile_column(present, value, (), one_tile_rows), ranks).collect()
     at = {row["_rank"]: float(row[value]) for row in found}
-    return [at[floor(p)] + (at[ceil(p)] - at[floor(p)]) * (p - floor(p)) for p in positions]
+
+    def between(position: float) -> float:
+        low, high = at[floor(position)], at[ceil(position)]
+        return low if low == high else low + (high - low) * (position - floor(position))
+
+    return [between(p) for p in positions]
 
 
 def quantiles_by(
@@ -169,7 +175,7 @@ def quantiles_by(
 
     def between(p: Column) -> Column:
         low, high = at(F.floor(p)), at(F.ceil(p))
-        return low + (high - low) * F.max(p - F.floor(p))
+        return F.when(low == high, low).otherwise(low + (high - low) * F.max(p - F.floor(p)))
 
     return found.groupBy(*by).agg(*[between(p).alias(name) for name, p in position.items()])
 
@@ -240,7 +246,7 @@ def top_k_flags(
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*_best_first(score, key)))
         top = F.col(score).isNotNull() & (place <= F.col("_k"))
         ranked = hashed.join(pin_if_small(sizes), by, "left")
-        return ranked.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).drop("_word", "_k")
+        return ranked.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).select(*df.columns, "_top")
 
     tiled = tile_column(df, score, by, one_tile_rows)
     ranks = (

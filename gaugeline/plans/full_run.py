@@ -40,22 +40,8 @@ def intervals_table(scored: DataFrame, thresholds: dict[str, float]) -> DataFram
 
 
 def metrics_table(scored: DataFrame, thresholds: dict[str, float], labelled: bool) -> DataFrame:
-    """Summary per algorithm and split.  Scores are summarised once per split; only the flag
-    rate differs between the operating points."""
-    points = list(thresholds.items())
-    rates = {f"_rate{i}": anomaly.anomaly_flag("anomaly_score", t) for i, (_, t) in enumerate(points)}
-    by_split = evaluate.score_summary(scored, ("split",), rates=rates)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("algorithm"),
-                F.col(f"_rate{i}").alias("anomaly_rate"),
-                F.round(F.lit(t), 6).alias("anomaly_threshold"),
-            )
-            for i, (name, t) in enumerate(points)
-        ]
-    )
-    table = by_split.select("*", F.inline(rows)).drop(*rates)
+    """Score summary per algorithm and split, with the label metrics where there are labels."""
+    table = anomaly.operating_point_summary(scored, thresholds)
     truth = ("accuracy", "f1", "weightedPrecision", "weightedRecall", "auc")
     if not labelled:
         return table.withColumns({c: F.lit(None).cast("double") for c in truth})

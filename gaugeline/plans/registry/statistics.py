@@ -29,8 +29,13 @@ def flagged_rows(spark, sf) -> DataFrame:
     return anomaly.by_operating_point(scored, thresholds_of(scored))
 
 
+def summary_of(scored: DataFrame, thresholds: dict[str, float]) -> DataFrame:
+    return anomaly.operating_point_summary(scored, thresholds).drop("anomaly_threshold")
+
+
 def summary_table(spark, sf) -> DataFrame:
-    return evaluate.score_summary(flagged_rows(spark, sf).select("algorithm", "split", "anomaly_flag", "anomaly_score"))
+    scored = scored_rows(spark, sf)
+    return summary_of(scored, thresholds_of(scored))
 
 
 @query(
@@ -196,8 +201,7 @@ def anomaly_scores(spark, sf):
 def model_selection(spark, sf):
     scored = scored_rows(spark, sf)
     cuts = thresholds_of(scored)
-    flags = anomaly.by_operating_point(scored, cuts)
-    table = anomaly.model_selection(evaluate.score_summary(flags), cuts)
+    table = anomaly.model_selection(summary_of(scored, cuts), cuts)
     params = F.from_json("params", "threshold_quantile DOUBLE, threshold_value DOUBLE")
     return table.select(
         "algorithm",

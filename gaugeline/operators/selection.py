@@ -27,15 +27,19 @@ from gaugeline.functions import keys
 from gaugeline.sources.workspace import pin_if_small
 
 ONE_TILE_ROWS = 1_000_000
-MAX_TILES = 4096
-SAMPLE_ROWS = 200_000
+# Selection looks again at few tiles and can cut those again; a full ranking visits all tiles once.
+SELECTION_TILES = 4096
+RANKING_TILES = 65_536
+SAMPLES_PER_TILE = 16
+MIN_SAMPLE = 100_000
+MAX_LEVELS = 3
 SEED = 42
 
 
-def sampled_cuts(df: DataFrame, value: str, rows: int, one_tile_rows: int) -> list[float]:
+def sampled_cuts(df: DataFrame, value: str, rows: int, one_tile_rows: int, max_tiles: int) -> list[float]:
     """Distinct finite tile boundaries from a sample of bounded size; more tiles for more rows."""
-    tiles = min(MAX_TILES, 2 * ceil(rows / one_tile_rows) + 6)
-    share = min(1.0, SAMPLE_ROWS / rows)
+    tiles = min(max_tiles, 2 * ceil(rows / one_tile_rows) + 6)
+    share = min(1.0, max(MIN_SAMPLE, SAMPLES_PER_TILE * tiles) / rows)
     drawn = df.select(F.col(value).cast("double").alias("v")).sample(False, share, SEED).toArrow()
     values = drawn.column("v").to_numpy()
     values = values[np.isfinite(values)] + 0.0
@@ -44,12 +48,20 @@ def sampled_cuts(df: DataFrame, value: str, rows: int, one_tile_rows: int) -> li
     return np.unique(np.quantile(values, np.arange(1, tiles) / tiles, method="lower")).tolist()
 
 
-def with_tiles(df: DataFrame, value: str, rows: int, one_tile_rows: int = ONE_TILE_ROWS) -> DataFrame:
+def with_tiles(
+    df: DataFrame,
+    value: str,
+    rows: int,
+    one_tile_rows: int,
+    max_tiles: int,
+) -> DataFrame:
     """Adds ``_tile``: the number of the value range; it never decreases with the value."""
     if rows <= one_tile_rows:
         return df.withColumn("_tile", F.lit(0))
     ranges = Bucketizer(
-        splits=[float("-inf"), *sampled_cuts(df, value, rows, one_tile_rows), float("inf")],
+        splits=[
+            float("-inf"), *sampled_cuts(df, value, rows, one_tile_rows, max_tiles), float("inf"),
+        ],
         inputCol="_cut",
         outputCol="_tile",
         handleInvalid="keep",
@@ -73,6 +85,7 @@ class Tiled(NamedTuple):
     by: list[str]
     starts: DataFrame
     totals: DataFrame
+    one_tile_rows: int
 
 
 def tile_column(
@@ -82,40 +95,67 @@ def tile_column(
     present = df.filter(F.col(value).isNotNull())
     totals = pin_if_small(present.groupBy(*by).agg(F.count(F.lit(1)).alias("_total")))
     rows = totals.agg(F.sum("_total")).first()[0] or 0
-    frame = with_tiles(present, value, rows, one_tile_rows)
+    frame = with_tiles(present, value, rows, one_tile_rows, SELECTION_TILES)
     if rows <= one_tile_rows:
         starts = totals.select(
-            *by, F.lit(0).alias("_tile"), F.col("_total").alias("_rows"), F.lit(0).alias("_start")
+            *by,
+            F.lit(0).alias("_tile"),
+            F.col("_total").alias("_rows"),
+            F.lit(True).alias("_mixed"),
+            F.lit(0).alias("_start"),
         )
     else:
-        counts = pin_if_small(frame.groupBy(*by, "_tile").agg(F.count(F.lit(1)).alias("_rows")))
-        # One row per group and tile, at most MAX_TILES + 1 rows per group.
+        counts = pin_if_small(
+            frame.groupBy(*by, "_tile").agg(
+                F.count(F.lit(1)).alias("_rows"), (F.min(value) < F.max(value)).alias("_mixed")
+            )
+        )
+        # One row per group and tile, at most SELECTION_TILES + 1 rows per group.
         starts = counts.withColumn("_start", rows_before("_rows", "_tile", by))
-    return Tiled(frame, value, by, starts, totals)
+    return Tiled(frame, value, by, starts, totals, one_tile_rows)
 
 
-def values_at(tiled: Tiled, ranks: DataFrame | Sequence[int]) -> DataFrame:
+def values_at(tiled: Tiled, ranks: DataFrame | Sequence[int], level: int = 1) -> DataFrame:
     """The values at 0-based ascending ranks.
 
     ``ranks`` is a list, or for grouped tiles a frame ``(*by, _rank)``.  Returns
     ``(*by, _rank, value, _below, _equal)``: how many rows of the group are smaller than
-    the value, and how many equal it.
+    the value, and how many equal it.  A wanted tile that is itself too large for one task is
+    cut again into tiles, unless it holds one value only and so collapses to one row.
     """
-    frame, value, by, starts, _ = tiled
+    frame, value, by, starts, _, one_tile_rows = tiled
     if isinstance(ranks, DataFrame):
         located = starts.join(ranks, by)
     else:
         located = starts.withColumn("_rank", F.explode(F.array(*[F.lit(int(r)) for r in ranks])))
     inside = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_rows"))
+    outer = f"_tile{level}"
     wanted = pin_if_small(
         located.filter(inside)
-        .groupBy(*by, "_tile")
-        .agg(F.first("_start").alias("_start"), F.collect_set("_rank").alias("_ranks"))
+        .groupBy(*by, F.col("_tile").alias(outer))
+        .agg(
+            F.first("_start").alias("_start"),
+            F.first(F.when(F.col("_mixed"), F.col("_rows"))).alias("_rows"),
+            F.collect_set("_rank").alias("_ranks"),
+        )
     )
-    tile_key = [*by, "_tile"]
+    tile_key = [*by, outer]
+    band = frame.withColumnRenamed("_tile", outer).join(wanted.select(*tile_key), tile_key, "left_semi")
+    largest = wanted.agg(F.max("_rows")).first()[0] or 0
+    if largest > one_tile_rows and level < MAX_LEVELS:
+        asked = wanted.select(*tile_key, "_start", F.explode("_ranks").alias("_asked"))
+        asked = asked.withColumn("_rank", F.col("_asked") - F.col("_start"))
+        inner = tile_column(band, value, tile_key, one_tile_rows)
+        found = values_at(inner, asked.select(*tile_key, "_rank"), level + 1)
+        return found.join(asked, [*tile_key, "_rank"]).select(
+            *by,
+            F.col("_asked").alias("_rank"),
+            value,
+            (F.col("_start") + F.col("_below")).alias("_below"),
+            "_equal",
+        )
     ranked = (
-        frame.join(wanted.select(*tile_key), tile_key, "left_semi")
-        .groupBy(*tile_key, value)
+        band.groupBy(*tile_key, value)
         .agg(F.count(F.lit(1)).alias("_equal"))
         .withColumn("_below", rows_before("_equal", value, tile_key))
         .join(wanted, tile_key)
@@ -324,7 +364,7 @@ def counts_below(
     if rows <= one_tile_rows:
         counted = present.groupBy(*by, value).agg(*sums)
         return counted.select("*", *[rows_before(n, value, by).alias(f"{n}_below") for n in names])
-    frame = with_tiles(present, value, rows, one_tile_rows)
+    frame = with_tiles(present, value, rows, one_tile_rows, RANKING_TILES)
     tile_key = [*by, "_tile"]
     starts = pin_if_small(
         frame.groupBy(*tile_key)

@@ -27,7 +27,7 @@ def shapes(n=1500):
     }
 
 
-@pytest.mark.parametrize("shape", list(shapes()))
+@pytest.mark.parametrize("shape", ["distinct", "a third equal", "heavy tail"])
 @pytest.mark.parametrize("limit", [SMALL, TILED])
 def test_quantiles_equal_numpy(spark, shape, limit):
     values = shapes()[shape]
@@ -125,6 +125,14 @@ def test_tile_path_never_windows_the_whole_table(spark):
     assert tiled.totals.first()["_total"] == 2000
 
 
+@pytest.mark.parametrize("shape", ["distinct", "a third equal", "constant"])
+def test_tiles_too_large_are_cut_again(spark, shape, monkeypatch):
+    monkeypatch.setattr(selection, "SELECTION_TILES", 4)
+    values = shapes(1200)[shape]
+    found = selection.quantile_values(frame(spark, values), "v", [0.1, 0.5, 0.999], 20)
+    assert np.allclose(found, np.quantile(values, [0.1, 0.5, 0.999]), rtol=1e-12)
+
+
 def test_sketch_quantiles_are_within_their_error(spark):
     values = shapes(5000)["distinct"]
     found = selection.approx_quantiles_by(frame(spark, values), "v", {"q": 0.9}, ["g"], 1000).first()["q"]

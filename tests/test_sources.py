@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.plans.full_run import run_reports
-from gaugeline.plans.telemetry import KEY, labelled, telemetry
+from gaugeline.plans.telemetry import KEY, telemetry
 from gaugeline.sources import reports, telemetry as scans, workspace
 from tests.conftest import plan_of
 
@@ -144,4 +144,3 @@ def test_labelled_sample_without_time(spark, tmp_path):
     keyed = with_row_key(ingested.frame, ingested.frame.columns)
     assert enrich(keyed).select("operating_mode").distinct().first()[0] == "unknown"
     assert split.split_rows(split.upsample(keyed), KEY).count() == 125
-    assert labelled is not None

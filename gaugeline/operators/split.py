@@ -20,15 +20,18 @@ FRACTIONS = (0.6, 0.2, 0.2)
 BOUNDARIES = (0.6, 0.8)
 
 
-def _cut_name(position: Column, boundaries: Sequence[float], inclusive: bool) -> Column:
-    first, second = boundaries
-    below = (position <= first, position <= second) if inclusive else (position < first, position < second)
-    return (
-        F.when(position.isNull(), None)
-        .when(below[0], SPLITS[0])
-        .when(below[1], SPLITS[1])
-        .otherwise(SPLITS[2])
+def _with_split(df: DataFrame, position: Column, boundaries: Sequence[float], inclusive: bool) -> DataFrame:
+    """Names the range each position falls in.
+
+    The position is a column of its own first, as a hash inside the CASE would be computed
+    again for every branch.
+    """
+    at, (first, second) = F.col("_position"), boundaries
+    below = (at <= first, at <= second) if inclusive else (at < first, at < second)
+    name = (
+        F.when(at.isNull(), None).when(below[0], SPLITS[0]).when(below[1], SPLITS[1]).otherwise(SPLITS[2])
     )
+    return df.withColumn("_position", position).withColumn("split", name).drop("_position")
 
 
 def approx_time_boundaries(
@@ -51,10 +54,8 @@ def temporal_split(
     boundaries = list(boundaries or time_boundaries(df, timestamp))
     if len(boundaries) != 2:
         raise ValueError(f"no value in {timestamp!r} to split on")
-    position = epoch_seconds(df, timestamp)
-    return df.filter(F.col(timestamp).isNotNull()).withColumn(
-        "split", _cut_name(position, boundaries, inclusive=True)
-    )
+    timed = df.filter(F.col(timestamp).isNotNull())
+    return _with_split(timed, epoch_seconds(df, timestamp), boundaries, inclusive=True)
 
 
 def stratified_split(
@@ -67,18 +68,14 @@ def stratified_split(
     """Adds ``split`` drawn separately within each label; every label, null included, is kept."""
     stratum = F.coalesce(F.col(label).cast("string"), F.lit("<null>"))
     position = keys.unit_interval(key, stratum, seed)
-    return df.withColumn(
-        "split", _cut_name(position, (fractions[0], fractions[0] + fractions[1]), inclusive=False)
-    )
+    return _with_split(df, position, (fractions[0], fractions[0] + fractions[1]), inclusive=False)
 
 
 def random_split(
     df: DataFrame, key: str, fractions: Sequence[float] = FRACTIONS, seed: int = SEED
 ) -> DataFrame:
     position = keys.unit_interval(key, seed)
-    return df.withColumn(
-        "split", _cut_name(position, (fractions[0], fractions[0] + fractions[1]), inclusive=False)
-    )
+    return _with_split(df, position, (fractions[0], fractions[0] + fractions[1]), inclusive=False)
 
 
 def tiny_split(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:

@@ -68,7 +68,8 @@ def with_tiles(
     )
     # Adding 0.0 turns -0.0 into 0.0: equal values must share a tile.
     tiled = ranges.transform(df.withColumn("_cut", F.col(value).cast("double") + F.lit(0.0)))
-    return tiled.withColumn("_tile", F.col("_tile").cast("int")).drop("_cut")
+    # Never null, so joins on it add no filter that would compute the tile a second time.
+    return tiled.withColumn("_tile", F.coalesce(F.col("_tile").cast("int"), F.lit(-1))).drop("_cut")
 
 
 def rows_before(amount: str, order: str, by: Sequence[str]) -> Column:

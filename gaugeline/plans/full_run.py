@@ -152,7 +152,7 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
         write_curated(enriched.drop(KEY), f"{out_dir}/curated_parquet")
     except Exception as error:
         if not any(status == "failed" for _, status, *_ in log.lineage):
-            log.lineage.append(("run", "failed", 0, 0, str(error)))
+            log.fail("run", error)
         raise
     finally:
         report("pipeline_lineage", log.lineage_table(spark))

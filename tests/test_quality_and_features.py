@@ -113,4 +113,5 @@ def test_stage_log_records_rows_and_failures(spark):
         log.run("second", lambda: spark.range(1).select("nope"), 7, "n")
     rows = [tuple(r)[:4] for r in log.lineage_table(spark).collect()]
     assert rows == [("first", "success", 7, 7), ("second", "failed", 0, 0)]
+    assert "nope" in log.lineage[1][4] and "\n" not in log.lineage[1][4]
     assert [(r["stage"], r["rows"]) for r in log.stage_metrics(spark).collect()] == [("first", 7)]

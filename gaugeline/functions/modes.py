@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MODE_INPUTS = ("comp", "towers", "lps")
+# The sensor readings of each mode, in order of precedence, and the mode of all others.
+MODE_RULES = (
+    ("production", {"comp": 1, "towers": 1, "lps": 0}),
+    ("idle", {"comp": 0, "towers": 0}),
+    ("pressure_event", {"comp": 1, "lps": 1}),
+)
+OTHER_MODE = "transition"
+UNKNOWN_MODE = "unknown"
+MODE_INPUTS = frozenset(sensor for _, readings in MODE_RULES for sensor in readings)
 
 # Mode, its risk, its maintenance priority.
 MODE_LOOKUP = (
@@ -22,15 +33,12 @@ DEFAULT_PRIORITY = "investigate"
 RISK_ORDINALS = {"high": 3.0, "medium": 2.0, "low": 1.0}
 
 
-def operating_mode(comp: str = "comp", towers: str = "towers", lps: str = "lps") -> Column:
-    """First matching rule wins; a null operand fails its rule and evaluation goes on."""
-    c, t, p = (F.col(name) for name in (comp, towers, lps))
-    return (
-        F.when((c == 1) & (t == 1) & (p == 0), "production")
-        .when((c == 0) & (t == 0), "idle")
-        .when((c == 1) & (p == 1), "pressure_event")
-        .otherwise("transition")
-    )
+def operating_mode() -> Column:
+    """Mode of the first rule whose readings all hold; a null reading holds for no rule."""
+    chain = F
+    for mode, readings in MODE_RULES:
+        chain = chain.when(reduce(and_, [F.col(s) == v for s, v in readings.items()]), mode)
+    return chain.otherwise(OTHER_MODE)
 
 
 def mode_risk_ordinal(risk: Column | str = "mode_risk") -> Column:

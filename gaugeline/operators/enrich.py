@@ -16,8 +16,11 @@ def mode_lookup(spark: SparkSession) -> DataFrame:
 
 
 def with_operating_mode(df: DataFrame) -> DataFrame:
-    known = set(modes.MODE_INPUTS) <= set(df.columns)
-    return df.withColumn("operating_mode", modes.operating_mode() if known else F.lit("unknown"))
+    """``unknown`` throughout when the table lacks one of the sensors the rules read."""
+    known = modes.MODE_INPUTS <= set(df.columns)
+    return df.withColumn(
+        "operating_mode", modes.operating_mode() if known else F.lit(modes.UNKNOWN_MODE)
+    )
 
 
 def join_mode_risk(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:

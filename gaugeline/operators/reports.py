@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from gaugeline.functions import numeric
 from gaugeline.sources.workspace import pin_if_small
 
+# Texts of the business tables, and the rate from which staffing is advised.
 STAFFING_RATE = 0.05
+MORE_STAFF = "Increase alert review staffing"
+SAME_CADENCE = "Maintain current monitoring cadence"
+CALIBRATE = "Review sensors with high variability for drift and calibration"
 ASSUMPTION = "Each anomaly alert review costs $8.00"
 
 
@@ -66,9 +70,7 @@ def mean_test_rate(summary: DataFrame) -> DataFrame:
 
 def business_insights(summary: DataFrame, deviations: DataFrame) -> DataFrame:
     rate = F.col("mean_test_rate")
-    advice = F.when(rate >= STAFFING_RATE, "Increase alert review staffing").otherwise(
-        "Maintain current monitoring cadence"
-    )
+    advice = F.when(rate >= STAFFING_RATE, MORE_STAFF).otherwise(SAME_CADENCE)
     anomaly = mean_test_rate(summary).select(
         F.lit("estimated_anomaly_rate").alias("insight"),
         F.round(rate, 6).alias("value"),
@@ -77,7 +79,7 @@ def business_insights(summary: DataFrame, deviations: DataFrame) -> DataFrame:
     variability = high_variability_count(deviations).select(
         F.lit("high_variability_sensor_count").alias("insight"),
         F.col("high_variability_sensors").cast("double").alias("value"),
-        F.lit("Review sensors with high variability for drift and calibration").alias("recommendation"),
+        F.lit(CALIBRATE).alias("recommendation"),
     )
     return anomaly.unionByName(variability)
 

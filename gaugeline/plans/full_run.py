@@ -18,6 +18,14 @@ from gaugeline.sources.telemetry import write_curated
 from gaugeline.sources.workspace import stage_table
 
 KEY = "row_key"
+STAGE_NOTES = {
+    "ingestion_validation": "names, time, label and features found; copies and nulls counted",
+    "basic_etl": "distinct rows, label trimmed and lower-cased",
+    "broadcast_etl": "operating mode and its risk joined",
+    "feature_engineering": "risk scores added to the features",
+    "data_split": "60/20/20 by time, else within labels",
+    "train_unsupervised": "forest of the train split, scores of all rows",
+}
 
 
 def with_row_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -72,7 +80,7 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
             "ingestion_validation",
             lambda: stage_table(with_row_key(quality.collapse_copies(ingested.frame), ingested.frame.columns), "rows"),
             None,
-            "Schema checks + required columns + null/duplicate metrics",
+            STAGE_NOTES["ingestion_validation"],
             count=lambda frame: frame.agg(F.sum(quality.COPIES)).first()[0] or 0,
         )
         report(
@@ -82,21 +90,21 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
         clean = log.run(
             "basic_etl",
             lambda: groups.drop(quality.COPIES).withColumn("class", labels.clean_label("class")),
-            log.rows_of("ingestion_validation"), "Dedup + normalization",
+            log.rows_of("ingestion_validation"), STAGE_NOTES["basic_etl"],
         )
         enriched = log.run(
             "broadcast_etl", lambda: enrich(clean), log.rows_of("basic_etl"),
-            "Broadcast join with operating mode risk lookup",
+            STAGE_NOTES["broadcast_etl"],
         )
         featured, columns = features.with_risk_scores(enriched, ingested.features)
         log.run(
             "feature_engineering", lambda: featured, log.rows_of("broadcast_etl"),
-            "Risk scores and feature columns",
+            STAGE_NOTES["feature_engineering"],
         )
         parts = log.run(
             "data_split", lambda: split.split_rows(featured, KEY),
             log.rows_of("feature_engineering"),
-            "Time-aware or stratified split (60/20/20 with tiny-sample fallback)",
+            STAGE_NOTES["data_split"],
         )
 
         labelled = quality.has_ground_truth(clean)
@@ -108,7 +116,7 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
 
         scored = log.run(
             "train_unsupervised", train_and_score, log.rows_of("data_split"),
-            "Isolation forest on the train split, scores for all rows",
+            STAGE_NOTES["train_unsupervised"],
         )
         thresholds = anomaly.operating_points(scored.filter("split = 'train'"))
         summary = metrics_table(scored, thresholds, labelled)

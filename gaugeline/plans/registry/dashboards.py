@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.operators import anomaly, quality, reports
+from gaugeline.operators import quality, reports
 from gaugeline.operators.enrich import enrich
 from gaugeline.plans.registry.base import over, query
 from gaugeline.plans.registry.statistics import (
-    FEATURES,
     INFLUENCE_SQL,
     _influence,
     flagged_rows,

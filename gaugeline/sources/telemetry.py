@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Fixed value: file name of the public raw data set.
 DEFAULT_GLOB = "*MetroPT3*AirCompressor*.csv"
 
 # Columns of the raw compressor table, in file order.

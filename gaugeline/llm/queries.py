@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, packing, quality_rules, sharding, simhash
+from gaugeline.llm import bpe, packing, quality_rules, sharding, simhash, suffix_dedup
 from gaugeline.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")

@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, packing, quality_rules, sharding, simhash, suffix_dedup
+from gaugeline.llm import bpe, packing, quality_rules, secrets, sharding, simhash, suffix_dedup, topk
 from gaugeline.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+QUERY_EVERY = 20
+TOP = 20
+VECTOR_SCALE = 64
 SHARDS = 24
 SEQUENCE_TOKENS = 1024
 PACK_END_ID = 2
@@ -24,6 +27,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, TOP, VECTOR_SCALE)
+
+
 @query
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
@@ -37,6 +45,22 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.corpus_samples(docs))).select("doc_id", "secrets")
+    of_kind = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.col("secrets")).alias("spans"),
+    )
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")

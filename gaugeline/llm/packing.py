@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.common import rank_within, text_or_empty
 from gaugeline.llm.pieces import blank_led, tokenizer_encoder
-from gaugeline.sources.workspace import broadcast_if_small
+from gaugeline.sources.workspace import broadcast_if_small, stage_table
 
 ID_BYTES = 4
 
@@ -39,7 +39,7 @@ def token_pieces(
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer_encoder(tokenizer, blank_led)
+        encoder = tokenizer_encoder(tokenizer, blank_led)  # as the default pre-tokenizer of byte-level vocabularies cuts
         for batch in batches:
             rows: list[tuple] = []
             places = []
@@ -110,7 +110,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, **columns) -> DataFrame:
-    return pack(token_pieces(docs, tokenizer, end_id, capacity, **columns), capacity)
+    return pack(stage_table(token_pieces(docs, tokenizer, end_id, capacity, **columns), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

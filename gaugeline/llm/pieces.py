@@ -7,14 +7,18 @@ piece.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Callable
+import struct
+from collections.abc import Callable, Iterator
+from functools import cache
 
-import numpy as np
+import public_tokenizers
+import regex
 
 #: Pieces that a worker remembers; the older half goes first.  Longer pieces are not remembered.
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 LONGEST_REMEMBERED = 64
 #: White space other than blank, tab and line ends: such texts are not cut.
 UNUSUAL = re.compile(r"[^\S \t\n\r]|[᠎​﻿]")
@@ -23,6 +27,12 @@ UNUSUAL = re.compile(r"[^\S \t\n\r]|[᠎​﻿]")
 BLANK_BEFORE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
+#: Texts cut and looked up together.
+SLICE_TEXTS = 256
+#: Below this character all Unicode versions agree on letters and numbers (fixed value).
+STABLE_BELOW = "\u0250"
+
+
 def blank_led(text: str) -> list[str]:
     return [text] if UNUSUAL.search(text) else BLANK_BEFORE.findall(text)
 
@@ -39,9 +49,13 @@ class PieceEncoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), SLICE_TEXTS):
+            yield from self._encode_slice(texts[at : at + SLICE_TEXTS])
+
+    def _encode_slice(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
-        wanted = set().union(*cut) if cut else set()
+        wanted = set().union(*cut)
         wanted.difference_update(self.young)
         fresh = []
         for piece in wanted:
@@ -50,30 +64,71 @@ class PieceEncoder:
                 fresh.append(piece)
             else:
                 self.young[piece] = known
-        long = []
-        for piece, ids in zip(fresh, self.encode_pieces(fresh), strict=True):
-            self.young[piece] = ids
-            if len(piece) > LONGEST_REMEMBERED:
-                long.append(piece)
+        self.young.update(zip(fresh, self.encode_pieces(fresh), strict=True))
         ids_of = self.young.__getitem__
         out = [b"".join(map(ids_of, pieces)) for pieces in cut]
-        for piece in long:
-            del self.young[piece]
+        for piece in fresh:
+            if len(piece) > LONGEST_REMEMBERED:
+                del self.young[piece]
         if len(self.young) > REMEMBERED // 2:
             self.old, self.young = self.young, {}
         return out
 
 
+@cache
 def tokenizer_encoder(path: str, cut: Callable[[str], list[str]]) -> PieceEncoder:
-    """Encodes with the tokenizers library; texts that look like special tokens are ordinary text."""
+    """Encodes with the tokenizers library; texts that look like special tokens are ordinary text.
+
+    One per worker process.  Pieces of common letters go straight to the library's model, each
+    pre-token by itself; all others take the library's whole way.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    split = _pre_token_pattern(path).findall
+    normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+    letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    byte_letters = {b: letters(chr(b))[0][0] for b in range(128)}
+    to_ids, pack = tokenizer.model.tokenize, struct.pack
+    parts: dict[str, bytes] = {}
+
+    def pre_token_ids(part: str) -> bytes:
+        shown = part.translate(byte_letters) if part.isascii() else letters(part)[0][0]
+        found = [t.id for t in to_ids(shown)]
+        return pack(f"<{len(found)}I", *found)
+
+    def piece_ids(piece: str) -> bytes:
+        split_piece = split(normalize(piece))
+        if len(split_piece) == 1:
+            return pre_token_ids(split_piece[0])
+        out = []
+        for part in split_piece:
+            ids = parts.get(part)
+            if ids is None:
+                ids = pre_token_ids(part)
+                if len(part) <= LONGEST_REMEMBERED:
+                    parts[part] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode_pieces(pieces: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        if len(parts) > REMEMBERED // 6:
+            parts.clear()
+        common = [bool(p) and max(p) < STABLE_BELOW for p in pieces]
+        rest = [p for p, c in zip(pieces, common, strict=True) if not c]
+        others = iter(tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [piece_ids(p) if c else pack(f"<{len(e := next(others).ids)}I", *e) for p, c in zip(pieces, common, strict=True)]
 
     return PieceEncoder(cut, encode_pieces)
+
+
+def _pre_token_pattern(path: str) -> regex.Pattern:
+    """The pattern by which the tokenizer of this file splits, read from the file."""
+    with open(path, encoding="utf-8") as file:
+        rule = json.load(file)["pre_tokenizer"]
+    steps = rule.get("pretokenizers", [rule])
+    own = [s["pattern"]["Regex"] for s in steps if s["type"] == "Split"]
+    return regex.compile(own[0] if own else public_tokenizers.PATTERN)

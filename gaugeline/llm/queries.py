@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, packing, quality_rules, secrets, sharding, simhash, suffix_dedup, topk
+from gaugeline.llm import bpe, packing, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
 from gaugeline.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -18,6 +18,7 @@ VECTOR_SCALE = 64
 SHARDS = 24
 SEQUENCE_TOKENS = 1024
 PACK_END_ID = 2
+FILE_END_ID = 1
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 
@@ -68,6 +69,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer, FILE_END_ID, keep_ids=False)
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

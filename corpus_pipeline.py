@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import quality_rules, queries, simhash
-from gaugeline.llm.common import table
+from gaugeline.llm import packing, quality_rules, queries, secrets, simhash, suffix_dedup
+from gaugeline.llm.common import table, text_or_empty
 from gaugeline.sources.workspace import stage_table
 
+SECRET_MARK = "[SECRET]"
+
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule."""
@@ -17,15 +20,56 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every component of near duplicates."""
+    """The document with the smallest id of every component of near duplicates; repeated rows of it once.
+
+    Documents without an id can't be told apart and stay.
+    """
     found = simhash.near_duplicates(docs, queries.SHINGLE_WORDS, queries.MAX_BITS)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    later = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    with_id = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return with_id.union(kept.filter("doc_id IS NULL"))
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes that an earlier document holds; a character cut in two goes whole.
+
+    Texts of which nothing but white space is left go.
+    """
+    kept = suffix_dedup.remove_repeats(docs).select(
+        F.col("doc_id"), F.expr("decode(kept, 'UTF-8')").alias("_kept"), (F.col("n_removed") > 0).alias("_changed")
+    )
+    changed = kept.filter("_changed").withColumn("_kept", F.regexp_replace("_kept", "�", ""))
+    joined = docs.join(changed.dropDuplicates(["doc_id"]), "doc_id", "left")
+    text = F.when(F.col("_changed"), F.col("_kept")).otherwise(F.col("text"))
+    return _with_text(joined, docs, text).filter(F.col("text").rlike(quality_rules.HAS_WORD))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret replaced by a mark; all documents stay."""
+    found = secrets.scan(docs, secrets.train(secrets.corpus_samples(docs)), out="_secrets")
+    return _with_text(found, docs, secrets.redacted(text_or_empty("text"), F.col("_secrets"), SECRET_MARK))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the training sequences."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(docs, tokenizer, queries.PACK_END_ID, queries.SEQUENCE_TOKENS)
+
+
+def _with_text(rows: DataFrame, docs: DataFrame, text) -> DataFrame:
+    """The columns of ``docs`` with a new text and its length."""
+    changed = rows.withColumn("_text", text)
+    new = {"text": F.col("_text"), "n_chars": F.char_length("_text").cast("long")}
+    return changed.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
 
 
 STAGES = [
     ("quality_rules", keep_good_quality),
     ("simhash_near_dedup", keep_first_of_near_duplicates),
+    ("suffix_array_dedup", remove_repeated_passages),
+    ("secret_scan", hide_secrets),
+    ("best_fit_packing", pack_sequences),
 ]
 #: Fingerprints, suffixes, models and tokens are not SQL; tests compare the run with brute force.
 ORACLE_SQL = None

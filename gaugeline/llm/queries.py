@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, packing, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
+from gaugeline.llm import bpe, licenses, packing, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
 from gaugeline.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+OPENING_NOTICE = r"(?i)\blicen[sc]ed?\b"
 QUERY_EVERY = 20
 TOP = 20
 VECTOR_SCALE = 64
@@ -28,6 +29,20 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of their source, in directories of a thousand and of fifty neighbours.
+
+    The tables hold no file names: a document that opens with a licence notice counts as the licence
+    file of its directory.
+    """
+    docs = table(spark, sf_dir, "documents")
+    opening = F.substring_index(F.col("text"), "\n", 1).rlike(OPENING_NOTICE)
+    name = F.when(opening, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 50), name)
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 @query
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, TOP, VECTOR_SCALE)

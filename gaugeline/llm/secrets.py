@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import text_or_empty
+from gaugeline.llm.common import let, text_or_empty
 
 #: Patterns and least lengths of the base kinds, in order (fixed values).
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -56,11 +56,6 @@ def _before(lengths: Column) -> Column:
     return F.transform(lengths, lambda _, i: F.get(bases, F.floor(i / STEP).cast("int")) + within(i))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 SPANS = "array<struct<start:int,kind:int,stop:int,text:string>>"
 
 
@@ -71,10 +66,10 @@ def _matches(text: Column, pattern: str, kind: int) -> Column:
     def spans(pieces: Column) -> Column:
         lengths = F.transform(pieces, F.char_length)
         row = lambda p, s: F.struct(s.alias("start"), F.lit(kind).alias("kind"), (s + F.char_length(p)).alias("stop"), p.alias("text"))
-        rows = _let(lengths, lambda n: F.zip_with(pieces, _before(n), row))
+        rows = let(lengths, lambda n: F.zip_with(pieces, _before(n), row))
         return F.filter(rows, lambda _, i: i % 2 == 1)
 
-    return F.when(text.rlike(pattern), _let(marked, spans)).otherwise(F.array().cast(SPANS))
+    return F.when(text.rlike(pattern), let(marked, spans)).otherwise(F.array().cast(SPANS))
 
 
 def base_spans(text: Column) -> Column:
@@ -141,13 +136,16 @@ def corpus_samples(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def scan(docs: DataFrame, model: PairModel, text: str = "text", out: str = "secrets", threshold: float = THRESHOLD) -> DataFrame:
     """Adds all spans, sorted by start and kind: (start, kind, stop, text); kinds as in ``KINDS``."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != out]
     body = text_or_empty(f"`{text}`")
-    found = docs.select(*keep, F.struct(base_spans(body).alias("base"), _matches(body, CANDIDATE, 3).alias("runs")).alias(out))
-    base, runs = F.col(out)["base"], F.col(out)["runs"]
-    apart = lambda m: ~F.exists(base, lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"]))
-    extra = F.filter(runs, lambda m: apart(m) & (model.mean_ratio(m["text"]) > threshold))
-    return found.select(*keep, F.when(F.size(runs) == 0, base).otherwise(F.array_sort(F.concat(base, extra))).alias(out))
+
+    def joined(found: Column) -> Column:
+        base, runs = found["base"], found["runs"]
+        apart = lambda m: ~F.exists(base, lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"]))
+        extra = F.filter(runs, lambda m: apart(m) & (model.mean_ratio(m["text"]) > threshold))
+        return F.when(F.size(runs) == 0, base).otherwise(F.array_sort(F.concat(base, extra)))
+
+    found = F.struct(base_spans(body).alias("base"), _matches(body, CANDIDATE, 3).alias("runs"))
+    return docs.withColumn(out, let(found, joined))
 
 
 def span_list(spans: Column) -> Column:
@@ -166,4 +164,4 @@ def redacted(text: Column, spans: Column, mark: str) -> Column:
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), added.alias("out"))
 
     rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    return let(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(F.aggregate(s, start, step, rest)))

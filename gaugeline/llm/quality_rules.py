@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import WORD_BREAK, text_or_empty
+from gaugeline.llm.common import WORD_BREAK, let, text_or_empty
 
 WINDOW_WORDS = 5
 SYMBOLS = r"[#*$%&|<>]"
@@ -35,109 +35,94 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A document passes if the measure lies between the bounds, both included; None is no bound."""
+    """A document passes if ``over`` (divided by ``per``) lies between the bounds, both included.
+
+    None is no bound; a ratio to nothing passes.
+    """
 
     name: str
-    measure: str
+    over: str
+    per: str | None = None
     low: float | None = None
     high: float | None = None
 
-    def failed(self, at: str) -> Column:
-        value = F.expr(self.measure.format(q=f"`{at}`"))
-        low = value < F.lit(self.low) if self.low is not None else F.lit(False)
-        high = value > F.lit(self.high) if self.high is not None else F.lit(False)
-        return F.coalesce(low | high, F.lit(False))
+    def failed(self, measures: Column) -> Column:
+        value = measures[self.over].cast("double")
+        if self.per is not None:
+            value = value / F.nullif(measures[self.per].cast("double"), F.lit(0.0))
+        bounds = [value < F.lit(self.low)] * (self.low is not None) + [value > F.lit(self.high)] * (self.high is not None)
+        return F.coalesce(reduce(lambda a, b: a | b, bounds), F.lit(False))
 
 
-#: The base rules, in whole numbers.
 BASE_RULES = (
-    Rule("words", "{q}.n_words", low=10),
-    Rule("repeated_words", "100 * {q}.n_repeat_words - 20 * {q}.n_words", high=0),
+    Rule("words", "n_words", low=10),
+    Rule("repeated_words", "n_repeat_words", "n_words", high=0.2),
 )
 #: Length, symbol, stop-word and line ratios; a text without words has no ratio and fails by the base rules.
 RULES = (
-    Rule("mean_word_length", "{q}.word_chars / nullif({q}.n_words, 0)", low=2.0, high=15.0),
-    Rule("symbols_per_word", "{q}.n_symbols / nullif({q}.n_words, 0)", high=0.25),
-    Rule("stop_word_share", "{q}.n_stop_words / nullif({q}.n_words, 0)", low=0.02),
-    Rule("duplicate_line_share", "{q}.n_dup_lines / nullif({q}.n_lines, 0)", high=0.5),
+    Rule("mean_word_length", "word_chars", "n_words", low=2.0, high=15.0),
+    Rule("symbols_per_word", "n_symbols", "n_words", high=0.25),
+    Rule("stop_word_share", "n_stop_words", "n_words", low=0.02),
+    Rule("duplicate_line_share", "n_dup_lines", "n_lines", high=0.5),
 )
 
 
-def _measures(docs: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds the struct of measures.  Arrays are made in steps of their own, so each is computed once."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != out]
-    body = text_or_empty(f"`{text}`")
-    parts = docs.select(
-        *keep,
-        F.struct(
-            F.filter(F.split(body, WORD_BREAK), lambda w: w != "").alias("words"),
-            F.filter(F.split(body, "\n"), lambda line: line.rlike(HAS_WORD)).alias("lines"),
-            F.regexp_count(body, F.lit(SYMBOLS)).alias("symbols"),
-        ).alias(out),
-    )
-    words, lines = F.col(out)["words"], F.col(out)["lines"]
-    stop = sorted(set(STOP_WORDS))
-    counted = parts.select(
-        *keep,
-        F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            F.col(out)["symbols"].cast("long").alias("n_symbols"),
-            F.size(lines).cast("long").alias("n_lines"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            F.size(F.filter(words, lambda w: F.lower(F.rtrim(w, F.lit(CLOSING_MARKS))).isin(stop))).cast("long").alias("n_stop_words"),
-            F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"),
-        ).alias(out),
-    )
-    kept_fields = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words"]
-    fields = [F.col(out)[f].alias(f) for f in kept_fields]
-    hashes = F.col(out)["hashes"]
+def _repeat_words(hashes: Column) -> Column:
+    """Words in windows that occur more than once, from the hashes of all words."""
     starts = F.sequence(F.lit(0), F.size(hashes) - F.lit(WINDOW_WORDS))
-    windows = F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + F.lit(k)) for k in range(WINDOW_WORDS)]))
-    empty = F.array().cast("array<bigint>")
-    windowed = counted.select(
-        *keep, F.struct(*fields, F.when(F.size(hashes) > WINDOW_WORDS, windows).otherwise(empty).alias("windows")).alias(out)
-    )
-    at = F.col(out)["windows"]
-    by_hash = F.sort_array(F.transform(at, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    ordered = windowed.select(
-        *keep,
-        F.struct(
-            *fields,
-            F.when(F.size(F.array_distinct(at)) < F.size(at), by_hash)
-            .otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
-            .alias("ordered"),
-        ).alias(out),
-    )
-    o = F.col(out)["ordered"]
+    window = lambda i: F.xxhash64(*[F.get(hashes, i + F.lit(k)) for k in range(WINDOW_WORDS)])
 
-    def repeated(x: Column, j: Column) -> Column:
-        same = lambda k: F.coalesce(F.get(o, k)["h"] == x["h"], F.lit(False))
-        return same(j - 1) | same(j + 1)
+    def among(windows: Column) -> Column:
+        by_hash = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(let(by_hash, covered))
 
-    marked = ordered.select(
-        *keep, F.struct(*fields, F.sort_array(F.transform(F.filter(o, repeated), lambda x: x["i"])).alias("starts")).alias(out)
-    )
-    # Each repeated window adds its words beyond the previous repeated window.
-    covered = F.aggregate(
-        F.col(out)["starts"],
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW_WORDS).alias("last")),
-        lambda acc, i: F.struct((acc["n"] + F.least(F.lit(WINDOW_WORDS), i - acc["last"])).alias("n"), i.alias("last")),
-        lambda acc: acc["n"],
+    def covered(ordered: Column) -> Column:
+        same = lambda x, k: F.coalesce(F.get(ordered, k)["h"] == x["h"], F.lit(False))
+        repeated = F.filter(ordered, lambda x, j: same(x, j - 1) | same(x, j + 1))
+        # Each repeated window adds its words beyond the previous repeated window.
+        return F.aggregate(
+            F.sort_array(F.transform(repeated, lambda x: x["i"])),
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW_WORDS).alias("last")),
+            lambda acc, i: F.struct((acc["n"] + F.least(F.lit(WINDOW_WORDS), i - acc["last"])).alias("n"), i.alias("last")),
+            lambda acc: acc["n"],
+        )
+
+    return F.when(F.size(hashes) <= WINDOW_WORDS, F.lit(0).cast("long")).otherwise(let(F.transform(starts, window), among))
+
+
+def quality(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """A struct of all measures, ``base_failed``, ``failed_rules`` and ``kept``."""
+    stop = sorted(set(STOP_WORDS))
+    parts = F.struct(
+        F.filter(F.split(text, WORD_BREAK), lambda w: w != "").alias("words"),
+        F.filter(F.split(text, "\n"), lambda line: line.rlike(HAS_WORD)).alias("lines"),
+        F.regexp_count(text, F.lit(SYMBOLS)).alias("symbols"),
     )
-    return marked.select(*keep, F.struct(*fields, covered.alias("n_repeat_words")).alias(out))
+
+    def measures(p: Column) -> Column:
+        words, lines = p["words"], p["lines"]
+        counts = {
+            "n_words": F.size(words),
+            "word_chars": F.char_length(F.array_join(words, "")),
+            "n_symbols": p["symbols"],
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_stop_words": F.size(F.filter(words, lambda w: F.lower(F.rtrim(w, F.lit(CLOSING_MARKS))).isin(stop))),
+            "n_repeat_words": let(F.transform(words, lambda w: F.xxhash64(w)), _repeat_words),
+        }
+        return F.struct(*(c.cast("long").alias(n) for n, c in counts.items()))
+
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words"]
+
+    def judged(m: Column) -> Column:
+        base = reduce(lambda a, b: a | b, [r.failed(m) for r in BASE_RULES])
+        failed = F.array_compact(F.array(*[F.when(r.failed(m), F.lit(r.name)) for r in (*BASE_RULES, *rules)]))
+        verdict = [base.alias("base_failed"), failed.alias("failed_rules"), (F.size(failed) == 0).alias("kept")]
+        return F.struct(*(m[n].alias(n) for n in names), *verdict)
+
+    return let(let(parts, measures), judged)
 
 
 def judge(docs: DataFrame, text: str = "text", out: str = "quality", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Adds a struct with the measures, ``base_failed``, ``kept`` and the names of the failed rules."""
-    measured = _measures(docs, text, out)
-    base = reduce(lambda a, b: a | b, [r.failed(out) for r in BASE_RULES])
-    names = [F.when(r.failed(out), F.lit(r.name)) for r in (*BASE_RULES, *rules)]
-    failed = F.array_compact(F.array(*names))
-    return measured.withColumn(
-        out,
-        F.col(out)
-        .withField("base_failed", base)
-        .withField("failed_rules", failed)
-        .withField("kept", F.size(failed) == 0),
-    )
+    """Adds the struct of ``quality``."""
+    return docs.withColumn(out, quality(text_or_empty(f"`{text}`"), rules))

@@ -36,10 +36,8 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     Texts of which nothing but white space is left go.
     """
-    kept = suffix_dedup.remove_repeats(docs).select(
-        F.col("doc_id"), F.expr("decode(kept, 'UTF-8')").alias("_kept"), (F.col("n_removed") > 0).alias("_changed")
-    )
-    changed = kept.filter("_changed").withColumn("_kept", F.regexp_replace("_kept", "�", ""))
+    kept = suffix_dedup.remove_repeats(docs).filter("n_removed > 0")
+    changed = kept.select("doc_id", F.col("kept_text").alias("_kept"), F.lit(True).alias("_changed"))
     joined = docs.join(changed.dropDuplicates(["doc_id"]), "doc_id", "left")
     text = F.when(F.col("_changed"), F.col("_kept")).otherwise(F.col("text"))
     return _with_text(joined, docs, text).filter(F.col("text").rlike(quality_rules.HAS_WORD))

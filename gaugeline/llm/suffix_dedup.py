@@ -448,9 +448,9 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _remaining(keep_bytes: bool):
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-    schema = pa.schema(list(zip(names, types, strict=True))[: 6 if keep_bytes else 5])
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
+    types = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.string()]
+    schema = pa.schema(list(zip(names, types, strict=True))[: 7 if keep_bytes else 5])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [np.frombuffer(b, np.int64).reshape(-1, 3) for b in right.column("spans").to_pylist()]
@@ -468,8 +468,8 @@ def _remaining(keep_bytes: bool):
                     at = start + high
                 kept.append(raw[at:end])
                 rest = b"".join(kept)
-                values = [None if missing[i] else int(ids[i]), end - start, end - start - len(rest), len(own), hashlib.sha256(rest).hexdigest(), rest]
-                rows.append(values[: len(schema)])
+                values = [None if missing[i] else int(ids[i]), end - start, end - start - len(rest), len(own), hashlib.sha256(rest).hexdigest()]
+                rows.append(values + ([rest, rest.decode("utf-8", "ignore")] if keep_bytes else []))
                 start = end
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema) if rows else schema.empty_table()
 
@@ -477,7 +477,10 @@ def _remaining(keep_bytes: bool):
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_bytes: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every row."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, kept_text]) of every row.
+
+    ``kept_text`` leaves out characters of which only some bytes were removed.
+    """
     parts = partitions_of(docs.sparkSession)
     narrow = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_or_empty(f"`{text}`").cast("binary").alias("body")
@@ -492,5 +495,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     edges = found.filter("bytes IS NOT NULL").drop("spans").repartition(parts, "key").sortWithinPartitions("key")
     spans = found.filter("spans IS NOT NULL").select("buffer", "spans").union(edges.mapInArrow(_matched, "buffer long, spans binary"))
     spans = stage_table(spans, "spans")
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
+    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, kept_text string" * keep_bytes
     return buffers.groupBy("buffer").cogroup(spans.groupBy("buffer")).applyInArrow(_remaining(keep_bytes), out)

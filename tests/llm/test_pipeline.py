@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import corpus_pipeline
+from gaugeline.llm import queries
+from gaugeline.sources.workspace import stage_table
+from tests.llm.test_quality_rules import measures
+from tests.llm.test_secrets import base
+from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_suffix_dedup import plain
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def texts_of(frame) -> dict:
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_stages_against_brute_force(spark, docs):
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "simhash_near_dedup", "suffix_array_dedup", "secret_scan", "best_fit_packing"]
+    rng = random.Random(2)
+    stop = "the of and to in a is that for it".split()
+    prose = lambda n: " ".join(rng.choice(stop) if rng.random() < 0.4 else "".join(rng.choices("abcdeéo", k=6)) for _ in range(n))
+    shared = "ééé" + prose(25) + "çç"
+    more = [shared + " " + prose(30), prose(30) + " " + shared, prose(30) + ' token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ' + prose(9)]
+    more = [(1000 + i, t, "en", "s", len(t), 0, 0, "", 0) for i, t in enumerate(more)]
+    at = docs.union(spark.createDataFrame(more, docs.schema)).select(*COLUMNS)
+    before = texts_of(at)
+    frames = []
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage_table(stage(spark, at, ""), name)
+        frames.append(at)
+    assert all(f.columns == COLUMNS for f in frames[:-1])
+    good, single, rest, clean = map(texts_of, frames[:4])
+    assert all(not measures(t)[-1] for t in good.values()) and all(before[i] == t for i, t in good.items())
+    assert {1000, 1001, 1002} <= set(good)
+    components = plain_components({i: plain_fingerprint(t) for i, t in good.items()}, queries.MAX_BITS)
+    assert single == {i: t for i, t in good.items() if components[i] == i}
+    kept = {i: r[4].decode("utf-8", "ignore") for i, r in plain(single).items()}
+    assert rest == {i: t for i, t in kept.items() if t.strip(" \t\n\x0b\x0c\r")}
+    assert rest[1001] != single[1001]
+    assert set(clean) == set(rest) and not any(base(t) for t in clean.values())
+    assert all(clean[i] == t for i, t in rest.items() if not base(t) and corpus_pipeline.SECRET_MARK not in clean[i])
+    assert corpus_pipeline.SECRET_MARK in clean[1002]
+    assert all(r.n_chars == len(r.text) for r in frames[3].collect())
+    used = defaultdict(int)
+    for r in frames[4].collect():
+        used[r.sequence_id] += r.length
+    assert {r.doc_id for r in frames[4].collect()} == set(clean) and max(used.values()) <= queries.SEQUENCE_TOKENS
+
+
+def test_no_rows(spark, no_docs):
+    at = no_docs.select(*COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage_table(stage(spark, at, ""), name)
+    assert at.count() == 0

@@ -42,7 +42,7 @@ from gaugeline.sources.workspace import stage_table
 MATCH = 50
 GRAM = 20
 WINDOW_GRAMS = MATCH - GRAM + 1
-BUFFER_BYTES = 2 << 20
+BUFFER_BYTES = 1 << 20
 BUFFER_DOCS = 60_000
 #: More different runs of an anchor than this in a buffer, or in all, are sent window by window.
 LOCAL_RUNS, ALL_RUNS = 64, 2_000

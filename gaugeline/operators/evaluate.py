@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions import keys
-from gaugeline.operators.selection import counts_below, quantiles_by, top_k_flags
+from gaugeline.operators.selection import counts_below, join_groups, quantiles_by, top_k_flags
 
 SCORE_QUANTILES = {"score_p95": 0.95, "score_p99": 0.99}
 
@@ -33,7 +33,7 @@ def score_summary(
     )
     quantiles = quantiles_by(scored, score, SCORE_QUANTILES, by)
     rounded = quantiles.select(*by, *[F.round(name, 6).alias(name) for name in SCORE_QUANTILES])
-    return moments.join(rounded, list(by), "left")
+    return join_groups(moments, rounded, by)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

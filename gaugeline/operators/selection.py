@@ -7,9 +7,11 @@ never the result: ranks come from exact counts.  Equal values are collapsed to
 (value, count) before any shuffle, so one dominant value cannot overload a task.
 
 A frame counted to have at most ``ONE_TILE_ROWS`` rows takes Spark's own exact aggregate or
-window instead, which is fewer passes.  The frame is read up to four times (rows, sample,
-tile counts, wanted tiles), so pass a table or a materialised stage.  Group columns must not
-be null.
+window instead, which is fewer passes; both ways give the same rows.  The frame is read up to
+four times (rows, sample, tile counts, wanted tiles), so pass a table or a materialised stage.
+
+Null is a group like any other: inside this module the group columns travel as one struct, and
+structs whose fields are null are equal in joins, where plain nulls never are.
 """
 
 from __future__ import annotations
@@ -34,6 +36,20 @@ SAMPLES_PER_TILE = 16
 MIN_SAMPLE = 100_000
 MAX_LEVELS = 3
 SEED = 42
+GROUP = "_group"
+
+
+def grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The frame with its group columns as one struct, and the name to group by."""
+    return (df.withColumn(GROUP, F.struct(*by)), [GROUP]) if by else (df, [])
+
+
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Left join of per-group tables on the group columns; the null group meets itself."""
+    if not by:
+        return left.join(right, how="left")
+    (first, key), (second, _) = grouped(left, by), grouped(right, by)
+    return first.join(second.drop(*by), key, "left").drop(*key)
 
 
 def sampled_cuts(df: DataFrame, value: str, rows: int, one_tile_rows: int, max_tiles: int) -> list[float]:
@@ -200,11 +216,13 @@ def quantiles_by(
     one_tile_rows: int = ONE_TILE_ROWS,
 ) -> DataFrame:
     """Exact quantiles per group: ``(*by, <name>...)`` for ``{name: probability}``."""
-    present = df.select(*by, value).filter(F.col(value).isNotNull())
+    columns = [*by]
+    present, by = grouped(df.select(*by, value).filter(F.col(value).isNotNull()), by)
+    groups = [F.col(GROUP)[c].alias(c) for c in columns]
     if present.count() <= one_tile_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
         found = present.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), wanted).alias("_q"))
-        return found.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)])
+        return found.select(*groups, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)])
     tiled = tile_column(present, value, by, one_tile_rows)
     position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
     ends = [f(p).cast("bigint") for p in position.values() for f in (F.floor, F.ceil)]
@@ -218,7 +236,8 @@ def quantiles_by(
         low, high = at(F.floor(p)), at(F.ceil(p))
         return F.when(low == high, low).otherwise(low + (high - low) * F.max(p - F.floor(p)))
 
-    return found.groupBy(*by).agg(*[between(p).alias(name) for name, p in position.items()])
+    quantiles = found.groupBy(*by).agg(*[between(p).alias(name) for name, p in position.items()])
+    return quantiles.select(*groups, *probabilities)
 
 
 def approx_quantiles_by(
@@ -281,13 +300,15 @@ def top_k_flags(
 
     ``sizes`` holds ``(*by, _k)``.  Same tie rule as ``top_k``.
     """
-    by = list(by)
+    columns = df.columns
+    sizes = grouped(sizes, by)[0].drop(*by)
+    df, by = grouped(df, by)
     hashed = df.withColumn("_word", keys.bucket32(key))
     if df.count() <= one_tile_rows:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*_best_first(score, key)))
         top = F.col(score).isNotNull() & (place <= F.col("_k"))
         ranked = hashed.join(pin_if_small(sizes), by, "left")
-        return ranked.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).select(*df.columns, "_top")
+        return ranked.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).select(*columns, "_top")
 
     tiled = tile_column(df, score, by, one_tile_rows)
     ranks = (
@@ -338,7 +359,7 @@ def top_k_flags(
     top = (F.col(score) > F.col("_cut")) | (
         (F.col(score) == F.col("_cut")) & ((F.col("_need") >= F.col("_ties")) | by_hash)
     )
-    return joined.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).select(*df.columns, "_top")
+    return joined.withColumn("_top", F.coalesce(top, F.lit(False)).cast("int")).select(*columns, "_top")
 
 
 # -- full ranking -------------------------------------------------------------------------------
@@ -357,14 +378,15 @@ def counts_below(
     ``<name>_below``.  Values are summed map-side first, then ranked tile by tile, each tile
     starting from the summed amounts of the tiles before it.
     """
-    by = list(by)
     names = list(amounts)
-    present = df.filter(F.col(value).isNotNull())
+    groups = [F.col(GROUP)[c].alias(c) for c in by]
+    present, by = grouped(df.filter(F.col(value).isNotNull()), by)
     rows = present.count()
     sums = [F.sum(expr).alias(name) for name, expr in amounts.items()]
     if rows <= one_tile_rows:
         counted = present.groupBy(*by, value).agg(*sums)
-        return counted.select("*", *[rows_before(n, value, by).alias(f"{n}_below") for n in names])
+        below = [rows_before(n, value, by).alias(f"{n}_below") for n in names]
+        return counted.select(*groups, value, *names, *below)
     frame = with_tiles(present, value, rows, one_tile_rows, RANKING_TILES)
     tile_key = [*by, "_tile"]
     starts = pin_if_small(
@@ -375,7 +397,7 @@ def counts_below(
     ranked = frame.groupBy(*tile_key, value).agg(*sums)
     ranked = ranked.select("*", *[rows_before(n, value, tile_key).alias(f"_{n}_inside") for n in names])
     return ranked.join(starts, tile_key).select(
-        *by,
+        *groups,
         value,
         *names,
         *[(F.col(f"_{n}_start") + F.col(f"_{n}_inside")).alias(f"{n}_below") for n in names],

@@ -11,6 +11,7 @@ from gaugeline.functions import labels
 from gaugeline.operators import anomaly, evaluate, features, quality, reports, split, supervised
 from gaugeline.operators.enrich import enrich
 from gaugeline.operators.schema import ingest
+from gaugeline.operators.selection import join_groups
 from gaugeline.operators.stages import StageLog
 from gaugeline.plans import scaling
 from gaugeline.sources.reports import conform, write_report, write_stage_metrics
@@ -56,7 +57,7 @@ def metrics_table(scored: DataFrame, thresholds: dict[str, float], labelled: boo
     judged = scored.select(KEY, "split", "anomaly_score", labels.is_positive("class").alias("_label"))
     topk = evaluate.topk_confusion(judged, KEY, "_label", ("split",)).drop("tp", "fp", "fn")
     auc = evaluate.roc_auc(judged, "_label", ("split",)).withColumn("auc", F.round("auc", 6))
-    return table.join(topk, ["split"], "left").join(auc, ["split"], "left")
+    return join_groups(join_groups(table, topk, ["split"]), auc, ["split"])
 
 
 def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) -> dict[str, str]:

@@ -9,7 +9,7 @@ from gaugeline.functions import labels
 from gaugeline.functions.numeric import epoch_seconds
 from gaugeline.operators import anomaly, evaluate, features, reports, selection, split
 from gaugeline.plans.registry.base import over, query, union_all
-from gaugeline.plans.telemetry import KEY, SENSORS, deviation_score, featured, labelled, telemetry
+from gaugeline.plans.telemetry import KEY, SENSORS, deviation_score, featured, labelled, lineitem, telemetry
 
 FEATURES = (*SENSORS, "sensor_risk_score", "mode_risk_score")
 
@@ -413,3 +413,34 @@ def standardize(spark, sf):
         for c in _STD
     ]
     return scaled.agg(F.array(*parts).alias("rows")).select(F.inline("rows"))
+
+
+_NULL_GROUPS = """SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE l_returnflag END AS class,
+                         CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS truth,
+                         abs(l_extendedprice - 38000.0::DOUBLE) / 20000.0::DOUBLE AS anomaly_score FROM lineitem"""
+
+
+@query(
+    "null_group_scores",
+    f"""WITH judged AS ({_NULL_GROUPS}),
+             ranked AS (SELECT *, rank() OVER (PARTITION BY class ORDER BY anomaly_score)
+                               + (count(*) OVER (PARTITION BY class, anomaly_score) - 1) / 2.0 AS place FROM judged)
+        SELECT class, count(*) AS "rows", round(avg(truth), 6) AS fault_rate,
+               round(avg(anomaly_score), 6) AS score_mean, round(stddev_pop(anomaly_score), 6) AS score_std,
+               round(quantile_cont(anomaly_score, 0.95), 6) AS score_p95,
+               round(quantile_cont(anomaly_score, 0.99), 6) AS score_p99,
+               round((sum(place) FILTER (truth = 1) - sum(truth) * (sum(truth) + 1) / 2.0)
+                     / nullif(sum(truth) * (count(*) - sum(truth)), 0), 6) AS auc
+        FROM ranked GROUP BY class""",
+)
+def null_group_scores(spark, sf):
+    """Score summary and AUC by class where rows without a class are a group of their own."""
+    rows = lineitem(spark, sf)
+    judged = rows.select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")).alias("class"),
+        (F.col("l_linestatus") == "F").cast("int").alias("truth"),
+        (F.abs(F.col("l_extendedprice") - F.lit(38000.0)) / F.lit(20000.0)).alias("anomaly_score"),
+    )
+    summary = evaluate.score_summary(judged, ("class",), rates={"fault_rate": F.col("truth")})
+    auc = evaluate.roc_auc(judged, "truth", ("class",)).withColumn("auc", F.round("auc", 6))
+    return selection.join_groups(summary, auc, ("class",))

@@ -137,3 +137,24 @@ def test_sketch_quantiles_are_within_their_error(spark):
     values = shapes(5000)["distinct"]
     found = selection.approx_quantiles_by(frame(spark, values), "v", {"q": 0.9}, ["g"], 1000).first()["q"]
     assert abs((values <= found).mean() - 0.9) <= 0.002
+
+
+def test_null_groups_are_kept_on_both_paths(spark):
+    rows = spark.range(6000).selectExpr(
+        "CAST(id AS STRING) AS key",
+        "IF(id % 3 = 0, NULL, CAST(id % 3 AS STRING)) AS g",
+        "CAST((id * 7919) % 2003 AS DOUBLE) AS score",
+        "CAST(id % 5 = 0 AS INT) AS label",
+    )
+    sizes = rows.groupBy("g").agg((F.sum("label") + 1).alias("_k"))
+    amounts = {"n": F.lit(1), "hits": F.col("label")}
+    results = []
+    for one_tile_rows in (1_000_000, 200):
+        quantiles = selection.quantiles_by(rows, "score", {"p50": 0.5, "p99": 0.99}, ["g"], one_tile_rows)
+        below = selection.counts_below(rows, "score", amounts, ["g"], one_tile_rows)
+        flags = selection.top_k_flags(rows, "score", sizes, "key", ["g"], one_tile_rows).filter("_top = 1")
+        results.append([sorted(map(repr, frame.collect())) for frame in (quantiles, below, flags.select("g", "key"))])
+    assert results[0] == results[1]
+    assert any("g=None" in row for part in results[0] for row in part)
+    assert len(results[0][0]) == 3
+    assert len(results[0][2]) == sum(row["_k"] for row in sizes.collect())

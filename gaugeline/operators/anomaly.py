@@ -7,7 +7,8 @@ small random sample, and the score of a row is 2^(-mean path length / c(sample))
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from math import ceil, isqrt
 
 import numpy as np
 import pandas as pd
@@ -30,16 +31,19 @@ SAMPLE_ROWS = 256
 SEED = 42
 # The two operating points and their quantiles of the training scores.
 OPERATING_POINTS = {"isolation_forest": 0.95, "isolation_forest_strict": 0.99}
-TREE_DDL = "tree INT, feature ARRAY<INT>, threshold ARRAY<DOUBLE>, path ARRAY<DOUBLE>"
+TREE_DDL = "tree INT, feature ARRAY<INT>, threshold ARRAY<DOUBLE>, path ARRAY<DOUBLE>, sample_rows INT"
 
 
 @dataclass(frozen=True)
 class IsolationForest:
+    """The trees, the rows each was grown on, and the score thresholds once they are known."""
+
     columns: list[str]
-    sample_rows: int
+    sample_rows: np.ndarray
     feature: np.ndarray
     threshold: np.ndarray
     path: np.ndarray
+    cuts: dict[str, float] = field(default_factory=dict)
 
     def score(self, df: DataFrame, output: str = "anomaly_score") -> DataFrame:
         """Adds the score of every row of the frame; higher is more anomalous, range (-0.5, 0.5).
@@ -48,7 +52,7 @@ class IsolationForest:
         """
         spark = df.sparkSession
         trees = spark.sparkContext.broadcast((self.feature, self.threshold, self.path))
-        scale = mean_unsuccessful_search(self.sample_rows) or 1.0
+        scale = float(np.mean([mean_unsuccessful_search(n) for n in self.sample_rows])) or 1.0
 
         @F.pandas_udf("double")
         def path_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -63,32 +67,36 @@ class IsolationForest:
         ]
         return spread_if_narrow(df).withColumn(output, path_score(*filled))
 
+    def flag(self, df: DataFrame) -> DataFrame:
+        """Scores the frame and adds a 1/0 column per operating point, by the kept thresholds."""
+        scored = self.score(df)
+        return scored.withColumns({name: anomaly_flag("anomaly_score", cut) for name, cut in self.cuts.items()})
+
     def save(self, spark: SparkSession, path: str) -> None:
+        """Trees, feature list and thresholds as one Parquet row per tree."""
+        cuts = {name: float(cut) for name, cut in self.cuts.items()}
+        trees = zip(self.feature, self.threshold, self.path, self.sample_rows, strict=True)
         rows = [
-            (i, f.tolist(), t.tolist(), p.tolist())
-            for i, (f, t, p) in enumerate(zip(self.feature, self.threshold, self.path, strict=True))
+            (i, f.tolist(), t.tolist(), p.tolist(), int(n), self.columns, cuts)
+            for i, (f, t, p, n) in enumerate(trees)
         ]
-        frame = spark.createDataFrame(rows, TREE_DDL).withColumns(
-            {
-                "columns": F.array(*[F.lit(c) for c in self.columns]),
-                "sample_rows": F.lit(self.sample_rows),
-            }
-        )
-        frame.coalesce(1).write.mode("overwrite").parquet(path)
+        ddl = f"{TREE_DDL}, columns ARRAY<STRING>, cuts MAP<STRING, DOUBLE>"
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> IsolationForest:
         rows = sorted(spark.read.parquet(path).collect(), key=lambda row: row["tree"])
-        return _from_rows(rows, rows[0]["columns"], rows[0]["sample_rows"])
+        return _from_rows(rows, rows[0]["columns"], rows[0]["cuts"])
 
 
-def _from_rows(rows: Sequence, columns: Sequence[str], sample_rows: int) -> IsolationForest:
+def _from_rows(rows: Sequence, columns: Sequence[str], cuts: dict[str, float]) -> IsolationForest:
     return IsolationForest(
         list(columns),
-        sample_rows,
+        np.array([r["sample_rows"] for r in rows], dtype=np.int64),
         np.array([r["feature"] for r in rows], dtype=np.int32),
         np.array([r["threshold"] for r in rows], dtype=float),
         np.array([r["path"] for r in rows], dtype=float),
+        dict(cuts),
     )
 
 
@@ -96,32 +104,41 @@ def _hash_unit(*parts: Column) -> Column:
     return F.xxhash64(*parts).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(float(1 << 32))
 
 
+def _next_prime(n: int) -> int:
+    n = max(n, 2)
+    while any(n % d == 0 for d in range(2, isqrt(n) + 1)):
+        n += 1
+    return n
+
+
 def forest_samples(
-    df: DataFrame, columns: Sequence[str], key: str, rows: int, trees: int, sample_rows: int, seed: int
+    df: DataFrame, columns: Sequence[str], key: str, distinct: int, trees: int, sample_rows: int, seed: int
 ) -> DataFrame:
-    """``(tree, _order, *columns)``: somewhat more than ``sample_rows`` rows for every tree.
+    """``(tree, _order, _key, *columns)``: somewhat more than ``sample_rows`` rows for every tree.
 
-    A large table gives each drawn row to one tree.  A table with fewer rows than all trees
-    need is drawn from once per tree.  Rows with the same key are drawn once, so copies of a
-    row cannot fill a tree.
+    ``distinct`` is the number of different keys: rows with the same key are drawn once, so copies
+    of a row neither fill a tree nor thin out the draw.  Every key gets the same number of places,
+    each kept with the same chance; place c of a key belongs to tree ``a + c * b`` modulo a prime,
+    with a and b from its hash, so its trees differ and all trees are equally likely.  A large
+    table has one place per key and keeps few, a tiny one puts every key into every tree.
     """
     spare = 1.5
-    base = fill_features(df.select(key, *columns), columns).withColumn("_key", F.col(key))
-    if rows >= 2 * trees * sample_rows:
-        share = spare * trees * sample_rows / rows
-        drawn = base.withColumn("_order", _hash_unit(F.col("_key"), F.lit(seed))).filter(
-            F.col("_order") < share
-        )
-        tree = F.pmod(F.xxhash64("_key", F.lit(seed + 1)), F.lit(trees)).cast("int")
-        drawn = drawn.withColumn("tree", tree)
-    else:
-        share = spare * sample_rows / max(rows, 1)
-        drawn = (
-            base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-            .withColumn("_order", _hash_unit(F.col("_key"), F.col("tree"), F.lit(seed)))
-            .filter(F.col("_order") < share)
-        )
-    return drawn.dropDuplicates(["tree", "_key"]).select("tree", "_order", "_key", *columns)
+    slots = _next_prime(trees)
+    wanted = min(1.0, spare * sample_rows / max(distinct, 1)) * slots
+    places = max(1, min(slots, ceil(wanted)))
+    place, name = F.col("_place"), F.col("_key")
+    first = F.pmod(F.xxhash64(name, F.lit(seed + 1)), F.lit(slots))
+    step = F.pmod(F.xxhash64(name, F.lit(seed + 2)), F.lit(max(slots - 1, 1))) + 1
+    drawn = (
+        df.select(F.col(key).alias("_key"), *columns)
+        .withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(places - 1))))
+        .filter(_hash_unit(name, place, F.lit(seed)) < wanted / places)
+        .withColumn("tree", F.pmod(first + place * step, F.lit(slots)).cast("int"))
+        .filter(F.col("tree") < trees)
+        .withColumn("_order", _hash_unit(name, F.col("tree"), F.lit(seed + 3)))
+    )
+    unique = drawn.dropDuplicates(["tree", "_key"])
+    return fill_features(unique, columns).select("tree", "_order", "_key", *columns)
 
 
 def fit_isolation_forest(
@@ -132,14 +149,19 @@ def fit_isolation_forest(
     sample_rows: int = SAMPLE_ROWS,
     seed: int = SEED,
 ) -> IsolationForest:
-    """Draws the samples on Spark and grows the trees in parallel, one small group per tree."""
+    """Draws the samples on Spark and grows the trees in parallel, one small group per tree.
+
+    Different keys are counted by a sketch of one per cent, far less than the spare rows drawn.
+    A tree left with less than nine tenths of its sample is an error.
+    """
     columns = list(columns)
-    rows = train.count()
-    if rows == 0:
+    counted = F.approx_count_distinct(F.coalesce(F.col(key).cast("string"), F.lit("<null>")), 0.01)
+    distinct = train.agg(counted).first()[0]
+    if distinct == 0:
         raise ValueError("no training rows")
-    sample_rows = min(sample_rows, rows)
-    depth = tree_depth(sample_rows)
-    samples = forest_samples(train, columns, key, rows, trees, sample_rows, seed)
+    wanted = min(sample_rows, distinct)
+    depth = tree_depth(wanted)
+    samples = forest_samples(train, columns, key, distinct, trees, sample_rows, seed)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
@@ -147,14 +169,22 @@ def fit_isolation_forest(
         x = picked[columns].to_numpy(dtype=float)
         feature, threshold, path = grow_tree(x, depth, np.random.default_rng([seed, tree]))
         return pd.DataFrame(
-            {"tree": [tree], "feature": [feature], "threshold": [threshold], "path": [path]}
+            {
+                "tree": [tree],
+                "feature": [feature],
+                "threshold": [threshold],
+                "path": [path],
+                "sample_rows": [len(x)],
+            }
         )
 
     # A fixed partition number, as AQE would merge these few megabytes into a single task.
     tasks = min(trees, train.sparkSession.sparkContext.defaultParallelism)
     grown = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, TREE_DDL).collect()
     # One row per tree came back: bounded by the parameters, not by the table.
-    return _from_rows(sorted(grown, key=lambda row: row["tree"]), columns, sample_rows)
+    if len(grown) < trees or min(row["sample_rows"] for row in grown) < 0.9 * wanted:
+        raise ValueError(f"{len(grown)} of {trees} trees drew rows; some fewer than nine tenths of {wanted}")
+    return _from_rows(sorted(grown, key=lambda row: row["tree"]), columns, {})
 
 
 # -- thresholds and exports ---------------------------------------------------------------------

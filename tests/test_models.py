@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +109,33 @@ def test_forest_saves_and_loads(spark, tmp_path):
     assert again.columns == ["a", "b"]
 
 
+def test_saved_forest_flags_new_rows_by_its_thresholds(spark, tmp_path):
+    df = cloud(spark, 300)
+    forest = anomaly.fit_isolation_forest(df, ["a", "b"], "key", trees=10, sample_rows=32)
+    kept = replace(forest, cuts=anomaly.operating_points(forest.score(df)))
+    kept.save(spark, str(tmp_path / "f"))
+    again = anomaly.IsolationForest.load(spark, str(tmp_path / "f"))
+    assert again.cuts == kept.cuts and list(again.sample_rows) == [32] * 10
+    flagged = again.flag(df).agg(*[F.sum(name) for name in anomaly.OPERATING_POINTS]).first()
+    assert 0 < flagged[1] <= flagged[0] < 40
+
+
+@pytest.mark.parametrize("n", [40, 3000])
+def test_repeated_keys_leave_scores_alike(spark, n):
+    df = cloud(spark, n)
+    copies = df.withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("_c")
+    fit = [anomaly.fit_isolation_forest(x, ["a", "b"], "key", trees=30, sample_rows=64) for x in (df, copies)]
+    scores = [{r["key"]: r["anomaly_score"] for r in f.score(df).collect()} for f in fit]
+    assert max(abs(scores[0][k] - scores[1][k]) for k in scores[0]) < 0.02
+    assert min(fit[1].sample_rows) == min(64, n + 5)
+
+
+def test_every_tree_of_a_tiny_table_gets_every_row(spark):
+    samples = anomaly.forest_samples(cloud(spark, 20, outliers=0), ["a", "b"], "key", 20, 12, 64, 42)
+    assert {r["count"] for r in samples.groupBy("tree").count().collect()} == {20}
+    assert samples.select("tree").distinct().count() == 12
+
+
 def test_empty_training_table_is_an_error(spark):
     with pytest.raises(ValueError):
         anomaly.fit_isolation_forest(cloud(spark, 10).limit(0), ["a", "b"], "key")

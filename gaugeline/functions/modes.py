@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -33,12 +34,15 @@ DEFAULT_PRIORITY = "investigate"
 RISK_ORDINALS = {"high": 3.0, "medium": 2.0, "low": 1.0}
 
 
-def operating_mode() -> Column:
-    """Mode of the first rule whose readings all hold; a null reading holds for no rule."""
+def operating_mode(rules: Sequence[tuple[str, dict[str, int]]] = MODE_RULES, other: str = OTHER_MODE) -> Column:
+    """Mode of the first rule whose readings all hold; a null reading holds for no rule.
+
+    ``rules`` names the sensors, so tables with other sensor names bring their own.
+    """
     chain = F
-    for mode, readings in MODE_RULES:
+    for mode, readings in rules:
         chain = chain.when(reduce(and_, [F.col(s) == v for s, v in readings.items()]), mode)
-    return chain.otherwise(OTHER_MODE)
+    return chain.otherwise(other)
 
 
 def mode_risk_ordinal(risk: Column | str = "mode_risk") -> Column:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import labels
 
-NULL_CHECKED_FEATURES = 10
-
-
 COPIES = "_copies"
 
 
@@ -22,9 +19,16 @@ def collapse_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def quality_of_groups(groups: DataFrame, features: Sequence[str], has_label: bool) -> DataFrame:
-    """Long table ``(metric, value)`` from collapsed rows: every metric is a weighted sum."""
-    checked = ["class", *features[:NULL_CHECKED_FEATURES]]
+def quality_of_groups(
+    groups: DataFrame, features: Sequence[str], has_label: bool, null_checked: int | None = None
+) -> DataFrame:
+    """Long table ``(metric, value)`` from collapsed rows: every metric is a weighted sum.
+
+    Nulls are counted in the label, the time if there is one, and all features, or only the first
+    ``null_checked`` of them.
+    """
+    timed = [c for c in ("timestamp",) if c in groups.columns]
+    checked = ["class", *timed, *features[:null_checked]]
     copies = F.col(COPIES)
     totals = groups.agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("total_rows"),
@@ -38,9 +42,11 @@ def quality_of_groups(groups: DataFrame, features: Sequence[str], has_label: boo
     return totals.unpivot([], names, "metric", "value")
 
 
-def quality_report(df: DataFrame, features: Sequence[str], has_label: bool) -> DataFrame:
+def quality_report(
+    df: DataFrame, features: Sequence[str], has_label: bool, null_checked: int | None = None
+) -> DataFrame:
     """All quality metrics from one scan and one shuffle."""
-    return quality_of_groups(collapse_copies(df), features, has_label)
+    return quality_of_groups(collapse_copies(df), features, has_label, null_checked)
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:

@@ -62,7 +62,14 @@ def parse_timestamp(df: DataFrame, column: str = "timestamp", fmt: str | None =
 
 
 def timestamp_failures(df: DataFrame, column: str = "timestamp") -> DataFrame:
-    """Quality metric over the unparsed text: values that are present but unreadable."""
+    """Quality metric over the unparsed text: values that are present but unreadable.
+
+    A table without the column, or with times already typed, has none.
+    """
+    if column not in df.columns or not isinstance(df.schema[column].dataType, T.StringType):
+        return df.sparkSession.range(1).select(
+            F.lit(f"unparsed_{column}").alias("metric"), F.lit(0).cast("bigint").alias("value")
+        )
     broken = F.col(column).isNotNull() & F.try_to_timestamp(F.col(column).cast("string")).isNull()
     return df.agg(F.count_if(broken).alias("value")).select(
         F.lit(f"unparsed_{column}").alias("metric"), "value"

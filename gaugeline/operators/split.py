@@ -16,6 +16,7 @@ from gaugeline.operators.selection import quantile_values
 
 SEED = 42
 SPLITS = ("train", "validation", "test")
+UNTIMED = "untimed"
 FRACTIONS = (0.6, 0.2, 0.2)
 BOUNDARIES = (0.6, 0.8)
 
@@ -50,12 +51,12 @@ def time_boundaries(df: DataFrame, timestamp: str = "timestamp") -> list[float]:
 def temporal_split(
     df: DataFrame, timestamp: str = "timestamp", boundaries: Sequence[float] | None = None
 ) -> DataFrame:
-    """Adds ``split`` by time.  Rows without a time belong to no split and are dropped."""
+    """Adds ``split`` by time.  Rows without a time stay, as the split ``untimed``."""
     boundaries = list(boundaries or time_boundaries(df, timestamp))
     if len(boundaries) != 2:
         raise ValueError(f"no value in {timestamp!r} to split on")
-    timed = df.filter(F.col(timestamp).isNotNull())
-    return _with_split(timed, epoch_seconds(df, timestamp), boundaries, inclusive=True)
+    placed = _with_split(df, epoch_seconds(df, timestamp), boundaries, inclusive=True)
+    return placed.withColumn("split", F.coalesce("split", F.lit(UNTIMED)))
 
 
 def stratified_split(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from time import perf_counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +12,13 @@ from pyspark.sql import functions as F
 from gaugeline.functions import labels
 from gaugeline.operators import anomaly, evaluate, features, quality, reports, split, supervised
 from gaugeline.operators.enrich import enrich
-from gaugeline.operators.schema import ingest
+from gaugeline.operators.schema import ingest, sanitize_columns, timestamp_failures
 from gaugeline.operators.selection import join_groups
 from gaugeline.operators.stages import StageLog
 from gaugeline.plans import scaling
 from gaugeline.sources.reports import conform, write_report, write_stage_metrics
 from gaugeline.sources.telemetry import write_curated
-from gaugeline.sources.workspace import stage_table
+from gaugeline.sources.workspace import release_tables, stage_table
 
 KEY = "row_key"
 STAGE_NOTES = {
@@ -71,6 +73,7 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
     spark = raw.sparkSession
     log = StageLog()
     written: dict[str, str] = {}
+    staged: list[str] = []
 
     def report(name: str, frame: DataFrame) -> None:
         written[name] = write_report(conform(frame, name), out_dir, name)
@@ -79,14 +82,16 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
         ingested = ingest(raw)
         groups = log.run(
             "ingestion_validation",
-            lambda: stage_table(with_row_key(quality.collapse_copies(ingested.frame), ingested.frame.columns), "rows"),
+            lambda: stage_table(with_row_key(quality.collapse_copies(ingested.frame), ingested.frame.columns), "rows", staged),
             None,
             STAGE_NOTES["ingestion_validation"],
             count=lambda frame: frame.agg(F.sum(quality.COPIES)).first()[0] or 0,
         )
         report(
             "data_quality_report",
-            quality.quality_of_groups(groups, ingested.features, ingested.has_label),
+            quality.quality_of_groups(groups, ingested.features, ingested.has_label).union(
+                timestamp_failures(sanitize_columns(raw))
+            ),
         )
         clean = log.run(
             "basic_etl",
@@ -110,26 +115,27 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
 
         labelled = quality.has_ground_truth(clean)
 
-        def train_and_score() -> DataFrame:
-            forest = anomaly.fit_isolation_forest(parts.filter("split = 'train'"), columns, KEY)
-            forest.save(spark, f"{out_dir}/models/isolation_forest")
-            return stage_table(forest.score(parts), "scored")
-
+        started = perf_counter()
+        forest = anomaly.fit_isolation_forest(parts.filter("split = 'train'"), columns, KEY)
+        fit_seconds = round(perf_counter() - started, 4)
         scored = log.run(
-            "train_unsupervised", train_and_score, log.rows_of("data_split"),
+            "train_unsupervised", lambda: stage_table(forest.score(parts), "scored", staged), log.rows_of("data_split"),
             STAGE_NOTES["train_unsupervised"],
         )
         thresholds = anomaly.operating_points(scored.filter("split = 'train'"))
+        replace(forest, cuts=thresholds).save(spark, f"{out_dir}/models/isolation_forest")
         summary = metrics_table(scored, thresholds, labelled)
-        summary = stage_table(summary.coalesce(1), "summary")
+        summary = stage_table(summary.coalesce(1), "summary", staged)
         engine = summary.withColumns(
             {
                 "engine": F.lit("spark_isolation_forest"),
-                "runtime_seconds": F.lit(log.timings[-1][1]),
+                "runtime_seconds": F.lit(fit_seconds),
             }
         )
         if labelled:
-            judged = supervised.supervised_baselines(parts.filter("split = 'train'"), columns, KEY)
+            judged = supervised.supervised_baselines(
+                parts.filter("split = 'train'"), columns, KEY, f"{out_dir}/models"
+            )
             engine = engine.unionByName(judged, allowMissingColumns=True)
         report("model_metrics", engine)
         report("cv_results", anomaly.model_selection(summary, thresholds))
@@ -165,4 +171,5 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
         raise
     finally:
         report("pipeline_lineage", log.lineage_table(spark))
+        release_tables(spark, staged)
     return written

@@ -532,3 +532,77 @@ def repartition_group_count(spark, sf):
 )
 def salted_partition_count(spark, sf):
     return _per(split.salted_repartition(labelled(spark, sf), 8, "class", KEY), "class")
+
+
+_WIDE = [f"f{i:02d}" for i in range(1, 13)]
+
+
+@query(
+    "dq_report_wide",
+    "WITH raw AS (SELECT l_returnflag AS class, CASE WHEN l_linenumber <> 3 THEN l_shipdate END AS ts, l_quantity, "
+    "l_discount, l_linenumber FROM lineitem), "
+    "told AS (SELECT class, ts, l_quantity, l_discount, l_linenumber, count(*) AS n FROM raw GROUP BY ALL) "
+    + "SELECT metric, CAST(value AS BIGINT) AS value FROM ("
+    + union_all(
+        [
+            "SELECT 'ground_truth_label_available' AS metric, 1 AS value",
+            "SELECT 'total_rows', sum(n) FROM told",
+            "SELECT 'duplicate_rows', sum(n - 1) FROM told",
+            "SELECT 'null_class', 0",
+            "SELECT 'null_timestamp', coalesce(sum(n) FILTER (ts IS NULL), 0) FROM told",
+            *[f"SELECT 'null_{c}', 0" for c in _WIDE[:10]],
+            "SELECT 'null_f11', coalesce(sum(n) FILTER (l_linenumber = 2), 0) FROM told",
+            "SELECT 'null_f12', coalesce(sum(n) FILTER (l_discount = 0), 0) FROM told",
+        ]
+    )
+    + ")",
+)
+def dq_report_wide(spark, sf):
+    """Null counts of the time and of all of twelve features, the last two with nulls."""
+    quantity, line = F.col("l_quantity"), F.col("l_linenumber")
+    raw = lineitem(spark, sf).select(
+        F.col("l_returnflag").alias("class"),
+        F.when(line != 3, F.col("l_shipdate")).alias("timestamp"),
+        *[(quantity * i + line).alias(c) for i, c in enumerate(_WIDE[:10])],
+        F.when(line != 2, quantity).alias("f11"),
+        F.nullif("l_discount", F.lit(0.0)).alias("f12"),
+    )
+    return quality.quality_report(raw, schema.select_features(raw), has_label=True)
+
+
+@query(
+    "temporal_split_untimed",
+    over(
+        "labelled",
+        """SELECT CASE WHEN t IS NULL THEN 'untimed' WHEN t <= q60 THEN 'train' WHEN t <= q80 THEN 'validation'
+                       ELSE 'test' END AS split, count(*) AS row_count
+           FROM timed, (SELECT quantile_cont(t, 0.6) AS q60, quantile_cont(t, 0.8) AS q80 FROM timed) GROUP BY ALL""",
+        timed="""SELECT CASE WHEN lps = 0 THEN floor(epoch("timestamp")) END AS t FROM labelled""",
+    ),
+)
+def temporal_split_untimed(spark, sf):
+    """Rows without a time stay, in a split of their own."""
+    rows = labelled(spark, sf).withColumn("timestamp", F.when(F.col("lps") == 0, F.col("timestamp")))
+    return _per(split.temporal_split(rows), "split")
+
+
+@query(
+    "lowercase_columns",
+    "SELECT l_returnflag, sum(l_quantity) AS total, count(*) AS row_count FROM lineitem GROUP BY l_returnflag",
+)
+def lowercase_columns(spark, sf):
+    """Padded upper-case names become plain lower-case ones."""
+    raw = lineitem(spark, sf).select("l_returnflag", "l_quantity").toDF(" L_RETURNFLAG ", "L_Quantity")
+    lower = schema.lowercase_columns(raw)
+    return lower.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("total"), _count())
+
+
+@query(
+    "upsample",
+    """SELECT s_suppkey, CASE WHEN n >= 120 THEN 1 ELSE greatest(2, 120 // greatest(n, 1) + 1) END AS row_count
+       FROM supplier, (SELECT count(*) AS n FROM supplier)""",
+)
+def upsample(spark, sf):
+    """Copies of each row after a table of fewer than 120 rows was replicated."""
+    suppliers = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey")
+    return _per(split.upsample(suppliers), "s_suppkey")

@@ -125,18 +125,22 @@ def quantiles_exact(spark, sf):
     return spark.createDataFrame(found, "measure STRING, q60 DOUBLE, q80 DOUBLE")
 
 
-@query("quantiles_approx")
+@query(
+    "quantiles_approx",
+    "SELECT * FROM (VALUES (0.6::DOUBLE, true), (0.8::DOUBLE, true)) AS v(probability, rank_within_error)",
+)
 def quantiles_approx(spark, sf):
-    """Sketch boundaries of the time column, with the rank each of them really has."""
+    """Whether the sketch boundaries of the time column have their rank, to a thousandth of the rows."""
     rows = telemetry(spark, sf)
     seconds = rows.select(epoch_seconds(rows, "timestamp").alias("seconds"))
     cuts = split.approx_time_boundaries(rows)
     ranks = [
         F.struct(
             F.lit(p).alias("probability"),
-            F.lit(cut).alias("value"),
-            F.avg((F.col("seconds") < cut).cast("double")).alias("share_below"),
-            F.avg((F.col("seconds") <= cut).cast("double")).alias("share_up_to"),
+            (
+                (F.avg((F.col("seconds") < cut).cast("double")) <= p + 0.001)
+                & (F.avg((F.col("seconds") <= cut).cast("double")) >= p - 0.001)
+            ).alias("rank_within_error"),
         )
         for p, cut in zip(split.BOUNDARIES, cuts, strict=True)
     ]

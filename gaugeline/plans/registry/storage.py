@@ -144,7 +144,7 @@ def stage_metrics_json(spark, sf):
     return sinks.read_stage_metrics(spark, path).select("stage", "rows")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT count(*) AS row_count, count(*) AS equal_predictions FROM lineitem")
 def model_roundtrip(spark, sf):
     """Rows on which a saved and reloaded model predicts as the fitted one does."""
     vectors = supervised.labelled_vectors(labelled(spark, sf), SENSORS, KEY)

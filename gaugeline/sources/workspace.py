@@ -39,17 +39,29 @@ def new_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, purpose: str) -> DataFrame:
+def stage_table(df: DataFrame, purpose: str, paths: list[str] | None = None) -> DataFrame:
     """Write a stage to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read rather than a recompute,
-    and later column-pruned readers touch only what they need.
+    and later column-pruned readers touch only what they need.  The path is added to ``paths``,
+    for ``release_tables``.
     """
     path = new_path(df.sparkSession, purpose)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Empty the folders of staged tables that nothing reads any more.
+
+    Overwriting works on every store that Spark can write; a folder with an empty file is left.
+    """
+    for path in paths:
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that the table has at most ``max_rows`` rows.
 

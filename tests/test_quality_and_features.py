@@ -26,14 +26,16 @@ def test_quality_report_of_an_empty_table(spark):
     assert set(as_dict(quality.quality_report(df, ["x"], False)).values()) == {0}
 
 
-def test_quality_report_checks_ten_features_in_one_scan(spark, tmp_path):
+def test_quality_report_checks_all_features_in_one_scan(spark, tmp_path):
     columns = [f"s{i}" for i in range(12)]
     spark.range(10).select(F.lit("a").alias("class"), *[F.col("id").alias(c) for c in columns]).write.parquet(
         str(tmp_path / "t")
     )
     report = quality.quality_report(spark.read.parquet(str(tmp_path / "t")), columns, True)
-    assert report.count() == 3 + 1 + 10
+    assert report.count() == 3 + 1 + 12
     assert plan_of(report).count("FileScan") == 1
+    few = quality.quality_report(spark.read.parquet(str(tmp_path / "t")), columns, True, null_checked=10)
+    assert few.count() == 3 + 1 + 10
 
 
 def test_clean_rows_drops_copies_even_when_one_row_fills_most_of_the_table(spark):

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.plans.full_run import run_reports
+from gaugeline.operators.anomaly import OPERATING_POINTS, IsolationForest
+from gaugeline.operators.supervised import load_model
+from gaugeline.plans.registry import ORACLE_SQL, QUERIES
 from gaugeline.plans.telemetry import KEY, telemetry
 from gaugeline.sources import reports, telemetry as scans, workspace
 from tests.conftest import plan_of
@@ -86,12 +89,8 @@ def test_every_query_has_unique_columns_and_sql_where_it_can():
     import __spark_entry__ as entry
 
     queries, sql = entry.queries(), entry.oracle_sql()
-    without = set(queries) - set(sql)
     assert set(sql) <= set(queries)
-    assert without == {
-        "quantiles_approx", "isolation_forest_scores", "supervised_baselines", "train_lr", "train_rf",
-        "train_gbt", "cv_grid_search", "model_roundtrip",
-    }
+    assert set(ORACLE_SQL) == set(QUERIES) <= set(queries)
 
 
 @pytest.mark.parametrize("with_label", [True, False])
@@ -122,6 +121,34 @@ def test_full_run(spark, sf_dir, tmp_path, with_label):
         assert read["family_risk_distribution"].select("class").distinct().first()[0] == "unknown"
 
 
+def test_rows_without_a_readable_time_are_counted_and_scored(spark, sf_dir, tmp_path):
+    raw = telemetry(spark, sf_dir).drop(KEY)
+    broken = F.col("tp2") == 7
+    time = F.when(broken, F.lit("soon")).when(F.col("tp2") == 8, None).otherwise(F.col("timestamp").cast("string"))
+    raw = raw.withColumn("timestamp", time)
+    written = run_reports(raw, str(tmp_path))
+    read = {name: reports.read_report(spark, str(tmp_path), name) for name in written}
+    metrics = {r["metric"]: r["value"] for r in read["data_quality_report"].collect()}
+    unread, without = raw.filter(broken).count(), raw.filter("tp2 IN (7, 8)").count()
+    assert (metrics["unparsed_timestamp"], metrics["null_timestamp"]) == (unread, without)
+    untimed = read["anomaly_scores"].filter("split = 'untimed'").count()
+    assert untimed == 2 * (without - raw.filter("tp2 IN (7, 8)").exceptAll(raw.filter("tp2 IN (7, 8)").distinct()).count())
+    assert read["model_metrics"].filter("split = 'untimed'").count() == 2
+    assert read["model_metrics"].filter("runtime_seconds IS NULL").count() == 0
+    forest = IsolationForest.load(spark, str(tmp_path / "models" / "isolation_forest"))
+    assert set(forest.cuts) == set(OPERATING_POINTS)
+    for name in ("logistic_regression", "random_forest"):
+        load_model(str(tmp_path / "models" / name))
+
+
+def test_released_tables_hold_no_rows(spark):
+    paths = []
+    staged = workspace.stage_table(spark.range(10), "spare", paths)
+    assert staged.count() == 10
+    workspace.release_tables(spark, paths)
+    assert len(paths) == 1 and spark.read.parquet(paths[0]).count() == 0
+
+
 def test_failed_run_leaves_its_lineage(spark, tmp_path):
     raw = spark.createDataFrame([("x",)], "class string")
     with pytest.raises(ValueError):

@@ -38,7 +38,7 @@ def test_temporal_split_boundaries_and_null_times(spark):
     )
     done = split.temporal_split(df)
     counts = {r["split"]: r["count"] for r in done.groupBy("split").count().collect()}
-    assert counts == {"train": 60, "validation": 20, "test": 20}
+    assert counts == {"train": 60, "validation": 20, "test": 20, "untimed": 1}
     assert done.filter("split = 'train'").agg(F.max("id")).first()[0] == 59
     with pytest.raises(ValueError):
         split.temporal_split(df.filter("id = 100"))

@@ -137,12 +137,13 @@ def feature_influence(
 
 # P(Poisson(1) <= w) for w = 0..4; a draw above all of them weighs 5.
 POISSON_CDF = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015)
-WORDS_PER_DIGEST = 4
+WORDS_PER_DIGEST = 16
+WORD_DIGITS = 4
 
 
 def poisson_limits() -> list[str]:
-    """The same limits as 32-bit hex words, which compare like the numbers they spell."""
-    return [f"{int(p * keys.BUCKET_RANGE):08x}" for p in POISSON_CDF]
+    """The same limits as 16-bit hex words, which compare like the numbers they spell."""
+    return [f"{round(p * 16**WORD_DIGITS):0{WORD_DIGITS}x}" for p in POISSON_CDF]
 
 
 def bootstrap_intervals(
@@ -156,8 +157,8 @@ def bootstrap_intervals(
     """95 % intervals of the means of ``metrics`` by the Poisson bootstrap.
 
     Each row weighs Poisson(1) in every replicate, drawn from the row key, so replicates need
-    no resampling shuffle: they are weighted sums, combined map-side.  One digest serves four
-    replicates.
+    no resampling shuffle: they are weighted sums, combined map-side.  One digest serves
+    sixteen replicates.
     """
     by, names = list(by), list(metrics)
     blocks = -(-iterations // WORDS_PER_DIGEST)
@@ -166,10 +167,10 @@ def bootstrap_intervals(
         F.col(key).alias("_key"),
         *[m.cast("double").alias(f"_m{i}") for i, m in enumerate(metrics.values())],
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-    ).withColumn("_digest", keys.digest("_key", seed, F.col("_block").cast("string")))
+    ).withColumn("_digest", keys.wide_digest("_key", seed, F.col("_block").cast("string")))
 
     def weight(word: int) -> Column:
-        drawn = F.substring("_digest", 1 + 8 * word, 8)
+        drawn = F.substring("_digest", 1 + WORD_DIGITS * word, WORD_DIGITS)
         chain = F
         for value, limit in enumerate(poisson_limits()):
             chain = chain.when(drawn < limit, value)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions import numeric
+from gaugeline.operators.anomaly import anomaly_flag
 from gaugeline.sources.workspace import pin_if_small
 
 # Texts of the business tables, and the rate from which staffing is advised.
@@ -170,8 +171,13 @@ def fixed_lod(df: DataFrame, dimension: str, aggregate: Column, output: str) ->
     return df.alias("l").join(fixed.alias("r"), same, "left").select("l.*", f"r.{output}")
 
 
-def score_histogram(scored: DataFrame, bins: int = 20, score: str = "anomaly_score") -> DataFrame:
-    """Rows per algorithm and fixed-width bin between the lowest and highest score."""
+def score_histogram(
+    scored: DataFrame, algorithms: Sequence[str], bins: int = 20, score: str = "anomaly_score"
+) -> DataFrame:
+    """Rows per algorithm and fixed-width bin between the lowest and highest score.
+
+    The algorithms share the scores, so rows are counted once and the few bins repeated.
+    """
     edges = scored.agg(F.min(score).alias("low"), F.max(score).alias("high")).first()
     if edges["low"] is None:
         low, width = 0.0, 1.0
@@ -180,19 +186,31 @@ def score_histogram(scored: DataFrame, bins: int = 20, score: str = "anomaly_sco
     number = F.least(F.floor((F.col(score) - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     return (
         scored.filter(F.col(score).isNotNull())
-        .groupBy("algorithm", number.alias("bin"))
+        .groupBy(number.alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("algorithm", F.explode(F.array(*[F.lit(a) for a in algorithms])))
         .withColumn("bin_start", F.round(F.lit(low) + F.col("bin") * F.lit(width), 6))
     )
 
 
 def score_trend(
-    scored: DataFrame, unit: str = "month", timestamp: str = "timestamp", score: str = "anomaly_score"
+    scored: DataFrame,
+    thresholds: dict[str, float],
+    unit: str = "month",
+    timestamp: str = "timestamp",
+    score: str = "anomaly_score",
 ) -> DataFrame:
-    """Mean score and flagged rows per algorithm and period."""
-    period = F.date_format(F.date_trunc(unit, timestamp), "yyyy-MM-dd HH:mm:ss")
-    return scored.groupBy("algorithm", period.alias("period")).agg(
+    """Mean score and flagged rows per algorithm and period.
+
+    One aggregate per period with a flag sum per operating point; only its result is unfolded.
+    """
+    cuts = list(thresholds.items())
+    periods = scored.groupBy(F.date_trunc(unit, timestamp).alias("_start")).agg(
         F.round(F.avg(score), 6).alias("mean_score"),
-        F.sum("anomaly_flag").alias("flagged"),
         F.count(F.lit(1)).alias("row_count"),
+        *[F.sum(anomaly_flag(score, cut)).alias(f"_n{i}") for i, (_, cut) in enumerate(cuts)],
+    )
+    flagged = [F.struct(F.lit(a).alias("algorithm"), F.col(f"_n{i}").alias("flagged")) for i, (a, _) in enumerate(cuts)]
+    return periods.select(
+        F.date_format("_start", "yyyy-MM-dd HH:mm:ss").alias("period"), "mean_score", "row_count", F.inline(F.array(*flagged))
     )

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.operators import quality, reports
+from gaugeline.operators.anomaly import OPERATING_POINTS
 from gaugeline.operators.enrich import enrich
 from gaugeline.plans.registry.base import over, query
 from gaugeline.plans.registry.statistics import (
     INFLUENCE_SQL,
     _influence,
-    flagged_rows,
+    scored_rows,
     summary_table,
+    thresholds_of,
 )
 from gaugeline.plans.telemetry import labelled, lineitem
 
@@ -219,7 +221,7 @@ def report_fixed_lod(spark, sf):
     ),
 )
 def report_score_histogram(spark, sf):
-    return reports.score_histogram(flagged_rows(spark, sf))
+    return reports.score_histogram(scored_rows(spark, sf), list(OPERATING_POINTS))
 
 
 @query(
@@ -232,4 +234,5 @@ def report_score_histogram(spark, sf):
     ),
 )
 def report_score_trend(spark, sf):
-    return reports.score_trend(flagged_rows(spark, sf))
+    scored = scored_rows(spark, sf)
+    return reports.score_trend(scored, thresholds_of(scored))

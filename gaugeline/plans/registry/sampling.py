@@ -145,7 +145,7 @@ _WEIGHT = "CASE " + " ".join(
                                unnest(['flag_rate', 'mean_tp2']) AS metric FROM drawn)
                   GROUP BY ALL)
             GROUP BY ALL""",
-        drawn=f"""SELECT *, substr(md5(row_key || '|42|' || (b // 4)), 1 + 8 * (b % 4), 8) AS drawn
+        drawn=f"""SELECT *, substr(sha256(row_key || '|42|' || (b // 16)), 1 + 4 * (b % 16), 4) AS drawn
                   FROM (SELECT *, CASE WHEN tp3 >= 60000.0 THEN 1 ELSE 0 END AS flag FROM labelled)
                        CROSS JOIN (SELECT unnest(range({_ITERATIONS})) AS b)""",
     ),

@@ -167,7 +167,7 @@ def test_dashboard_operators(spark):
 
 def test_histogram_keeps_every_row(spark):
     df, _, _ = scored(spark)
-    bins = reports.score_histogram(df.withColumn("algorithm", F.lit("a")), 10)
+    bins = reports.score_histogram(df, ["a"], 10)
     assert bins.agg(F.sum("row_count"), F.min("bin"), F.max("bin")).first()[0:3] == (400, 0, 9)
-    flat = reports.score_histogram(df.select(F.lit("a").alias("algorithm"), F.lit(1.0).alias("anomaly_score")), 10)
+    flat = reports.score_histogram(df.select(F.lit(1.0).alias("anomaly_score")), ["a"], 10)
     assert [(r["bin"], r["row_count"]) for r in flat.collect()] == [(0, 400)]

@@ -25,12 +25,6 @@ def digest(key: Column | str, *salts: object) -> Column:
     return F.md5(F.concat_ws("|", *parts) if salts else key)
 
 
-def wide_digest(key: Column | str, *salts: object) -> Column:
-    """Hex sha256 of the key joined with the salts: sixteen words of four digits."""
-    key = F.col(key) if isinstance(key, str) else key
-    return F.sha2(F.concat_ws("|", key, *[s if isinstance(s, Column) else F.lit(str(s)) for s in salts]), 256)
-
-
 def digest_word(hex_digest: Column, word: int = 0) -> Column:
     """One of the four 32-bit words of a hex md5 as a bigint in [0, 2^32)."""
     return F.conv(F.substring(hex_digest, 1 + 8 * word, 8), 16, 10).cast("bigint")

@@ -7,7 +7,8 @@ equal windows have equal anchors.  Neighbouring windows with one anchor form a r
 one run for about sixteen bytes.
 
 1. Documents are gathered into compressed buffers.  A buffer's distinct runs (hashes of the anchor
-   and of the run) go to tasks by anchor, which answer for each run: nothing like it elsewhere;
+   and of the run) go to parts by anchor (one for each PART_BYTES of text, so a part fits in memory
+   at any size), which answer for each run: nothing like it elsewhere;
    an earlier document has the whole run; or other runs of this anchor exist in other documents.
 2. Only runs of the last kind, the edges of repeated passages, send their bytes.  Within an anchor
    the suffixes at all windows are sorted, ties by document.  As matches count from MATCH bytes on,
@@ -48,10 +49,12 @@ BUFFER_DOCS = 60_000
 LOCAL_RUNS, ALL_RUNS = 64, 2_000
 #: Runs whose suffixes a task sorts together.
 SORT_RUNS = 20_000
+#: Text whose runs one part of step 1 holds; a task works through any number of parts.
+PART_BYTES = 64 << 20
 PLAIN, APART, MARK = 0, 1, 2
 UNIQUE, COVERED, EDGE, EDGE_APART = 0, 1, 2, 3
 NO_ID = np.iinfo(np.int64).max
-ENTRY_BYTES = 15
+ENTRY_BYTES = 21
 U = np.uint64
 _RNG = np.random.default_rng(50)
 _GRAM_OF_BYTE, _RUN_OF_BYTE = (_RNG.integers(1, 1 << 64, 256, dtype=U) for _ in range(2))
@@ -152,7 +155,7 @@ class Entries:
         self.anchor = np.concatenate([a, a[marks]])
         self.run = np.concatenate([r, r[marks]])
         self.kind = np.concatenate([kind, np.full(len(marks), MARK, np.uint8)])
-        self.doc = np.concatenate([runs.doc[lead], runs.doc[lead][marks]]).astype(np.uint16)
+        self.order = np.concatenate([order[lead], order[lead][marks]])
         part = (np.where(self.kind == APART, self.run, self.anchor) % U(parts)).astype(np.int64)
         self.by_part = np.argsort(part, kind="stable")
         self.cuts = np.searchsorted(part[self.by_part], np.arange(parts + 1))
@@ -162,8 +165,8 @@ class Entries:
         out = np.empty((len(at), ENTRY_BYTES), np.uint8)
         out[:, :6] = self.anchor[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         out[:, 6:12] = self.run[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        out[:, 12:14] = self.doc[at].astype("<u2").view(np.uint8).reshape(-1, 2)
-        out[:, 14] = self.kind[at]
+        out[:, 12:20] = self.order[at].astype("<i8").view(np.uint8).reshape(-1, 8)
+        out[:, 20] = self.kind[at]
         return out.tobytes()
 
 
@@ -172,7 +175,7 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
     wide = np.zeros((2, len(rows), 8), np.uint8)
     wide[0, :, :6], wide[1, :, :6] = rows[:, :6], rows[:, 6:12]
     anchor, run = wide.view("<u8").reshape(2, -1)
-    return anchor, run, np.ascontiguousarray(rows[:, 12:14]).view("<u2").ravel(), rows[:, 14]
+    return anchor, run, np.ascontiguousarray(rows[:, 12:20]).view("<i8").ravel(), rows[:, 20]
 
 
 def answers(anchor: np.ndarray, run: np.ndarray, order: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -295,10 +298,9 @@ def _questions(parts: int):
                     [
                         pa.array(used, pa.int32()),
                         pa.array([row["buffer"]] * len(used), pa.int64()),
-                        pa.array([row["ids"]] * len(used), pa.binary()),
                         pa.array([entries.packed(p) for p in used], pa.binary()),
                     ],
-                    ["part", "buffer", "ids", "entries"],
+                    ["part", "buffer", "entries"],
                 )
 
     return run
@@ -310,9 +312,8 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch:
         opened = [_unpacked(r["entries"]) for r in held]
-        order = [np.frombuffer(r["ids"], np.int64)[o[2]] for r, o in zip(held, opened, strict=True)]
-        code = answers(*(np.concatenate(x) for x in ([o[0] for o in opened], [o[1] for o in opened], order, [o[3] for o in opened])))
-        ends = np.cumsum([len(o) for o in order])
+        code = answers(*(np.concatenate(x) for x in zip(*opened, strict=True)))
+        ends = np.cumsum([len(o[0]) for o in opened])
         codes = [c.tobytes() for c in np.split(code, ends[:-1])]
         return pa.RecordBatch.from_arrays(
             [pa.array([r["buffer"] for r in held], pa.int64()), pa.array([r["part"] for r in held], pa.int32()), pa.array(codes, pa.binary())],
@@ -481,18 +482,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``kept_text`` leaves out characters of which only some bytes were removed.
     """
-    parts = partitions_of(docs.sparkSession)
+    tasks = partitions_of(docs.sparkSession)
     narrow = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_or_empty(f"`{text}`").cast("binary").alias("body")
     )
     buffers = stage_table(_buffers(narrow), "buffers")
-    asked = buffers.mapInArrow(_questions(parts), "part int, buffer long, ids binary, entries binary")
-    told = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answered, "buffer long, part int, codes binary")
+    parts = max(tasks, -(-(buffers.agg(F.sum("size")).first()[0] or 0) // PART_BYTES))
+    asked = buffers.mapInArrow(_questions(parts), "part int, buffer long, entries binary")
+    told = asked.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_answered, "buffer long, part int, codes binary")
     told = stage_table(told, "answers")
     schema = "buffer long, key long, order long, doc long, start long, windows long, bytes binary, spans binary"
     found = buffers.groupBy("buffer").cogroup(told.groupBy("buffer")).applyInArrow(_edges(parts), schema)
     found = stage_table(found, "edges")
-    edges = found.filter("bytes IS NOT NULL").drop("spans").repartition(parts, "key").sortWithinPartitions("key")
+    edges = found.filter("bytes IS NOT NULL").drop("spans").repartition(tasks, "key").sortWithinPartitions("key")
     spans = found.filter("spans IS NOT NULL").select("buffer", "spans").union(edges.mapInArrow(_matched, "buffer long, spans binary"))
     spans = stage_table(spans, "spans")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, kept_text string" * keep_bytes

@@ -41,6 +41,7 @@ def test_shared_passages(spark, monkeypatch, small):
     """Passages at all offsets, exactly at and just under the match length, periodic texts and zero bytes."""
     if small:
         monkeypatch.setattr(suffix_dedup, "BUFFER_BYTES", 700)
+        monkeypatch.setattr(suffix_dedup, "PART_BYTES", 2_000)
         monkeypatch.setattr(suffix_dedup, "LOCAL_RUNS", 2)
         monkeypatch.setattr(suffix_dedup, "ALL_RUNS", 5)
         monkeypatch.setattr(suffix_dedup, "SORT_RUNS", 16)

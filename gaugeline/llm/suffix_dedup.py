@@ -7,9 +7,9 @@ equal windows have equal anchors.  Neighbouring windows with one anchor form a r
 one run for about sixteen bytes.
 
 1. Documents are gathered into compressed buffers.  A buffer's distinct runs (hashes of the anchor
-   and of the run) go to parts by anchor (one for each PART_BYTES of text, so a part fits in memory
-   at any size), which answer for each run: nothing like it elsewhere;
-   an earlier document has the whole run; or other runs of this anchor exist in other documents.
+   and of the run) go to parts by anchor (one for each PART_BYTES of text; a task holds one part at
+   a time), which answer for each run: nothing like it elsewhere; an earlier document has the whole
+   run; or other runs of this anchor exist in other documents.
 2. Only runs of the last kind, the edges of repeated passages, send their bytes.  Within an anchor
    the suffixes at all windows are sorted, ties by document.  As matches count from MATCH bytes on,
    suffixes are compared that far: the longest previous factor of a suffix reaches MATCH exactly if

@@ -45,7 +45,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret replaced by a mark; all documents stay."""
-    found = secrets.scan(docs, secrets.train(secrets.corpus_samples(docs)), out="_secrets")
+    found = secrets.scan(docs, secrets.train(secrets.training_samples(docs)), out="_secrets")
     return _with_text(found, docs, secrets.redacted(text_or_empty("text"), F.col("_secrets"), SECRET_MARK))
 
 

@@ -64,7 +64,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, secrets.train(secrets.corpus_samples(docs))).select("doc_id", "secrets")
+    found = secrets.scan(docs, secrets.train(secrets.training_samples(docs))).select("doc_id", "secrets")
     of_kind = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
     base = F.filter("secrets", lambda s: s["kind"] < 3)
     return found.select(

@@ -7,6 +7,9 @@ The method's own spans are long runs of token characters that no base span touch
 first-order character models, of random strings and of ordinary identifiers, are trained from
 labelled samples; a run is a secret if the mean log-likelihood ratio of its character pairs is above
 a threshold.  The models are two tables of character pairs, so they have one size for any corpus.
+Samples hold the whole alphabet of the runs: the corpus's own, and fixed ones, as a corpus may hold
+few dates, paths, rulers or keys.  UUIDs and runs of one repeated character are never secrets of
+this kind.
 
 A null text counts as empty and has no spans.  Documents are scanned in the task that read them, so
 repeated rows and skew need no care; input columns are kept, and one with the name of the result is
@@ -16,6 +19,7 @@ replaced; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +39,23 @@ CANDIDATE_CHARS = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_CHARS
 #: Ordinary identifiers and words, as samples of that label.
 ORDINARY = r"[A-Za-z][A-Za-z_]{3,}"
+#: Runs of token characters as ordinary samples; those long enough to be candidates only in an ordinary
+#: shape (words, numbers and words with numbers between marks, or marks alone), as others may be secrets.
+RUN = r"[A-Za-z0-9+/_=-]{4,}"
+PIECE = r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*[0-9]*|[A-Z]+[0-9]*|[0-9]+(?:[a-zA-Z]{1,2}[0-9]*)?)"
+ORDINARY_SHAPE = rf"^[+/_=-]*(?:{PIECE}(?:[+/_=-]+{PIECE})*[+/_=-]*)?$"
+REPEATED = r"^(.)\1*$"
+UUID = r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+#: Fixed samples of each label.
+FIXED_SAMPLES = 8_000
+FIXED_WORDS = (
+    "access admin alpha api app archive assets auth backup base beta bin build cache client cloud code common config content core "
+    "count data date default demo dev dist docs document download error event example export file final folder group home image "
+    "import index info input item job key lang lib list local log main manager master message model module name network node "
+    "number object order output package page parent path process product project public query release report request response "
+    "result root sample schema script section server service session share site source src stage start state storage system "
+    "table task template test text time tmp token type update upload user usr util value var version video view web worker"
+).split()
 #: Documents whose strings train the models, those with the least hashes of their ids.
 TRAINING_DOCS = 20_000
 THRESHOLD = 0.5
@@ -134,6 +155,62 @@ def corpus_samples(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ).distinct()
 
 
+def ordinary_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_docs: int = TRAINING_DOCS) -> DataFrame:
+    """Runs of the candidates' whole alphabet outside base spans, labelled 0, of the same documents as ``corpus_samples``."""
+    chosen = docs.select(F.col(f"`{doc_id}`").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
+    # At most ``most_docs`` ids.
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(f"`{text}`").alias("text")).join(F.broadcast(chosen), "doc_id", "left_semi")
+    outside = let(base_spans(F.col("text")), lambda spans: redacted(F.col("text"), spans, " "))
+    runs = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(outside, F.lit(RUN), 0))).alias("token"))
+    short = F.char_length("token") < CANDIDATE_CHARS
+    usual = (short | F.col("token").rlike(ORDINARY_SHAPE)) & ~F.col("token").rlike(REPEATED)
+    return runs.filter(usual).select("token", F.lit(0).alias("label")).distinct()
+
+
+def fixed_strings() -> list[tuple[str, int]]:
+    """Strings of both labels, the same in every run: identifiers, paths, dates, numbers and rulers; keys in usual encodings."""
+    rng = random.Random(7)
+    word = lambda: rng.choice((str.lower, str.lower, str.lower, str.title, str.upper))(rng.choice(FIXED_WORDS))
+    digits = lambda least, most: "".join(rng.choices("0123456789", k=rng.randint(least, most)))
+    piece = lambda: rng.choice((word, word, word, lambda: word() + digits(1, 4), lambda: digits(1, 4)))()
+
+    def name() -> str:
+        mark = rng.choice("-_/+=-_/")
+        return mark.join(piece() for _ in range(rng.randint(2, 7)))
+
+    def date() -> str:
+        mark = rng.choice(("-", "/", "_", ""))
+        day = mark.join((f"{rng.randint(1970, 2069)}", f"{rng.randint(1, 12):02d}", f"{rng.randint(1, 28):02d}"))
+        hour = rng.choice(("-", "_", "")).join(f"{rng.randrange(60):02d}" for _ in range(3))
+        return rng.choice((day, f"{day}T{hour}", f"{day}T{hour}Z", f"{day}_{hour}-{word()}", f"{word()}-{day}", f"{day}/{name()}"))
+
+    def number() -> str:
+        up = "01234567890123456789"
+        return rng.choice((digits(8, 40), up[rng.randint(0, 9) :] + up, "-".join(digits(1, 6) for _ in range(rng.randint(2, 8)))))
+
+    def ruler() -> str:
+        edge, fill = rng.choice("+-=_/"), rng.choice("-=_+/")
+        return edge + edge.join(fill * rng.randint(1, 16) for _ in range(rng.randint(2, 8))) + edge
+
+    def camel() -> str:
+        return "".join(rng.choice(FIXED_WORDS).title() for _ in range(rng.randint(2, 5))) + rng.choice(("", digits(1, 4)))
+
+    alphabets = (ALPHABET[:62], ALPHABET[:62], ALPHABET[:64], ALPHABET[:62] + "_-", "0123456789ABCDEF", ALPHABET[26:52] + "234567")
+    usual = [rng.choice((name, name, date, number, ruler, camel))() for _ in range(FIXED_SAMPLES)]
+    keys = ["".join(rng.choices(rng.choice(alphabets), k=rng.randint(20, 44))) for _ in range(FIXED_SAMPLES)]
+    return [(t, 0) for t in usual] + [(t, 1) for t in keys]
+
+
+def training_samples(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_docs: int = TRAINING_DOCS) -> DataFrame:
+    """Labelled strings over the whole alphabet: the corpus's values, words and runs, and the fixed strings."""
+    both = corpus_samples(docs, doc_id, text, most_docs).union(ordinary_runs(docs, doc_id, text, most_docs))
+    strings = fixed_strings()
+    for label in (0, 1):
+        listed = F.split(F.lit(" ".join(t for t, of in strings if of == label)), " ")
+        both = both.union(docs.sparkSession.range(1).select(F.explode(listed).alias("token"), F.lit(label).alias("label")))
+    return both.distinct()
+
+
 def scan(docs: DataFrame, model: PairModel, text: str = "text", out: str = "secrets", threshold: float = THRESHOLD) -> DataFrame:
     """Adds all spans, sorted by start and kind: (start, kind, stop, text); kinds as in ``KINDS``."""
     body = text_or_empty(f"`{text}`")
@@ -141,7 +218,8 @@ def scan(docs: DataFrame, model: PairModel, text: str = "text", out: str = "secr
     def joined(found: Column) -> Column:
         base, runs = found["base"], found["runs"]
         apart = lambda m: ~F.exists(base, lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"]))
-        extra = F.filter(runs, lambda m: apart(m) & (model.mean_ratio(m["text"]) > threshold))
+        usual = lambda m: m["text"].rlike(REPEATED) | m["text"].rlike(UUID)
+        extra = F.filter(runs, lambda m: apart(m) & ~usual(m) & (model.mean_ratio(m["text"]) > threshold))
         return F.when(F.size(runs) == 0, base).otherwise(F.array_sort(F.concat(base, extra)))
 
     found = F.struct(base_spans(body).alias("base"), _matches(body, CANDIDATE, 3).alias("runs"))

@@ -108,3 +108,38 @@ def test_held_out_accuracy(spark):
     held = spark.createDataFrame([(w, 0) for w in words[1000:] if len(w) >= 20] + [(k, 1) for k in keys[200:]], "token string, label int")
     right = held.filter((model.mean_ratio(F.col("token")) > secrets.THRESHOLD).cast("int") == F.col("label")).count()
     assert right >= 0.98 * held.count()
+
+
+ORDINARY = [
+    "-" * 32,
+    "=" * 32,
+    "_" * 20,
+    "+-----------+----------+",
+    "=-=-=-=-=-=-=-=-=-=-=-=",
+    "12345678901234567890",
+    "2024-01-15T12-30-45-backup",
+    "550e8400-e29b-41d4-a716-446655440000",
+    "/usr/local/lib/python3/site-packages",
+    "release_2023_11_04/build-1187/output",
+    "some_snake_case_function_name_v2",
+    "MAX_CONNECTIONS_PER_HOST",
+    "4111-1111-1111-1111-1234",
+    "getUserAccountByIdentifier2",
+]
+RANDOM = ["Zx9Qw7Lk2Pv5Rt8Yb3Nm6", "dGhpc0lzQVNlY3JldEtleTEyMzQ1Njc4OTA=", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "kJ8/vT+q2Zr0Wm5yLx1Pb7NcHd4Gs9Fu"]
+
+
+def test_ordinary_strings_of_the_whole_alphabet(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    for corpus in (docs, docs.limit(0)):
+        model = secrets.train(secrets.training_samples(corpus))
+        rows = secrets.scan(spark.createDataFrame([(t,) for t in ORDINARY + RANDOM], "text string"), model).collect()
+        ratios = {t: model.mean_ratio(F.lit(t)) for t in ORDINARY + RANDOM}
+        seen = {t: round(v, 2) for t, v in zip(ratios, spark.range(1).select(*ratios.values()).first(), strict=True)}
+        assert {r.text for r in rows if r.secrets} == set(RANDOM), seen
+
+
+def test_ordinary_runs(spark):
+    text = "build-2024 ---- 2024-01-15T12-30-45-backup Zx9Qw7Lk2Pv5Rt8Yb3Nm6 token=abcdefgh12345 +---+--+ a1 " + "=" * 30
+    found = {(r.token, r.label) for r in secrets.ordinary_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()}
+    assert found == {("build-2024", 0), ("2024-01-15T12-30-45-backup", 0), ("+---+--+", 0)}

@@ -7,6 +7,11 @@ rarest possible one.  Most lines cannot reach the cosine: templates' commonest w
 too little of any template, so a line needs one of the other words (a prefix filter that loses
 nothing), and a text without any is not cut into lines at all.
 
+Whole licence texts and whole standard headers are templates too: a file is compared with them as a
+whole if it has no more words, else by every window of as many words, and one with a cosine of at
+least ``MIN_LONG_COSINE`` goes before any notice, so licences with a common opening are told apart.
+A title speaks only as a line or paragraph that holds all its words.
+
 A document's own licence is that of its best notice.  A licence file (by name) also speaks for its
 directory and all below.  Documents without a notice inherit from the nearest ancestor directory
 that has a licence file: distinct directories are joined with their ancestors' licences, and
@@ -25,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,13 +42,14 @@ from gaugeline.sources.workspace import broadcast_if_small, stage_table
 MIN_COSINE = 0.6
 LICENSE_FILE = r"(?i)^(license|licence|copying|notice)([.-].*)?$"
 WORDS = re.compile(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
-#: Short notices of public licences, and their first sentences (fixed values).
+#: Whole texts and headers share most of their words with those of other licences.
+MIN_LONG_COSINE = 0.8
+#: Short notices of public licences, and first sentences that no other licence has (fixed values).
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -50,7 +57,6 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -58,6 +64,61 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved. No part may be reproduced without written permission."),
 )
 
+TITLES = (
+    ("AGPL-3.0", "GNU Affero General Public License Version 3"),
+    ("Apache-2.0", "Apache License"),
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU General Public License Version 2"),
+    ("GPL-3.0", "GNU General Public License Version 3"),
+    ("ISC", "ISC License"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3"),
+    ("MIT", "MIT License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+)
+
+
+def _gnu_headers() -> list[tuple[str, str]]:
+    """The standard headers of the GNU licences, whole and their first paragraphs only."""
+    found = []
+    for name, work, title, version, mark in (
+        ("AGPL-3.0", "program", "GNU Affero General Public License", "3", ":"),
+        ("GPL-2.0", "program", "GNU General Public License", "2", ";"),
+        ("GPL-3.0", "program", "GNU General Public License", "3", ":"),
+        ("LGPL-2.1", "library", "GNU Lesser General Public License", "2.1", ";"),
+        ("LGPL-3.0", "program", "GNU Lesser General Public License", "3", ":"),
+    ):
+        first = (
+            f"This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the {title} as published by"
+            f" the Free Software Foundation{',' if mark == ':' else ';'} either version {version} of the License, or (at your option) any later version."
+        )
+        rest = (
+            f" This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+            f" MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {title} for more details. You should have received a copy of the"
+            f" {title} along with this {work}. If not, see <https://www.gnu.org/licenses/>."
+        )
+        found += [(name, first), (name, first + rest)]
+    return found
+
+
+def long_templates() -> tuple[tuple[str, str], ...]:
+    """Whole licence texts, beside this module, and whole headers."""
+    texts = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    apache = (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may'
+        " obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,"
+        ' software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express'
+        " or implied. See the License for the specific language governing permissions and limitations under the License."
+    )
+    mozilla = (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this"
+        " file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    )
+    return (*((t.stem, t.read_text()) for t in texts), *_gnu_headers(), ("Apache-2.0", apache), ("MPL-2.0", mozilla))
+
 
 def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
@@ -77,12 +138,13 @@ def segments(text: str) -> list[str]:
 class Matcher:
     """Templates as unit vectors under the corpus's document frequencies."""
 
-    def __init__(self, templates: tuple[tuple[str, str], ...], documents: int, frequency: dict[str, int], min_cosine: float):
+    def __init__(self, templates: tuple[tuple[str, str], ...], documents: int, frequency: dict[str, int], min_cosine: float, titles=()):
         self.min_cosine = min_cosine
         self.rarest = math.log(1 + documents) + 1
         self.idf = {w: math.log((1 + documents) / (1 + n)) + 1 for w, n in frequency.items()}
-        self.names = [name for name, _ in templates]
-        self.vectors = [self._unit(Counter(words_of(text))) for _, text in templates]
+        self.names = [name for name, _ in (*templates, *titles)]
+        self.vectors = [self._unit(Counter(words_of(text))) for _, text in (*templates, *titles)]
+        self.first_title = len(templates)
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for i, vector in enumerate(self.vectors):
             for word, weight in vector.items():
@@ -97,13 +159,15 @@ class Matcher:
     def needed(self) -> frozenset[str]:
         """Words of which a matching segment has one: the others carry less than the cosine of any template."""
         carried = [0.0] * len(self.vectors)
-        needed = set(self.postings)
+        needed = {w for v in self.vectors[: self.first_title] for w in v}
         for word in sorted(self.postings, key=lambda w: (self.idf.get(w, self.rarest), w)):
-            if all(carried[i] + x * x < self.min_cosine**2 * 0.999 for i, x in self.postings[word]):
+            notices = [(i, x) for i, x in self.postings[word] if i < self.first_title]
+            if all(carried[i] + x * x < self.min_cosine**2 * 0.999 for i, x in notices):
                 needed.discard(word)
-                for i, x in self.postings[word]:
+                for i, x in notices:
                     carried[i] += x * x
-        return frozenset(needed)
+        # A title needs all its words, so the rarest will do.
+        return frozenset(needed.union(max(v, key=lambda w: (self.idf.get(w, self.rarest), w)) for v in self.vectors[self.first_title :]))
 
     def best(self, text: str) -> tuple[str | None, float | None]:
         """The licence of the best notice in the text, and its cosine."""
@@ -118,13 +182,59 @@ class Matcher:
             for word, weight in self._unit(counts).items():
                 for i, x in self.postings.get(word, ()):
                     cosine[i] += weight * x
-            for name, c in zip(self.names, cosine, strict=True):
+            for i, (name, c) in enumerate(zip(self.names, cosine, strict=True)):
                 c = round(c, 9)
+                if i >= self.first_title and not counts.keys() >= self.vectors[i].keys():
+                    continue
                 if c >= self.min_cosine and (found is None or (-c, name) < (-found[0], found[1])):
                     found = (c, name)
         return (found[1], found[0]) if found else (None, None)
 
 
+class LongMatcher(Matcher):
+    """Long templates, found as whole texts or as windows of their length."""
+
+    def __init__(self, templates: tuple[tuple[str, str], ...], documents: int, frequency: dict[str, int], min_cosine: float):
+        super().__init__(templates, documents, frequency, min_cosine)
+        self.lengths = [len(words_of(text)) for _, text in templates]
+
+    def best(self, text: str) -> tuple[str | None, float | None]:
+        words = words_of(text)
+        if self.needed.isdisjoint(words):
+            return None, None
+        # No window has a higher cosine than the share of the template that its words carry.
+        carried = [0.0] * len(self.vectors)
+        for word in set(words):
+            for i, x in self.postings.get(word, ()):
+                carried[i] += x * x
+        found = [
+            (-c, self.names[i])
+            for i, share in enumerate(carried)
+            if share >= self.min_cosine**2 * 0.999 and (c := round(self._best_window(words, i), 9)) >= self.min_cosine
+        ]
+        return (min(found)[1], -min(found)[0]) if found else (None, None)
+
+    def _best_window(self, words: list[str], i: int) -> float:
+        """The highest cosine of windows, with products and squares kept while the window moves."""
+        vector, length = self.vectors[i], self.lengths[i]
+        counts: Counter = Counter()
+        product = square = best = 0.0
+        for place, word in enumerate(words):
+            weight = self.idf.get(word, self.rarest)
+            square += (2 * counts[word] + 1) * weight * weight
+            product += weight * vector.get(word, 0.0)
+            counts[word] += 1
+            if place >= length:
+                left = words[place - length]
+                weight = self.idf.get(left, self.rarest)
+                square -= (2 * counts[left] - 1) * weight * weight
+                product -= weight * vector.get(left, 0.0)
+                counts[left] -= 1
+            if (place >= length - 1 or place == len(words) - 1) and product > best * math.sqrt(square):
+                best = product / math.sqrt(square)
+        return best
+
+
 def document_frequencies(docs: DataFrame, vocabulary: frozenset[str], text: str = "text") -> tuple[int, dict[str, int]]:
     """Documents, and documents with each word of a vocabulary, over the whole corpus."""
 
@@ -143,9 +253,19 @@ def document_frequencies(docs: DataFrame, vocabulary: frozenset[str], text: str
 
 def own_licenses(docs: DataFrame, doc_id: str, path: str, text: str, min_cosine: float = MIN_COSINE, templates=TEMPLATES) -> DataFrame:
     """(doc_id, path, own_license, cosine)."""
-    vocabulary = frozenset(w for _, t in templates for w in words_of(t))
+    long = long_templates()
+    vocabulary = frozenset(w for _, t in (*templates, *TITLES, *long) for w in words_of(t))
     documents, frequency = document_frequencies(docs, vocabulary, text)
-    matcher = Matcher(templates, documents, {w: frequency.get(w, 0) for w in vocabulary}, min_cosine)
+    frequency = {w: frequency.get(w, 0) for w in vocabulary}
+    notices = Matcher(templates, documents, frequency, min_cosine, TITLES)
+    wholes = LongMatcher(long, documents, frequency, MIN_LONG_COSINE)
+    # Found once, before tasks get their copies.
+    _ = notices.needed, wholes.needed
+
+    def best(body: str) -> tuple[str | None, float | None]:
+        whole = wholes.best(body)
+        return whole if whole[0] else notices.best(body)
+
     narrow = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{path}`").cast("string").alias("path"), text_or_empty(f"`{text}`").alias("text")
     )
@@ -153,7 +273,7 @@ def own_licenses(docs: DataFrame, doc_id: str, path: str, text: str, min_cosine:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, cosines = zip(*map(matcher.best, batch.column("text").to_pylist()), strict=True) if batch.num_rows else ((), ())
+            names, cosines = zip(*map(best, batch.column("text").to_pylist()), strict=True) if batch.num_rows else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("path"), pa.array(names, pa.string()), pa.array(cosines, pa.float64())],
                 ["doc_id", "path", "own_license", "cosine"],

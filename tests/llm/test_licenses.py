@@ -78,3 +78,29 @@ def test_no_rows_and_repeated_rows(spark, no_docs):
     assert licenses.scan(no_docs, path="source").count() == 0
     twice = spark.createDataFrame([(1, "a/LICENSE", NOTICE)] * 2 + [(2, "a/b/c", None)] * 2, "doc_id long, path string, text string")
     assert [r.license for r in licenses.scan(twice).collect()] == ["Apache-2.0"] * 4
+
+
+OPENING = "This {work} is free software; you can redistribute it and/or modify\nit under the terms of the {title} as published by\nthe Free Software Foundation; either version {v} of the License, or\n(at your option) any later version.\n"
+
+
+def test_whole_texts_headers_and_titles(spark, texts):
+    whole = dict(list(licenses.long_templates())[:12])
+    assert set(whole) >= {"AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "MIT"}
+    cases = [(name, text) for name, text in whole.items()]
+    cases += [(name, "Copyright (c) 2021, Example Authors\nAll rights reserved.\n\n" + text) for name, text in whole.items()]
+    cases += [(name, "/*\n * Copyright 2021\n *\n * " + whole[name].replace("\n", "\n * ") + "*/\nint main;\n" + "x = y;\n" * 200) for name in ("BSD-2-Clause", "BSD-3-Clause", "ISC")]
+    cases += [
+        ("GPL-2.0", "# " + OPENING.format(work="program", title="GNU General Public License", v="2").replace("\n", "\n# ") + "\nimport os\n" * 30),
+        ("GPL-3.0", OPENING.format(work="program", title="GNU General Public License", v="3")),
+        ("LGPL-2.1", OPENING.format(work="library", title="GNU Lesser General Public License", v="2.1")),
+        ("AGPL-3.0", OPENING.format(work="program", title="GNU Affero General Public License", v="3")),
+        ("ISC", "ISC License\n\nand more"),
+        ("Apache-2.0", "Apache License\nsomething else entirely follows here today"),
+        ("MPL-2.0", "Mozilla Public License Version 2.0\n======"),
+        (None, "License\n"),
+        (None, "Redistribution"),
+    ]
+    rows = [(i, "a/b", t) for i, (_, t) in enumerate(cases)] + [(1000 + i, "a/b", t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = {r.doc_id: r.own_license for r in licenses.own_licenses(frame, "doc_id", "path", "text").collect()}
+    assert [(i, cases[i][1][:40], found[i]) for i in range(len(cases))] == [(i, t[:40], name) for i, (name, t) in enumerate(cases)]

@@ -1,9 +1,10 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory.
 
 Every line, and every paragraph of several lines, of a whole text is a sparse vector of its words;
-a notice belongs to the template with the highest cosine of at least ``MIN_COSINE``.  Inverse
-document frequencies count every document of the corpus; a word that no template has weighs as the
-rarest possible one.  Most lines cannot reach the cosine: templates' commonest words together carry
+a notice belongs to the template with the highest cosine of at least ``MIN_COSINE``.  So is every
+window of a template's length in them, if it holds a word that tells the template from others'
+notices, so that words beside a notice do not hide it.  Inverse document frequencies count every
+document of the corpus, for all words of the segments compared.  Most lines cannot reach the cosine: templates' commonest words together carry
 too little of any template, so a line needs one of the other words (a prefix filter that loses
 nothing), and a text without any is not cut into lines at all.
 
@@ -44,6 +45,8 @@ LICENSE_FILE = r"(?i)^(license|licence|copying|notice)([.-].*)?$"
 WORDS = re.compile(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
 #: Whole texts and headers share most of their words with those of other licences.
 MIN_LONG_COSINE = 0.8
+#: Counts of words that a task holds before it hands them on.
+MOST_COUNTS = 200_000
 #: Short notices of public licences, and first sentences that no other licence has (fixed values).
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -145,13 +148,34 @@ class Matcher:
         self.names = [name for name, _ in (*templates, *titles)]
         self.vectors = [self._unit(Counter(words_of(text))) for _, text in (*templates, *titles)]
         self.first_title = len(templates)
+        self.documents = documents
+        #: Weights of the words of the text at hand that no template has.
+        self.other: dict[str, float] = {}
+        self.lengths = [sum(Counter(words_of(text)).values()) for _, text in templates]
+        self.telling = [self._telling(i, templates) for i in range(len(templates))]
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for i, vector in enumerate(self.vectors):
             for word, weight in vector.items():
                 self.postings.setdefault(word, []).append((i, weight))
 
+    @staticmethod
+    def _telling(i: int, templates) -> frozenset[str]:
+        """Words of a template that no other licence's has; if there are none, its words with digits."""
+        name, text = templates[i]
+        words = set(words_of(text))
+        own = words.difference(*(words_of(t) for n, t in templates if n != name))
+        return frozenset(own or {w for w in words if re.search("[0-9]", w)} or words)
+
+    def weight(self, word: str) -> float:
+        known = self.idf.get(word)
+        return self.other.get(word, self.rarest) if known is None else known
+
+    def learn(self, frequency: dict[str, int]) -> None:
+        """Documents with each further word of the next text."""
+        self.other = {w: math.log((1 + self.documents) / (1 + n)) + 1 for w, n in frequency.items()}
+
     def _unit(self, counts: Counter) -> dict[str, float]:
-        weights = {w: n * self.idf.get(w, self.rarest) for w, n in counts.items()}
+        weights = {w: n * self.weight(w) for w, n in counts.items()}
         norm = math.sqrt(sum(x * x for x in weights.values()))
         return {w: x / norm for w, x in weights.items()}
 
@@ -175,7 +199,8 @@ class Matcher:
             return None, None
         found: tuple[float, str] | None = None
         for segment in segments(text):
-            counts = Counter(words_of(segment))
+            words = words_of(segment)
+            counts = Counter(words)
             if self.needed.isdisjoint(counts):
                 continue
             cosine = [0.0] * len(self.vectors)
@@ -188,53 +213,81 @@ class Matcher:
                     continue
                 if c >= self.min_cosine and (found is None or (-c, name) < (-found[0], found[1])):
                     found = (c, name)
+            for c, name in self._window_matches(words):
+                if found is None or (-c, name) < (-found[0], found[1]):
+                    found = (c, name)
         return (found[1], found[0]) if found else (None, None)
 
+    def compared(self, text: str) -> set[str]:
+        """Words of the segments that are compared with templates."""
+        if self.needed.isdisjoint(words_of(text)):
+            return set()
+        return {w for s in segments(text) for words in [words_of(s)] if not self.needed.isdisjoint(words) for w in words}
 
-class LongMatcher(Matcher):
-    """Long templates, found as whole texts or as windows of their length."""
-
-    def __init__(self, templates: tuple[tuple[str, str], ...], documents: int, frequency: dict[str, int], min_cosine: float):
-        super().__init__(templates, documents, frequency, min_cosine)
-        self.lengths = [len(words_of(text)) for _, text in templates]
-
-    def best(self, text: str) -> tuple[str | None, float | None]:
-        words = words_of(text)
-        if self.needed.isdisjoint(words):
-            return None, None
-        # No window has a higher cosine than the share of the template that its words carry.
+    def _carried(self, words: list[str]) -> list[float]:
+        """The shares of the templates that words carry: the squares of the highest cosines they allow."""
         carried = [0.0] * len(self.vectors)
         for word in set(words):
             for i, x in self.postings.get(word, ()):
                 carried[i] += x * x
-        found = [
-            (-c, self.names[i])
-            for i, share in enumerate(carried)
-            if share >= self.min_cosine**2 * 0.999 and (c := round(self._best_window(words, i), 9)) >= self.min_cosine
-        ]
-        return (min(found)[1], -min(found)[0]) if found else (None, None)
+        return carried
+
+    def _window_matches(self, words: list[str]) -> list[tuple[float, str]]:
+        """Of each template that windows shorter than the segment fit, the best cosine."""
+        out = []
+        for i, share in enumerate(self._carried(words)[: self.first_title]):
+            if share < self.min_cosine**2 * 0.999 or len(words) <= self.lengths[i] or self.telling[i].isdisjoint(words):
+                continue
+            c = round(self._best_window(words, i, self.telling[i]), 9)
+            if c >= self.min_cosine:
+                out.append((c, self.names[i]))
+        return out
 
-    def _best_window(self, words: list[str], i: int) -> float:
+    def _best_window(self, words: list[str], i: int, telling: frozenset[str] | None = None) -> float:
         """The highest cosine of windows, with products and squares kept while the window moves."""
         vector, length = self.vectors[i], self.lengths[i]
         counts: Counter = Counter()
         product = square = best = 0.0
+        told = 0
         for place, word in enumerate(words):
-            weight = self.idf.get(word, self.rarest)
+            weight = self.weight(word)
             square += (2 * counts[word] + 1) * weight * weight
             product += weight * vector.get(word, 0.0)
             counts[word] += 1
+            told += telling is None or word in telling
             if place >= length:
                 left = words[place - length]
-                weight = self.idf.get(left, self.rarest)
+                weight = self.weight(left)
                 square -= (2 * counts[left] - 1) * weight * weight
                 product -= weight * vector.get(left, 0.0)
                 counts[left] -= 1
-            if (place >= length - 1 or place == len(words) - 1) and product > best * math.sqrt(square):
+                told -= telling is None or left in telling
+            if told and (place >= length - 1 or place == len(words) - 1) and product > best * math.sqrt(square):
                 best = product / math.sqrt(square)
         return best
 
 
+class LongMatcher(Matcher):
+    """Long templates, found as whole texts or as windows of their length."""
+
+    def best(self, text: str) -> tuple[str | None, float | None]:
+        words = words_of(text)
+        if self.needed.isdisjoint(words):
+            return None, None
+        found = [
+            (-c, self.names[i])
+            for i, share in enumerate(self._carried(words))
+            if share >= self.min_cosine**2 * 0.999 and (c := round(self._best_window(words, i), 9)) >= self.min_cosine
+        ]
+        return (min(found)[1], -min(found)[0]) if found else (None, None)
+
+    def compared(self, text: str) -> set[str]:
+        words = words_of(text)
+        if self.needed.isdisjoint(words) or max(self._carried(words)) < self.min_cosine**2 * 0.999:
+            return set()
+        return set(words)
+
+
 def document_frequencies(docs: DataFrame, vocabulary: frozenset[str], text: str = "text") -> tuple[int, dict[str, int]]:
     """Documents, and documents with each word of a vocabulary, over the whole corpus."""
 
@@ -251,6 +304,25 @@ def document_frequencies(docs: DataFrame, vocabulary: frozenset[str], text: str
     return counts.pop("", 0), counts
 
 
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): documents with each word, over all words of the corpus."""
+
+    def rows(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                counts.update(set(words_of(body)))
+                if len(counts) > MOST_COUNTS:
+                    yield rows(counts)
+                    counts = Counter()
+        yield rows(counts)
+
+    return docs.select(text_or_empty(f"`{text}`")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def own_licenses(docs: DataFrame, doc_id: str, path: str, text: str, min_cosine: float = MIN_COSINE, templates=TEMPLATES) -> DataFrame:
     """(doc_id, path, own_license, cosine)."""
     long = long_templates()
@@ -262,24 +334,51 @@ def own_licenses(docs: DataFrame, doc_id: str, path: str, text: str, min_cosine:
     # Found once, before tasks get their copies.
     _ = notices.needed, wholes.needed
 
-    def best(body: str) -> tuple[str | None, float | None]:
-        whole = wholes.best(body)
-        return whole if whole[0] else notices.best(body)
-
     narrow = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{path}`").cast("string").alias("path"), text_or_empty(f"`{text}`").alias("text")
     )
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts to compare, with their words that no template has; null for others."""
+        for batch in batches:
+            bodies, words = batch.column("text").to_pylist(), []
+            for i, body in enumerate(bodies):
+                found = notices.compared(body) | wholes.compared(body)
+                words.append(sorted(found - vocabulary) if found else None)
+                bodies[i] = body if found else None
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("path"), pa.array(bodies, pa.string()), pa.array(words, pa.list_(pa.string()))],
+                ["doc_id", "path", "text", "words"],
+            )
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, cosines = zip(*map(best, batch.column("text").to_pylist()), strict=True) if batch.num_rows else ((), ())
+            names, cosines = [], []
+            for body, words, counts in zip(*(batch.column(c).to_pylist() for c in ("text", "seen", "n")), strict=True):
+                further = dict(zip(words or (), counts or (), strict=True))
+                notices.learn(further)
+                wholes.learn(further)
+                name, cosine = wholes.best(body)
+                if name is None:
+                    name, cosine = notices.best(body)
+                names.append(name)
+                cosines.append(cosine)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("path"), pa.array(names, pa.string()), pa.array(cosines, pa.float64())],
                 ["doc_id", "path", "own_license", "cosine"],
             )
 
-    return narrow.mapInArrow(run, f"doc_id {id_type}, path string, own_license string, cosine double")
+    chosen = narrow.mapInArrow(choose, f"doc_id {id_type}, path string, text string, words array<string>")
+    held = stage_table(chosen.withColumn("row", F.monotonically_increasing_id()), "license_texts")
+    asked = held.filter("text IS NOT NULL").select("row", F.explode("words").alias("word"))
+    seen = stage_table(word_counts(docs, text).join(asked.select("word").distinct(), "word", "left_semi"), "license_words")
+    weighed = asked.join(broadcast_if_small(seen), "word").groupBy("row").agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    joined = held.filter("text IS NOT NULL").join(weighed, "row", "left")
+    inputs = joined.select("doc_id", "path", "text", F.col("found.word").alias("seen"), F.col("found.n").alias("n"))
+    scored = inputs.mapInArrow(score, f"doc_id {id_type}, path string, own_license string, cosine double")
+    rest = held.filter("text IS NULL").select("doc_id", "path", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("cosine"))
+    return scored.union(rest)
 
 
 def directory(path: str | Column) -> Column:

@@ -104,3 +104,23 @@ def test_whole_texts_headers_and_titles(spark, texts):
     frame = spark.createDataFrame(rows, "doc_id long, path string, text string")
     found = {r.doc_id: r.own_license for r in licenses.own_licenses(frame, "doc_id", "path", "text").collect()}
     assert [(i, cases[i][1][:40], found[i]) for i in range(len(cases))] == [(i, t[:40], name) for i, (name, t) in enumerate(cases)]
+
+
+def test_notices_beside_other_words(spark):
+    """At many documents, words beside a notice neither hide it nor weigh more than their frequency."""
+    cases = [
+        ("MIT", "This project is released under the MIT License."),
+        ("MIT", "All code here is released under the MIT License."),
+        ("Apache-2.0", "Copyright 2021 Example Authors. Licensed under the Apache License, Version 2.0."),
+        ("MIT", "Project code here. Released under the MIT License. Other words follow on the same line, and many more of them than the notice has."),
+        (None, "All code of this project is released under the license that comes with it."),
+    ]
+    vocabulary = {w: 3000 for _, t in (*licenses.TEMPLATES, *licenses.TITLES) for w in licenses.words_of(t)}
+    matcher = licenses.Matcher(licenses.TEMPLATES, 3_000_000, vocabulary, licenses.MIN_COSINE, licenses.TITLES)
+    assert [matcher.best(t)[0] for _, t in cases] == [name for name, _ in cases]
+    rows = [(i, "a/b", t) for i, (_, t) in enumerate(cases)] + [(100 + i, "a/b", f"some other project code here words {i}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string").repartition(3)
+    found = {r.doc_id: r.own_license for r in licenses.own_licenses(frame, "doc_id", "path", "text").collect()}
+    assert [found[i] for i in range(len(cases))] == [name for name, _ in cases] and len(found) == len(rows)
+    counts = {r.word: r.n for r in licenses.word_counts(frame).collect()}
+    assert counts["project"] == 203 and counts["mit"] == 3 and counts["code"] == 203

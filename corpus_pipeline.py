@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import packing, quality_rules, queries, secrets, simhash, suffix_dedup
-from gaugeline.llm.common import table, text_or_empty
+from gaugeline.llm.common import ranked, table, text_or_empty
 from gaugeline.sources.workspace import stage_table
 
 SECRET_MARK = "[SECRET]"
@@ -19,16 +19,24 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter(F.col("_quality")["kept"]).select(*docs.columns)
 
 
-def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every component of near duplicates; repeated rows of it once.
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """Adds ``_row``, one number for every row, in the order of the ids; rows without an id come last.
 
-    Documents without an id can't be told apart and stay.
+    Ids that are whole numbers, unique and not null are their own keys; otherwise rows are ranked and staged.
     """
-    found = simhash.near_duplicates(docs, queries.SHINGLE_WORDS, queries.MAX_BITS)
-    later = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(later, "doc_id", "left_anti").select(*docs.columns)
-    with_id = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return with_id.union(kept.filter("doc_id IS NULL"))
+    whole = docs.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    shared = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    if whole and shared.isEmpty():
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return ranked(docs, [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")], "_row")
+
+
+def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the smallest id of every component of near duplicates; of rows with that id, one."""
+    rows = with_row_key(docs)
+    found = simhash.near_duplicates(rows, queries.SHINGLE_WORDS, queries.MAX_BITS, doc_id="_row")
+    later = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_row"))
+    return rows.join(later, "_row", "left_anti").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +44,10 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     Texts of which nothing but white space is left go.
     """
-    kept = suffix_dedup.remove_repeats(docs).filter("n_removed > 0")
-    changed = kept.select("doc_id", F.col("kept_text").alias("_kept"), F.lit(True).alias("_changed"))
-    joined = docs.join(changed.dropDuplicates(["doc_id"]), "doc_id", "left")
+    rows = with_row_key(docs)
+    kept = suffix_dedup.remove_repeats(rows, doc_id="_row").filter("n_removed > 0")
+    changed = kept.select(F.col("doc_id").alias("_row"), F.col("kept_text").alias("_kept"), F.lit(True).alias("_changed"))
+    joined = rows.join(changed, "_row", "left")
     text = F.when(F.col("_changed"), F.col("_kept")).otherwise(F.col("text"))
     return _with_text(joined, docs, text).filter(F.col("text").rlike(quality_rules.HAS_WORD))
 

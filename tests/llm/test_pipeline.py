@@ -57,3 +57,21 @@ def test_no_rows(spark, no_docs):
     for name, stage in corpus_pipeline.STAGES:
         at = stage_table(stage(spark, at, ""), name)
     assert at.count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    first, second, third, fourth, passage = prose(60), prose(60), prose(60), prose(60), prose(30)
+    rows = [(1, first), (5, first), (5, second), (5, third), (7, second), (None, third), (None, fourth), (None, fourth)]
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    single = corpus_pipeline.keep_first_of_near_duplicates(spark, frame(rows).repartition(3), "")
+    assert single.columns == COLUMNS
+    assert sorted((r.doc_id or 0, r.text) for r in single.collect()) == sorted([(1, first), (5, second), (5, third), (0, fourth)])
+
+    rows = [(1, passage + " " + first), (3, second), (3, third + " " + passage), (None, fourth + " " + passage), (None, prose(40))]
+    found = corpus_pipeline.remove_repeated_passages(spark, frame(rows).repartition(3), "").collect()
+    texts = sorted((r.doc_id or 0, r.text) for r in found)
+    assert len(texts) == 5 and (1, passage + " " + first) in texts and (3, second) in texts
+    assert [i for i, t in texts if passage in t] == [1]
+    assert {i for i, t in texts if t.startswith((third, fourth))} == {0, 3}

@@ -5,6 +5,9 @@ read it and nothing is shuffled.  A null text counts as empty: it has no words a
 rule.  Repeated rows and ties need no care, as a row is judged by itself; all input columns are
 kept, and an input column with the name of the result column is replaced.
 
+The stop words are those of four languages together.  Where a column of languages names another one,
+stop words are not counted and their rule passes; a null language counts as one of the four.
+
 Repeated five-word windows are found by their 64-bit hashes: a window counts as repeated if another
 window of the same text has its hash.
 """
@@ -24,6 +27,8 @@ SYMBOLS = r"[#*$%&|<>]"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 #: Trailing marks that a word loses before it is looked up among the stop words.
 CLOSING_MARKS = ".,;:"
+#: Languages that ``STOP_WORDS`` holds, by the first part of a language tag.
+STOP_WORD_LANGUAGES = ("en", "de", "fr", "es")
 #: Common words of the corpus languages (fixed values).
 STOP_WORDS = (
     "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which you were"
@@ -90,8 +95,10 @@ def _repeat_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) <= WINDOW_WORDS, F.lit(0).cast("long")).otherwise(let(F.transform(starts, window), among))
 
 
-def quality(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+def quality(text: Column, rules: tuple[Rule, ...] = RULES, lang: Column | None = None) -> Column:
     """A struct of all measures, ``base_failed``, ``failed_rules`` and ``kept``."""
+    tag = F.lit(None).cast("string") if lang is None else F.lower(F.regexp_extract(lang.cast("string"), r"^\s*([^-_\s]*)", 1))
+    listed = F.coalesce(tag.isin(*STOP_WORD_LANGUAGES, ""), F.lit(True))
     stop = sorted(set(STOP_WORDS))
     parts = F.struct(
         F.filter(F.split(text, WORD_BREAK), lambda w: w != "").alias("words"),
@@ -107,7 +114,7 @@ def quality(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
             "n_symbols": p["symbols"],
             "n_lines": F.size(lines),
             "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-            "n_stop_words": F.size(F.filter(words, lambda w: F.lower(F.rtrim(w, F.lit(CLOSING_MARKS))).isin(stop))),
+            "n_stop_words": F.when(listed, F.size(F.filter(words, lambda w: F.lower(F.rtrim(w, F.lit(CLOSING_MARKS))).isin(stop)))),
             "n_repeat_words": let(F.transform(words, lambda w: F.xxhash64(w)), _repeat_words),
         }
         return F.struct(*(c.cast("long").alias(n) for n, c in counts.items()))
@@ -123,6 +130,7 @@ def quality(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return let(let(parts, measures), judged)
 
 
-def judge(docs: DataFrame, text: str = "text", out: str = "quality", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Adds the struct of ``quality``."""
-    return docs.withColumn(out, quality(text_or_empty(f"`{text}`"), rules))
+def judge(docs: DataFrame, text: str = "text", out: str = "quality", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
+    """Adds the struct of ``quality``; without a column ``lang`` all rows may have stop words."""
+    language = F.col(f"`{lang}`") if lang in docs.columns else None
+    return docs.withColumn(out, quality(text_or_empty(f"`{text}`"), rules, language))

@@ -45,3 +45,13 @@ def test_no_rows_and_clean_prose(spark, no_docs):
 def test_one_projection_without_user_functions_or_shuffle(spark, sf_dir):
     text = plan_of(quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+
+
+def test_languages_without_stop_words(spark):
+    polish = "Stary ogród za domem był pełen jabłoni, których gałęzie uginały się pod ciężarem dojrzałych owoców każdej jesieni."
+    langs = ["pl", "PL-pl", "en", "de_AT", None, "", "tr"]
+    frame = spark.createDataFrame([(x, polish) for x in langs], "lang string, text string")
+    rows = {r.lang: r for r in quality_rules.judge(frame).select("lang", "quality.*").collect()}
+    assert {x for x, r in rows.items() if r.kept} == {"pl", "PL-pl", "tr"}
+    assert all(r.failed_rules == ["stop_word_share"] for r in rows.values() if not r.kept)
+    assert rows["pl"].n_stop_words is None and rows["en"].n_stop_words == 0

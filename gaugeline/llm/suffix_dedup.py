@@ -12,8 +12,8 @@ one run for about sixteen bytes.
    run; or other runs of this anchor exist in other documents.
 2. Only runs of the last kind, the edges of repeated passages, send their bytes.  Within an anchor
    the suffixes at all windows are sorted, ties by document.  As matches count from MATCH bytes on,
-   suffixes are compared that far: the longest previous factor of a suffix reaches MATCH exactly if
-   the previous smaller document in suffix order lies in its stretch of equal neighbours.
+   suffixes are compared that far, each with the least document of its stretch of equal
+   neighbours.  Arrays of longest previous factors are not built.
 3. The matches go back to the buffers, which give each document its spans and what remains.
 
 An anchor with many different runs (the edge of a passage in a large part of all documents) would

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: Queries whose values no SQL can state, beside those of ``QUERIES`` that judge them.
+VALUE_QUERIES: dict[str, Query] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -23,6 +25,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def value_query(function: Query) -> Query:
+    VALUE_QUERIES[function.__name__] = function
+    return function
+
+
 TELEMETRY = """
 SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key,
        l_shipdate AS "timestamp",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions import labels
 from gaugeline.functions.numeric import epoch_seconds
 from gaugeline.operators import anomaly, evaluate, features, reports, selection, split
-from gaugeline.plans.registry.base import over, query, union_all
+from gaugeline.plans.registry.base import over, query, union_all, value_query
 from gaugeline.plans.telemetry import KEY, SENSORS, deviation_score, featured, labelled, lineitem, telemetry
 
 FEATURES = (*SENSORS, "sensor_risk_score", "mode_risk_score")
@@ -147,6 +147,13 @@ def quantiles_approx(spark, sf):
     return seconds.agg(F.array(*ranks).alias("rows")).select(F.inline("rows"))
 
 
+@value_query
+def quantiles_approx_boundaries(spark, sf):
+    """The sketch boundaries of the time column, in seconds."""
+    cuts = split.approx_time_boundaries(telemetry(spark, sf))
+    return spark.createDataFrame([(p, float(c)) for p, c in zip(split.BOUNDARIES, cuts, strict=True)], "probability double, seconds double")
+
+
 @query(
     "score_summary",
     over("summary", "SELECT * FROM summary"),

@@ -9,6 +9,24 @@ from gaugeline.operators import anomaly, supervised
 from gaugeline.operators.split import stratified_folds
 
 
+@pytest.mark.parametrize("name", ["train_lr_metrics", "cv_grid_search_metrics", "isolation_forest_values", "quantiles_approx_boundaries"])
+def test_value_queries(spark, sf_dir, name):
+    from gaugeline.plans.registry import VALUE_QUERIES
+
+    found = VALUE_QUERIES[name](spark, sf_dir)
+    rows = found.collect()
+    if name == "train_lr_metrics":
+        assert len(rows) == 1 and rows[0].split == "test" and 0.9 <= rows[0].accuracy <= 1 and 0.5 < rows[0].auc <= 1
+    elif name == "cv_grid_search_metrics":
+        assert [r.candidate for r in rows] == [0, 1, 2, 3] and all(0.5 < r.cv_metric_auc <= 1 for r in rows)
+    elif name == "isolation_forest_values":
+        assert len(rows) == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() and len({r.anomaly_score for r in rows}) > 100
+        assert {r.isolation_forest for r in rows} == {0, 1}
+    else:
+        assert [r.probability for r in rows] == [0.6, 0.8] and rows[0].seconds < rows[1].seconds
+    assert len({*VALUE_QUERIES}) == 7
+
+
 def cloud(spark, n, outliers=5, parts=3):
     """Two sensors around zero, with a few rows far away."""
     base = spark.range(0, n, 1, parts).select(

@@ -29,6 +29,66 @@ def query(function: Query) -> Query:
     return function
 
 
+def sql(name: str, text: str) -> None:
+    ORACLE_SQL[name] = text
+
+
+sql(
+    "op2_exact_top_k",
+    f"""
+WITH whole AS (
+    SELECT vec_id, len(embedding) AS dim, list_transform(embedding, lambda x: floor(x::DOUBLE * {VECTOR_SCALE})::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM (SELECT DISTINCT * FROM whole WHERE vec_id % {QUERY_EVERY} = 0) q JOIN whole c ON q.dim = c.dim AND q.vec_id <> c.vec_id),
+ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP}""",
+)
+
+_STOP_LIST = ", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORDS)))
+_LANGUAGES = ", ".join(f"'{x}'" for x in quality_rules.STOP_WORD_LANGUAGES)
+#: Bounds as in ``quality_rules``, written out, so that a change of a rule shows.
+sql(
+    "op9_quality_rules",
+    rf"""
+WITH parts AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+           coalesce(lower(regexp_extract(lang, '^\s*([^-_\s]*)', 1)) IN ({_LANGUAGES}, ''), true) AS listed
+    FROM documents),
+words AS (SELECT rid, unnest(words) AS word, unnest(range(len(words))) AS pos FROM parts),
+windows AS (
+    SELECT rid, pos, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w
+           || ' ' || lead(word, 4) OVER w AS five
+    FROM words WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+often AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, five) AS n FROM windows WHERE five IS NOT NULL),
+repeated AS (
+    SELECT rid, count(DISTINCT place) AS n
+    FROM (SELECT rid, unnest(range(pos, pos + {quality_rules.WINDOW_WORDS})) AS place FROM often WHERE n > 1) GROUP BY rid),
+stops AS (
+    SELECT rid, count(*) FILTER (lower(rtrim(word, '{quality_rules.CLOSING_MARKS}')) IN ({_STOP_LIST})) AS n FROM words GROUP BY rid),
+measures AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(body, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
+           CASE WHEN listed THEN coalesce(stops.n, 0) END AS n_stop_words
+    FROM parts LEFT JOIN repeated USING (rid) LEFT JOIN stops USING (rid)),
+judged AS (
+    SELECT *, n_words < 10 OR coalesce(n_repeat_words / nullif(n_words, 0) > 0.2, false) AS base_failed FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(word_chars / nullif(n_words, 0) BETWEEN 2.0 AND 15.0, true)
+       AND coalesce(n_symbols / nullif(n_words, 0) <= 0.25, true) AND coalesce(n_stop_words / nullif(n_words, 0) >= 0.02, true)
+       AND coalesce(n_dup_lines / nullif(n_lines, 0) <= 0.5, true) AS kept
+FROM judged""",
+)
+
+
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of their source, in directories of a thousand and of fifty neighbours.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, licenses, packing, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
+from gaugeline.llm import bpe, licenses, packing, phrases, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
 from gaugeline.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,9 @@ PACK_END_ID = 2
 FILE_END_ID = 1
 SHINGLE_WORDS = 4
 MAX_BITS = 4
+PHRASE_SUPPORT = 100
+PHRASE_WORDS = 5
+PHRASE_TOP = 2000
 
 
 def query(function: Query) -> Query:
@@ -88,6 +91,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged""",
 )
 
+sql(
+    "op11_phrase_mining",
+    rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+runs AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
+grams AS (SELECT lang, w, i, unnest(range(1, least({PHRASE_WORDS}, len(w) - i + 1) + 1)) AS k FROM starts),
+counted AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(a) AS n FROM counted WHERE k = 1 GROUP BY lang),
+often AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM counted WHERE a >= {PHRASE_SUPPORT}),
+inner_parts AS (
+    SELECT lang, a, unnest(list_transform(range(1, k + 1), lambda i: list_transform(range(i, k + 1), lambda j: array_to_string(w[i:j], ' '))).flatten()) AS phrase, k
+    FROM often WHERE k > 2),
+covered AS (SELECT p.lang, p.phrase, max(p.a) AS inside FROM inner_parts p JOIN often o ON o.lang = p.lang AND o.phrase = p.phrase AND o.k < p.k GROUP BY ALL),
+kept AS (
+    SELECT o.* FROM often o LEFT JOIN covered c USING (lang, phrase) WHERE o.k > 1 AND (c.inside IS NULL OR 100 * c.inside < 100 * o.a)),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM kept),
+scored AS (
+    SELECT t.lang, t.phrase, t.a, t.c, f.a AS l, r.a AS r, sizes.n,
+           (1000::HUGEINT * t.a::HUGEINT * sizes.n::HUGEINT) // (f.a::HUGEINT * r.a::HUGEINT) AS score
+    FROM cuts t JOIN often f ON f.lang = t.lang AND f.phrase = array_to_string(t.w[:t.c], ' ')
+    JOIN often r ON r.lang = t.lang AND r.phrase = array_to_string(t.w[t.c + 1:], ' ') JOIN sizes ON sizes.lang = t.lang),
+least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least_cut)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= {PHRASE_TOP}""",
+)
+
 
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,3 +201,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
     return found.select("doc_id", simhash.hex_mark("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frequent = phrases.frequent_phrases(table(spark, sf_dir, "documents"), PHRASE_SUPPORT, PHRASE_WORDS)
+    return phrases.collocations(frequent, PHRASE_TOP)

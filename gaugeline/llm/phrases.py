@@ -8,7 +8,7 @@ of what the shards return misses none.  A second pass counts all phrases of that
 documents, exactly.
 
 Shards are what a task reads, merged without a shuffle into as few as keep the lowered support at
-``LEAST_LOCAL`` or more, and cut where a shard holds more than ``SHARD_BYTES`` of text; so a task's
+``LEAST_LOCAL`` or more, and cut where a shard holds half more than ``SHARD_BYTES`` of text; so a task's
 memory is bounded, and with more than ``support`` shards' worth of text the lowered support is one
 occurrence: results stay exact, but the union is then every phrase.  The union reaches the counting
 pass as a Bloom filter of at most ``FILTER_BITS``.  A false positive of the filter is counted like any
@@ -37,8 +37,11 @@ from gaugeline.sources.workspace import broadcast_if_small, stage_table
 PIECE_BREAKS = ".,;:!?\x0a\x0b\x0c\x0d"
 WORD_BREAKS = " \t"
 NO_LANGUAGE = "und"
-SHARD_BYTES = 32 << 20
-LEAST_LOCAL = 4
+#: Text of a shard, of which it may exceed by half, and what is turned into word numbers at once.
+SHARD_BYTES, ADD_BYTES = 64 << 20, 4 << 20
+LEAST_LOCAL = 6
+#: Places whose phrases are told apart at once, and rows of a batch that goes out.
+PLACES, ROWS_OUT = 1 << 20, 1 << 16
 #: Bits of the largest filter (32 MB) and of it for each phrase; probes of each phrase.
 FILTER_BITS, BITS_EACH, PROBES = 1 << 28, 16, 4
 #: A filter is built in this many parts.
@@ -52,77 +55,117 @@ Keep = Callable[[int, np.ndarray, np.ndarray], np.ndarray]
 
 
 class Words:
-    """Numbered words of some texts of one language, a zero between pieces."""
-
-    def __init__(self, texts: list[bytes | None], lang: str):
-        self.data, _ = word_arrays.joined(texts)
-        starts, ends, hashes = word_arrays.words(self.data, _BREAK)
-        self.total = len(starts)
-        distinct, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-        piece = np.searchsorted(np.flatnonzero(_PIECE[np.frombuffer(self.data, np.uint8)]), starts)
+    """Numbered words of the texts of one language, a zero between pieces; texts come bit by bit."""
+
+    def __init__(self, lang: str):
+        self.total = 0
+        self.seed = np.array([hash_of(lang)], np.uint64)
+        self.number: dict[int, int] = {}
+        self.names: list[bytes] = [b""]
+        self.runs: list[np.ndarray] = []
+
+    def add(self, texts: list[bytes]) -> None:
+        data, _ = word_arrays.joined(texts)
+        starts, ends, hashes = word_arrays.words(data, _BREAK)
+        distinct, first, local = np.unique(hashes, return_index=True, return_inverse=True)
+        own = np.empty(len(distinct), np.int32)
+        for i, (h, at) in enumerate(zip(distinct.tolist(), first.tolist(), strict=True)):
+            found = self.number.get(h)
+            if found is None:
+                found = self.number[h] = len(self.names)
+                self.names.append(word_arrays.lower(data[starts[at] : ends[at]]))
+            own[i] = found
+        piece = np.searchsorted(np.flatnonzero(_PIECE[np.frombuffer(data, np.uint8)]), starts)
         opens = np.diff(piece, prepend=-1) > 0
-        self.run = np.zeros(self.total + int(opens.sum()) + 1, np.int32)
-        self.run[np.arange(self.total) + np.cumsum(opens)] = number + 1
-        self.start, self.end = starts[first], ends[first]
-        seed = np.array([hash_of(lang)], np.uint64)
-        self.hashes = np.concatenate([np.zeros(1, np.uint64), word_arrays.join_hash(seed, distinct)])
-
-    def text(self, number: int) -> bytes:
-        return word_arrays.lower(self.data[self.start[number - 1] : self.end[number - 1]])
+        run = np.zeros(len(starts) + int(opens.sum()) + 1, np.int32)
+        run[np.arange(len(starts)) + np.cumsum(opens)] = own[local]
+        self.total += len(starts)
+        self.runs.append(run)
 
     def levels(self, most_words: int, keep: Keep) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(words, counts, hashes, place of the phrase without its last word, last word) of kept phrases."""
-        size = len(self.hashes)
-        counts = np.bincount(self.run, minlength=size)
+        run = np.concatenate([*self.runs, np.zeros(1, np.int32)])
+        self.runs = [run]
+        size = len(self.names)
+        words = word_arrays.join_hash(self.seed, np.fromiter(self.number, np.uint64, size - 1))
+        words = np.concatenate([np.zeros(1, np.uint64), words])
+        counts = np.bincount(run, minlength=size)
         counts[0] = 0
-        kept = np.flatnonzero((counts > 0) & keep(1, counts, self.hashes))
+        kept = np.flatnonzero((counts > 0) & keep(1, counts, words))
         place = np.full(size, -1, np.int32)
         place[kept] = np.arange(len(kept))
-        hashes = self.hashes[kept]
+        hashes = words[kept]
         yield 1, counts[kept], hashes, kept, kept
-        at = place[self.run]
+        at = place[run]
         for length in range(2, most_words + 1):
-            begins = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0))
-            if not len(begins):
+            begins = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0)).astype(np.int32)
+            begins = begins[begins < len(run) - length + 1]
+            following = np.full(len(run), -1, np.int32)
+            found: list[tuple[np.ndarray, ...]] = []
+            total = 0
+            # Phrases by their beginning, a few million places at once.
+            parts = max(1, -(-len(begins) // PLACES))
+            for part in range(parts):
+                own = begins[at[begins] % parts == part] if parts > 1 else begins
+                key = at[own].astype(np.int64) * size + run[own + (length - 1)]
+                distinct, number, counts = np.unique(key, return_inverse=True, return_counts=True)
+                before, last = distinct // size, distinct % size
+                joined = word_arrays.join_hash(hashes[before], words[last])
+                kept = np.flatnonzero(keep(length, counts, joined))
+                place = np.full(len(distinct), -1, np.int32)
+                place[kept] = np.arange(total, total + len(kept))
+                following[own] = place[number]
+                total += len(kept)
+                found.append((counts[kept], joined[kept], before[kept], last[kept]))
+            counts, hashes, before, last = (np.concatenate(x) for x in zip(*found, strict=True))
+            if not total:
                 return
-            begins = begins[begins + length - 1 < len(self.run)]
-            key = at[begins].astype(np.int64) * size + self.run[begins + length - 1]
-            distinct, number, counts = np.unique(key, return_inverse=True, return_counts=True)
-            before, last = distinct // size, distinct % size
-            found = word_arrays.join_hash(hashes[before], self.hashes[last])
-            kept = np.flatnonzero(keep(length, counts, found))
-            place = np.full(len(distinct), -1, np.int32)
-            place[kept] = np.arange(len(kept))
-            hashes = found[kept]
-            yield length, counts[kept], hashes, before[kept], last[kept]
-            at = np.full(len(self.run), -1, np.int32)
-            at[begins] = place[number]
+            yield length, counts, hashes, before, last
+            at = following
 
 
 def hash_of(lang: str) -> int:
     return word_arrays.xxhash.xxh64_intdigest(lang.encode("utf-8"))
 
 
-def _by_lang(table: pa.Table) -> Iterator[tuple[str, pa.Table]]:
-    for lang in table.column("lang").unique().to_pylist():
-        yield lang, table.filter(pa.compute.equal(table.column("lang"), lang))
+class Shard:
+    """The words of a shard by language, with the bytes of its texts."""
+
+    def __init__(self) -> None:
+        self.words: dict[str, Words] = {}
+        self.bytes: dict[str, int] = {}
+        self.whole: dict[str, int] = {}
 
+    def add(self, table: pa.Table) -> None:
+        for lang in table.column("lang").unique().to_pylist():
+            rows = table.filter(pa.compute.equal(table.column("lang"), lang))
+            texts = rows.column("text").cast(pa.binary()).to_pylist()
+            self.words.setdefault(lang, Words(lang)).add(texts)
+            self.bytes[lang] = self.bytes.get(lang, 0) + sum(map(len, texts))
+            if "lang_bytes" in rows.column_names:
+                self.whole[lang] = int(rows.column("lang_bytes")[0].as_py())
 
-def _texts(table: pa.Table) -> list[bytes]:
-    return table.column("text").cast(pa.binary()).to_pylist()
 
+def _shards(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[Shard]:
+    """What a task reads as one shard, or as several if it reads more than ``most_bytes``."""
+    shard = Shard()
+    for table in word_arrays.buffers(batches, "text", min(ADD_BYTES, most_bytes)):
+        shard.add(table)
+        if sum(shard.bytes.values()) >= most_bytes:
+            yield shard
+            shard = Shard()
+    if shard.words:
+        yield shard
 
-def _mine(support: int, most_words: int, shard_bytes: int):
+
+def _mine(support: int, most_words: int, most_bytes: int):
     schema = pa.schema([("hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in word_arrays.buffers(batches, "text", shard_bytes):
-            for lang, rows in _by_lang(shard):
-                own = int(pa.compute.sum(rows.column("bytes")).as_py())
-                whole = int(rows.column("lang_bytes")[0].as_py())
-                local = max(1, -(-support * own // max(1, whole)))
-                found = Words(_texts(rows), lang).levels(most_words, lambda length, counts, hashes: counts >= local)  # noqa: B023
-                for _, _, hashes, _, _ in found:
+        for shard in _shards(batches, most_bytes):
+            for lang, words in shard.words.items():
+                local = max(1, -(-support * shard.bytes[lang] // max(1, shard.whole[lang])))
+                for _, _, hashes, _, _ in words.levels(most_words, lambda length, counts, hashes: counts >= local):  # noqa: B023
                     yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], schema=schema)
 
     return run
@@ -166,26 +209,22 @@ def in_filter(held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def _count(most_words: int, shard_bytes: int, held):
+def _count(most_words: int, most_bytes: int, held):
     schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for buffer in word_arrays.buffers(batches, "text", shard_bytes):
-            for lang, rows in _by_lang(buffer):
-                words = Words(_texts(rows), lang)
+        for shard in _shards(batches, most_bytes):
+            for lang, words in shard.words.items():
                 # The language's words, all of them, travel as a phrase without words.
                 yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [0], "phrase": [""], "n": [words.total]}, schema=schema)
-                names: list[bytes] = []
+                text: list[bytes] = []
                 for length, counts, _, before, last in words.levels(most_words, lambda length, counts, hashes: in_filter(held.value, hashes)):
-                    if length == 1:
-                        names = [words.text(i) for i in last.tolist()]
-                        text_of = dict(zip(last.tolist(), names, strict=True))
-                    else:
-                        names = [names[b] + b" " + text_of[w] for b, w in zip(before.tolist(), last.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(lang, len(names)), pa.array(np.full(len(names), length, np.int32)), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64))],
-                        schema=schema,
-                    )
+                    own = [words.names[w] for w in last.tolist()]
+                    text = own if length == 1 else [text[b] + b" " + w for b, w in zip(before.tolist(), own, strict=True)]
+                    for at in range(0, len(text), ROWS_OUT):
+                        some = text[at : at + ROWS_OUT]
+                        columns = [pa.repeat(lang, len(some)), pa.repeat(pa.scalar(length, pa.int32()), len(some)), pa.array(some, pa.binary()).cast(pa.string())]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at : at + ROWS_OUT].astype(np.int64))], schema=schema)
 
     return run
 
@@ -200,19 +239,20 @@ def frequent_phrases(
     spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
-    ).withColumn("bytes", F.octet_length("text").cast("long"))
-    totals = stage_table(rows.groupBy("lang").agg(F.sum("bytes").alias("lang_bytes")), "language-bytes")
+    )
+    totals = stage_table(rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("lang_bytes")), "language-bytes")
     whole = totals.agg(F.sum("lang_bytes")).first()[0] or 0
     shards = max(1, support // LEAST_LOCAL, -(-whole // shard_bytes))
+    most_bytes = shard_bytes * 3 // 2
     dealt = rows.join(broadcast_if_small(totals), "lang").coalesce(shards)
-    mined = dealt.mapInArrow(_mine(support, most_words, shard_bytes), "hash long").distinct()
+    mined = dealt.mapInArrow(_mine(support, most_words, most_bytes), "hash long").distinct()
     union = stage_table(mined, "locally-frequent")
     wanted = min(FILTER_BITS, BITS_EACH * max(1, union.count()))
     bits = FILTER_PARTS * 8
     while bits < wanted:
         bits *= 2
     held = spark.sparkContext.broadcast(bloom_filter(union, bits))
-    counted = rows.drop("bytes").coalesce(shards).mapInArrow(_count(most_words, shard_bytes, held), "lang string, words int, phrase string, n long")
+    counted = rows.coalesce(shards).mapInArrow(_count(most_words, most_bytes, held), "lang string, words int, phrase string, n long")
     summed = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     return stage_table(summed.filter((F.col("words") == 0) | (F.col("n") >= support)), "frequent-phrases")
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, licenses, packing, phrases, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
+from gaugeline.llm import bpe, licenses, lm, negatives, packing, phrases, quality_rules, secrets, sharding, simhash, suffix_dedup, token_files, topk
 from gaugeline.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,10 @@ MAX_BITS = 4
 PHRASE_SUPPORT = 100
 PHRASE_WORDS = 5
 PHRASE_TOP = 2000
+NEGATIVE_SCALE = 256
+ANCHOR_EVERY, RELABEL_EVERY, LABELS = 100, 7, 10
+POSITIVES, NEGATIVES, LOW_PERCENT = 5, 5, 80
+FOLDS, HELD_OUT_FOLD = 7, 2
 
 
 def query(function: Query) -> Query:
@@ -122,6 +126,31 @@ SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BI
 FROM ranked WHERE rank <= {PHRASE_TOP}""",
 )
 
+sql(
+    "op12_hard_negatives",
+    f"""
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % {RELABEL_EVERY} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label, len(embedding) AS dim,
+           list_transform(embedding, lambda x: floor(x::DOUBLE * {NEGATIVE_SCALE})::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+anchors AS (SELECT row_number() OVER () AS anchor, * FROM (SELECT DISTINCT * FROM whole WHERE vec_id % {ANCHOR_EVERY} = 0)),
+scores AS (
+    SELECT a.anchor, a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same,
+           list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM anchors a JOIN whole c ON a.dim = c.dim AND a.vec_id <> c.vec_id),
+positives AS (
+    SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+    FROM scores WHERE same QUALIFY place <= {POSITIVES}),
+ranked AS (
+    SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+    FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+     AND {LOW_PERCENT} * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= {NEGATIVES}""",
+)
+
 
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,3 +236,22 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     frequent = phrases.frequent_phrases(table(spark, sf_dir, "documents"), PHRASE_SUPPORT, PHRASE_WORDS)
     return phrases.collocations(frequent, PHRASE_TOP)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.usable_rows(table(spark, sf_dir, "embeddings"), NEGATIVE_SCALE)
+    noisy = F.when(F.col("vec_id") % RELABEL_EVERY == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", noisy), F.col("vec_id") % ANCHOR_EVERY == 0, POSITIVES, NEGATIVES, LOW_PERCENT)
+
+
+@query
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
+    held_out = F.coalesce(fold == HELD_OUT_FOLD, F.lit(False))
+    model = lm.train(docs, ~held_out)
+    scored = lm.score(docs.withColumn("held_out", held_out), model)
+    return scored.select(
+        "doc_id", "held_out", "lm.n_tokens", "lm.n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "lm.base_score", "lm.score"
+    )

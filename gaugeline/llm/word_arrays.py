@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  as pa.compute
 import xxhash
 
 #: Bytes hashed at once; a slice ends between words and grows only for a longer word.

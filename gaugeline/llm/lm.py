@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from gaugeline.llm import word_arrays
 from gaugeline.llm.common import partitions_of
@@ -456,7 +456,9 @@ def probabilities(model: Model, u: np.ndarray, v: np.ndarray, w: np.ndarray) ->
     return out
 
 
-RESULT = StructType.fromDDL("n_tokens long, n_known long, base_score double, score double")
+RESULT = StructType(
+    [StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType())]
+)
 
 
 def _score(model: Model, text: str, out: str, columns: list[str]):

@@ -4,7 +4,9 @@ The documents fall into shards.  Each shard is mined completely, level by level
 so on: a phrase is only looked for where both its parts one word shorter are frequent), at a support
 lowered in proportion: the global support times the shard's share of all text bytes of the language.
 A phrase that reaches the global support reaches the lowered one in at least one shard, so the union
-of what the shards return misses none.  A second pass counts all phrases of that union in all
+of what the shards return misses none.  Shards return counts as well: where these, and one less than the
+lowered support for every shard that did not return the phrase, stay below the global support, the phrase
+cannot reach it and leaves the union.  A second pass counts all phrases of that union in all
 documents, exactly.
 
 Shards are what a task reads, merged without a shuffle into as few as keep the lowered support at
@@ -159,14 +161,17 @@ def _shards(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[Shar
 
 
 def _mine(support: int, most_words: int, most_bytes: int):
-    schema = pa.schema([("hash", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("hash", pa.int64()), ("excess", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, most_bytes):
             for lang, words in shard.words.items():
                 local = max(1, -(-support * shard.bytes[lang] // max(1, shard.whole[lang])))
-                for _, _, hashes, _, _ in words.levels(most_words, lambda length, counts, hashes: counts >= local):  # noqa: B023
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], schema=schema)
+                # What a phrase may have here unreturned, on the language's own row.
+                yield pa.RecordBatch.from_pydict({"lang": [lang], "hash": [None], "excess": [local - 1]}, schema=schema)
+                for _, counts, hashes, _, _ in words.levels(most_words, lambda length, counts, hashes: counts >= local):  # noqa: B023
+                    columns = [pa.repeat(lang, len(hashes)), pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64) - (local - 1))]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
@@ -245,8 +250,11 @@ def frequent_phrases(
     shards = max(1, support // LEAST_LOCAL, -(-whole // shard_bytes))
     most_bytes = shard_bytes * 3 // 2
     dealt = rows.join(broadcast_if_small(totals), "lang").coalesce(shards)
-    mined = dealt.mapInArrow(_mine(support, most_words, most_bytes), "hash long").distinct()
-    union = stage_table(mined, "locally-frequent")
+    mined = dealt.mapInArrow(_mine(support, most_words, most_bytes), "lang string, hash long, excess long")
+    returned = stage_table(mined.groupBy("lang", "hash").agg(F.sum("excess").alias("excess")), "locally-frequent")
+    unreturned = returned.filter("hash IS NULL").select("lang", F.col("excess").alias("elsewhere"))
+    possible = returned.filter("hash IS NOT NULL").join(broadcast_if_small(unreturned), "lang")
+    union = stage_table(possible.filter(F.col("excess") + F.col("elsewhere") >= support).select("hash"), "candidates")
     wanted = min(FILTER_BITS, BITS_EACH * max(1, union.count()))
     bits = FILTER_PARTS * 8
     while bits < wanted:

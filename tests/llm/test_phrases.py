@@ -73,6 +73,18 @@ def test_shards_prune(spark, texts):
     assert 0 < mined < everything / 5
 
 
+def test_union_holds_every_frequent_phrase_and_few_more(spark, texts, monkeypatch):
+    """Counted by the filter's members: at most a third of what the shards return is counted again."""
+    rows = sample(texts)
+    frame = spark.createDataFrame([(lang, t) for lang, t in rows], "lang string, text string").repartition(6)
+    kept, held = [], phrases.bloom_filter
+    monkeypatch.setattr(phrases, "bloom_filter", lambda hashes, bits: kept.append(hashes.count()) or held(hashes, bits))
+    monkeypatch.setattr(phrases, "LEAST_LOCAL", 1)
+    often = plain(rows, 20, 25)[0]
+    assert {(r.lang, tuple(r.phrase.split(" "))): r.n for r in phrases.frequent_phrases(frame, 20).collect() if r.words} == often
+    assert len(often) <= kept[0] < 3 * len(often)
+
+
 def test_filter_holds_every_member(spark):
     hashes = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 4000)
     held = phrases.bloom_filter(spark.createDataFrame([(int(h),) for h in hashes], "hash long"), 1 << 16)

@@ -40,7 +40,7 @@ PIVOTS = 512
 ANCHOR_GROUP = 4_096
 LEAF, FANOUT = 32, 64
 #: Open nodes of each anchor that are opened together, and (anchor, row) pairs held at once.
-STEP, PAIRS = 16, 1 << 18
+STEP, PAIRS = 32, 1 << 18
 #: Whole numbers up to here are exact as doubles; up to there as 64-bit integers.
 EXACT, WHOLE = float(1 << 53), float(1 << 62)
 NO_LOW, NO_HIGH = -(1 << 63), (1 << 63) - 1
@@ -150,13 +150,9 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[of], of
 
 
-def products(queries: np.ndarray, rows: np.ndarray, q: np.ndarray, r: np.ndarray, most: float) -> np.ndarray:
-    """Exact products of the pairs (q, r)."""
-    if most < EXACT:
-        return np.einsum("ij,ij->i", queries[q].astype(np.float64), rows[r].astype(np.float64)).astype(np.int64)
-    if most < WHOLE:
-        return np.einsum("ij,ij->i", queries[q], rows[r])
-    return np.array([sum(a * b for a, b in zip(queries[i].tolist(), rows[j].tolist(), strict=True)) for i, j in zip(q, r, strict=True)], object).astype(np.int64)
+def number_kind(most: float) -> type:
+    """The numbers that hold products of up to ``most`` exactly."""
+    return np.float64 if most < EXACT else np.int64 if most < WHOLE else object
 
 
 def search(
@@ -182,6 +178,9 @@ def search(
     norms = np.sqrt(np.einsum("ij,ij->i", *[queries.astype(np.float64)] * 2))
     directions = queries.astype(np.float64) / np.where(norms > 0, norms, 1)[:, None]
     most = float(np.abs(queries).astype(np.float64).sum(axis=1).max(initial=0)) * float(np.abs(vectors).max(initial=0))
+    # Rows below a node lie next to each other.
+    kind = number_kind(most)
+    wanted, laid = queries.astype(kind), vectors[tree["order"]].astype(kind)
     windows = low.shape[1]
     floor = low.copy()
     held = [np.zeros(0, np.int64)] * 4
@@ -200,13 +199,21 @@ def search(
 
     def verify(anchors: np.ndarray, nodes: np.ndarray) -> None:
         nonlocal held, verified
-        places, of = _ranges(tree["begin"][nodes], tree["end"][nodes])
-        anchor, row = anchors[of], tree["order"][places]
+        pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        least, largest = floor.min(axis=1), high.max(axis=1)
+        by = np.argsort(nodes, kind="stable")
+        for own in np.split(by, np.flatnonzero(np.diff(nodes[by])) + 1):
+            node, some = nodes[own[0]], anchors[own]
+            rows = slice(tree["begin"][node], tree["end"][node])
+            score = wanted[some] @ laid[rows].T
+            verified += score.size
+            # Most rows lie outside all windows of an anchor.
+            i, j = np.nonzero((score >= least[some][:, None]) & (score <= largest[some][:, None]))
+            pairs.append((some[i], tree["order"][rows][j], score[i, j]))
+        anchor, row, score = (np.concatenate(x) for x in zip(*pairs, strict=True))
         fit = (labels[row] == query_labels[anchor]) == same_label
         fit &= ids[row] != query_ids[anchor]
-        anchor, row = anchor[fit], row[fit]
-        verified += len(row)
-        score = products(queries, vectors, anchor, row, most)
+        anchor, row, score = anchor[fit], row[fit], score[fit].astype(np.int64)
         found = [held]
         for w in range(windows):
             inside = (score >= floor[anchor, w]) & (score <= high[anchor, w])

@@ -37,17 +37,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from gaugeline.llm import word_arrays
 from gaugeline.llm.common import partitions_of
-from gaugeline.sources.workspace import new_path, stage_table
+from gaugeline.sources.workspace import new_path, release_tables, stage_table
 
-BUFFER_BYTES = 16 << 20
+#: Text that a task counts or scores at once.
+BUFFER_BYTES = 8 << 20
 #: Tokens of a part of the trigrams, words of a part of the vocabulary.
-PART_TOKENS, PART_WORDS = 4 << 20, 4 << 20
+PART_TOKENS, PART_WORDS = 2 << 20, 4 << 20
 LEAST_TRIGRAM = 2
 PLAIN_DISCOUNTS = (0.5, 1.0, 1.5)
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
@@ -88,8 +89,11 @@ def mounted(path: str) -> str:
 
 
 def _save(folder: str, name: str, part: int, arrays: dict[str, np.ndarray]) -> None:
+    """Numbers take as few bytes as the part's largest needs; keys keep all 64 bits."""
     os.makedirs(folder, exist_ok=True)
     for array, values in arrays.items():
+        if array != "keys":
+            values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
         own = f"{folder}/{uuid.uuid4().hex}"
         with open(own, "wb") as file:
             np.save(file, values)
@@ -387,18 +391,19 @@ def train(docs: DataFrame, is_training: Column, text: str = "text", least_trigra
     model = Model(folder, offsets[-1], tokens, bits, tuple(offsets[:-1]), parts, least_trigram, (), ())
     # A row for each part, so that each has its files: a missing file is then an error, not a part without words.
     each_part = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(None).cast("binary").alias("payload"))
-
-    def merged(payloads: DataFrame, merge, name: str) -> DataFrame:
-        return stage_table(payloads.select("part", "payload").unionByName(each_part).groupBy("part").applyInArrow(merge(model), LEVEL_FIELDS), name)
-
+    sums = [F.sum(n).alias(n) for n in ("n1", "n2", "n3", "n4", "total")] + [F.sum(F.col("classes")[i]).alias(f"class{i + 1}") for i in range(3)]
     sent = rows.mapInArrow(_count_trigrams(model), "part int, payload binary")
-    three = merged(sent, _merge_trigrams, "trigrams")
-    two = merged(three.filter("level = 0"), _merge_pairs, "pairs")
-    one = merged(two.filter("level = 0"), _merge_words, "unigrams")
-    found: dict[int, DataFrame] = {}
-    names = [F.sum(f"n{i}").alias(f"n{i}") for i in range(1, 5)] + [F.sum("total").alias("total")] + [F.sum(F.col("classes")[i]).alias(f"class{i + 1}") for i in range(3)]
-    for level, frame in ((1, one), (2, two), (3, three)):
-        found[level] = frame.filter(F.col("level") == level).agg(*names).first()
+    found: dict[int, Row] = {}
+    before: list[str] = []
+    for level, merge in ((3, _merge_trigrams), (2, _merge_pairs), (1, _merge_words)):
+        staged: list[str] = []
+        parted = sent.select("part", "payload").unionByName(each_part).groupBy("part").applyInArrow(merge(model), LEVEL_FIELDS)
+        counted = stage_table(parted, f"level-{level}", staged)
+        found[level] = counted.filter(F.col("level") == level).agg(*sums).first()
+        sent = counted.filter("level = 0")
+        release_tables(spark, before)
+        before = staged
+    release_tables(spark, before)
     of = lambda r: tuple(int(r[f"n{i}"] or 0) for i in range(1, 5))
     unigrams = tuple(int(found[1][n] or 0) for n in ("total", "class1", "class2", "class3"))
     return Model(folder, model.words, tokens, bits, model.word_offsets, parts, least_trigram, tuple(discounts(*of(found[i])) for i in (1, 2, 3)), unigrams)

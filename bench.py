@@ -4,6 +4,9 @@
     BENCH_CPUS    local cores (default 8)
 
 Every entry is run twice and the faster run counts, so class loading is left out.
+
+The stages are timed a second time on as many rows as the published baseline has, made of shifted
+copies of ``lineitem`` (entries ``<stage>_1517k``), with the weak scaling points.
 """
 
 from __future__ import annotations
@@ -24,12 +27,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from gaugeline.operators import anomaly, features, quality, split  # noqa: E402
 from gaugeline.operators.enrich import enrich  # noqa: E402
 from gaugeline.operators.schema import ingest  # noqa: E402
-from gaugeline.plans import telemetry as view  # noqa: E402
+from gaugeline.plans import scaling, telemetry as view  # noqa: E402
 from gaugeline.plans.registry import QUERIES  # noqa: E402
 from gaugeline.sources.telemetry import scan_csv  # noqa: E402
 from gaugeline.sources.workspace import new_path, spread_if_narrow  # noqa: E402
 
 REPEATS = 2
+# Fixed value: rows of the published baseline.
+BASELINE_ROWS = 1_516_948
 HEADLINE_QUERIES = (
     "family_risk_distribution",
     "dq_report",
@@ -85,6 +90,29 @@ def stages(spark: SparkSession, folder: str) -> dict:
     }
 
 
+def baseline_sized(spark: SparkSession, folder: str, rows: int) -> str:
+    """A folder whose ``lineitem`` has as many rows as the baseline: copies with order keys of their own."""
+    source, path = view.lineitem(spark, folder), new_path(spark, "bench-rows")
+    parts = [source.withColumn("l_orderkey", F.col("l_orderkey") + F.lit(i * 10**9)) for i in range(-(-BASELINE_ROWS // rows))]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    whole.limit(BASELINE_ROWS).write.parquet(f"{path}/lineitem.parquet")
+    return path
+
+
+def weak_scaling(spark: SparkSession, folder: str) -> dict:
+    """The weak scaling points: rows and partitions grow together."""
+    base = split.fraction_sample(view.labelled(spark, folder).select(view.KEY, "class"), view.KEY, scaling.WEAK_BASE_ROWS)
+    held = base.persist(StorageLevel.MEMORY_AND_DISK)
+    held.count()
+
+    def point(copies: int, partitions: int):
+        return lambda: split.repartition_group_count(split.replicate_rows(held, copies), partitions).collect()
+
+    return {f"weak_scaling_{partitions}": point(copies, partitions) for copies, partitions in scaling.WEAK_STEPS}
+
+
 def timed(action) -> float:
     best = float("inf")
     for _ in range(REPEATS):
@@ -113,15 +141,18 @@ def main() -> None:
     seconds = {name: timed(action) for name, action in stages(spark, folder).items()}
     for name in HEADLINE_QUERIES:
         seconds[name] = timed(lambda query=QUERIES[name]: run_all(query(spark, folder)))
+    large = baseline_sized(spark, folder, rows)
+    at_size = {f"{name}_1517k": timed(action) for name, action in (stages(spark, large) | weak_scaling(spark, large)).items()}
     print(
         json.dumps(
             {
                 "metric": "total_seconds",
                 "value": round(sum(seconds.values()), 4),
                 "unit": "sec",
-                "queries": seconds,
+                "queries": seconds | at_size,
                 "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
                 "rows": rows,
+                "rows_1517k": BASELINE_ROWS,
                 "rows_per_second": {name: round(rows / s) for name, s in seconds.items()},
             }
         )

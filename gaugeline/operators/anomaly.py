@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from math import ceil, isqrt
+from math import isqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from gaugeline.functions.trees import (
     grow_tree,
@@ -24,7 +27,7 @@ from gaugeline.functions.trees import (
 from gaugeline.operators.evaluate import score_summary
 from gaugeline.operators.features import fill_features
 from gaugeline.operators.selection import quantile_values
-from gaugeline.sources.workspace import spread_if_narrow
+from gaugeline.sources.workspace import spread_if_narrow, stage_table
 
 TREES = 300
 SAMPLE_ROWS = 256
@@ -100,10 +103,6 @@ def _from_rows(rows: Sequence, columns: Sequence[str], cuts: dict[str, float]) -
     )
 
 
-def _hash_unit(*parts: Column) -> Column:
-    return F.xxhash64(*parts).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(float(1 << 32))
-
-
 def _next_prime(n: int) -> int:
     n = max(n, 2)
     while any(n % d == 0 for d in range(2, isqrt(n) + 1)):
@@ -111,34 +110,90 @@ def _next_prime(n: int) -> int:
     return n
 
 
-def forest_samples(
-    df: DataFrame, columns: Sequence[str], key: str, distinct: int, trees: int, sample_rows: int, seed: int
-) -> DataFrame:
-    """``(tree, _order, _key, *columns)``: somewhat more than ``sample_rows`` rows for every tree.
+#: Parts in which the samples of a tree meet before they meet in one.
+COMBINERS = 32
+
+
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """Spreads every bit of 64 over all others."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _first_places(rows: pa.Table, sample_rows: int) -> pa.Table:
+    """Of each tree the ``sample_rows`` rows of lowest order; a key counts once."""
+    tree, order, word = (rows.column(c).to_numpy() for c in ("tree", "_order", "_word"))
+    by = np.lexsort((word, order, tree))
+    tree, order, word = tree[by], order[by], word[by]
+    again = np.zeros(len(by), bool)
+    again[1:] = (tree[1:] == tree[:-1]) & (order[1:] == order[:-1]) & (word[1:] == word[:-1])
+    by, tree = by[~again], tree[~again]
+    nth = np.arange(len(by)) - np.searchsorted(tree, tree)
+    return rows.take(pa.array(by[nth < sample_rows]))
 
-    ``distinct`` is the number of different keys: rows with the same key are drawn once, so copies
-    of a row neither fill a tree nor thin out the draw.  Every key gets the same number of places,
-    each kept with the same chance; place c of a key belongs to tree ``a + c * b`` modulo a prime,
-    with a and b from its hash, so its trees differ and all trees are equally likely.  A large
-    table has one place per key and keeps few, a tiny one puts every key into every tree.
+
+def _task_samples(trees: int, sample_rows: int, slots: int, schema: pa.Schema):
+    """The lowest ``sample_rows`` places of every tree among a task's rows.
+
+    A key's place number c, counted from 0, is in tree ``first + c * step`` modulo a prime and has the
+    order c plus a fraction.  Once a tree is full of orders below c, later places cannot enter it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = schema.empty_table()
+        worst = np.full(trees, np.inf)  # order of the last row of each full tree
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column("_word").to_numpy().view(np.uint64)
+            first = (_scrambled(word ^ np.uint64(0xA5A5A5A5)) % np.uint64(slots)).astype(np.int64)
+            step = (_scrambled(word ^ np.uint64(0x5A5A5A5A)) % np.uint64(max(slots - 1, 1))).astype(np.int64) + 1
+            for place in range(slots):
+                if not (worst >= place).any():
+                    break
+                tree = (first + place * step) % slots
+                order = place + (_scrambled(word + np.uint64(2 * place + 1)) >> np.uint64(11)) / float(1 << 53)
+                own = np.flatnonzero(tree < trees)
+                own = own[order[own] <= worst[tree[own]]]
+                if not len(own):
+                    continue
+                drawn = [pa.array(tree[own].astype(np.int32)), pa.array(order[own]), *(c.take(pa.array(own)) for c in batch.columns)]
+                held = pa.concat_tables([held, pa.Table.from_arrays(drawn, schema=schema)])
+                held = _first_places(held, sample_rows).combine_chunks()
+                counts = np.bincount(held.column("tree").to_numpy(), minlength=trees)
+                last = np.cumsum(counts) - 1
+                full = counts >= sample_rows
+                worst[full] = held.column("_order").to_numpy()[last[full]]
+        yield from held.to_batches()
+
+    return run
+
+
+def forest_samples(df: DataFrame, columns: Sequence[str], key: str, trees: int, sample_rows: int, seed: int) -> DataFrame:
+    """``(tree, _order, _key, *columns)``: exactly ``sample_rows`` rows for every tree, or every key if there are fewer.
+
+    A bottom-k sample that merges: each task keeps the lowest orders of every tree, these meet in a
+    few parts and then in one, so neither the number of rows nor that of keys has to be known before.
+    Rows with the same key are drawn once, so copies of a row neither fill a tree nor thin out the
+    draw.  Every key has a first tree, a second tree and so on from its hash; lower places go first,
+    so a large table gives each drawn row to one tree and a tiny one puts every key into every tree.
     """
-    spare = 1.5
     slots = _next_prime(trees)
-    wanted = min(1.0, spare * sample_rows / max(distinct, 1)) * slots
-    places = max(1, min(slots, ceil(wanted)))
-    place, name = F.col("_place"), F.col("_key")
-    first = F.pmod(F.xxhash64(name, F.lit(seed + 1)), F.lit(slots))
-    step = F.pmod(F.xxhash64(name, F.lit(seed + 2)), F.lit(max(slots - 1, 1))) + 1
-    drawn = (
-        df.select(F.col(key).alias("_key"), *columns)
-        .withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(places - 1))))
-        .filter(_hash_unit(name, place, F.lit(seed)) < wanted / places)
-        .withColumn("tree", F.pmod(first + place * step, F.lit(slots)).cast("int"))
-        .filter(F.col("tree") < trees)
-        .withColumn("_order", _hash_unit(name, F.col("tree"), F.lit(seed + 3)))
+    named = F.coalesce(F.col(key).cast("string"), F.lit("<null>"))
+    slim = fill_features(df, columns).select(
+        F.xxhash64(named, F.lit(seed)).alias("_word"), named.alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns]
     )
-    unique = drawn.dropDuplicates(["tree", "_key"])
-    return fill_features(unique, columns).select("tree", "_order", "_key", *columns)
+    schema = StructType([StructField("tree", IntegerType()), StructField("_order", DoubleType()), *slim.schema.fields])
+    arrow = to_arrow_schema(schema)
+    drawn = spread_if_narrow(slim).mapInArrow(_task_samples(trees, sample_rows, slots, arrow), schema)
+
+    def lowest(rows: pa.Table) -> pa.Table:
+        return _first_places(rows, sample_rows)
+
+    salted = drawn.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(COMBINERS)))
+    kept = salted.groupBy("tree", "_part").applyInArrow(lambda rows: lowest(rows.drop(["_part"])), schema)
+    return kept.groupBy("tree").applyInArrow(lowest, schema).drop("_word")
 
 
 def fit_isolation_forest(
@@ -151,21 +206,18 @@ def fit_isolation_forest(
 ) -> IsolationForest:
     """Draws the samples on Spark and grows the trees in parallel, one small group per tree.
 
-    Different keys are counted by a sketch of one per cent, far less than the spare rows drawn.
-    A tree left with less than nine tenths of its sample is an error.
+    The samples are held once, which also says how many rows every tree has.
     """
     columns = list(columns)
-    counted = F.approx_count_distinct(F.coalesce(F.col(key).cast("string"), F.lit("<null>")), 0.01)
-    distinct = train.agg(counted).first()[0]
-    if distinct == 0:
+    samples = stage_table(forest_samples(train, columns, key, trees, sample_rows, seed), "forest-samples")
+    sizes = [r["rows"] for r in samples.groupBy("tree").agg(F.count(F.lit(1)).alias("rows")).collect()]
+    if not sizes:
         raise ValueError("no training rows")
-    wanted = min(sample_rows, distinct)
-    depth = tree_depth(wanted)
-    samples = forest_samples(train, columns, key, distinct, trees, sample_rows, seed)
+    depth = tree_depth(max(sizes))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
-        picked = group.sort_values(["_order", "_key"]).head(sample_rows)
+        picked = group.sort_values(["_order", "_key"])
         x = picked[columns].to_numpy(dtype=float)
         feature, threshold, path = grow_tree(x, depth, np.random.default_rng([seed, tree]))
         return pd.DataFrame(
@@ -182,8 +234,6 @@ def fit_isolation_forest(
     tasks = min(trees, train.sparkSession.sparkContext.defaultParallelism)
     grown = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, TREE_DDL).collect()
     # One row per tree came back: bounded by the parameters, not by the table.
-    if len(grown) < trees or min(row["sample_rows"] for row in grown) < 0.9 * wanted:
-        raise ValueError(f"{len(grown)} of {trees} trees drew rows; some fewer than nine tenths of {wanted}")
     return _from_rows(sorted(grown, key=lambda row: row["tree"]), columns, {})
 
 

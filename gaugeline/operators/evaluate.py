@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from gaugeline.functions import keys
-from gaugeline.operators.selection import counts_below, join_groups, quantiles_by, top_k_flags
+from gaugeline.operators.selection import counts_below, joint_quantiles, top_k_flags
+from gaugeline.sources.workspace import spread_if_narrow
 
 SCORE_QUANTILES = {"score_p95": 0.95, "score_p99": 0.99}
 
@@ -25,15 +31,16 @@ def score_summary(
     mean of ``anomaly_flag``.  ``rows`` is the size of the group.
     """
     rates = rates or {"anomaly_rate": F.col("anomaly_flag")}
-    moments = scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.round(F.avg(flag.cast("double")), 6).alias(name) for name, flag in rates.items()],
-        F.round(F.avg(score), 6).alias("score_mean"),
-        F.round(F.stddev_pop(score), 6).alias("score_std"),
+    moments = {
+        "rows": F.count(F.lit(1)),
+        **{name: F.avg(flag.cast("double")) for name, flag in rates.items()},
+        "score_mean": F.avg(score),
+        "score_std": F.stddev_pop(score),
+    }
+    found = joint_quantiles(scored, {score: SCORE_QUANTILES}, by, moments)
+    return found.select(
+        *by, "rows", *[F.round(name, 6).alias(name) for name in [*moments, *SCORE_QUANTILES] if name != "rows"]
     )
-    quantiles = quantiles_by(scored, score, SCORE_QUANTILES, by)
-    rounded = quantiles.select(*by, *[F.round(name, 6).alias(name) for name in SCORE_QUANTILES])
-    return join_groups(moments, rounded, by)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -138,11 +145,79 @@ def feature_influence(
 # P(Poisson(1) <= w) for w = 0..4; a draw above all of them weighs 5.
 POISSON_CDF = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015)
 WORDS_PER_DIGEST = 4
+#: Groups a task sums up before it hands them on.
+GROUPS_HELD = 4_096
+
+
+def poisson_limits() -> list[int]:
+    """The same limits as 32-bit words."""
+    return [int(p * keys.BUCKET_RANGE) for p in POISSON_CDF]
+
+
+def _group_numbers(batch: pa.RecordBatch, by: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each group of a batch first occurs, and the group number of every row; null is a group."""
+    number = np.zeros(batch.num_rows, np.int64)
+    for c in by:
+        coded = batch.column(c).dictionary_encode(null_encoding="encode")
+        number = number * (len(coded.dictionary) + 1) + coded.indices.to_numpy()
+        number = np.unique(number, return_inverse=True)[1]
+    _, first, number = np.unique(number, return_index=True, return_inverse=True)
+    return first, number
+
 
+def _replicate_sums(by: list[str], metrics: int, iterations: int, seed: int, schema: pa.Schema):
+    """Per task the weight and the weighted metrics of every group and replicate."""
+    limits = np.array(poisson_limits(), np.uint32)
+    blocks = -(-iterations // WORDS_PER_DIGEST)
 
-def poisson_limits() -> list[str]:
-    """The same limits as 32-bit hex words, which compare like the numbers they spell."""
-    return [f"{int(p * keys.BUCKET_RANGE):08x}" for p in POISSON_CDF]
+    def emit(held: dict[tuple, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for group, (counts, weights, sums) in held.items():
+            columns = [pa.array([value] * iterations, schema.field(c).type) for c, value in zip(by, group, strict=True)]
+            columns += [pa.array(np.arange(iterations)), *(pa.array(np.full(iterations, n)) for n in counts), pa.array(weights[:iterations])]
+            columns += [pa.array(np.ascontiguousarray(sums[:iterations, i])) for i in range(metrics)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[np.ndarray]] = {}
+        md5 = hashlib.md5
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first, number = _group_numbers(batch, by)
+            order = np.argsort(number, kind="stable")
+            starts = np.searchsorted(number[order], np.arange(len(first)))
+            values = [batch.column(f"_m{i}") for i in range(metrics)]
+            present = np.stack([np.ones(batch.num_rows, np.int64), *(v.is_valid().to_numpy(zero_copy_only=False).astype(np.int64) for v in values)])
+            matrix = np.stack([v.fill_null(0.0).to_numpy(zero_copy_only=False) for v in values], axis=1)[order]
+            # A null key leaves only the salts in the digest.
+            words = [b"" if k is None else k.encode("utf-8") + b"|" for k in batch.column("_key").to_pylist()]
+            weights = np.empty((len(first), blocks * WORDS_PER_DIGEST))
+            sums = np.empty((len(first), blocks * WORDS_PER_DIGEST, metrics))
+            for block in range(blocks):
+                salts = f"{seed}|{block}".encode()
+                drawn = np.frombuffer(b"".join([md5(w + salts).digest() for w in words]), ">u4").astype(np.uint32)
+                weight = np.zeros(len(drawn), np.float64)
+                for limit in limits:
+                    weight += drawn >= limit
+                weight = weight.reshape(-1, WORDS_PER_DIGEST)[order]
+                part = slice(block * WORDS_PER_DIGEST, (block + 1) * WORDS_PER_DIGEST)
+                weights[:, part] = np.add.reduceat(weight, starts, axis=0)
+                for i in range(metrics):
+                    sums[:, part, i] = np.add.reduceat(weight * matrix[:, i : i + 1], starts, axis=0)
+            counts = np.add.reduceat(present[:, order], starts, axis=1)
+            groups = zip(*(batch.column(c).take(pa.array(first)).to_pylist() for c in by), strict=True) if by else [()]
+            for i, group in enumerate(groups):
+                if group in held:
+                    for mine, more in zip(held[group], (counts[:, i], weights[i], sums[i]), strict=True):
+                        mine += more
+                else:
+                    held[group] = [counts[:, i].copy(), weights[i].copy(), sums[i].copy()]
+            if len(held) > GROUPS_HELD:
+                yield from emit(held)
+                held = {}
+        yield from emit(held)
+
+    return run
 
 
 def bootstrap_intervals(
@@ -155,36 +230,21 @@ def bootstrap_intervals(
 ) -> DataFrame:
     """95 % intervals of the means of ``metrics`` by the Poisson bootstrap.
 
-    Each row weighs Poisson(1) in every replicate, drawn from the row key, so replicates need
-    no resampling shuffle: they are weighted sums, combined map-side.  One digest serves four
-    replicates.
+    Each row weighs Poisson(1) in every replicate, drawn from the md5 of its key, so replicates need
+    no resampling shuffle: a task multiplies weights and metrics of its rows and hands on one row per
+    group and replicate.  One digest serves four replicates.
     """
     by, names = list(by), list(metrics)
-    blocks = -(-iterations // WORDS_PER_DIGEST)
-    digests = df.select(
-        *by,
-        F.col(key).alias("_key"),
-        *[m.cast("double").alias(f"_m{i}") for i, m in enumerate(metrics.values())],
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-    ).withColumn("_digest", keys.digest("_key", seed, F.col("_block").cast("string")))
-
-    def weight(word: int) -> Column:
-        drawn = F.substring("_digest", 1 + 8 * word, 8)
-        chain = F
-        for value, limit in enumerate(poisson_limits()):
-            chain = chain.when(drawn < limit, value)
-        return chain.otherwise(len(POISSON_CDF))
-
-    weighted = digests.withColumns({f"_w{w}": weight(w) for w in range(WORDS_PER_DIGEST)})
-    sums = weighted.groupBy(*by, "_block").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(f"_w{w}").alias(f"_n{w}") for w in range(WORDS_PER_DIGEST)],
-        *[
-            F.sum(F.col(f"_w{w}") * F.col(f"_m{i}")).alias(f"_s{w}_{i}")
-            for w in range(WORDS_PER_DIGEST)
-            for i in range(len(names))
-        ],
+    slim = df.select(
+        *by, F.col(key).cast("string").alias("_key"), *[m.cast("double").alias(f"_m{i}") for i, m in enumerate(metrics.values())]
     )
+    counted = ["_rows", *[f"_p{i}" for i in range(len(names))]]
+    summed = ["_weight", *[f"_s{i}" for i in range(len(names))]]
+    fields = [StructField("_replicate", LongType()), *[StructField(c, LongType()) for c in counted], *[StructField(c, DoubleType()) for c in summed]]
+    schema = StructType([*[slim.schema[c] for c in by], *fields])
+    run = _replicate_sums(by, len(names), iterations, seed, to_arrow_schema(schema))
+    partial = spread_if_narrow(slim).mapInArrow(run, schema)
+    sums = partial.groupBy(*by, "_replicate").agg(*[F.sum(c).alias(c) for c in counted + summed])
     replicates = sums.select(
         *by,
         "_rows",
@@ -192,16 +252,14 @@ def bootstrap_intervals(
             F.array(
                 *[
                     F.struct(
-                        (F.col("_block") * WORDS_PER_DIGEST + w).alias("_replicate"),
                         F.lit(name).alias("metric"),
-                        F.try_divide(F.col(f"_s{w}_{i}"), F.col(f"_n{w}")).alias("_mean"),
+                        F.when(F.col(f"_p{i}") > 0, F.try_divide(F.col(f"_s{i}"), F.col("_weight"))).alias("_mean"),
                     )
-                    for w in range(WORDS_PER_DIGEST)
                     for i, name in enumerate(names)
                 ]
             )
         ),
-    ).filter(F.col("_replicate") < iterations)
+    )
     # At most ``iterations`` values per group and metric from here on.
     ends = F.percentile("_mean", F.array(F.lit(0.025), F.lit(0.975)))
     return (

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions import numeric
 from gaugeline.operators.anomaly import anomaly_flag
-from gaugeline.sources.workspace import pin_if_small
+from gaugeline.sources.workspace import pin_if_small, spread_if_narrow, stage_table
 
 # Texts of the business tables, and the rate from which staffing is advised.
 STAFFING_RATE = 0.05
@@ -214,3 +217,111 @@ def score_trend(
     return periods.select(
         F.date_format("_start", "yyyy-MM-dd HH:mm:ss").alias("period"), "mean_score", "row_count", F.inline(F.array(*flagged))
     )
+
+
+# -- histogram and trend in one pass ------------------------------------------------------------
+
+#: Bins a task holds of a period before it doubles their width.
+BINS_HELD = 4_096
+#: Bits of a bin's number at most, so that doubles hold it.
+BIN_BITS = 50
+
+
+def width_level(low: float, high: float, bins: int) -> int:
+    """The least power of two by which [low, high] falls into about ``bins`` bins."""
+    span, largest = high - low, max(abs(low), abs(high))
+    finest = math.frexp(largest)[1] - BIN_BITS if largest else -BIN_BITS
+    return max(finest, math.ceil(math.log2(span / bins))) if span > 0 else finest
+
+
+class PeriodBins:
+    """Rows, sums and bins of one period; bins are [n, n + 1) times 2 ** level, so two of them make one of the next level."""
+
+    def __init__(self) -> None:
+        self.rows = self.present = 0
+        self.total, self.low, self.high, self.level = 0.0, math.inf, -math.inf, -1100
+        self.bins: dict[int, int] = {}
+
+    def add(self, rows: int, values: np.ndarray) -> None:
+        self.rows += rows
+        if not len(values):
+            return
+        self.present += len(values)
+        self.total += float(values.sum())
+        self.low, self.high = min(self.low, float(values.min())), max(self.high, float(values.max()))
+        level = max(self.level, width_level(self.low, self.high, BINS_HELD))
+        if level > self.level:
+            held, self.bins = self.bins, {}
+            for n, count in held.items():
+                wider = n >> (level - self.level)
+                self.bins[wider] = self.bins.get(wider, 0) + count
+            self.level = level
+        for n, count in zip(*np.unique(np.floor(np.ldexp(values, -level)).astype(np.int64), return_counts=True), strict=True):
+            self.bins[int(n)] = self.bins.get(int(n), 0) + int(count)
+
+
+def _period_rows(points: list[float]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, tuple[PeriodBins, np.ndarray]] = {}
+        for batch in batches:
+            coded = batch.column("period").dictionary_encode(null_encoding="encode")
+            names, number = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            scores = batch.column("score")
+            valid = scores.is_valid().to_numpy(zero_copy_only=False)
+            values = scores.fill_null(0.0).to_numpy(zero_copy_only=False)
+            for i, name in enumerate(names):
+                own = number == i
+                mine = values[own & valid]
+                bins, flagged = held.setdefault(name, (PeriodBins(), np.zeros(len(points), np.int64)))
+                bins.add(int(own.sum()), mine[np.isfinite(mine)])
+                flagged += [int(((mine >= cut) | np.isnan(mine)).sum()) for cut in points]  # NaN is the largest
+        for name, (p, flagged) in held.items():
+            rows = [{"period": name, "n": p.rows, "present": p.present, "total": p.total, "low": p.low, "high": p.high, "level": p.level, "flagged": flagged.tolist()}]
+            rows += [{"period": name, "level": p.level, "bin": b, "n": n} for b, n in p.bins.items()]
+            yield pa.RecordBatch.from_pylist(rows, schema=_PERIOD_SCHEMA)
+
+    return run
+
+
+_PERIOD_SCHEMA = pa.schema(
+    [("period", pa.string()), ("level", pa.int32()), ("bin", pa.int64()), ("n", pa.int64()), ("present", pa.int64()), ("total", pa.float64())]
+    + [("low", pa.float64()), ("high", pa.float64()), ("flagged", pa.list_(pa.int64()))]
+)
+_PERIOD_DDL = "period string, level int, bin long, n long, present long, total double, low double, high double, flagged array<bigint>"
+
+
+def score_reports(
+    scored: DataFrame,
+    thresholds: dict[str, float],
+    bins: int = 20,
+    unit: str = "month",
+    timestamp: str = "timestamp",
+    score: str = "anomaly_score",
+) -> tuple[DataFrame, DataFrame]:
+    """A histogram per period and the trend, both from one scan that knows nothing of the scores before.
+
+    Every task starts with narrow bins and doubles their width whenever a score lies further out, so its
+    memory is fixed; bins of any two tasks nest, and in the end all are widened to the power of two that
+    cuts the whole range into about ``bins`` bins.  Counts are exact.  The histogram is ``(period, bin,
+    bin_start, row_count)`` over finite scores, the trend as of ``score_trend``.
+    """
+    period = F.date_format(F.date_trunc(unit, timestamp), "yyyy-MM-dd HH:mm:ss")
+    slim = scored.select(period.alias("period"), F.col(score).cast("double").alias("score"))
+    partial = stage_table(spread_if_narrow(slim).mapInArrow(_period_rows(list(thresholds.values())), _PERIOD_DDL), "period-bins")
+    whole = partial.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("level").alias("level")).first()
+    some = whole["low"] is not None and whole["low"] <= whole["high"]
+    level = max(whole["level"], width_level(whole["low"], whole["high"], bins)) if some else 0
+    counted = (
+        partial.filter(F.col("bin").isNotNull())
+        .withColumn("bin", F.expr(f"shiftright(bin, {level} - level)"))
+        .groupBy("period", "bin")
+        .agg(F.sum("n").alias("row_count"))
+    )
+    histogram = counted.withColumn("bin_start", F.col("bin") * F.lit(math.ldexp(1.0, level)))
+    sums = partial.filter(F.col("bin").isNull()).groupBy("period").agg(
+        F.round(F.try_divide(F.sum("total"), F.sum("present")), 6).alias("mean_score"),
+        F.sum("n").alias("row_count"),
+        *[F.sum(F.col("flagged")[i]).alias(f"_n{i}") for i in range(len(thresholds))],
+    )
+    points = [F.struct(F.lit(a).alias("algorithm"), F.col(f"_n{i}").alias("flagged")) for i, a in enumerate(thresholds)]
+    return histogram.select("period", "bin", "bin_start", "row_count"), sums.select("period", "mean_score", "row_count", F.inline(F.array(*points)))

@@ -4,7 +4,9 @@ A column is cut into value ranges ("tiles") at quantiles of a sample.  Only row
 tile are gathered; from them follows which few tiles hold the wanted ranks, and only the
 rows of those tiles are looked at again.  The sampled cuts decide how even the tiles are,
 never the result: ranks come from exact counts.  Equal values are collapsed to
-(value, count) before any shuffle, so one dominant value cannot overload a task.
+(value, count) before any shuffle, so one dominant value cannot overload a task.  Quantiles use
+sketched brackets instead, shared by all columns and groups, and a full ranking cuts the sorted
+distinct values into ranges of equally many rows.
 
 A frame counted to have at most ``ONE_TILE_ROWS`` rows takes Spark's own exact aggregate or
 window instead, which is fewer passes; both ways give the same rows.  The frame is read up to
@@ -17,7 +19,7 @@ structs whose fields are null are equal in joins, where plain nulls never are.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, floor
+from math import ceil
 from typing import NamedTuple
 
 import numpy as np
@@ -26,15 +28,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.functions import keys
-from gaugeline.sources.workspace import pin_if_small
+from gaugeline.sources.workspace import pin_if_small, stage_table
 
 ONE_TILE_ROWS = 1_000_000
-# Selection looks again at few tiles and can cut those again; a full ranking visits all tiles once.
+# Few tiles are looked at again, and those can be cut again.
 SELECTION_TILES = 4096
-RANKING_TILES = 65_536
 SAMPLES_PER_TILE = 16
 MIN_SAMPLE = 100_000
 MAX_LEVELS = 3
+# Accuracy of the sketched brackets: their rank error is at most rows / SKETCH.
+SKETCH = 10_000
 SEED = 42
 GROUP = "_group"
 
@@ -186,26 +189,137 @@ def values_at(tiled: Tiled, ranks: DataFrame | Sequence[int], level: int = 1) ->
 # -- quantiles ----------------------------------------------------------------------------------
 
 
+class Slot(NamedTuple):
+    """One wanted quantile: the number of its column, its name, and its probability."""
+
+    column: int
+    name: str
+    probability: float
+
+
+def joint_quantiles(
+    df: DataFrame,
+    wanted: dict[str, dict[str, float]],
+    by: Sequence[str] = (),
+    extra: dict[str, Column] | None = None,
+    one_tile_rows: int = ONE_TILE_ROWS,
+) -> DataFrame:
+    """Exact quantiles of several columns per group: ``(*by, *extra, <name>...)``.
+
+    ``wanted`` is ``{column: {name: probability}}`` with linear interpolation; names are unique.
+    Columns and groups share their scans, at most three whatever their number: one counts the rows,
+    computes the ``extra`` aggregates, and sketches a narrow bracket around each wanted rank; one
+    counts the values below each bracket; one gathers the few values inside.  With at most
+    ``one_tile_rows`` rows the second scan aggregates exactly instead, and there is no third.  Ranks
+    come from exact counts: a bracket that misses its rank is opened to the whole column and counted again.
+    """
+    frame, key = grouped(df, by)
+    groups = [F.col(GROUP)[c].alias(c) for c in by]
+    slots = [Slot(i, name, float(p)) for i, asked in enumerate(wanted.values()) for name, p in asked.items()]
+    # Adding 0.0 turns -0.0 into 0.0.
+    values = {f"_v{i}": F.col(c).cast("double") + F.lit(0.0) for i, c in enumerate(wanted)}
+    numbers = range(len(wanted))
+    counts = [F.count(v).alias(f"_n{i}") for i, v in enumerate(values.values())]
+    extra = extra or {}
+    own = [e.alias(f"_x{i}") for i, e in enumerate(extra.values())]
+    sketches = [
+        F.percentile_approx(v, F.array(*[F.lit(e) for s in slots if s.column == i for e in _bracket(s.probability)]), SKETCH).alias(f"_s{i}")
+        for i, v in enumerate(values.values())
+    ]
+    summary = pin_if_small(frame.groupBy(*key).agg(*own, *counts, *sketches))
+    totals = summary.agg(*[F.sum(f"_n{i}") for i in numbers]).first()
+    slim = frame.select(*key, *[v.alias(n) for n, v in values.items()])
+    if max((t or 0 for t in totals), default=0) <= one_tile_rows:
+        exact = [
+            F.percentile(f"_v{i}", F.array(*[F.lit(s.probability) for s in slots if s.column == i])).alias(f"_q{i}") for i in numbers
+        ]
+        found = slim.groupBy(*key).agg(*exact)
+        place = {s: [x for x in slots if x.column == s.column].index(s) for s in slots}
+        answers = found.select(*key, *[F.col(f"_q{s.column}")[place[s]].alias(f"_a{i}") for i, s in enumerate(slots)])
+    else:
+        answers = _bracketed(slim, summary, slots, key, one_tile_rows)
+    joined = summary.join(answers, key, "left") if key else summary.join(answers)
+    names = [F.col(f"_a{i}").alias(s.name) for i, s in enumerate(slots)]
+    extras = [F.col(f"_x{i}").alias(name) for i, name in enumerate(extra)]
+    return joined.select(*groups, *extras, *names)
+
+
+def _bracket(probability: float) -> tuple[float, float]:
+    """Probabilities that hold the wanted rank between them, twice the sketch's error apart."""
+    return max(0.0, probability - 2 / SKETCH), min(1.0, probability + 2 / SKETCH)
+
+
+def _bracketed(slim: DataFrame, summary: DataFrame, slots: list[Slot], key: list[str], one_tile_rows: int) -> DataFrame:
+    """``(*key, _a0, _a1, ...)``: the wanted quantiles from counts below and inside their brackets."""
+    edges, seen = [], dict.fromkeys(range(len(slots)), 0)
+    for i, s in enumerate(slots):
+        at = 2 * seen[s.column]
+        seen[s.column] += 1
+        low, high = _bracket(s.probability)
+        # Open ends: nothing is below minus infinity, and NaN is the largest double.
+        edges.append((F.lit(float("-inf")) if low <= 0 else F.col(f"_s{s.column}")[at]).alias(f"_lo{i}"))
+        edges.append((F.lit(float("nan")) if high >= 1 else F.col(f"_s{s.column}")[at + 1]).alias(f"_hi{i}"))
+    total = {i: F.col(f"_n{s.column}") for i, s in enumerate(slots)}
+    bounds = summary.select(*key, *[f"_n{i}" for i in sorted({s.column for s in slots})], *edges)
+    every = range(len(slots))
+    for last in (False, True):
+        bounds = pin_if_small(bounds)
+        facing = slim.join(bounds, key) if key else slim.join(bounds)
+        value = [F.col(f"_v{s.column}") for s in slots]
+        inside = [(value[i] >= F.col(f"_lo{i}")) & (value[i] <= F.col(f"_hi{i}")) for i in every]
+        below = pin_if_small(facing.groupBy(*key).agg(*[F.count_if(value[i] < F.col(f"_lo{i}")).alias(f"_b{i}") for i in every]))
+        some = inside[0]
+        for condition in inside[1:]:
+            some = some | condition
+        met = F.array(*[F.when(inside[i], F.struct(F.lit(i).alias("_slot"), value[i].alias("_value"))) for i in every])
+        near = facing.filter(some).select(*key, F.inline(F.filter(met, lambda x: x.isNotNull())))
+        collapsed = stage_table(near.groupBy(*key, "_slot", "_value").agg(F.count(F.lit(1)).alias("_rows")), "brackets")
+        ranks = bounds.join(below, key) if key else bounds.join(below)
+        ranks = ranks.select(
+            *key,
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(i).alias("_slot"), ((total[i] - 1) * F.lit(s.probability)).alias("_at"), F.col(f"_b{i}").alias("_before"), total[i].alias("_total"))
+                        for i, s in enumerate(slots)
+                    ]
+                )
+            ),
+        )
+        held = collapsed.groupBy(*key, "_slot").agg(F.sum("_rows").alias("_inside"))
+        checked = pin_if_small(ranks.join(held, [*key, "_slot"], "left"))
+        reached = (F.col("_before") <= F.floor("_at")) & (F.ceil("_at") < F.col("_before") + F.coalesce("_inside", F.lit(0)))
+        if last or checked.filter((F.col("_total") > 0) & ~reached).isEmpty():
+            break
+        missed = [r["_slot"] for r in checked.filter((F.col("_total") > 0) & ~reached).select("_slot").distinct().collect()]
+        bounds = bounds.withColumns(
+            {f"_{end}{i}": F.lit(open_) for i in missed for end, open_ in (("lo", float("-inf")), ("hi", float("nan")))}
+        )
+    summed = running_sums(collapsed, "_value", ["_rows"], [*key, "_slot"], one_tile_rows)
+    placed = summed.join(checked, [*key, "_slot"]).withColumn("_below", F.col("_before") + F.col("_rows_below"))
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("_below")) & (rank < F.col("_below") + F.col("_rows"))
+
+    low, high = F.floor("_at"), F.ceil("_at")
+    ends = placed.filter(holds(low) | holds(high)).groupBy(*key, "_slot").agg(
+        F.max(F.when(holds(low), F.col("_value"))).alias("_low"),
+        F.max(F.when(holds(high), F.col("_value"))).alias("_high"),
+        F.first(F.col("_at") - F.floor("_at")).alias("_part"),
+    )
+    between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
+        F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")
+    )
+    return ends.groupBy(*key).agg(*[F.max(F.when(F.col("_slot") == i, between)).alias(f"_a{i}") for i in every])
+
+
 def quantile_values(
     df: DataFrame, value: str, probabilities: Sequence[float], one_tile_rows: int = ONE_TILE_ROWS
 ) -> list[float]:
     """Exact quantiles of one column with linear interpolation; empty input gives an empty list."""
-    present = df.select(value).filter(F.col(value).isNotNull())
-    rows = present.count()
-    if rows == 0:
-        return []
-    if rows <= one_tile_rows:
-        return list(present.agg(F.percentile(F.col(value).cast("double"), list(probabilities))).first()[0])
-    positions = [(rows - 1) * p for p in probabilities]
-    ranks = sorted({r for p in positions for r in (floor(p), ceil(p))})
-    found = values_at(tile_column(present, value, (), one_tile_rows), ranks).collect()
-    at = {row["_rank"]: float(row[value]) for row in found}
-
-    def between(position: float) -> float:
-        low, high = at[floor(position)], at[ceil(position)]
-        return low if low == high else low + (high - low) * (position - floor(position))
-
-    return [between(p) for p in positions]
+    asked = {value: {f"q{i}": p for i, p in enumerate(probabilities)}}
+    found = joint_quantiles(df.select(value), asked, one_tile_rows=one_tile_rows).first()
+    return [] if found is None or found[0] is None else [float(q) for q in found]
 
 
 def quantiles_by(
@@ -215,29 +329,12 @@ def quantiles_by(
     by: Sequence[str],
     one_tile_rows: int = ONE_TILE_ROWS,
 ) -> DataFrame:
-    """Exact quantiles per group: ``(*by, <name>...)`` for ``{name: probability}``."""
-    columns = [*by]
-    present, by = grouped(df.select(*by, value).filter(F.col(value).isNotNull()), by)
-    groups = [F.col(GROUP)[c].alias(c) for c in columns]
-    if present.count() <= one_tile_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-        found = present.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), wanted).alias("_q"))
-        return found.select(*groups, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)])
-    tiled = tile_column(present, value, by, one_tile_rows)
-    position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
-    ends = [f(p).cast("bigint") for p in position.values() for f in (F.floor, F.ceil)]
-    ranks = tiled.totals.select(*by, F.explode(F.array_distinct(F.array(*ends))).alias("_rank"))
-    found = values_at(tiled, ranks).join(tiled.totals, list(by))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("_rank") == rank, F.col(value).cast("double")))
-
-    def between(p: Column) -> Column:
-        low, high = at(F.floor(p)), at(F.ceil(p))
-        return F.when(low == high, low).otherwise(low + (high - low) * F.max(p - F.floor(p)))
-
-    quantiles = found.groupBy(*by).agg(*[between(p).alias(name) for name, p in position.items()])
-    return quantiles.select(*groups, *probabilities)
+    """Exact quantiles per group: ``(*by, <name>...)`` for ``{name: probability}``.
+
+    Groups without a value are left out.
+    """
+    present = df.select(*by, value).filter(F.col(value).isNotNull())
+    return joint_quantiles(present, {value: probabilities}, by, one_tile_rows=one_tile_rows)
 
 
 def approx_quantiles_by(
@@ -375,30 +472,40 @@ def counts_below(
     """Per distinct value: the summed amounts and their sums over all smaller values.
 
     ``amounts`` maps a name to an expression; each gives columns ``<name>`` and
-    ``<name>_below``.  Values are summed map-side first, then ranked tile by tile, each tile
-    starting from the summed amounts of the tiles before it.
+    ``<name>_below``.  Values are summed map-side first, then ranked range by range.
     """
     names = list(amounts)
     groups = [F.col(GROUP)[c].alias(c) for c in by]
     present, by = grouped(df.filter(F.col(value).isNotNull()), by)
-    rows = present.count()
-    sums = [F.sum(expr).alias(name) for name, expr in amounts.items()]
-    if rows <= one_tile_rows:
-        counted = present.groupBy(*by, value).agg(*sums)
-        below = [rows_before(n, value, by).alias(f"{n}_below") for n in names]
-        return counted.select(*groups, value, *names, *below)
-    frame = with_tiles(present, value, rows, one_tile_rows, RANKING_TILES)
-    tile_key = [*by, "_tile"]
-    starts = pin_if_small(
-        frame.groupBy(*tile_key)
-        .agg(*sums)
-        .select(*tile_key, *[rows_before(n, "_tile", by).alias(f"_{n}_start") for n in names])
-    )
-    ranked = frame.groupBy(*tile_key, value).agg(*sums)
-    ranked = ranked.select("*", *[rows_before(n, value, tile_key).alias(f"_{n}_inside") for n in names])
-    return ranked.join(starts, tile_key).select(
-        *groups,
-        value,
-        *names,
-        *[(F.col(f"_{n}_start") + F.col(f"_{n}_inside")).alias(f"{n}_below") for n in names],
+    counted = present.groupBy(*by, value).agg(*[F.sum(expr).alias(name) for name, expr in amounts.items()])
+    below = running_sums(stage_table(counted, "distinct-values"), value, names, by, one_tile_rows)
+    return below.select(*groups, value, *names, *[f"{n}_below" for n in names])
+
+
+def value_ranges(distinct: DataFrame, value: str, by: Sequence[str], task_rows: int) -> DataFrame:
+    """Adds ``_task``: rows in the order of group and value, cut into ranges of about ``task_rows``.
+
+    The ranges follow the rows, not the values: however densely values lie, each range is one task's.
+    """
+    rows = distinct.count()
+    if rows <= task_rows:
+        return distinct.withColumn("_task", F.lit(0))
+    dealt = distinct.repartitionByRange(-(-rows // task_rows), *by, value)
+    return stage_table(dealt.withColumn("_task", F.spark_partition_id()), "value-ranges")
+
+
+def running_sums(distinct: DataFrame, value: str, names: Sequence[str], by: Sequence[str], task_rows: int) -> DataFrame:
+    """Adds ``<name>_below`` for each amount: its sum over the group's smaller values.
+
+    ``distinct`` is a staged table with one row per group and value.  A range starts from the sums of
+    the ranges before it, so no task holds a whole group.
+    """
+    placed = value_ranges(distinct, value, by, task_rows)
+    task_key = [*by, "_task"]
+    starts = placed.groupBy(*task_key).agg(*[F.sum(n).alias(n) for n in names])
+    starts = pin_if_small(starts.select(*task_key, *[rows_before(n, "_task", by).alias(f"_{n}_start") for n in names]))
+    inside = placed.select("*", *[rows_before(n, value, task_key).alias(f"_{n}_inside") for n in names])
+    joined = inside.join(starts, task_key)
+    return joined.select(
+        *distinct.columns, *[(F.col(f"_{n}_start") + F.col(f"_{n}_inside")).alias(f"{n}_below") for n in names]
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from time import perf_counter
 
@@ -16,8 +16,8 @@ from gaugeline.operators.schema import ingest, sanitize_columns, timestamp_failu
 from gaugeline.operators.selection import join_groups
 from gaugeline.operators.stages import StageLog
 from gaugeline.plans import scaling
-from gaugeline.sources.reports import conform, write_report, write_stage_metrics
-from gaugeline.sources.telemetry import write_curated
+from gaugeline.sources.reports import conform, write_report, write_scores, write_stage_metrics
+from gaugeline.sources.telemetry import Quarantined, write_curated
 from gaugeline.sources.workspace import release_tables, stage_table
 
 KEY = "row_key"
@@ -62,14 +62,16 @@ def metrics_table(scored: DataFrame, thresholds: dict[str, float], labelled: boo
     return join_groups(join_groups(table, topk, ["split"]), auc, ["split"])
 
 
-def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) -> dict[str, str]:
+def run_reports(raw: DataFrame | Quarantined, out_dir: str, measure_scaling: bool = False) -> dict[str, str]:
     """Runs every stage and writes every report; returns the path of each report.
 
-    Two stages are written to the shared folder: the distinct rows with their copy counts, which
-    both the quality report and the dedup read, and the scored rows.  Everything between them is
-    a projection or a broadcast join, cheap to repeat from these, and a lost executor never costs
-    more than a re-read.
+    Every stage is held in the shared folder, so a lost executor never costs more than a re-read and
+    its times and rows are those of its own work.  Each stage's rows hold all columns of the stages
+    before it, whose tables are released once the split is done.  A quarantined scan also has its bad
+    lines counted in the quality report and written to ``quarantine``.
     """
+    bad = raw if isinstance(raw, Quarantined) else None
+    raw = bad.rows if bad else raw
     spark = raw.sparkSession
     log = StageLog()
     written: dict[str, str] = {}
@@ -78,50 +80,41 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
     def report(name: str, frame: DataFrame) -> None:
         written[name] = write_report(conform(frame, name), out_dir, name)
 
+    def stage(name: str, build: Callable[[], DataFrame], before: str | None, **how) -> DataFrame:
+        return log.run(name, build, log.rows_of(before) if before else None, STAGE_NOTES[name], paths=staged, **how)
+
     try:
         ingested = ingest(raw)
-        groups = log.run(
+        groups = stage(
             "ingestion_validation",
-            lambda: stage_table(with_row_key(quality.collapse_copies(ingested.frame), ingested.frame.columns), "rows", staged),
+            lambda: with_row_key(quality.collapse_copies(ingested.frame), ingested.frame.columns),
             None,
-            STAGE_NOTES["ingestion_validation"],
             count=lambda frame: frame.agg(F.sum(quality.COPIES)).first()[0] or 0,
         )
-        report(
-            "data_quality_report",
-            quality.quality_of_groups(groups, ingested.features, ingested.has_label).union(
-                timestamp_failures(sanitize_columns(raw))
-            ),
-        )
-        clean = log.run(
+        checked = quality.quality_of_groups(groups, ingested.features, ingested.has_label)
+        checked = checked.union(timestamp_failures(sanitize_columns(raw)))
+        if bad:
+            checked = checked.union(bad.report())
+            bad.bad_lines.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
+        report("data_quality_report", checked)
+        clean = stage(
             "basic_etl",
             lambda: groups.drop(quality.COPIES).withColumn("class", labels.clean_label("class")),
-            log.rows_of("ingestion_validation"), STAGE_NOTES["basic_etl"],
-        )
-        enriched = log.run(
-            "broadcast_etl", lambda: enrich(clean), log.rows_of("basic_etl"),
-            STAGE_NOTES["broadcast_etl"],
+            "ingestion_validation",
         )
+        enriched = stage("broadcast_etl", lambda: enrich(clean), "basic_etl")
+        curated = [c for c in enriched.columns if c != KEY]
         featured, columns = features.with_risk_scores(enriched, ingested.features)
-        log.run(
-            "feature_engineering", lambda: featured, log.rows_of("broadcast_etl"),
-            STAGE_NOTES["feature_engineering"],
-        )
-        parts = log.run(
-            "data_split", lambda: split.split_rows(featured, KEY),
-            log.rows_of("feature_engineering"),
-            STAGE_NOTES["data_split"],
-        )
+        held = stage("feature_engineering", lambda: featured, "broadcast_etl")
+        parts = stage("data_split", lambda: split.split_rows(held, KEY), "feature_engineering")
+        release_tables(spark, [staged.pop(0) for _ in range(4)])
 
-        labelled = quality.has_ground_truth(clean)
+        labelled = quality.has_ground_truth(parts)
 
         started = perf_counter()
         forest = anomaly.fit_isolation_forest(parts.filter("split = 'train'"), columns, KEY)
         fit_seconds = round(perf_counter() - started, 4)
-        scored = log.run(
-            "train_unsupervised", lambda: stage_table(forest.score(parts), "scored", staged), log.rows_of("data_split"),
-            STAGE_NOTES["train_unsupervised"],
-        )
+        scored = stage("train_unsupervised", lambda: forest.score(parts), "data_split")
         thresholds = anomaly.operating_points(scored.filter("split = 'train'"))
         replace(forest, cuts=thresholds).save(spark, f"{out_dir}/models/isolation_forest")
         summary = metrics_table(scored, thresholds, labelled)
@@ -143,19 +136,16 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
             "feature_importance",
             evaluate.feature_influence(scored.filter("split = 'validation'"), columns, list(thresholds)),
         )
-        exported = anomaly.anomaly_scores(scored, thresholds)
-        if "timestamp" not in exported.columns:
-            exported = exported.withColumn("timestamp", F.lit(None).cast("timestamp"))
-        report("anomaly_scores", exported)
+        written["anomaly_scores"] = write_scores(scored, thresholds, out_dir)
         report("bootstrap_confidence_intervals", intervals_table(scored, thresholds))
-        report("class_distribution", reports.class_distribution(enriched))
+        report("class_distribution", reports.class_distribution(parts))
         report("split_summary", reports.split_summary(parts))
-        report("family_risk_distribution", reports.mode_risk_distribution(enriched))
-        deviations = reports.sensor_stddev(clean, ingested.features)
+        report("family_risk_distribution", reports.mode_risk_distribution(parts))
+        deviations = reports.sensor_stddev(parts, ingested.features)
         report("business_insights", reports.business_insights(summary, deviations))
         report("business_metric_alignment", reports.business_alignment(summary))
         if measure_scaling:
-            strong, weak = scaling.strong_scaling(enriched), scaling.weak_scaling(featured, KEY)
+            strong, weak = scaling.strong_scaling(parts.select(KEY, *curated)), scaling.weak_scaling(parts.drop("split"), KEY)
             report("scalability_strong", strong)
             report("scalability_weak", weak)
             report("cost_performance", scaling.cost_performance(strong, weak))
@@ -164,7 +154,7 @@ def run_reports(raw: DataFrame, out_dir: str, measure_scaling: bool = False) ->
             log.stage_metrics(spark), f"{out_dir}/spark_job_metrics",
             {"selected_stage": "all", "run_scalability": str(measure_scaling).lower()},
         )
-        write_curated(enriched.drop(KEY), f"{out_dir}/curated_parquet")
+        write_curated(parts.select(*curated), f"{out_dir}/curated_parquet")
     except Exception as error:
         if not any(status == "failed" for _, status, *_ in log.lineage):
             log.fail("run", error)

@@ -129,7 +129,7 @@ def stratified_folds(spark, sf):
 _ITERATIONS = 20
 _LIMITS = poisson_limits()
 _WEIGHT = "CASE " + " ".join(
-    f"WHEN drawn < '{limit}' THEN {w}" for w, limit in enumerate(_LIMITS)
+    f"WHEN drawn < '{limit:08x}' THEN {w}" for w, limit in enumerate(_LIMITS)
 ) + f" ELSE {len(_LIMITS)} END"
 
 

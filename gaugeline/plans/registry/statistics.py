@@ -10,6 +10,7 @@ from gaugeline.functions.numeric import epoch_seconds
 from gaugeline.operators import anomaly, evaluate, features, reports, selection, split
 from gaugeline.plans.registry.base import over, query, union_all, value_query
 from gaugeline.plans.telemetry import KEY, SENSORS, deviation_score, featured, labelled, lineitem, telemetry
+from gaugeline.sources.workspace import stage_table
 
 FEATURES = (*SENSORS, "sensor_risk_score", "mode_risk_score")
 
@@ -25,7 +26,7 @@ def thresholds_of(scored: DataFrame) -> dict[str, float]:
 
 
 def flagged_rows(spark, sf) -> DataFrame:
-    scored = scored_rows(spark, sf)
+    scored = staged_scores(spark, sf)
     return anomaly.by_operating_point(scored, thresholds_of(scored))
 
 
@@ -33,8 +34,13 @@ def summary_of(scored: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     return anomaly.operating_point_summary(scored, thresholds).drop("anomaly_threshold")
 
 
+def staged_scores(spark, sf, *columns: str) -> DataFrame:
+    """The split and score of every row, computed once for all that summarise them."""
+    return stage_table(scored_rows(spark, sf).select("split", "anomaly_score", *columns), "scored")
+
+
 def summary_table(spark, sf) -> DataFrame:
-    scored = scored_rows(spark, sf)
+    scored = staged_scores(spark, sf)
     return summary_of(scored, thresholds_of(scored))
 
 
@@ -118,11 +124,36 @@ _QUANTILE_COLUMNS = ("seconds", "tp2", "tp3", "h1", "reservoirs")
 def quantiles_exact(spark, sf):
     rows = telemetry(spark, sf)
     rows = rows.withColumn("seconds", epoch_seconds(rows, "timestamp"))
-    found = [
-        (c, *[round(v, 6) for v in selection.quantile_values(rows.select(c), c, split.BOUNDARIES)])
+    asked = {c: {f"{c}_q{i}": p for i, p in enumerate(split.BOUNDARIES)} for c in _QUANTILE_COLUMNS}
+    found = selection.joint_quantiles(rows, asked)
+    measures = [
+        F.struct(F.lit(c).alias("measure"), F.round(f"{c}_q0", 6).alias("q60"), F.round(f"{c}_q1", 6).alias("q80"))
         for c in _QUANTILE_COLUMNS
     ]
-    return spark.createDataFrame(found, "measure STRING, q60 DOUBLE, q80 DOUBLE")
+    return found.select(F.inline(F.array(*measures)))
+
+
+_BY_CLASS = ("tp3", "h1", "oil_temperature")
+
+
+@query(
+    "quantiles_joint_by_class",
+    over(
+        "telemetry",
+        "SELECT class, "
+        + ", ".join(
+            f"round(quantile_cont({c}, {p}), 6) AS {c}_q{i}" for c in _BY_CLASS for i, p in enumerate((0.05, 0.5, 0.999))
+        )
+        + """, count(*) AS "rows" FROM (SELECT *, CASE WHEN lps = 1 THEN NULL ELSE label END AS class FROM telemetry)
+             GROUP BY class""",
+    ),
+)
+def quantiles_joint_by_class(spark, sf):
+    """Quantiles of several columns per class, rows without a class a group of their own, from shared scans."""
+    rows = telemetry(spark, sf).withColumn("class", F.when(F.col("lps") == 0, F.col("label")))
+    asked = {c: {f"{c}_q{i}": p for i, p in enumerate((0.05, 0.5, 0.999))} for c in _BY_CLASS}
+    found = selection.joint_quantiles(rows, asked, ("class",), {"rows": F.count(F.lit(1))}, one_tile_rows=10_000)
+    return found.select("class", "rows", *[F.round(name, 6).alias(name) for names in asked.values() for name in names])
 
 
 @query(
@@ -167,7 +198,7 @@ def score_summary(spark, sf):
     over("points", "SELECT algorithm, round(threshold, 9) AS threshold FROM points"),
 )
 def quantile_threshold(spark, sf):
-    rows = [(a, round(t, 9)) for a, t in thresholds_of(scored_rows(spark, sf)).items()]
+    rows = [(a, round(t, 9)) for a, t in thresholds_of(staged_scores(spark, sf)).items()]
     return spark.createDataFrame(rows, "algorithm STRING, threshold DOUBLE")
 
 
@@ -194,7 +225,7 @@ def anomaly_operating_points(spark, sf):
     ),
 )
 def anomaly_scores(spark, sf):
-    scored = scored_rows(spark, sf)
+    scored = staged_scores(spark, sf, "timestamp", "class")
     exported = anomaly.anomaly_scores(scored, thresholds_of(scored))
     return exported.withColumn("anomaly_score", F.round("anomaly_score", 9))
 
@@ -210,7 +241,7 @@ def anomaly_scores(spark, sf):
     ),
 )
 def model_selection(spark, sf):
-    scored = scored_rows(spark, sf)
+    scored = staged_scores(spark, sf)
     cuts = thresholds_of(scored)
     table = anomaly.model_selection(summary_of(scored, cuts), cuts)
     params = F.from_json("params", "threshold_quantile DOUBLE, threshold_value DOUBLE")

@@ -9,6 +9,7 @@ from gaugeline.operators import quality, reports, stages, supervised
 from gaugeline.operators.anomaly import anomaly_flag
 from gaugeline.operators.enrich import enrich
 from gaugeline.plans.registry.base import over, query
+from gaugeline.plans.registry.statistics import staged_scores, thresholds_of
 from gaugeline.plans.telemetry import KEY, SENSORS, labelled, telemetry
 from gaugeline.sources import reports as sinks
 from gaugeline.sources import telemetry as scans
@@ -82,6 +83,77 @@ def parquet_partition_roundtrip(spark, sf):
     )
 
 
+@query(
+    "scan_quarantine",
+    """SELECT CASE l_linenumber WHEN 5 THEN 'other type' WHEN 6 THEN 'too few fields' ELSE 'read' END AS kind,
+              count(*) AS row_count, sum(CASE WHEN l_linenumber NOT IN (5, 6) THEN l_quantity END) AS total
+       FROM lineitem GROUP BY kind""",
+)
+def scan_quarantine(spark, sf):
+    """Lines with a text for a number, and lines that end early, kept apart from those that were read."""
+    folder = new_path(spark, "raw")
+    slim = _SLIM.names[1:]
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.when(F.col("l_linenumber") == 5, F.lit("soon")).otherwise(F.col("l_quantity").cast("string")).alias("tp2"),
+        F.col("l_discount").cast("string").alias("h1"),
+        F.lit("1").alias("comp"),
+        F.col("l_returnflag").alias("label"),
+        F.col("l_linenumber").alias("kind"),
+    )
+    short = F.concat_ws(",", "tp2", "h1")
+    line = F.when(F.col("kind") == 6, short).otherwise(F.concat_ws(",", *slim))
+    # Another separator, so that the lines are written as they are.
+    rows.select(line.alias(",".join(slim))).write.option("header", True).option("sep", "\x01").csv(folder)
+    found = scans.scan_quarantined(spark, None, folder, T.StructType(_SLIM.fields[1:]), pattern="part-*.csv")
+    read = found.rows.agg(F.lit("read").alias("kind"), F.count(F.lit(1)).alias("row_count"), F.sum("tp2").alias("total"))
+    kind = F.when(F.col("fields") == len(slim), "other type").otherwise("too few fields")
+    bad = found.bad_lines.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("row_count"))
+    return read.unionByName(bad, allowMissingColumns=True)
+
+
+@query(
+    "curated_class_update",
+    over(
+        "enriched",
+        """SELECT class, count(*) AS row_count, sum(tp2) AS total FROM enriched
+           WHERE class <> 'malware' OR tp2 > 25 GROUP BY class""",
+    ),
+)
+def curated_class_update(spark, sf):
+    """One class of the curated table written anew; the others stay."""
+    path = new_path(spark, "curated")
+    rows = enrich(labelled(spark, sf))
+    scans.write_curated(rows, path)
+    scans.update_curated(rows.filter("class = 'malware' AND tp2 > 25"), path)
+    return spark.read.parquet(path).groupBy("class").agg(F.count(F.lit(1)).alias("row_count"), F.sum("tp2").alias("total"))
+
+
+@query(
+    "scored_export",
+    over(
+        "flagged",
+        """SELECT algorithm, split, class, count(*) AS row_count, sum(anomaly_flag)::BIGINT AS flagged,
+                  round(max(anomaly_score), 9) AS highest, strftime(max("timestamp"), '%Y-%m-%d') AS last_day
+           FROM flagged GROUP BY ALL""",
+    ),
+)
+def scored_export(spark, sf):
+    """Scored rows written once with a flag per operating point, unfolded while reading."""
+    folder = new_path(spark, "reports")
+    scored = staged_scores(spark, sf, "timestamp", "class")
+    sinks.write_scores(scored, thresholds_of(scored), folder)
+    return (
+        sinks.read_report(spark, folder, "anomaly_scores")
+        .groupBy("algorithm", "split", "class")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum("anomaly_flag").alias("flagged"),
+            F.round(F.max("anomaly_score"), 9).alias("highest"),
+            F.date_format(F.max("timestamp"), "yyyy-MM-dd").alias("last_day"),
+        )
+    )
+
+
 @query(
     "report_csv_roundtrip",
     over(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gaugeline.sources.telemetry import path_exists
+
 # Columns of each report table.
 REPORT_DDL = {
     "etl_stage_timings": "stage STRING, duration_seconds DOUBLE, rows BIGINT",
@@ -63,8 +65,41 @@ def write_report(df: DataFrame, folder: str, report: str) -> str:
     return path
 
 
+# -- scored rows --------------------------------------------------------------------------------
+
+FLAG_PREFIX = "flag_"
+
+
+def write_scores(scored: DataFrame, thresholds: dict[str, float], folder: str, score: str = "anomaly_score") -> str:
+    """The scored-row export: every row once, with a flag for each operating point, partitioned by split."""
+    path = f"{folder.rstrip('/')}/anomaly_scores"
+    declared = StructType.fromDDL(REPORT_DDL["anomaly_scores"])
+    kept = [
+        (F.col(f.name) if f.name in scored.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in declared
+        if f.name in ("timestamp", "class")
+    ]
+    flags = [(F.col(score) >= F.lit(cut)).cast("int").alias(f"{FLAG_PREFIX}{name}") for name, cut in thresholds.items()]
+    rows = scored.select("split", F.col(score).cast("double").alias("anomaly_score"), *flags, *kept)
+    rows.write.mode("overwrite").partitionBy("split").parquet(path)
+    return path
+
+
+def read_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The export as the report table: a row per operating point, unfolded while reading."""
+    held = spark.read.parquet(f"{folder.rstrip('/')}/anomaly_scores")
+    flags = [c for c in held.columns if c.startswith(FLAG_PREFIX)]
+    points = F.array(*[F.struct(F.lit(c.removeprefix(FLAG_PREFIX)).alias("algorithm"), F.col(c).alias("anomaly_flag")) for c in flags])
+    return conform(held.select("*", F.inline(points)), "anomaly_scores")
+
+
 def read_report(spark: SparkSession, folder: str, report: str, ddl: str | None = None) -> DataFrame:
-    """Typed scan of a report; malformed text fails the read instead of turning into nulls."""
+    """Typed scan of a report; malformed text fails the read instead of turning into nulls.
+
+    The scored-row export of a full run is a Parquet table and is unfolded.
+    """
+    if report in ROW_LEVEL_REPORTS and path_exists(spark, f"{folder.rstrip('/')}/{report}/split=*"):
+        return read_scores(spark, folder)
     return (
         spark.read.schema(ddl or REPORT_DDL[report])
         .option("header", True)

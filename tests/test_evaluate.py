@@ -1,3 +1,4 @@
+import hashlib
 import math
 from functools import partial
 
@@ -104,6 +105,38 @@ def test_bootstrap_interval_covers_the_mean_and_repeats(spark):
     assert (again["ci_lower_95"], again["ci_upper_95"]) == (first["ci_lower_95"], first["ci_upper_95"])
 
 
+@pytest.mark.parametrize("held", [4096, 1])
+def test_bootstrap_matches_its_definition(spark, monkeypatch, held):
+    """Weights of every row and replicate by plain md5; null metrics add nothing, a null group is a group."""
+    monkeypatch.setattr(evaluate, "GROUPS_HELD", held)
+    rng = np.random.default_rng(9)
+    rows = [(None if i % 50 == 0 else f"k{i}", None if i % 3 == 0 else f"g{i % 2}", None if i % 7 == 0 else float(x), None) for i, x in enumerate(rng.normal(size=400))]
+    df = spark.createDataFrame(rows, "key string, g string, x double, y double").repartition(6)
+    found = evaluate.bootstrap_intervals(df, {"x": F.col("x"), "y": F.col("y")}, ("g",), "key", 30, 42)
+    limits = [int(p * 2**32) for p in evaluate.POISSON_CDF]
+    for r in found.collect():
+        mine = [row for row in rows if row[1] == r["g"]]
+        means = []
+        for b in range(30):
+            weights = []
+            for key, *_ in mine:
+                salted = "|".join([*([] if key is None else [key]), "42", str(b // 4)])
+                word = int(hashlib.md5(salted.encode()).hexdigest()[8 * (b % 4) : 8 * (b % 4) + 8], 16)
+                weights.append(sum(word >= limit for limit in limits))
+            means.append(sum(w * (row[2] or 0.0) for w, row in zip(weights, mine, strict=True)) / sum(weights))
+        assert r["sample_rows"] == len(mine)
+        if r["metric"] == "y":
+            assert r["ci_lower_95"] is None
+        else:
+            assert [r["ci_lower_95"], r["ci_upper_95"]] == pytest.approx(np.quantile(means, [0.025, 0.975]).tolist(), abs=1e-6)
+    assert found.count() == 6
+
+
+def test_bootstrap_of_nothing(spark):
+    df = spark.createDataFrame([], "key string, g string, x double")
+    assert evaluate.bootstrap_intervals(df, {"x": F.col("x")}, ("g",), "key", 8).count() == 0
+
+
 def test_classifier_metrics(spark):
     pairs = [(1, 1)] * 6 + [(1, 0)] * 2 + [(0, 1)] * 3 + [(0, 0)] * 9
     df = spark.createDataFrame(pairs, "label int, prediction int")
@@ -171,3 +204,40 @@ def test_histogram_keeps_every_row(spark):
     assert bins.agg(F.sum("row_count"), F.min("bin"), F.max("bin")).first()[0:3] == (400, 0, 9)
     flat = reports.score_histogram(df.select(F.lit(1.0).alias("anomaly_score")), ["a"], 10)
     assert [(r["bin"], r["row_count"]) for r in flat.collect()] == [(0, 400)]
+
+
+def monthly(spark, values, parts=6):
+    rows = [(None if i % 10 == 0 else f"2020-0{1 + i % 4}-11 00:00:00", None if v is None else float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "t string, anomaly_score double").withColumn("timestamp", F.col("t").cast("timestamp")).repartition(parts)
+
+
+@pytest.mark.parametrize("held", [4096, 32])
+@pytest.mark.parametrize("shape", ["wide", "far from zero", "one value", "negative"])
+def test_bins_widen_and_merge_to_exact_counts(spark, monkeypatch, held, shape):
+    monkeypatch.setattr(reports, "BINS_HELD", held)
+    rng = np.random.default_rng(8)
+    values = {"wide": np.exp(rng.normal(size=900) * 4), "far from zero": 1e9 + rng.normal(size=900), "one value": np.full(900, 2.5), "negative": -rng.exponential(size=900)}[shape]
+    values = [None if i % 17 == 0 else v for i, v in enumerate(values)]
+    cuts = {"a": 1.0, "b": float(np.median([v for v in values if v is not None]))}
+    df = monthly(spark, values)
+    histogram, trend = reports.score_reports(df, cuts)
+    present = [v for v in values if v is not None]
+    level = reports.width_level(min(present), max(present), 20)
+    want = {}
+    for i, v in enumerate(values):
+        if v is not None:
+            key = (None if i % 10 == 0 else f"2020-0{1 + i % 4}-01 00:00:00", math.floor(math.ldexp(v, -level)))
+            want[key] = want.get(key, 0) + 1
+    rows = histogram.collect()
+    assert {(r["period"], r["bin"]): r["row_count"] for r in rows} == want
+    assert all(r["bin_start"] == math.ldexp(r["bin"], level) for r in rows)
+    assert len({b for _, b in want}) <= 22
+    columns = ["period", "mean_score", "row_count", "algorithm", "flagged"]
+    known = reports.score_trend(df, cuts).select(*columns)
+    shown = lambda frame: sorted(map(repr, (tuple(round(x, 4) if isinstance(x, float) else x for x in r) for r in frame.collect())))
+    assert shown(trend.select(*columns)) == shown(known)
+
+
+def test_reports_of_nothing(spark):
+    histogram, trend = reports.score_reports(monthly(spark, [None] * 4), {"a": 1.0})
+    assert histogram.count() == 0 and sum(r["row_count"] for r in trend.collect()) == 4

@@ -96,16 +96,16 @@ def test_forest_does_not_depend_on_partitioning(spark):
 
 def test_large_tables_give_each_drawn_row_to_one_tree(spark):
     df = cloud(spark, 5000, outliers=0)
-    samples = anomaly.forest_samples(df, ["a", "b"], "key", 5000, 10, 64, 42)
+    samples = anomaly.forest_samples(df, ["a", "b"], "key", 10, 64, 42)
     assert samples.count() == samples.select("_key").distinct().count()
     sizes = [r["count"] for r in samples.groupBy("tree").count().collect()]
-    assert len(sizes) == 10 and min(sizes) >= 64 and max(sizes) < 3 * 64
+    assert sizes == [64] * 10
 
 
 def test_copies_of_a_row_cannot_fill_a_tree(spark):
     copies = spark.range(3000).select(F.lit("same").alias("key"), F.lit(1.0).alias("a"), F.lit(1.0).alias("b"))
     df = cloud(spark, 6000, outliers=0).unionByName(copies)
-    samples = anomaly.forest_samples(df, ["a", "b"], "key", 9000, 10, 64, 42)
+    samples = anomaly.forest_samples(df, ["a", "b"], "key", 10, 64, 42)
     assert samples.filter("_key = 'same'").count() <= 1
 
 
@@ -149,11 +149,31 @@ def test_repeated_keys_leave_scores_alike(spark, n):
 
 
 def test_every_tree_of_a_tiny_table_gets_every_row(spark):
-    samples = anomaly.forest_samples(cloud(spark, 20, outliers=0), ["a", "b"], "key", 20, 12, 64, 42)
+    samples = anomaly.forest_samples(cloud(spark, 20, outliers=0), ["a", "b"], "key", 12, 64, 42)
     assert {r["count"] for r in samples.groupBy("tree").count().collect()} == {20}
     assert samples.select("tree").distinct().count() == 12
 
 
+@pytest.mark.parametrize("n", [70, 300, 4000])
+def test_samples_are_exact_and_do_not_depend_on_tasks(spark, n):
+    """Every tree gets as many rows as wanted, the same from one task and from many."""
+    few, many = cloud(spark, n, outliers=0, parts=1), cloud(spark, n, outliers=0).repartition(40)
+    copies = many.unionByName(many)
+    drawn = [
+        sorted(tuple(r) for r in anomaly.forest_samples(df, ["a", "b"], "key", 20, 64, 42).select("tree", "_order", "_key").collect())
+        for df in (few, many, copies)
+    ]
+    assert drawn[0] == drawn[1] == drawn[2] and len(drawn[0]) == 20 * 64
+    assert len({(t, k) for t, _, k in drawn[0]}) == 20 * 64
+
+
+def test_all_rows_are_equally_likely_in_all_trees(spark):
+    samples = anomaly.forest_samples(cloud(spark, 400, outliers=0), ["a", "b"], "key", 100, 64, 42)
+    per_key = np.array([r["count"] for r in samples.groupBy("_key").count().collect()])
+    assert len(per_key) == 400 and per_key.sum() == 6400
+    assert 6 < per_key.min() and per_key.max() < 30  # 16 on average
+
+
 def test_empty_training_table_is_an_error(spark):
     with pytest.raises(ValueError):
         anomaly.fit_isolation_forest(cloud(spark, 10).limit(0), ["a", "b"], "key")
@@ -189,6 +209,18 @@ def test_models_learn_save_and_load(spark, tmp_path):
     assert both.filter("p <> prediction").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["random_forest", "gradient_boosted_trees"])
+def test_trees_do_not_depend_on_the_cluster(spark, kind):
+    """The layout of the training rows follows the rows, not the input's partitions."""
+    vectors = supervised.labelled_vectors(labelled(spark, 500), ["a", "b"], "key")
+    estimator = getattr(supervised, kind)()
+    if kind == "gradient_boosted_trees":
+        estimator.setMaxIter(5)
+    found = [supervised.fit(estimator, vectors.repartition(n)).stages[0].toDebugString for n in (3, 8, 50)]
+    text = [x.split("\n", 1)[1] for x in found]  # the first line holds the model's own id
+    assert text[0] == text[1] == text[2]
+
+
 def test_declared_parameters():
     assert supervised.logistic_regression().getMaxIter() == 50
     assert supervised.logistic_regression().getRegParam() == 0.01

@@ -48,6 +48,65 @@ def test_clean_rows_drops_copies_even_when_one_row_fills_most_of_the_table(spark
     assert "partial_count" not in plan_of(df) and "HashAggregate" in plan_of(cleaned)
 
 
+def tricky(spark):
+    """Rows that differ only in where the null is, signed zeros, NaNs, and copies."""
+    nan = float("nan")
+    rows = [(None, "a", 0.0), ("a", None, 0.0), ("a", None, -0.0), ("a", "a", nan), ("a", "a", nan), (None, None, None), (None, None, None), ("", "", 0.0), ("", None, 0.0)]
+    return spark.createDataFrame(rows, "class string, x string, z double").repartition(4)
+
+
+@pytest.mark.parametrize("repeated", [500_000, 1])
+def test_collapse_equals_a_group_by_of_whole_rows(spark, monkeypatch, repeated):
+    monkeypatch.setattr(quality, "REPEATED_ROWS", repeated)
+    df = tricky(spark)
+    whole = df.groupBy(*[f"`{c}`" for c in df.columns]).count()
+    found = quality.collapse_copies(df)
+    assert found.columns == [*df.columns, quality.COPIES]
+    assert sorted(map(repr, (tuple(r) for r in found.collect()))) == sorted(map(repr, (tuple(r) for r in whole.collect())))
+    assert quality.dedup_rows(df).count() == 6 == df.distinct().count()
+    report = as_dict(quality.quality_report(df, ["x", "z"], True))
+    assert (report["total_rows"], report["duplicate_rows"], report["null_class"], report["null_x"], report["null_z"]) == (9, 3, 3, 5, 2)
+
+
+def test_equal_fingerprints_merge_nothing(spark, monkeypatch):
+    monkeypatch.setattr(quality, "row_fingerprint", lambda columns, seed=0: F.lit(1).cast("bigint"))
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2)], "class string, x int")
+    assert sorted(tuple(r) for r in quality.collapse_copies(df).collect()) == [("a", 1, 1), ("a", 2, 2)]
+    honest = lambda columns, seed=0: F.xxhash64(F.lit(1), *columns) if seed == 2 else F.lit(1).cast("bigint")
+    monkeypatch.setattr(quality, "row_fingerprint", honest)
+    with pytest.raises(Exception, match="share a fingerprint"):
+        quality.quality_report(df, ["x"], True).collect()
+
+
+def test_nested_columns_are_compared_whole(spark):
+    df = spark.createDataFrame([("a", [None, 1]), ("a", [1, None]), ("a", [1, None])], "class string, x array<int>")
+    assert quality.dedup_rows(df).count() == 2
+    assert as_dict(quality.quality_report(df, ["x"], True))["duplicate_rows"] == 1
+
+
+def test_fingerprints_alone_are_shuffled(spark, tmp_path):
+    """The exchange of a table with many columns carries two numbers a row."""
+    columns = [F.col("id").alias(f"s{i}") for i in range(80)]
+    spark.range(50).select(F.lit("a").alias("class"), *columns).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(quality.repeated_fingerprints(table))
+    assert "hashpartitioning(_f0" in plan and "keys=[_f0" in plan and "s79" not in plan.split("Exchange hashpartitioning")[0]
+    rows = plan_of(quality.collapse_copies(table))
+    assert "BroadcastHashJoin" in rows
+    assert quality.quality_report(table, [f"s{i}" for i in range(80)], True).count() == 4 + 80 - 0
+
+
+def test_stages_are_held_before_they_count(spark):
+    log = stages.StageLog()
+    slow = F.udf(lambda x: __import__("time").sleep(0.02) or x, "long")
+    held = log.run("slow", lambda: spark.range(0, 40, 1, 1).select(slow("id").alias("x")), None, "n")
+    (name, seconds, rows), paths = log.timings[0], []
+    assert rows == 40 and seconds > 0.8 and "FileScan parquet" in plan_of(held)
+    assert "ReadSchema: struct<>" in plan_of(held.groupBy().count())
+    log.run("next", lambda: held, log.rows_of("slow"), "n", paths=paths)
+    assert len(paths) == 1 and log.rows_of("next") == 40
+
+
 def test_ground_truth(spark):
     df = spark.createDataFrame([("unknown",), ("malware",)], "class string")
     assert quality.has_ground_truth(df)

@@ -1,11 +1,14 @@
 """Order statistics against brute force, with the tile path forced on small data."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.functions import keys
 from gaugeline.operators import selection
+from tests.conftest import plan_of
 
 SMALL, TILED = 1_000_000, 50
 
@@ -53,6 +56,62 @@ def test_quantiles_of_nothing(spark):
     assert selection.quantile_values(frame(spark, []), "v", [0.5], 0) == []
 
 
+@pytest.mark.parametrize("limit", [SMALL, 20])
+def test_joint_quantiles_of_columns_and_groups(spark, limit):
+    rng = np.random.default_rng(6)
+    n = 3000
+    columns = {"a": rng.normal(size=n), "b": np.where(np.arange(n) % 3 == 0, 7.0, rng.exponential(size=n) * 1e6), "c": rng.integers(-3, 3, n) * 1.0}
+    rows = [
+        (None if i % 4 == 0 else f"g{i % 2}", *(None if (i + j) % 13 == 0 else float(v[i]) for j, v in enumerate(columns.values()))) for i in range(n)
+    ]
+    df = spark.createDataFrame(rows + [("empty", None, None, None)], "g string, a double, b double, c double").repartition(5)
+    asked = {c: {f"{c}{i}": p for i, p in enumerate((0.0, 0.013, 0.5, 0.95, 1.0))} for c in columns}
+    found = selection.joint_quantiles(df, asked, ["g"], {"rows": F.count(F.lit(1))}, limit).collect()
+    assert {r["g"] for r in found} == {None, "g0", "g1", "empty"} and sum(r["rows"] for r in found) == n + 1
+    for r in found:
+        for j, c in enumerate(columns):
+            mine = [row[1 + j] for row in rows if row[0] == r["g"] and row[1 + j] is not None]
+            for name, p in asked[c].items():
+                assert r[name] is None if not mine else r[name] == pytest.approx(np.quantile(mine, p), rel=1e-12), (r["g"], name)
+
+
+@pytest.mark.parametrize("limit", [SMALL, 500])
+def test_joint_quantiles_read_the_table_three_times_at_most(spark, tmp_path, monkeypatch, limit):
+    """Whatever the number of columns and quantiles; counted where the frames that read it are run."""
+    columns = [f"c{i}" for i in range(8)]
+    spark.range(4000).select(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(100_000)).alias(c) for i, c in enumerate(columns)]).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    scans = []
+    reads = lambda df: len(re.findall(r"FileScan parquet \[c\d", plan_of(df)))
+    for name in ("pin_if_small", "stage_table"):
+        original = getattr(selection, name)
+        monkeypatch.setattr(selection, name, lambda df, *a, run=original: scans.append(reads(df)) or run(df, *a))
+    found = selection.joint_quantiles(table, {c: {f"{c}_{p}": p for p in (0.1, 0.5, 0.9)} for c in columns}, one_tile_rows=limit)
+    assert sum(scans) + reads(found) == (3 if limit == 500 else 2)
+    assert found.count() == 1
+
+
+def test_a_bracket_that_misses_is_opened(spark, monkeypatch):
+    monkeypatch.setattr(selection, "_bracket", lambda p: (0.9, 0.95))  # a sketch that is far off
+    values = shapes(800)["distinct"]
+    found = selection.quantile_values(frame(spark, values), "v", [0.1, 0.5], 20)
+    assert np.allclose(found, np.quantile(values, [0.1, 0.5]), rtol=1e-12)
+
+
+def test_dense_values_are_ranked_in_bounded_tasks(spark):
+    """Nine tenths of the distinct values lie within a millionth of the range."""
+    values = np.concatenate([np.arange(900) * 1e-9, np.linspace(1, 100, 100)])
+    df = frame(spark, values)
+    distinct = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    placed = selection.value_ranges(distinct, "v", [], 50)
+    sizes = [r["count"] for r in placed.groupBy("_task").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200 and len(sizes) >= 10
+    both = [
+        sorted((r["v"], r["n_below"]) for r in selection.counts_below(df, "v", {"n": F.lit(1)}, (), limit).collect()) for limit in (SMALL, 50)
+    ]
+    assert both[0] == both[1] == [(float(v), i) for i, v in enumerate(np.sort(values))]
+
+
 def test_infinite_and_negative_values_keep_their_order(spark):
     values = [float("-inf"), -3.0, -3.0, 0.0, 1.0, float("inf")] * 20
     found = selection.quantile_values(frame(spark, values), "v", [0.0, 0.5, 1.0], 10)

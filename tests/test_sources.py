@@ -36,6 +36,55 @@ def test_curated_table_is_replaced_and_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(class" in plan_of(read.filter(F.col("class") == "a"))
 
 
+def test_one_class_is_written_anew_and_others_stay(spark, tmp_path):
+    path = str(tmp_path / "curated")
+    scans.write_curated(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, class string"), path)
+    scans.update_curated(spark.createDataFrame([(9, "b"), (8, "c")], "x int, class string"), path)
+    assert sorted((r["x"], r["class"]) for r in spark.read.parquet(path).collect() if r["class"]) == [(1, "a"), (8, "c"), (9, "b")]
+    assert spark.read.parquet(path).filter("class IS NULL").first()["x"] == 3
+
+
+@pytest.mark.parametrize("write", [scans.write_curated, scans.update_curated])
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path, write):
+    path = str(tmp_path / "curated")
+    scans.write_curated(spark.createDataFrame([(1, "a"), (2, "b")], "x int, class string"), path)
+    bad = F.when(F.col("id") == 900, F.raise_error(F.lit("broken row"))).otherwise(F.col("id").cast("int"))
+    rows = spark.range(0, 1000, 1, 4).select(bad.alias("x"), F.lit("a").alias("class"))
+    with pytest.raises(Exception, match="broken row"):
+        write(rows, path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
+
+
+def test_an_interrupted_swap_is_recovered(spark, tmp_path):
+    path = tmp_path / "curated"
+    scans.write_curated(spark.createDataFrame([(1, "a")], "x int, class string"), str(path))
+    path.rename(tmp_path / "curated.old")
+    assert scans.recover_curated(spark, str(path)) and spark.read.parquet(str(path)).count() == 1
+    assert not scans.recover_curated(spark, str(path))
+
+
+def planted_csv(tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir(exist_ok=True)
+    lines = ["timestamp,TP2,TP3", "2020-01-01 00:00:00,1.5,2", "soon,1.0,2", "2020-01-01 00:00:01,,2", "2020-01-01 00:00:02,x,2"]
+    lines += ["2020-01-01 00:00:03,1.0", "2020-01-01 00:00:04,1,2,3", '2020-01-01 00:00:05,"1.25",4']
+    (raw / "a.csv").write_text("\n".join(lines) + "\n")
+    return str(raw)
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    schema = "timestamp timestamp, TP2 double, TP3 double"
+    found = scans.scan_quarantined(spark, None, planted_csv(tmp_path), spark.createDataFrame([], schema).schema, "*.csv")
+    assert found.rows.columns == ["timestamp", "TP2", "TP3"]
+    assert sorted((r["TP2"] is None, r["TP3"]) for r in found.rows.collect()) == [(False, 2.0), (False, 4.0), (True, 2.0)]
+    bad = {r["line"]: r["fields"] for r in found.bad_lines.collect()}
+    assert bad == {"soon,1.0,2": 3, "2020-01-01 00:00:02,x,2": 3, "2020-01-01 00:00:03,1.0": 2, "2020-01-01 00:00:04,1,2,3": 4}
+    assert found.bad_lines.first()["file"].endswith("a.csv")
+    assert {r["metric"]: r["value"] for r in found.report().collect()} == {"malformed_rows": 4, "malformed_field_count": 2}
+    inferred = scans.scan_quarantined(spark, None, planted_csv(tmp_path), None, "*.csv")
+    assert inferred.rows.count() + inferred.bad_lines.count() == 7
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     rows = telemetry(spark, sf_dir).filter(F.col("tp2") > 49).select("tp2")
     plan = plan_of(rows)
@@ -141,6 +190,31 @@ def test_rows_without_a_readable_time_are_counted_and_scored(spark, sf_dir, tmp_
         load_model(str(tmp_path / "models" / name))
 
 
+def test_full_run_of_a_quarantined_scan(spark, sf_dir, tmp_path):
+    rows = telemetry(spark, sf_dir).drop(KEY).limit(1500)
+    rows.withColumn("tp2", F.when(F.col("lps") == 1, F.lit("high")).otherwise(F.col("tp2").cast("string"))).write.option("header", True).csv(str(tmp_path / "raw"))
+    planted = rows.filter("lps = 1").count()
+    found = scans.scan_quarantined(spark, None, str(tmp_path / "raw"), rows.schema, "part-*.csv")
+    run_reports(found, str(tmp_path / "out"))
+    metrics = {r["metric"]: r["value"] for r in reports.read_report(spark, str(tmp_path / "out"), "data_quality_report").collect()}
+    assert planted > 0 and (metrics["malformed_rows"], metrics["malformed_field_count"]) == (planted, 0)
+    assert spark.read.parquet(str(tmp_path / "out" / "quarantine")).count() == planted
+    times = {r["stage"]: r["duration_seconds"] for r in reports.read_report(spark, str(tmp_path / "out"), "etl_stage_timings").collect()}
+    assert set(times) == {"ingestion_validation", "basic_etl", "broadcast_etl", "feature_engineering", "data_split", "train_unsupervised"}
+    assert min(times.values()) > 0
+
+
+def test_scores_are_written_once_per_row(spark, tmp_path):
+    rows = [(float(i), "train" if i < 6 else "test", "a") for i in range(10)]
+    scored = spark.createDataFrame(rows, "anomaly_score double, split string, class string")
+    path = reports.write_scores(scored, {"loose": 5.0, "strict": 9.0}, str(tmp_path))
+    assert spark.read.parquet(path).count() == 10
+    read = reports.read_report(spark, str(tmp_path), "anomaly_scores")
+    assert read.columns == ["algorithm", "split", "anomaly_flag", "anomaly_score", "timestamp", "class"]
+    flagged = {(r["algorithm"], r["split"]): r["n"] for r in read.groupBy("algorithm", "split").agg(F.sum("anomaly_flag").alias("n")).collect()}
+    assert read.count() == 20 and flagged == {("loose", "train"): 1, ("loose", "test"): 4, ("strict", "train"): 0, ("strict", "test"): 1}
+
+
 def test_released_tables_hold_no_rows(spark):
     paths = []
     staged = workspace.stage_table(spark.range(10), "spare", paths)

@@ -38,9 +38,9 @@ BLOCK = 8_192
 #: Most pivots, whatever the number of rows; further blocks share a pivot.
 PIVOTS = 512
 ANCHOR_GROUP = 4_096
-LEAF, FANOUT = 32, 64
+LEAF, FANOUT, LEAST_CELL = 32, 64, 16
 #: Open nodes of each anchor that are opened together, and (anchor, row) pairs held at once.
-STEP, PAIRS = 32, 1 << 18
+STEP, PAIRS = 64, 1 << 18
 #: Whole numbers up to here are exact as doubles; up to there as 64-bit integers.
 EXACT, WHOLE = float(1 << 53), float(1 << 62)
 NO_LOW, NO_HIGH = -(1 << 63), (1 << 63) - 1
@@ -91,18 +91,20 @@ def build_tree(vectors: np.ndarray) -> dict[str, np.ndarray]:
 
     ``order``: rows, those below a node next to each other; of each node: its ``centre`` (a row),
     ``spread`` (largest angle to a row below it), rows ``begin`` to ``end`` of the order, and children
-    ``first`` to ``last`` (none: a leaf).
+    ``first`` to ``last`` (none: a leaf); ``pooled`` leaves hold what was too little for a cell.
     """
     units, radius = unit_rows(vectors)
     order = np.arange(len(vectors))
     centre, spread, begin, end, first, last = [0], [float(angle(units @ units[0]).max())], [0], [len(vectors)], [0], [0]
+    pooled = [False]
     node = 0
     while node < len(centre):
         size = end[node] - begin[node]
-        if size > LEAF and spread[node] > 0:
+        if size > LEAF and spread[node] > 0 and not pooled[node]:
             rows = order[begin[node] : end[node]]
             own = units[rows]
             near = angle(own @ units[centre[node]])
+            whole = near.copy()
             net, to = [centre[node]], np.zeros(size, np.int64)
             # Farthest first: the next centre is the row least covered so far.
             for _ in range(1, min(FANOUT, -(-size // LEAF)) + 1):
@@ -114,20 +116,25 @@ def build_tree(vectors: np.ndarray) -> dict[str, np.ndarray]:
                 to[closer] = len(net)
                 near[closer] = distance[closer]
                 net.append(int(rows[farthest]))
+            # The rows of small cells make one leaf around the node's own centre.
+            small = np.bincount(to, minlength=len(net)) < LEAST_CELL
+            reach = np.where(small[to], whole, near)
+            to = np.where(small[to], len(net), to)
             by = np.argsort(to, kind="stable")
             order[begin[node] : end[node]] = rows[by]
-            counts = np.bincount(to, minlength=len(net))
+            counts = np.bincount(to, minlength=len(net) + 1)
             first[node] = len(centre)
             at = begin[node]
             for child, count in enumerate(counts.tolist()):
                 if count:
-                    below = near[by[at - begin[node] : at - begin[node] + count]]
-                    centre.append(net[child])
+                    below = reach[by[at - begin[node] : at - begin[node] + count]]
+                    centre.append([*net, centre[node]][child])
                     spread.append(float(below.max()))
                     begin.append(at)
                     end.append(at + count)
                     first.append(0)
                     last.append(0)
+                    pooled.append(child == len(net))
                     at += count
             last[node] = len(centre)
         node += 1
@@ -136,6 +143,7 @@ def build_tree(vectors: np.ndarray) -> dict[str, np.ndarray]:
         "radius": np.array([radius]),
         "centre": np.array(centre),
         "spread": np.array(spread),
+        "pooled": np.array(pooled),
         **{k: np.array(v) for k, v in (("begin", begin), ("end", end), ("first", first), ("last", last))},
     }
 

@@ -122,11 +122,16 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def _parted(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the rows part by part, in their order, and where each part begins."""
+    small = part.astype(np.uint16) if parts < 1 << 16 else part
+    return np.argsort(small, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+
 def _look_up(folder: str, name: str, parts: int, part: np.ndarray, keys: np.ndarray, arrays: tuple[str, ...]) -> list[np.ndarray]:
     """Values of sorted keys by part; zeros where a key is not stored."""
     out = [np.zeros(len(keys), np.int64) for _ in arrays]
-    by = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[by], np.arange(parts + 1))
+    by, cuts = _parted(part, parts)
     for p in np.flatnonzero(np.diff(cuts)).tolist():
         own = by[cuts[p] : cuts[p + 1]]
         at, there = _find(_open(folder, name, p, "keys"), keys[own])
@@ -154,8 +159,7 @@ def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
 
 
 def _by_part(part: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    by = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[by], np.arange(parts + 1))
+    by, cuts = _parted(part, parts)
     for p in np.flatnonzero(np.diff(cuts)).tolist():
         own = by[cuts[p] : cuts[p + 1]]
         yield p, _pack(*(c[own] for c in columns))
@@ -169,54 +173,43 @@ def trigram_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return word_arrays.join_hash(word_arrays.mix(context.astype(np.uint64)), word.astype(np.uint64))
 
 
-def _sums(keys: tuple[np.ndarray, ...], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the keys in ascending order, and the sums of their counts."""
-    by = np.lexsort(keys[::-1])
-    held = [k[by] for k in keys]
-    if not len(by):
-        return held, counts
-    opens = np.zeros(len(by), bool)
-    opens[0] = True
-    for k in held:
-        opens[1:] |= k[1:] != k[:-1]
-    at = np.flatnonzero(opens)
-    return [k[at] for k in held], np.add.reduceat(counts[by], at)
+def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order, a place of each, and the sums of their counts."""
+    by = np.argsort(keys)
+    held = keys[by]
+    at = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(by) else by
+    return held[at], by[at], np.add.reduceat(counts[by], at) if len(at) else counts
 
 
 # ---- tokens
 
 
 class Tokens:
-    """Word numbers of some texts, two words before each, and the text of each."""
+    """Word numbers of some texts and the two numbers before each word.
 
-    def __init__(self, texts: list[bytes | None], numbers):
+    ``local`` counts the buffer's own words, in the order of the numbers: ``numbers[local]`` is the
+    number of each word; the last local number is the mark that stands before a text.
+    """
+
+    def __init__(self, texts: list[bytes | None], model: Model):
         data, places = word_arrays.joined(texts, b" ")
         starts, _, hashes = word_arrays.words(data, _BREAK)
-        distinct, number = np.unique(hashes, return_inverse=True)
-        known, end, mark = numbers(distinct)
         of = np.searchsorted(places, starts, "right") - 1
-        self.word = np.full(len(starts) + len(texts), end, np.int64)
-        self.word[np.arange(len(starts)) + of] = known[number]
         sizes = np.bincount(of, minlength=len(texts)) + 1
-        self.first = np.cumsum(sizes) - sizes
+        every = np.full(len(starts) + len(texts), END_HASH)
+        every[np.arange(len(starts)) + of] = hashes
+        distinct, self.local = np.unique(every, return_inverse=True)
+        found, known = _word_numbers(model, distinct)
+        self.known = known
+        self.numbers = np.append(np.where(known, found, model.words + 1), model.words)
+        self.sizes, self.first = sizes, np.cumsum(sizes) - sizes
         self.text = np.repeat(np.arange(len(texts)), sizes)
-        self.sizes = sizes
-        before = lambda x: np.concatenate([[mark], x[:-1]])
-        self.v = before(self.word)
-        self.v[self.first] = mark
-        self.u = before(self.v)
-        self.u[self.first] = mark
-
 
-def _numbers(model: Model):
-    """Of sorted word hashes their numbers, that of the end token, and that of the mark before a text."""
-
-    def numbers(hashes: np.ndarray) -> tuple[np.ndarray, int, int]:
-        own, found = _word_numbers(model, np.concatenate([hashes, [END_HASH]]))
-        own = np.where(found, own, model.words + 1)
-        return own[:-1], int(own[-1]), model.words
-
-    return numbers
+    def before(self, x: np.ndarray) -> np.ndarray:
+        """What stands one place before, the mark at the beginning of a text."""
+        out = np.concatenate([[len(self.numbers) - 1], x[:-1]])
+        out[self.first] = len(self.numbers) - 1
+        return out
 
 
 def _word_part(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -274,10 +267,19 @@ def _save_words(folder: str):
 def _count_trigrams(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in word_arrays.buffers(batches, "text", BUFFER_BYTES):
-            tokens = Tokens(_texts(table, "text"), _numbers(model))
-            context = tokens.u * model.size + tokens.v
-            (context, word), counts = _sums((context, tokens.word), np.ones(len(context), np.int64))
-            yield _payloads(_by_part(part_of(context, model.parts), model.parts, context, word, counts))
+            tokens = Tokens(_texts(table, "text"), model)
+            size, w = len(tokens.numbers), tokens.local
+            v = tokens.before(w)
+            u = tokens.before(v)
+            if size >= 1 << 21:  # three local numbers no longer fit one key
+                pairs, pair = np.unique(u * size + v, return_inverse=True)
+                keys, counts = np.unique(pair * size + w, return_counts=True)
+                first, last = pairs[keys // size], keys % size
+            else:
+                keys, counts = np.unique((u * size + v) * size + w, return_counts=True)
+                first, last = keys // size, keys % size
+            context = tokens.numbers[first // size] * model.size + tokens.numbers[first % size]
+            yield _payloads(_by_part(part_of(context, model.parts), model.parts, context, tokens.numbers[last], counts))
 
     return run
 
@@ -306,15 +308,18 @@ def _level_rows(level: int, sent: Iterator[tuple[int, bytes]], counts: np.ndarra
     return pa.Table.from_pylist(rows, schema=schema)
 
 
-def _merged(table: pa.Table, columns: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _gathered(table: pa.Table, columns: int) -> tuple[list[np.ndarray], np.ndarray]:
     runs = [_unpack(data, columns) for data in table.column("payload").to_pylist() if data]
     whole = [np.concatenate([r[i] for r in runs]) if runs else np.zeros(0, np.int64) for i in range(columns)]
-    return _sums(tuple(whole[:-1]), whole[-1])
+    return whole[:-1], whole[-1]
 
 
 def _context_arrays(context: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
-    """Of each context the sum of its counts and its words by discount class."""
-    keys, at = np.unique(context, return_index=True)
+    """Of each context, in ascending order, the sum of its counts and its words by discount class."""
+    by = np.argsort(context)
+    context, counts = context[by], counts[by]
+    at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(by) else by
+    keys = context[at]
     sums = lambda x: np.add.reduceat(x, at) if len(at) else np.zeros(0, np.int64)
     classes = [sums((counts == n).astype(np.int64)) for n in (1, 2)] + [sums((counts >= 3).astype(np.int64))]
     return {"keys": keys.astype(np.uint64), "sums": sums(counts), **{f"class{i + 1}": c.astype(np.uint32) for i, c in enumerate(classes)}}
@@ -323,16 +328,16 @@ def _context_arrays(context: np.ndarray, counts: np.ndarray) -> dict[str, np.nda
 def _merge_trigrams(model: Model):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        (context, word), counts = _merged(table, 3)
+        (context, word), counts = _gathered(table, 3)
+        keys, at, counts = _sums(trigram_key(context, word), counts)
+        context, word = context[at], word[at]
         contexts = _context_arrays(context, counts)
         stored = counts >= model.least_trigram
         with_stored = np.isin(contexts["keys"].astype(np.int64), context[stored])
         _save(model.folder, "contexts3", part, {k: v[with_stored] for k, v in contexts.items()})
-        keys = trigram_key(context[stored], word[stored])
-        by = np.argsort(keys)
-        _save(model.folder, "grams3", part, {"keys": keys[by], "counts": counts[stored][by]})
-        (v, w), fronts = _sums((context % model.size, word), np.ones(len(word), np.int64))
-        return _level_rows(3, _by_part(part_of(v, model.parts), model.parts, v, w, fronts), counts)
+        _save(model.folder, "grams3", part, {"keys": keys[stored], "counts": counts[stored]})
+        pairs, fronts = np.unique(context % model.size * model.size + word, return_counts=True)
+        return _level_rows(3, _by_part(part_of(pairs // model.size, model.parts), model.parts, pairs, fronts), counts)
 
     return run
 
@@ -340,10 +345,11 @@ def _merge_trigrams(model: Model):
 def _merge_pairs(model: Model):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        (v, w), counts = _merged(table, 3)
-        _save(model.folder, "contexts2", part, _context_arrays(v, counts))
-        _save(model.folder, "grams2", part, {"keys": (v * model.size + w).astype(np.uint64), "counts": counts.astype(np.int64)})
-        (word,), fronts = _sums((w,), np.ones(len(w), np.int64))
+        (pairs,), counts = _gathered(table, 2)
+        pairs, _, counts = _sums(pairs, counts)
+        _save(model.folder, "contexts2", part, _context_arrays(pairs // model.size, counts))
+        _save(model.folder, "grams2", part, {"keys": pairs.astype(np.uint64), "counts": counts})
+        word, fronts = np.unique(pairs % model.size, return_counts=True)
         return _level_rows(2, _by_part(part_of(word, model.parts), model.parts, word, fronts), counts)
 
     return run
@@ -352,7 +358,8 @@ def _merge_pairs(model: Model):
 def _merge_words(model: Model):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        (word,), counts = _merged(table, 2)
+        (word,), counts = _gathered(table, 2)
+        word, _, counts = _sums(word, counts)
         _save(model.folder, "grams1", part, {"keys": word.astype(np.uint64), "counts": counts})
         return _level_rows(1, iter(()), counts)
 
@@ -429,35 +436,40 @@ def _mixed(counts: np.ndarray, context: list[np.ndarray], discount: tuple[float,
 CONTEXT = ("sums", "class1", "class2", "class3")
 
 
-def probabilities(model: Model, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """p(w | u v) of word numbers."""
-    at = model.folder, model.parts
+def probabilities(model: Model, tokens: Tokens) -> np.ndarray:
+    """p(w | u v) of every token."""
 
     def stored(name: str, keys: np.ndarray, part_key: np.ndarray, arrays: tuple[str, ...]) -> list[np.ndarray]:
-        folder, parts = at
-        return _look_up(folder, name, parts, part_of(part_key, parts), keys.astype(np.uint64), arrays)
+        return _look_up(model.folder, name, model.parts, part_of(part_key, model.parts), keys.astype(np.uint64), arrays)
 
-    words, word = np.unique(w, return_inverse=True)
+    numbers, w = tokens.numbers, tokens.local
+    size = len(numbers)
     total, *classes = model.unigrams
     left = sum(n * model.discounts[0][i] for i, n in enumerate(classes, 1)) / total if total else 1.0
-    (fronts,) = stored("grams1", words, words, ("counts",))
+    (fronts,) = stored("grams1", numbers, numbers, ("counts",))
     p1 = _discounted(fronts, model.discounts[0]) / max(total, 1) + left / (model.words + 1)
 
-    pairs, pair_first, pair = np.unique(v * model.size + w, return_index=True, return_inverse=True)
-    firsts, first = np.unique(v[pair_first], return_inverse=True)
-    (counts,) = stored("grams2", pairs, v[pair_first], ("counts",))
-    context = [x[first] for x in stored("contexts2", firsts, firsts, CONTEXT)]
-    p2 = _mixed(counts, context, model.discounts[1], 1, p1[word[pair_first]])[pair]
-
-    contexts, context_of = np.unique(u * model.size + v, return_inverse=True)
-    context = stored("contexts3", contexts, contexts, CONTEXT)
+    # A pair is the last two words of a context as well: the context of a word is the pair before it.
+    pairs, pair = np.unique(tokens.before(w) * size + w, return_inverse=True)
+    v, own = numbers[pairs // size], numbers[pairs % size]
+    keys = v * model.size + own
+    (counts,) = stored("grams2", keys, v, ("counts",))
+    context = [x[pairs // size] for x in stored("contexts2", numbers, numbers, CONTEXT)]
+    p2 = _mixed(counts, context, model.discounts[1], 1, p1[pairs % size])
+
+    beginning = len(pairs)
+    context_of = np.concatenate([[beginning], pair[:-1]])
+    context_of[tokens.first] = beginning
+    keys = np.append(keys, model.words * model.size + model.words)
+    context = stored("contexts3", keys, keys, CONTEXT)
+    out = p2[pair]
     # Only where a context has stored trigrams is there more to know.
     more = np.flatnonzero(context[0][context_of] > 0)
-    own = context_of[more]
-    keys, key_first, key = np.unique(trigram_key(contexts[own], w[more]), return_index=True, return_inverse=True)
-    (counts,) = stored("grams3", keys, contexts[own[key_first]], ("counts",))
-    out = p2.copy()
-    out[more] = _mixed(counts[key], [x[own] for x in context], model.discounts[2], model.least_trigram, p2[more])
+    grams, gram = np.unique(context_of[more] * size + w[more], return_inverse=True)
+    at = grams // size
+    (counts,) = stored("grams3", trigram_key(keys[at], numbers[grams % size]), keys[at], ("counts",))
+    found = context_of[more]
+    out[more] = _mixed(counts[gram], [x[found] for x in context], model.discounts[2], model.least_trigram, out[more])
     return out
 
 
@@ -471,13 +483,12 @@ def _score(model: Model, text: str, out: str, columns: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in word_arrays.buffers(batches, text, BUFFER_BYTES):
-            tokens = Tokens(_texts(table, text), _numbers(model))
-            words, word = np.unique(tokens.word, return_inverse=True)
-            counts = _word_counts(model, words)
-            base = np.log10((counts + 1) / (model.tokens + model.words + 1))[word]
-            score = np.log10(probabilities(model, tokens.u, tokens.v, tokens.word))
+            tokens = Tokens(_texts(table, text), model)
+            counts = _word_counts(model, tokens.numbers)
+            base = np.log10((counts + 1) / (model.tokens + model.words + 1))[tokens.local]
+            score = np.log10(probabilities(model, tokens))
             sums = lambda x: np.bincount(tokens.text, x, minlength=table.num_rows)  # noqa: B023, E731
-            known = sums((counts > 0)[word].astype(np.float64)).astype(np.int64)
+            known = sums((counts > 0)[tokens.local].astype(np.float64)).astype(np.int64)
             result = pa.StructArray.from_arrays([pa.array(tokens.sizes.astype(np.int64)), pa.array(known), pa.array(sums(base)), pa.array(sums(score))], fields=list(kind))
             yield from table.select(columns).append_column(out, result).combine_chunks().to_batches()
 

@@ -6,7 +6,6 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,13 +96,18 @@ def test_matches_brute_force(spark, texts, monkeypatch, least, small):
 
 
 def test_every_context_adds_up_to_one(spark):
-    rows = [(i, t) for i, t in enumerate(prose(2, 120))]
-    model = lm.train(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True))
-    every = np.arange(model.words + 2)
-    every = every[every != model.words]  # all words and any unknown one, not the mark before a text
-    rng = np.random.default_rng(4)
-    for u, v in [(model.words, model.words), (model.words + 1, 3), *rng.integers(0, model.words, (30, 2)).tolist()]:
-        assert lm.probabilities(model, np.full(len(every), u), np.full(len(every), v), every).sum() == pytest.approx(1, abs=1e-9)
+    texts = prose(2, 120)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.train(frame, F.lit(True))
+    words = sorted({w for t in texts for w in tokens(t)[:-1]})
+    rng = random.Random(4)
+    for start in ["", "neverseen the", "the neverseen", *(" ".join(rng.choices(words, k=2)) for _ in range(20))]:
+        # Each known word, any unknown one, and the end of the text after the same beginning.
+        held = [start.encode()] + [f"{start} {w}".encode() for w in [*words, "unknownword"]]
+        found = lm.Tokens(held, model)
+        p = lm.probabilities(model, found)
+        after = len(tokens(start)) - 1
+        assert sum(p[found.first + after]) == pytest.approx(1, abs=1e-9), start
 
 
 def test_better_than_words_alone_on_texts_held_out(spark):

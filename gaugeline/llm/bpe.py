@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import text_or_empty
-from gaugeline.llm.pieces import LONGEST_REMEMBERED, REMEMBERED, PieceEncoder, blank_led
+from gaugeline.llm.pieces import LONGEST_REMEMBERED, REMEMBERED, PieceEncoder
 
 WORD = 6  # a bitmap word covers 2 ** WORD entries of the level below
 LOW = (1 << WORD) - 1
@@ -82,6 +82,7 @@ class ByteBpe:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.byte_ids = [ranks.get(bytes([b]), -1) for b in range(256)]
+        self.whole = min(self.byte_ids) >= 0
         # The rank of the token that two neighbouring tokens make, by their ids.
         self.pair_rank = {
             (left, right): rank
@@ -102,6 +103,8 @@ class ByteBpe:
         if whole is not None:
             return [whole]
         ids = [self.byte_ids[b] for b in token]
+        if not self.whole and min(ids) < 0:
+            raise ValueError(f"the vocabulary lacks a byte of {token[:40]!r}")
         pair_rank, queue = self.pair_rank.get, self.queue
         for position, pair in enumerate(pairwise(ids)):
             rank = pair_rank(pair)
@@ -153,7 +156,7 @@ def byte_encoder(path: str, pattern: str) -> tuple[ByteBpe, PieceEncoder]:
             parts.clear()
         return [b"".join(map(part_ids, split(p))) for p in pieces]
 
-    return bpe, PieceEncoder(blank_led, encode_pieces)
+    return bpe, PieceEncoder(True, False, encode_pieces)
 
 
 def encode_documents(
@@ -168,7 +171,7 @@ def encode_documents(
         bpe, encoder = byte_encoder(vocabulary, pattern)
         for batch in batches:
             counts, hashes, decoded, kept = [], [], [], []
-            for ids in encoder.encode(batch.column("text").to_pylist()):
+            for ids in encoder.encode(batch.column("text").cast(pa.binary()).to_pylist()):
                 counts.append(len(ids) // 4)
                 hashes.append(hashlib.sha256(ids).hexdigest())
                 decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())

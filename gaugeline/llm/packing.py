@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import rank_within, text_or_empty
-from gaugeline.llm.pieces import blank_led, tokenizer_encoder
+from gaugeline.llm.pieces import tokenizer_encoder
 from gaugeline.sources.workspace import broadcast_if_small, stage_table
 
 ID_BYTES = 4
@@ -39,11 +39,11 @@ def token_pieces(
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer_encoder(tokenizer, blank_led)  # as the default pre-tokenizer of byte-level vocabularies cuts
+        encoder = tokenizer_encoder(tokenizer, gaps=True)  # as the default pre-tokenizer of byte-level vocabularies cuts
         for batch in batches:
             rows: list[tuple] = []
             places = []
-            for place, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
+            for place, ids in enumerate(encoder.encode(batch.column("text").cast(pa.binary()).to_pylist())):
                 ids += end
                 tokens = len(ids) // ID_BYTES
                 cuts = [0, *range(tokens - capacity * ((tokens - 1) // capacity), tokens + 1, capacity)]

@@ -1,8 +1,9 @@
-"""Whole texts to ids through pieces that the tokenizer treats separately, each encoded once.
+"""Whole texts to ids through units that the tokenizer treats separately, each encoded once.
 
-A worker keeps the ids of the pieces it has met, so repeated words cost a lookup.  Only pieces
-between which the tokenizer never joins anything are used; a text with unusual white space is one
-piece.
+A unit is a word with the white space before it, or the white space at the end of a text; a worker
+keeps the ids of the units it has met.  Words are found and told apart as arrays, by 64-bit hashes, so
+a repeated word costs no Python object.  Only units between which the tokenizer never joins anything are
+used; a text with unusual white space is one unit.
 """
 
 from __future__ import annotations
@@ -14,69 +15,137 @@ import struct
 from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import regex
+import xxhash
 
-#: Pieces that a worker remembers; the older half goes first.  Longer pieces are not remembered.
-REMEMBERED = 900_000
+from gaugeline.llm import word_arrays
+
+#: Units and ids that a worker remembers; beyond either all are forgotten.
+REMEMBERED, IDS_REMEMBERED = 900_000, 1 << 23
+#: Longer parts of a unit are not remembered.
 LONGEST_REMEMBERED = 64
 #: White space other than blank, tab and line ends: such texts are not cut.
-UNUSUAL = re.compile(r"[^\S \t\n\r]|[᠎​﻿]")
-#: A run without white space takes one blank before it; other blanks stay together, as in the
-#: pattern that byte-level vocabularies use.
-BLANK_BEFORE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-
-
-#: Texts cut and looked up together.
-SLICE_TEXTS = 256
+UNUSUAL = re.compile(r"[^\S \t\n\r]|[\u180e\u200b\ufeff]")
+#: Bytes without which no text holds any of these.
+SUSPECT = re.compile(rb"[\x0b\x0c\x1c-\x1f\xc2\xe1\xe2\xe3\xef]")
+#: Bytes of text that are cut and looked up together.
+SLICE_BYTES = 2 << 20
 #: Below this character all Unicode versions agree on letters and numbers (fixed value).
 STABLE_BELOW = "\u0250"
+_BREAK = word_arrays.byte_set(" \t\n\r")
+BLANK = ord(" ")
+TAIL = np.array([0x7FB5D329728EA185], np.uint64)
 
 
-def blank_led(text: str) -> list[str]:
-    return [text] if UNUSUAL.search(text) else BLANK_BEFORE.findall(text)
-
-
-def blank_free(text: str) -> list[str]:
-    return [text] if UNUSUAL.search(text) else text.split()
+class PieceEncoder:
+    """``encode`` gives each text's ids as little-endian 32-bit integers.
 
+    With ``gaps`` the white space before a word belongs to its unit, as in vocabularies that take a
+    blank into the word; without, the tokenizer drops white space.  ``fold``: A-Z count as a-z.
+    """
 
-class PieceEncoder:
-    """``encode`` gives each text's ids as little-endian 32-bit integers."""
-
-    def __init__(self, cut: Callable[[str], list[str]], encode_pieces: Callable[[list[str]], list[bytes]]):
-        self.cut, self.encode_pieces = cut, encode_pieces
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), SLICE_TEXTS):
-            yield from self._encode_slice(texts[at : at + SLICE_TEXTS])
-
-    def _encode_slice(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        wanted = set().union(*cut)
-        wanted.difference_update(self.young)
-        fresh = []
-        for piece in wanted:
-            known = self.old.get(piece)
-            if known is None:
-                fresh.append(piece)
-            else:
-                self.young[piece] = known
-        self.young.update(zip(fresh, self.encode_pieces(fresh), strict=True))
-        ids_of = self.young.__getitem__
-        out = [b"".join(map(ids_of, pieces)) for pieces in cut]
-        for piece in fresh:
-            if len(piece) > LONGEST_REMEMBERED:
-                del self.young[piece]
-        if len(self.young) > REMEMBERED // 2:
-            self.old, self.young = self.young, {}
+    def __init__(self, gaps: bool, fold: bool, encode_pieces: Callable[[list[str]], list[bytes]]):
+        self.gaps, self.fold, self.encode_pieces = gaps, fold, encode_pieces
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[int, int] = {}
+        self.begin = np.zeros(1 << 12, np.int64)
+        self.size = np.zeros(1 << 12, np.int64)
+        self.ids = np.zeros(1 << 14, "<u4")
+        self.filled = 0
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            stop, size = at, 0
+            while stop < len(texts) and (stop == at or size + len(texts[stop]) <= SLICE_BYTES):
+                size += len(texts[stop])
+                stop += 1
+            yield from self._encode_slice(texts[at:stop])
+            at = stop
+
+    def _units(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All texts in one, begin, end and key of every unit, and the units of each text."""
+        data, places = word_arrays.joined(texts)
+        starts, ends, keys = word_arrays.words(data, _BREAK, self.fold)
+        of = np.searchsorted(places, starts, "right") - 1
+        words = np.bincount(of, minlength=len(texts))
+        if not self.gaps:
+            return data, starts, ends, keys, words
+        begins = np.empty_like(starts)
+        begins[1:] = ends[:-1]
+        first = np.flatnonzero(np.diff(of, prepend=-1) > 0)
+        begins[first] = places[of[first]]
+        gap = starts - begins
+        mark = np.zeros(len(starts), np.uint64)
+        blank = np.zeros(len(starts), bool)
+        one = np.flatnonzero(gap == 1)
+        blank[one] = np.frombuffer(data, np.uint8)[begins[one]] == BLANK
+        mark[blank] = 1
+        for i in np.flatnonzero((gap > 0) & ~blank).tolist():
+            mark[i] = xxhash.xxh64_intdigest(data[begins[i] : starts[i]]) | 2
+        keys = word_arrays.join_hash(keys, mark)
+        # White space at the end of a text is a unit of its own.
+        stops = places + np.fromiter(map(len, texts), np.int64, len(texts))
+        tails = places.copy()
+        some = np.flatnonzero(words)
+        tails[some] = ends[np.cumsum(words)[some] - 1]
+        tailed = np.flatnonzero(stops > tails)
+        more = np.array([xxhash.xxh64_intdigest(data[tails[i] : stops[i]]) for i in tailed.tolist()], np.uint64)
+        at = np.cumsum(words)[tailed]
+        begins, ends = np.insert(begins, at, tails[tailed]), np.insert(ends, at, stops[tailed])
+        keys = np.insert(keys, at, word_arrays.join_hash(TAIL, more))
+        words[tailed] += 1
+        return data, begins, ends, keys, words
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of new units, whose ids are kept."""
+        found = self.encode_pieces(pieces)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter((len(f) // 4 for f in found), np.int64, len(found))
+        first, count = len(self.number), len(found)
+        while first + count > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        while self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        self.size[first : first + count] = sizes
+        self.begin[first : first + count] = self.filled + np.cumsum(sizes) - sizes
+        self.filled += len(ids)
+        return np.arange(first, first + count)
+
+    def _encode_slice(self, texts: list[bytes]) -> list[bytes]:
+        odd = {i: text for i, t in enumerate(texts) if SUSPECT.search(t) and UNUSUAL.search(text := t.decode("utf-8"))}
+        data, begins, ends, keys, units = self._units([b"" if i in odd else t for i, t in enumerate(texts)] if odd else texts)
+        distinct, first, local = np.unique(keys, return_index=True, return_inverse=True)
+        known = self.number.get
+        numbers = np.fromiter((known(k, -1) for k in distinct.tolist()), np.int64, len(distinct))
+        fresh = np.flatnonzero(numbers < 0)
+        if len(fresh):
+            at = first[fresh]
+            pieces = [data[b:e].decode("utf-8") for b, e in zip(begins[at].tolist(), ends[at].tolist(), strict=True)]
+            numbers[fresh] = self._learn(pieces)
+            self.number.update(zip(distinct[fresh].tolist(), numbers[fresh].tolist(), strict=True))
+        unit = numbers[local]
+        sizes = self.size[unit]
+        stops = np.cumsum(sizes)
+        places = np.repeat(self.begin[unit] - (stops - sizes), sizes) + np.arange(int(sizes.sum()))
+        ids = self.ids[places].tobytes()
+        cuts = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(units)])] * 4
+        out = [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        if odd:
+            for i, whole in zip(odd, self.encode_pieces(list(odd.values())), strict=True):
+                out[i] = whole
+        if len(self.number) > REMEMBERED or self.filled > IDS_REMEMBERED:
+            self.forget()
         return out
 
 
 @cache
-def tokenizer_encoder(path: str, cut: Callable[[str], list[str]]) -> PieceEncoder:
+def tokenizer_encoder(path: str, gaps: bool) -> PieceEncoder:
     """Encodes with the tokenizers library; texts that look like special tokens are ordinary text.
 
     One per worker process.  Pieces of common letters go straight to the library's model, each
@@ -122,7 +191,7 @@ def tokenizer_encoder(path: str, cut: Callable[[str], list[str]]) -> PieceEncode
         others = iter(tokenizer.encode_batch_fast(rest, add_special_tokens=False))
         return [piece_ids(p) if c else pack(f"<{len(e := next(others).ids)}I", *e) for p, c in zip(pieces, common, strict=True)]
 
-    return PieceEncoder(cut, encode_pieces)
+    return PieceEncoder(gaps, normalize("A") == "a", encode_pieces)
 
 
 def _pre_token_pattern(path: str) -> regex.Pattern:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm import id_coder
 from gaugeline.llm.common import partitions_of, text_or_empty
-from gaugeline.llm.pieces import blank_free, tokenizer_encoder
+from gaugeline.llm.pieces import tokenizer_encoder
 from gaugeline.sources.workspace import new_path
 
 PART_IDS = 4 << 20
@@ -35,7 +35,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: s
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer_encoder(tokenizer, blank_free)  # the vocabulary drops white space
+        encoder = tokenizer_encoder(tokenizer, gaps=False)  # the vocabulary drops white space
         task, number = TaskContext.get().partitionId(), 0
         doc_ids: list = []
         held: list[bytes] = []
@@ -49,7 +49,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: s
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
         for batch in batches:
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").cast(pa.binary()).to_pylist()), strict=True):
                 doc_ids.append(doc)
                 held.append(ids + end)
                 size += len(ids) // 4 + 1

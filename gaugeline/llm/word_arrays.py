@@ -1,6 +1,6 @@
 """Words of many texts as arrays: places and 64-bit hashes, without a Python object per word.
 
-A word's hash is a polynomial in its bytes (A-Z count as a-z), taken from running sums over the
+A word's hash is a polynomial in its bytes (folded: A-Z count as a-z), taken from running sums over the
 text and then mixed.  Two different words share a hash with a probability of about 2^-64.  Words
 longer than ``LONG_WORD`` bytes, where such polynomials have known weak spots, get XXH64.
 """
@@ -25,10 +25,11 @@ _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 def _byte_values() -> np.ndarray:
     values = np.random.default_rng(BYTE_SEED).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    return values[np.frombuffer(_FOLD, np.uint8)]
+    return values
 
 
 _VALUES = _byte_values()
+_FOLDED_VALUES = _VALUES[np.frombuffer(_FOLD, np.uint8)]
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -64,8 +65,9 @@ def byte_set(text: str) -> np.ndarray:
     return table
 
 
-def words(data: bytes, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: bytes, breaks: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, hashes) of all words: maximal runs of bytes that are not in ``breaks``."""
+    values = _FOLDED_VALUES if fold else _VALUES
     raw = np.frombuffer(data, np.uint8)
     inside = np.zeros(len(raw) + 2, bool)
     np.logical_not(breaks[raw], out=inside[1:-1])
@@ -79,13 +81,14 @@ def words(data: bytes, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
         part = slice(at, upto)
         piece = raw[first : int(ends[upto - 1])]
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(_VALUES[piece] * _power("up", BASE, len(piece)), out=sums[1:])
+        np.cumsum(values[piece] * _power("up", BASE, len(piece)), out=sums[1:])
         begin, end = starts[part] - first, ends[part] - first
         own = (sums[end] - sums[begin]) * _power("down", pow(BASE, -1, 1 << 64), len(piece))[begin]
         hashes[part] = mix(own + (end - begin).astype(np.uint64))
         at = upto
     for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
-        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].translate(_FOLD))
+        word = data[starts[i] : ends[i]]
+        hashes[i] = xxhash.xxh64_intdigest(word.translate(_FOLD) if fold else word)
     return starts, ends, hashes
 
 

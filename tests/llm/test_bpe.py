@@ -41,7 +41,7 @@ def test_long_pre_tokens_and_odd_characters(library):
     odd = [chr(c) for c in (9, 10, 11, 13, 28, 31, 32, 32, 133, 160, 0x180E, 0x2028, 0x3000, 0x301, 0xFEFF)]
     cases = ["".join(rng.choices([*odd, "a", "é", "'s", "'ll", "9", "Σ", "!", "中", "😀"], k=rng.randint(1, 30))) for _ in range(3000)]
     cases += ["".join(rng.choices("abcdet", k=20_000)), "a" * 20_001, "=" * 5_000, " " * 3_000 + "x", "été" * 3_000]
-    assert list(encoder.encode(cases)) == [struct.pack(f"<{len(i)}I", *i) for i in map(library.encode_ordinary, cases)]
+    assert list(encoder.encode([c.encode() for c in cases])) == [struct.pack(f"<{len(i)}I", *i) for i in map(library.encode_ordinary, cases)]
 
 
 def test_queue_gives_the_lowest_rank_then_the_leftmost_position():
@@ -75,3 +75,10 @@ def test_small_vocabulary_where_order_matters():
     for _ in range(500):
         text = "".join(rng.choices("abc", k=rng.randint(1, 30)))
         assert own.merge(text.encode()) == library.encode_ordinary(text), text
+
+
+def test_a_byte_without_a_token_is_an_error():
+    small = bpe.ByteBpe({b"a": 0, b"b": 1, b"ab": 2}, r"\S+|\s+")
+    assert small.merge(b"aab") == [0, 2]
+    with pytest.raises(ValueError, match="lacks a byte"):
+        small.merge(b"abc")

@@ -78,10 +78,11 @@ def test_sweep_places_every_rank_once():
     assert len(filled) == len(gaps)
 
 
-@pytest.mark.parametrize(
-    ("file", "cut"), [("byte_bpe_50k.json", pieces.blank_led), ("word_bpe_49k.json", pieces.blank_free)]
-)
-def test_pieces_give_the_ids_of_whole_texts(texts, file, cut):
+@pytest.mark.parametrize("remembered", [900_000, 40])
+@pytest.mark.parametrize(("file", "gaps"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_pieces_give_the_ids_of_whole_texts(texts, monkeypatch, file, gaps, remembered):
+    monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 2 << 20 if remembered > 40 else 300)
     path = public_tokenizers.path(file)
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
@@ -90,6 +91,8 @@ def test_pieces_give_the_ids_of_whole_texts(texts, file, cut):
     some = ["".join(rng.choices([*odd, "a", "É", "'s", "'", "9", "Σ", "ß", "!", "中"], k=rng.randint(1, 25))) for _ in range(4000)]
     cases = [t or "" for t in texts] + some
     expected = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in whole.encode_batch(cases, add_special_tokens=False)]
-    encoder = pieces.tokenizer_encoder(path, cut)
-    assert list(encoder.encode(cases)) == expected
-    assert [next(encoder.encode([c])) for c in cases] == expected
+    encoder = pieces.tokenizer_encoder(path, gaps)
+    raw = [c.encode() for c in cases]
+    assert list(encoder.encode(raw)) == expected
+    assert [next(encoder.encode([c])) for c in raw] == expected
+    assert list(encoder.encode([])) == [] and list(encoder.encode([b"", b""])) == [b"", b""]

@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.llm import licenses
@@ -15,25 +16,50 @@ def words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*", text.lower())
 
 
+def telling(i: int) -> set[str]:
+    """Words that tell a notice from those of other licences."""
+    name, text = licenses.TEMPLATES[i]
+    others = {w for n, t in licenses.TEMPLATES if n != name for w in words(t)}
+    own = set(words(text)) - others
+    return own or {w for w in words(text) if re.search("[0-9]", w)} or set(words(text))
+
+
 def plain(rows: list) -> dict:
-    """Every segment against every template, without filters or postings; then a walk up the path."""
+    """Whole texts, segments and all windows against every template, one by one; then a walk up the path."""
     n = len(rows)
     df = Counter(w for _, _, t in rows for w in set(words(t or "")))
-    known = {w for _, t in licenses.TEMPLATES for w in words(t)}
-    idf = lambda w: math.log((1 + n) / (1 + (df[w] if w in known else 0))) + 1
-    vector = lambda t: {w: c * idf(w) for w, c in Counter(words(t)).items()}
+    weigh = lambda run: {w: c * (math.log((1 + n) / (1 + df[w])) + 1) for w, c in Counter(run).items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    templates = [(name, vector(t)) for name, t in licenses.TEMPLATES]
-    own = {}
-    for i, _, text in rows:
-        best = None
-        for segment in licenses.segments(text or ""):
-            v = vector(segment)
-            for name, t in templates:
-                cosine = round(sum(x * t.get(w, 0) for w, x in v.items()) / (norm(v) * norm(t)), 9) if v else 0
-                if cosine >= 0.6 and (best is None or (-cosine, name) < (-best[0], best[1])):
-                    best = (cosine, name)
-        own[i] = best
+
+    def cosine(run: list[str], template: dict) -> float:
+        v = weigh(run)
+        return sum(x * template.get(w, 0) for w, x in v.items()) / (norm(v) * norm(template)) if v else 0.0
+
+    def windows(run: list[str], length: int) -> list[list[str]]:
+        return [run[s : s + length] for s in range(len(run) - length + 1)] if len(run) > length else [run]
+
+    short, titles, long = ([(name, words(t), weigh(words(t))) for name, t in group] for group in (licenses.TEMPLATES, licenses.TITLES, licenses.long_templates()))
+
+    def own_license(text: str) -> tuple | None:
+        run = words(text)
+        found = [
+            (-max(cosine(w, v) for w in windows(run, len(own))), name)
+            for name, own, v in long
+            if sum(x * x for w, x in v.items() if w in set(run)) >= 0.63 * norm(v) ** 2  # no window can do better than its shared words
+        ]
+        found = [f for f in found if round(-f[0], 9) >= 0.8]
+        if not found:
+            for segment in map(words, licenses.segments(text)):
+                for i, (name, own, v) in enumerate(short):
+                    found.append((-cosine(segment, v), name))
+                    if len(segment) > len(own):
+                        found += [(-cosine(w, v), name) for w in windows(segment, len(own)) if telling(i) & set(w)]
+                found += [(-cosine(segment, v), name) for name, own, v in titles if set(own) <= set(segment)]
+            found = [f for f in found if round(-f[0], 9) >= 0.6]
+        best = min(((round(c, 9), name) for c, name in found), default=None)
+        return best and (-best[0], best[1])
+
+    own = {i: own_license(text or "") for i, _, text in rows}
     files = {}
     for i, path, _ in sorted(rows, key=lambda r: r[1] or ""):
         if path and own[i] and re.match(licenses.LICENSE_FILE, path.split("/")[-1]):
@@ -49,7 +75,7 @@ def plain(rows: list) -> dict:
                     break
                 up = up[:-1]
         out[i] = (own[i] and own[i][1], own[i][1] if own[i] else inherited, "own" if own[i] else "directory" if inherited else "none")
-    return out
+    return out, {i: best and best[0] for i, best in own.items()}
 
 
 def test_matches_brute_force(spark, texts):
@@ -66,11 +92,21 @@ def test_matches_brute_force(spark, texts):
         ("top", "under the license and the terms of the public version"),
         ("end", "# " + NOTICE.upper() + " See LICENSE for more."),
         ("cc/a", "Licensed under CC BY-NC 4.0.\nwords"),
+        ("win/a", "This project of many authors is, as the file beside it says, released under the MIT License, and further words follow on this line."),
+        ("win/b", "Copyright 2021 Example Authors. Licensed under the Apache License, Version 2.0. More of the same follows here."),
+        ("win/LICENCE.txt", dict(licenses.long_templates())["ISC"]),
+        ("win/c/head.py", "# Copyright 2021\n" + dict(licenses.long_templates())["BSD-2-Clause"] + "\nimport os\n" * 40),
+        ("win/d", "ISC License\n\nand more"),
+        ("win/e", "Apache License\nsomething else entirely follows here today"),
+        ("win/f", "GNU General Public License"),
     ]
     rows += [(1000 + i, p, t) for i, (p, t) in enumerate(extra)]
     frame = spark.createDataFrame(rows, "doc_id long, path string, text string").withColumn("license", F.lit("clash"))
-    found = {r.doc_id: (r.own_license, r.license, r.license_from) for r in licenses.scan(frame).collect()}
-    assert found == plain(rows)
+    scanned = licenses.scan(frame).collect()
+    found = {r.doc_id: (r.own_license, r.license, r.license_from) for r in scanned}
+    expected, cosines = plain(rows)
+    assert found == expected
+    assert {r.doc_id: r.cosine for r in scanned} == {i: c if c is None else pytest.approx(c, abs=1e-7) for i, c in cosines.items()}
     assert {"own", "directory"} == {x for _, _, x in found.values() if x != "none"}
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from gaugeline.functions import keys
 from gaugeline.operators.selection import counts_below, joint_quantiles, top_k_flags
-from gaugeline.sources.workspace import spread_if_narrow
+from gaugeline.sources.workspace import spread_if_narrow, stage_table
 
 SCORE_QUANTILES = {"score_p95": 0.95, "score_p99": 0.99}
 
@@ -60,14 +60,16 @@ def topk_confusion(
 ) -> DataFrame:
     """Confusion of "flag the k highest scores" with k = max(1, positives), per group.
 
-    ``label`` is 1 or 0.  A group with a single label value gets null metrics.
+    ``label`` is 1 or 0.  A group with a single label value gets null metrics.  The four columns are
+    staged first, as positives, cut-offs and counts each read them.
     """
     by = list(by)
+    scored = stage_table(scored.select(*by, key, score, label), "judged")
     labelled = scored.groupBy(*by).agg(
         F.sum(label).alias("_positives"), (F.min(label) < F.max(label)).alias("_both")
     )
     sizes = labelled.filter("_both").select(*by, F.greatest("_positives", F.lit(1)).alias("_k"))
-    flagged = top_k_flags(scored.select(*by, key, score, label), score, sizes, key, by)
+    flagged = top_k_flags(scored, score, sizes, key, by)
     hit, truth = F.col("_top") == 1, F.col(label) == 1
     counts = flagged.groupBy(*by).agg(
         F.count_if(hit & truth).alias("tp"),

@@ -110,8 +110,8 @@ def _next_prime(n: int) -> int:
     return n
 
 
-#: Parts in which the samples of a tree meet before they meet in one.
-COMBINERS = 32
+#: Parts in which the samples of a tree meet before they meet in one, and groups of trees that meet together.
+COMBINERS, TREE_GROUPS = 32, 16
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -191,9 +191,12 @@ def forest_samples(df: DataFrame, columns: Sequence[str], key: str, trees: int,
     def lowest(rows: pa.Table) -> pa.Table:
         return _first_places(rows, sample_rows)
 
-    salted = drawn.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(COMBINERS)))
-    kept = salted.groupBy("tree", "_part").applyInArrow(lambda rows: lowest(rows.drop(["_part"])), schema)
-    return kept.groupBy("tree").applyInArrow(lowest, schema).drop("_word")
+    salted = drawn.withColumns(
+        {"_part": F.pmod(F.spark_partition_id(), F.lit(COMBINERS)), "_group": F.pmod("tree", F.lit(TREE_GROUPS))}
+    )
+    kept = salted.groupBy("_group", "_part").applyInArrow(lambda rows: lowest(rows.drop(["_group", "_part"])), schema)
+    met = kept.withColumn("_group", F.pmod("tree", F.lit(TREE_GROUPS)))
+    return met.groupBy("_group").applyInArrow(lambda rows: lowest(rows.drop(["_group"])), schema).drop("_word")
 
 
 def fit_isolation_forest(

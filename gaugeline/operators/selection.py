@@ -210,7 +210,7 @@ def joint_quantiles(
     Columns and groups share their scans, at most three whatever their number: one counts the rows,
     computes the ``extra`` aggregates, and sketches a narrow bracket around each wanted rank; one
     counts the values below each bracket; one gathers the few values inside.  With at most
-    ``one_tile_rows`` rows the second scan aggregates exactly instead, and there is no third.  Ranks
+    ``one_tile_rows`` rows, which a look at so many rows tells, one scan aggregates all of it exactly.  Ranks
     come from exact counts: a bracket that misses its rank is opened to the whole column and counted again.
     """
     frame, key = grouped(df, by)
@@ -218,7 +218,6 @@ def joint_quantiles(
     slots = [Slot(i, name, float(p)) for i, asked in enumerate(wanted.values()) for name, p in asked.items()]
     # Adding 0.0 turns -0.0 into 0.0.
     values = {f"_v{i}": F.col(c).cast("double") + F.lit(0.0) for i, c in enumerate(wanted)}
-    numbers = range(len(wanted))
     counts = [F.count(v).alias(f"_n{i}") for i, v in enumerate(values.values())]
     extra = extra or {}
     own = [e.alias(f"_x{i}") for i, e in enumerate(extra.values())]
@@ -226,19 +225,18 @@ def joint_quantiles(
         F.percentile_approx(v, F.array(*[F.lit(e) for s in slots if s.column == i for e in _bracket(s.probability)]), SKETCH).alias(f"_s{i}")
         for i, v in enumerate(values.values())
     ]
-    summary = pin_if_small(frame.groupBy(*key).agg(*own, *counts, *sketches))
-    totals = summary.agg(*[F.sum(f"_n{i}") for i in numbers]).first()
     slim = frame.select(*key, *[v.alias(n) for n, v in values.items()])
-    if max((t or 0 for t in totals), default=0) <= one_tile_rows:
+    if slim.limit(one_tile_rows + 1).count() <= one_tile_rows:
         exact = [
-            F.percentile(f"_v{i}", F.array(*[F.lit(s.probability) for s in slots if s.column == i])).alias(f"_q{i}") for i in numbers
+            F.percentile(v, F.array(*[F.lit(s.probability) for s in slots if s.column == i])).alias(f"_q{i}") for i, v in enumerate(values.values())
         ]
-        found = slim.groupBy(*key).agg(*exact)
         place = {s: [x for x in slots if x.column == s.column].index(s) for s in slots}
-        answers = found.select(*key, *[F.col(f"_q{s.column}")[place[s]].alias(f"_a{i}") for i, s in enumerate(slots)])
+        joined = frame.groupBy(*key).agg(*own, *exact)
+        joined = joined.withColumns({f"_a{i}": F.col(f"_q{s.column}")[place[s]] for i, s in enumerate(slots)})
     else:
+        summary = pin_if_small(frame.groupBy(*key).agg(*own, *counts, *sketches))
         answers = _bracketed(slim, summary, slots, key, one_tile_rows)
-    joined = summary.join(answers, key, "left") if key else summary.join(answers)
+        joined = summary.join(answers, key, "left") if key else summary.join(answers)
     names = [F.col(f"_a{i}").alias(s.name) for i, s in enumerate(slots)]
     extras = [F.col(f"_x{i}").alias(name) for i, name in enumerate(extra)]
     return joined.select(*groups, *extras, *names)

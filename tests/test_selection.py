@@ -87,7 +87,7 @@ def test_joint_quantiles_read_the_table_three_times_at_most(spark, tmp_path, mon
         original = getattr(selection, name)
         monkeypatch.setattr(selection, name, lambda df, *a, run=original: scans.append(reads(df)) or run(df, *a))
     found = selection.joint_quantiles(table, {c: {f"{c}_{p}": p for p in (0.1, 0.5, 0.9)} for c in columns}, one_tile_rows=limit)
-    assert sum(scans) + reads(found) == (3 if limit == 500 else 2)
+    assert sum(scans) + reads(found) == (3 if limit == 500 else 1)
     assert found.count() == 1
 
 

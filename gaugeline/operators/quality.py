@@ -50,6 +50,8 @@ def collapse_copies(df: DataFrame) -> DataFrame:
     if not df.columns or _nested(df):
         return _compare_rows(df)
     repeated = stage_table(repeated_fingerprints(df), "repeated")
+    if repeated.isEmpty():
+        return df.withColumn(COPIES, F.lit(1).cast("bigint"))
     marks = broadcast_if_small(repeated, REPEATED_ROWS)
     if marks is repeated:
         return _compare_rows(df)

@@ -241,3 +241,23 @@ def test_grid_search_uses_every_fold_and_candidate(spark):
     vectors = supervised.labelled_vectors(df, ["a", "b"], "key")
     results = supervised.grid_results(spark, supervised.cross_validate(vectors, "key")).collect()
     assert len(results) == 4 and all(r["cv_metric_auc"] > 0.9 for r in results)
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    """A larger table has more partitions, so no task's share grows with it; held on disk, as learners hold copies."""
+    vectors = supervised.labelled_vectors(labelled(spark, 400), ["a", "b"], "key")
+    with supervised.training_table(vectors) as held:
+        assert held.rdd.getNumPartitions() == supervised.TRAINING_PARTITIONS
+    monkeypatch.setattr(supervised, "PARTITION_ROWS", 10)
+    with supervised.training_table(vectors) as held:
+        assert held.rdd.getNumPartitions() == 40 and held.count() == 400
+        assert held.storageLevel.useDisk and not held.storageLevel.useMemory
+
+
+def test_baselines_share_one_layout(spark, monkeypatch):
+    layouts = []
+    plain = supervised.training_layout
+    monkeypatch.setattr(supervised, "training_layout", lambda *a: layouts.append(a[1]) or plain(*a))
+    rows = supervised.supervised_baselines(labelled(spark, 300), ["a", "b"], "key").collect()
+    assert [r.algorithm for r in rows] == ["logistic_regression", "random_forest"] and all(r.accuracy > 0.8 for r in rows)
+    assert layouts == [supervised.TRAINING_PARTITIONS]

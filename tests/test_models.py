@@ -2,6 +2,9 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from gaugeline.functions import trees
@@ -261,3 +264,19 @@ def test_baselines_share_one_layout(spark, monkeypatch):
     rows = supervised.supervised_baselines(labelled(spark, 300), ["a", "b"], "key").collect()
     assert [r.algorithm for r in rows] == ["logistic_regression", "random_forest"] and all(r.accuracy > 0.8 for r in rows)
     assert layouts == [supervised.TRAINING_PARTITIONS]
+
+
+def test_grid_search_holds_no_fold_in_memory_and_agrees_with_the_validator(spark, monkeypatch):
+    vectors = supervised.labelled_vectors(labelled(spark, 300), ["a", "b"], "key")
+    estimator = LogisticRegression(maxIter=20)
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.01, 5.0]).build()
+    folded = supervised.training_layout(stratified_folds(vectors, "key", 3, label="label"), 4, ("fold",))
+    validator = CrossValidator(
+        estimator=estimator, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=3, foldCol="fold"
+    )
+    expected = validator.fit(folded)
+    monkeypatch.setattr(supervised, "PARTITION_ROWS", 15)
+    monkeypatch.setattr(type(vectors), "cache", lambda self: pytest.fail("a fold is held in memory"))
+    found = supervised.cross_validate(vectors, "key", estimator, grid)
+    assert found.avgMetrics == pytest.approx(expected.avgMetrics) and found.stdMetrics == pytest.approx(expected.stdMetrics)
+    assert found.getNumFolds() == 3 and found.bestModel.coefficients.toArray() == pytest.approx(expected.bestModel.coefficients.toArray())

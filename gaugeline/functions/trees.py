@@ -57,18 +57,20 @@ def mean_path_lengths(
 ) -> np.ndarray:
     """Mean path length of each row; ``x`` is rows by features, the others trees by nodes.
 
-    All rows of the batch walk one tree level at a time, in buffers made once per batch.
+    All rows of the batch walk one tree level at a time, in buffers made once per batch.  Values lie
+    feature by feature, so the root, where all rows compare one feature, reads them in order.
     """
-    rows, width = x.shape
+    rows = len(x)
     depth = int(path.shape[1]).bit_length() - 1
-    flat, row_start = np.ascontiguousarray(x).ravel(), np.arange(rows) * width
+    flat, lane = np.ascontiguousarray(x.T).ravel(), np.arange(rows)
     total, value, cut = np.zeros(rows), np.empty(rows), np.empty(rows)
     node, place, right = np.empty(rows, np.intp), np.empty(rows, np.intp), np.empty(rows, bool)
-    for f, t, p in zip(feature.astype(np.intp), threshold, path, strict=True):
-        node[:] = 0
-        for _ in range(depth):
+    for f, t, p in zip(feature.astype(np.intp) * rows, threshold, path, strict=True):
+        np.greater(flat[f[0] : f[0] + rows], t[0], out=right)
+        np.add(right, 1, out=node, casting="unsafe")
+        for _ in range(depth - 1):
             np.take(f, node, out=place, mode="clip")
-            np.add(place, row_start, out=place)
+            np.add(place, lane, out=place)
             np.take(flat, place, out=value, mode="clip")
             np.take(t, node, out=cut, mode="clip")
             np.greater(value, cut, out=right)

@@ -257,6 +257,16 @@ def operating_points(
     return dict(zip(points, quantile_values(train_scores, score, list(points.values())), strict=True))
 
 
+def flag_all(forest: IsolationForest, rows: DataFrame, training: Column, keep: Sequence[str]) -> DataFrame:
+    """``keep``, score and flags of every row, by thresholds of the scores of the ``training`` rows.
+
+    Each row is scored once: the scores are staged, as the quantiles read theirs up to three times.
+    """
+    scored = stage_table(forest.score(rows.withColumn("_training", training)).select(*keep, "_training", "anomaly_score"), "scored")
+    cuts = operating_points(scored.filter("_training"))
+    return scored.drop("_training").withColumns({name: anomaly_flag("anomaly_score", cut) for name, cut in cuts.items()})
+
+
 def by_operating_point(scored: DataFrame, thresholds: dict[str, float], score: str = "anomaly_score") -> DataFrame:
     """Each scored row once per operating point, with its flag."""
     literal = F.array(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions import trees
 from gaugeline.operators import anomaly, supervised
 from gaugeline.operators.split import stratified_folds
+from tests.conftest import plan_of
 
 
 @pytest.mark.parametrize("name", ["train_lr_metrics", "cv_grid_search_metrics", "isolation_forest_values", "quantiles_approx_boundaries"])
@@ -280,3 +281,18 @@ def test_grid_search_holds_no_fold_in_memory_and_agrees_with_the_validator(spark
     found = supervised.cross_validate(vectors, "key", estimator, grid)
     assert found.avgMetrics == pytest.approx(expected.avgMetrics) and found.stdMetrics == pytest.approx(expected.stdMetrics)
     assert found.getNumFolds() == 3 and found.bestModel.coefficients.toArray() == pytest.approx(expected.bestModel.coefficients.toArray())
+
+
+def test_flag_all_scores_each_row_once(spark, monkeypatch):
+    df = cloud(spark, 400).withColumn("split", F.when(F.col("a") > 0, "train").otherwise("test"))
+    train = df.filter("split = 'train'")
+    forest = anomaly.fit_isolation_forest(train, ["a", "b"], "key", trees=20, sample_rows=32)
+    expected = replace(forest, cuts=anomaly.operating_points(forest.score(train))).flag(df)
+    scored = []
+    plain = anomaly.IsolationForest.score
+    monkeypatch.setattr(anomaly.IsolationForest, "score", lambda self, rows: scored.append(rows) or plain(self, rows))
+    flagged = anomaly.flag_all(forest, df, F.col("split") == "train", ("key", "split"))
+    columns = ["key", "split", "anomaly_score", *anomaly.OPERATING_POINTS]
+    assert sorted(flagged.select(columns).collect()) == sorted(expected.select(columns).collect())
+    assert len(scored) == 1
+    assert "ArrowEvalPython" not in plan_of(flagged)  # later reads take the staged scores

@@ -45,6 +45,8 @@ GRAM = 20
 WINDOW_GRAMS = MATCH - GRAM + 1
 BUFFER_BYTES = 1 << 20
 BUFFER_DOCS = 60_000
+#: Bytes whose grams and runs are found at a time; some thirty arrays of eight bytes for each are alive.
+CHUNK_BYTES = 1 << 18
 #: More different runs of an anchor than this in a buffer, or in all, are sent window by window.
 LOCAL_RUNS, ALL_RUNS = 64, 2_000
 #: Runs whose suffixes a task sorts together.
@@ -83,14 +85,14 @@ class Runs:
 
     def __init__(self, body: np.ndarray, ends: np.ndarray):
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        parts = [self._chunk(body, starts, ends, at) for at in range(0, max(0, len(body) - MATCH + 1), BUFFER_BYTES)]
+        parts = [self._chunk(body, starts, ends, at) for at in range(0, max(0, len(body) - MATCH + 1), CHUNK_BYTES)]
         empty = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U), np.empty(0, U))
         self.start, self.windows, self.anchor, self.run = (np.concatenate(p) for p in zip(empty, *parts, strict=True))
         self.doc = np.searchsorted(ends, self.start, "right")
 
     @staticmethod
     def _chunk(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: int) -> tuple[np.ndarray, ...]:
-        part = body[at : at + BUFFER_BYTES + MATCH - 1]
+        part = body[at : at + CHUNK_BYTES + MATCH - 1]
         n = len(part) - MATCH + 1
         inside = np.zeros(n + 1, np.int32)
         long = ends - starts >= MATCH

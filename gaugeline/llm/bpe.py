@@ -152,7 +152,7 @@ def byte_encoder(path: str, pattern: str) -> tuple[ByteBpe, PieceEncoder]:
         return known
 
     def encode_pieces(pieces: list[str]) -> list[bytes]:
-        if len(parts) > REMEMBERED // 3:
+        if len(parts) > REMEMBERED // 5:
             parts.clear()
         return [b"".join(map(part_ids, split(p))) for p in pieces]
 

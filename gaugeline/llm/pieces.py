@@ -14,6 +14,7 @@ import re
 import struct
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -23,22 +24,57 @@ import xxhash
 from gaugeline.llm import word_arrays
 
 #: Units and ids that a worker remembers; beyond either all are forgotten.
-REMEMBERED, IDS_REMEMBERED = 900_000, 1 << 23
+REMEMBERED, IDS_REMEMBERED = 1_500_000, 1 << 23
+#: Places for units met before, looked up without sorting; a power of two.
+MET = 1 << 19
 #: Longer parts of a unit are not remembered.
 LONGEST_REMEMBERED = 64
 #: White space other than blank, tab and line ends: such texts are not cut.
 UNUSUAL = re.compile(r"[^\S \t\n\r]|[\u180e\u200b\ufeff]")
 #: Bytes without which no text holds any of these.
 SUSPECT = re.compile(rb"[\x0b\x0c\x1c-\x1f\xc2\xe1\xe2\xe3\xef]")
+#: Pre-tokens that go to the library in one call.
+PARTS_TOGETHER = 1_000
 #: Bytes of text that are cut and looked up together.
 SLICE_BYTES = 2 << 20
 #: Below this character all Unicode versions agree on letters and numbers (fixed value).
 STABLE_BELOW = "\u0250"
+#: What no line of common letters holds: other letters, and white space.
+UNCOMMON = re.compile(f"[^\0-{chr(ord(STABLE_BELOW) - 1)}]|[^\\S\n]")
 _BREAK = word_arrays.byte_set(" \t\n\r")
 BLANK = ord(" ")
 TAIL = np.array([0x7FB5D329728EA185], np.uint64)
 
 
+class IdStore:
+    """Runs of ids, numbered as they come."""
+
+    def __init__(self):
+        self.count = self.filled = 0
+        self.begin, self.size = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
+        self.ids = np.zeros(1 << 14, "<u4")
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        first, count = self.count, len(sizes)
+        while first + count > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        while self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        self.size[first : first + count] = sizes
+        self.begin[first : first + count] = self.filled + np.cumsum(sizes) - sizes
+        self.filled += len(ids)
+        self.count += count
+        return np.arange(first, self.count)
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these runs, one after another, and where each run ends."""
+        sizes = self.size[numbers].astype(np.int64)
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.begin[numbers] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        return self.ids[places], ends
+
+
 class PieceEncoder:
     """``encode`` gives each text's ids as little-endian 32-bit integers.
 
@@ -46,16 +82,16 @@ class PieceEncoder:
     blank into the word; without, the tokenizer drops white space.  ``fold``: A-Z count as a-z.
     """
 
-    def __init__(self, gaps: bool, fold: bool, encode_pieces: Callable[[list[str]], list[bytes]]):
-        self.gaps, self.fold, self.encode_pieces = gaps, fold, encode_pieces
+    def __init__(self, gaps: bool, fold: bool, encode_pieces: Callable[[list[str]], list[bytes]], together: _Together | None = None):
+        self.gaps, self.fold, self.encode_pieces, self.together = gaps, fold, encode_pieces, together
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[int, int] = {}
-        self.begin = np.zeros(1 << 12, np.int64)
-        self.size = np.zeros(1 << 12, np.int64)
-        self.ids = np.zeros(1 << 14, "<u4")
-        self.filled = 0
+        # Keys in their order, which take a tenth of a dictionary's memory, and the number of each.
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        # The last unit met of each hash; no key belongs in the place of its complement.
+        self.met_key, self.met_number = ~np.arange(MET, dtype=np.uint64), np.zeros(MET, np.int32)
+        self.store = IdStore()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         at = 0
@@ -101,49 +137,138 @@ class PieceEncoder:
         words[tailed] += 1
         return data, begins, ends, keys, words
 
-    def _learn(self, pieces: list[str]) -> np.ndarray:
+    def _learn(self, data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Numbers of new units, whose ids are kept."""
-        found = self.encode_pieces(pieces)
-        ids = np.frombuffer(b"".join(found), "<u4")
+        pieces = [data[b:e] for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
+        lines = b"\n".join(pieces).decode("utf-8")
+        if self.together and self.together.takes(lines, len(pieces)):
+            return self.store.add(*self.together.encode(lines))
+        found = self.encode_pieces([p.decode("utf-8") for p in pieces])
         sizes = np.fromiter((len(f) // 4 for f in found), np.int64, len(found))
-        first, count = len(self.number), len(found)
-        while first + count > len(self.begin):
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-        while self.filled + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.filled : self.filled + len(ids)] = ids
-        self.size[first : first + count] = sizes
-        self.begin[first : first + count] = self.filled + np.cumsum(sizes) - sizes
-        self.filled += len(ids)
-        return np.arange(first, first + count)
+        return self.store.add(np.frombuffer(b"".join(found), "<u4"), sizes)
 
-    def _encode_slice(self, texts: list[bytes]) -> list[bytes]:
-        odd = {i: text for i, t in enumerate(texts) if SUSPECT.search(t) and UNUSUAL.search(text := t.decode("utf-8"))}
-        data, begins, ends, keys, units = self._units([b"" if i in odd else t for i, t in enumerate(texts)] if odd else texts)
+    def _numbers(self, keys: np.ndarray, data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         distinct, first, local = np.unique(keys, return_index=True, return_inverse=True)
-        known = self.number.get
-        numbers = np.fromiter((known(k, -1) for k in distinct.tolist()), np.int64, len(distinct))
-        fresh = np.flatnonzero(numbers < 0)
+        place = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = np.flatnonzero(place < len(self.keys))
+        known[inside] = self.keys[place[inside]] == distinct[inside]
+        numbers = np.empty(len(distinct), np.int32)
+        numbers[known] = self.number[place[known]]
+        fresh = np.flatnonzero(~known)
         if len(fresh):
             at = first[fresh]
-            pieces = [data[b:e].decode("utf-8") for b, e in zip(begins[at].tolist(), ends[at].tolist(), strict=True)]
-            numbers[fresh] = self._learn(pieces)
-            self.number.update(zip(distinct[fresh].tolist(), numbers[fresh].tolist(), strict=True))
-        unit = numbers[local]
-        sizes = self.size[unit]
-        stops = np.cumsum(sizes)
-        places = np.repeat(self.begin[unit] - (stops - sizes), sizes) + np.arange(int(sizes.sum()))
-        ids = self.ids[places].tobytes()
+            numbers[fresh] = self._learn(data, begins[at], ends[at])
+            old = np.ones(len(self.keys) + len(fresh), bool)
+            old[place[fresh] + np.arange(len(fresh))] = False
+            self.keys, self.number = _merged(old, self.keys, distinct[fresh]), _merged(old, self.number, numbers[fresh])
+        return numbers[local]
+
+    def _encode_slice(self, texts: list[bytes]) -> list[bytes]:
+        odd = {i: text for i, t in enumerate(texts) if SUSPECT.search(t) and UNUSUAL.search(text := t.decode("utf-8"))}
+        data, begins, ends, keys, units = self._units([b"" if i in odd else t for i, t in enumerate(texts)] if odd else texts)
+        slot = (keys & np.uint64(MET - 1)).astype(np.int64)
+        numbers = self.met_number[slot]
+        unmet = np.flatnonzero(self.met_key[slot] != keys)
+        if len(unmet):
+            slot, key = slot[unmet], keys[unmet]
+            numbers[unmet] = number = self._numbers(key, data, begins[unmet], ends[unmet])
+            # Of units with one hash, the last number must go with the last key.
+            self.met_key[slot] = key
+            same = self.met_key[slot] == key
+            self.met_number[slot[same]] = number[same]
+        found, stops = self.store.joined(numbers)
+        ids = found.tobytes()
         cuts = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(units)])] * 4
         out = [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         if odd:
             for i, whole in zip(odd, self.encode_pieces(list(odd.values())), strict=True):
                 out[i] = whole
-        if len(self.number) > REMEMBERED or self.filled > IDS_REMEMBERED:
+        if self.store.count > REMEMBERED or self.store.filled > IDS_REMEMBERED:
             self.forget()
         return out
 
 
+class _Together:
+    """Units of common letters, each in a line of its own: one call of the library for many new pre-tokens.
+
+    For vocabularies that mark the last token of a pre-token, so that the ids show where each one ends.
+    """
+
+    def __init__(self, tokenizer, pattern: regex.Pattern, fold: Callable[[str], str], letters: Callable[[str], list]):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self.fold, self.split = fold, regex.compile(f"{pattern.pattern}|\n").findall
+        self.bare = Tokenizer(tokenizer.model)
+        self.bare.pre_tokenizer = CharDelimiterSplit("\n")
+        suffix, vocabulary = tokenizer.model.end_of_word_suffix, tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.letters = _ByteLetters(letters)
+        self.forget()
+
+    @staticmethod
+    def of(tokenizer, pattern: regex.Pattern, letters: Callable[[str], list]) -> _Together | None:
+        """None unless ends of pre-tokens show, white space is dropped, and letters are at most lower-cased."""
+        usual = "".join(c for c in map(chr, range(ord(STABLE_BELOW))) if not c.isspace())
+        shown = tokenizer.normalizer.normalize_str(usual) if tokenizer.normalizer else usual
+        fold = next((f for f in (str.lower, str) if f(usual) == shown), None)
+        if fold is None or not getattr(tokenizer.model, "end_of_word_suffix", None) or pattern.findall("a\nb") != ["a", "b"]:
+            return None
+        return _Together(tokenizer, pattern, fold, letters)
+
+    @staticmethod
+    def takes(lines: str, count: int) -> bool:
+        return lines.count("\n") == count - 1 and not UNCOMMON.search(lines)
+
+    def forget(self) -> None:
+        self.store = IdStore()
+        # The end of a line, which stands between pieces, has no ids.
+        self.number = {"\n": int(self.store.add(np.zeros(0, "<u4"), np.zeros(1, np.int64))[0])}
+
+    def encode(self, lines: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all lines, one after another, and how many each has."""
+        if self.store.count > REMEMBERED // 10 or self.store.filled > IDS_REMEMBERED // 6:
+            self.forget()
+        parts = self.split(self.fold(lines))
+        fresh = list(dict.fromkeys(parts).keys() - self.number.keys())
+        for at in range(0, len(fresh), PARTS_TOGETHER):
+            self._learn(fresh[at : at + PARTS_TOGETHER])
+        numbers = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        ids, ends = self.store.joined(numbers)
+        for part in [p for p in fresh if len(p) > LONGEST_REMEMBERED]:
+            del self.number[part]
+        return ids, np.diff(ends[numbers == 0], prepend=0, append=len(ids))
+
+    def _learn(self, parts: list[str]) -> None:
+        shown = "\n".join(parts).translate(self.letters)
+        ids = np.array(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(parts):
+            raise ValueError("the vocabulary does not mark every end of a pre-token")
+        self.number.update(zip(parts, self.store.add(ids, np.diff(ends, prepend=0)).tolist(), strict=True))
+
+
+class _ByteLetters(dict):
+    """For ``str.translate``: the letters that stand for a character's bytes; the end of a line stays."""
+
+    def __init__(self, letters: Callable[[str], list]):
+        super().__init__({ord("\n"): "\n"})
+        self.letters = letters
+
+    def __missing__(self, character: int) -> str:
+        self[character] = self.letters(chr(character))[0][0]
+        return self[character]
+
+
+def _merged(first: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Values of ``one`` where ``first`` is true, and of ``other`` elsewhere."""
+    out = np.empty(len(first), one.dtype)
+    out[first], out[~first] = one, other
+    return out
+
+
 @cache
 def tokenizer_encoder(path: str, gaps: bool) -> PieceEncoder:
     """Encodes with the tokenizers library; texts that look like special tokens are ordinary text.
@@ -184,14 +309,15 @@ def tokenizer_encoder(path: str, gaps: bool) -> PieceEncoder:
         return b"".join(out)
 
     def encode_pieces(pieces: list[str]) -> list[bytes]:
-        if len(parts) > REMEMBERED // 6:
+        if len(parts) > REMEMBERED // 10:
             parts.clear()
         common = [bool(p) and max(p) < STABLE_BELOW for p in pieces]
         rest = [p for p, c in zip(pieces, common, strict=True) if not c]
         others = iter(tokenizer.encode_batch_fast(rest, add_special_tokens=False))
         return [piece_ids(p) if c else pack(f"<{len(e := next(others).ids)}I", *e) for p, c in zip(pieces, common, strict=True)]
 
-    return PieceEncoder(gaps, normalize("A") == "a", encode_pieces)
+    together = _Together.of(tokenizer, _pre_token_pattern(path), letters)
+    return PieceEncoder(gaps, normalize("A") == "a", encode_pieces, together)
 
 
 def _pre_token_pattern(path: str) -> regex.Pattern:

@@ -25,7 +25,7 @@ from gaugeline.llm.common import partitions_of, text_or_empty
 from gaugeline.llm.pieces import tokenizer_encoder
 from gaugeline.sources.workspace import new_path
 
-PART_IDS = 4 << 20
+PART_IDS = 8 << 20
 FILE_SCHEMA = "part long, number long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
 

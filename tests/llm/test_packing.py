@@ -96,3 +96,21 @@ def test_pieces_give_the_ids_of_whole_texts(texts, monkeypatch, file, gaps, reme
     assert list(encoder.encode(raw)) == expected
     assert [next(encoder.encode([c])) for c in raw] == expected
     assert list(encoder.encode([])) == [] and list(encoder.encode([b"", b""])) == [b"", b""]
+
+
+def test_remembered_words_take_little_memory():
+    """Workers that wait keep their words: 300,000 of them in less than half a dictionary's memory."""
+    import tracemalloc
+
+    encoder = pieces.PieceEncoder(True, False, lambda found: [b"\1\0\0\0"] * len(found))
+    texts = [" ".join(f"w{i}" for i in range(at, at + 30_000)).encode() for at in range(0, 300_000, 30_000)]
+    tracemalloc.start()
+    try:
+        for text in texts:
+            (ids,) = encoder.encode([text])
+            assert len(ids) == 4 * 30_000
+        del ids
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 30e6

@@ -8,6 +8,7 @@ used; a text with unusual white space is one unit.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -41,6 +42,8 @@ SLICE_BYTES = 2 << 20
 STABLE_BELOW = "\u0250"
 #: What no line of common letters holds: other letters, and white space.
 UNCOMMON = re.compile(f"[^\0-{chr(ord(STABLE_BELOW) - 1)}]|[^\\S\n]")
+#: Bytes without which no line holds any of these.
+UNSURE = word_arrays.byte_set("".join(map(chr, [*range(10), *range(11, 33), 0xC2, *range(0xC9, 256)])))
 _BREAK = word_arrays.byte_set(" \t\n\r")
 BLANK = ord(" ")
 TAIL = np.array([0x7FB5D329728EA185], np.uint64)
@@ -140,9 +143,8 @@ class PieceEncoder:
     def _learn(self, data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Numbers of new units, whose ids are kept."""
         pieces = [data[b:e] for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
-        lines = b"\n".join(pieces).decode("utf-8")
-        if self.together and self.together.takes(lines, len(pieces)):
-            return self.store.add(*self.together.encode(lines))
+        if self.together and self.together.takes(lines := b"\n".join(pieces), len(pieces)):
+            return self.store.add(*self.together.encode(lines.decode("utf-8")))
         found = self.encode_pieces([p.decode("utf-8") for p in pieces])
         sizes = np.fromiter((len(f) // 4 for f in found), np.int64, len(found))
         return self.store.add(np.frombuffer(b"".join(found), "<u4"), sizes)
@@ -205,7 +207,7 @@ class _Together:
         suffix, vocabulary = tokenizer.model.end_of_word_suffix, tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.letters = _ByteLetters(letters)
+        self.letters = _byte_letters(letters)
         self.forget()
 
     @staticmethod
@@ -219,8 +221,10 @@ class _Together:
         return _Together(tokenizer, pattern, fold, letters)
 
     @staticmethod
-    def takes(lines: str, count: int) -> bool:
-        return lines.count("\n") == count - 1 and not UNCOMMON.search(lines)
+    def takes(lines: bytes, count: int) -> bool:
+        if lines.count(b"\n") != count - 1:
+            return False
+        return not UNSURE[np.frombuffer(lines, np.uint8)].any() or not UNCOMMON.search(lines.decode("utf-8"))
 
     def forget(self) -> None:
         self.store = IdStore()
@@ -242,7 +246,7 @@ class _Together:
         return ids, np.diff(ends[numbers == 0], prepend=0, append=len(ids))
 
     def _learn(self, parts: list[str]) -> None:
-        shown = "\n".join(parts).translate(self.letters)
+        shown, _ = codecs.charmap_decode("\n".join(parts).encode("utf-8"), "strict", self.letters)
         ids = np.array(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(parts):  # letters that the vocabulary lacks may leave no mark
@@ -251,16 +255,15 @@ class _Together:
         self.number.update(zip(parts, self.store.add(ids, np.diff(ends, prepend=0)).tolist(), strict=True))
 
 
-class _ByteLetters(dict):
-    """For ``str.translate``: the letters that stand for a character's bytes; the end of a line stays."""
-
-    def __init__(self, letters: Callable[[str], list]):
-        super().__init__({ord("\n"): "\n"})
-        self.letters = letters
-
-    def __missing__(self, character: int) -> str:
-        self[character] = self.letters(chr(character))[0][0]
-        return self[character]
+def _byte_letters(letters: Callable[[str], list]) -> str:
+    """The letter that stands for each byte of UTF-8, as ``letters`` shows them; the end of a line stays."""
+    table = ["\ufffe"] * 256
+    for part in (range(0x80), range(0x80, 0x800), range(0x800, 0xD800, 0x40), range(0xE000, 0x110000, 0x1000)):
+        for character in map(chr, part):
+            for byte, letter in zip(character.encode("utf-8"), letters(character)[0][0], strict=True):
+                table[byte] = letter
+    table[ord("\n")] = "\n"
+    return "".join(table)
 
 
 def _merged(first: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ import random
 import pytest
 
 from gaugeline.llm import suffix_dedup
+from gaugeline.sources.workspace import stage_table
 
 
 def plain(by_id: dict, match: int = 50) -> dict:
@@ -66,3 +67,17 @@ def test_equal_and_missing_ids(spark):
     rows = [(4, text), (4, text), (None, text), (None, "x" + text), (9, text + "!")]
     found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("4", 0), ("4", 0), ("9", 72), ("None", 72), ("None", 72)]
+
+
+def test_only_tables_read_again_are_staged(spark, monkeypatch):
+    staged = []
+
+    def stage(df, purpose):
+        staged.append(purpose)
+        return stage_table(df, purpose)
+
+    monkeypatch.setattr(suffix_dedup, "stage_table", stage)
+    by_id = {1: "x" * 10 + "abcdefghij" * 6, 2: "abcdefghij" * 6 + "y" * 60, 3: None, 4: "y" * 55}
+    frame = spark.createDataFrame(list(by_id.items()), "doc_id long, text string")
+    assert result(suffix_dedup.remove_repeats(frame)) == plain({i: t or "" for i, t in by_id.items()})
+    assert staged == ["buffers", "edges"]

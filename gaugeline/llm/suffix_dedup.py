@@ -483,7 +483,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, kept_text]) of every row.
 
     ``kept_text`` leaves out characters of which only some bytes were removed.
-    Only buffers and edges are staged, which are read more than once.
+    Buffers and edges are staged as they are read more than once, answers so that the shuffle of the
+    questions can go before the edges come.
     """
     tasks = partitions_of(docs.sparkSession)
     narrow = docs.select(
@@ -493,6 +494,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = max(tasks, -(-(buffers.agg(F.sum("size")).first()[0] or 0) // PART_BYTES))
     asked = buffers.mapInArrow(_questions(parts), "part int, buffer long, entries binary")
     told = asked.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_answered, "buffer long, part int, codes binary")
+    told = stage_table(told, "answers")
     schema = "buffer long, key long, order long, doc long, start long, windows long, bytes binary, spans binary"
     found = buffers.groupBy("buffer").cogroup(told.groupBy("buffer")).applyInArrow(_edges(parts), schema)
     found = stage_table(found, "edges")

@@ -69,7 +69,7 @@ def test_equal_and_missing_ids(spark):
     assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("4", 0), ("4", 0), ("9", 72), ("None", 72), ("None", 72)]
 
 
-def test_only_tables_read_again_are_staged(spark, monkeypatch):
+def test_spans_are_not_staged(spark, monkeypatch):
     staged = []
 
     def stage(df, purpose):
@@ -80,4 +80,4 @@ def test_only_tables_read_again_are_staged(spark, monkeypatch):
     by_id = {1: "x" * 10 + "abcdefghij" * 6, 2: "abcdefghij" * 6 + "y" * 60, 3: None, 4: "y" * 55}
     frame = spark.createDataFrame(list(by_id.items()), "doc_id long, text string")
     assert result(suffix_dedup.remove_repeats(frame)) == plain({i: t or "" for i, t in by_id.items()})
-    assert staged == ["buffers", "edges"]
+    assert staged == ["buffers", "answers", "edges"]

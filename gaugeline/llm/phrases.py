@@ -11,10 +11,11 @@ documents, exactly.
 
 Shards are what a task reads, merged without a shuffle into as few as keep the lowered support at
 ``LEAST_LOCAL`` or more, and cut where a shard holds half more than ``SHARD_BYTES`` of text; so a task's
-memory is bounded, and with more than ``support`` shards' worth of text the lowered support is one
-occurrence: results stay exact, but the union is then every phrase.  The union reaches the counting
-pass as a Bloom filter of at most ``FILTER_BITS``.  A false positive of the filter is counted like any
-phrase and falls to the global support, as a filter answers the same everywhere.
+memory is bounded.  With so much text that the lowered support would fall below ``LEAST_MINED``, shards
+would return nearly every phrase: then the union is found level by level over all shards instead
+(``_by_levels``).  The union reaches the counting pass as a Bloom filter of at most ``FILTER_BITS``.  A
+false positive of the filter is counted like any phrase and falls to the global support, as a filter
+answers the same everywhere.
 
 Within a task words are told apart by 64-bit hashes; across tasks phrases are compared as text.
 
@@ -42,6 +43,9 @@ NO_LANGUAGE = "und"
 #: Text of a shard, of which it may exceed by half, and what is turned into word numbers at once.
 SHARD_BYTES, ADD_BYTES = 64 << 20, 4 << 20
 LEAST_LOCAL = 6
+#: Below this lowered support phrases are mined level by level, in shards of so much text.
+LEAST_MINED = 3
+LEVEL_BYTES = 16 << 20
 #: Places whose phrases are told apart at once, and rows of a batch that goes out.
 PLACES, ROWS_OUT = 1 << 20, 1 << 16
 #: Bits of the largest filter (32 MB) and of it for each phrase; probes of each phrase.
@@ -85,7 +89,10 @@ class Words:
         self.runs.append(run)
 
     def levels(self, most_words: int, keep: Keep) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(words, counts, hashes, place of the phrase without its last word, last word) of kept phrases."""
+        """(words, counts, hashes, place of the phrase without its last word, last word) of kept phrases.
+
+        The phrases of one length come in parts that follow each other, so that only their hashes are held.
+        """
         run = np.concatenate([*self.runs, np.zeros(1, np.int32)])
         self.runs = [run]
         size = len(self.names)
@@ -102,8 +109,8 @@ class Words:
         for length in range(2, most_words + 1):
             begins = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0)).astype(np.int32)
             begins = begins[begins < len(run) - length + 1]
-            following = np.full(len(run), -1, np.int32)
-            found: list[tuple[np.ndarray, ...]] = []
+            following = np.full(len(run) if length < most_words else 0, -1, np.int32)
+            found: list[np.ndarray] = []
             total = 0
             # Phrases by their beginning, a few million places at once.
             parts = max(1, -(-len(begins) // PLACES))
@@ -114,15 +121,16 @@ class Words:
                 before, last = distinct // size, distinct % size
                 joined = word_arrays.join_hash(hashes[before], words[last])
                 kept = np.flatnonzero(keep(length, counts, joined))
-                place = np.full(len(distinct), -1, np.int32)
-                place[kept] = np.arange(total, total + len(kept))
-                following[own] = place[number]
+                yield length, counts[kept], joined[kept], before[kept], last[kept]
+                if length < most_words:
+                    place = np.full(len(distinct), -1, np.int32)
+                    place[kept] = np.arange(total, total + len(kept))
+                    following[own] = place[number]
+                    found.append(joined[kept])
                 total += len(kept)
-                found.append((counts[kept], joined[kept], before[kept], last[kept]))
-            counts, hashes, before, last = (np.concatenate(x) for x in zip(*found, strict=True))
-            if not total:
+            if not total or length == most_words:
                 return
-            yield length, counts, hashes, before, last
+            hashes = np.concatenate(found)
             at = following
 
 
@@ -176,6 +184,59 @@ def _mine(support: int, most_words: int, most_bytes: int):
     return run
 
 
+def _mine_levels(lengths: tuple[int, ...], most_bytes: int, held):
+    """Counts of the phrases of ``lengths`` words whose shorter parts are in the filters of the levels before."""
+    schema = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
+
+    def keep(length: int, counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        return np.ones(len(hashes), bool) if length >= lengths[0] else in_filter(held[length].value, hashes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in _shards(batches, most_bytes):
+            while shard.words:
+                _, words = shard.words.popitem()
+                for length, counts, hashes, _, _ in words.levels(lengths[-1], keep):
+                    for at in range(0, len(hashes) if length >= lengths[0] else 0, ROWS_OUT):
+                        some = slice(at, at + ROWS_OUT)
+                        columns = [pa.array(hashes[some].view(np.int64)), pa.array(counts[some].astype(np.int64))]
+                        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def _passes(most_words: int) -> list[tuple[int, ...]]:
+    """Lengths that are counted together: words with pairs, triples, then two lengths at a time."""
+    passes = [(1, 2), (3,), *((n, n + 1) for n in range(4, most_words + 1, 2))]
+    return [tuple(n for n in lengths if n <= most_words) for lengths in passes if lengths[0] <= most_words]
+
+
+def _by_levels(rows: DataFrame, support: int, most_words: int, shards: int, most_bytes: int) -> DataFrame:
+    """Hashes of all phrases that reach the support, from counts over all shards at each level.
+
+    A phrase is only counted where both its parts one word shorter reach the support in the whole table, or
+    are of the same pass.  Nothing rests on a shard's own counts, so shards may be as small as memory wants.
+    """
+    spark = rows.sparkSession
+    union, held = None, {}
+    for lengths in _passes(most_words):
+        found = rows.coalesce(shards).mapInArrow(_mine_levels(lengths, most_bytes, held), "hash long, n long")
+        # A task's rows hardly repeat, so they meet by hash without being summed up before.
+        often = found.repartition("hash").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("hash")
+        often = stage_table(often, "often")
+        union = often if union is None else union.unionByName(often)
+        if lengths[-1] < most_words:
+            filter_held = spark.sparkContext.broadcast(bloom_filter(often, _filter_bits(often.count())))
+            held = held | dict.fromkeys(lengths, filter_held)
+    return union
+
+
+def _filter_bits(members: int) -> int:
+    wanted, bits = min(FILTER_BITS, BITS_EACH * max(1, members)), FILTER_PARTS * 8
+    while bits < wanted:
+        bits *= 2
+    return bits
+
+
 def _bit_places(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Probes of each hash within the part of the filter that its last bits name."""
     part_bits = np.uint64(bits // FILTER_PARTS)
@@ -219,21 +280,36 @@ def _count(most_words: int, most_bytes: int, held):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, most_bytes):
-            for lang, words in shard.words.items():
+            while shard.words:
+                lang, words = shard.words.popitem()
                 # The language's words, all of them, travel as a phrase without words.
                 yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [0], "phrase": [""], "n": [words.total]}, schema=schema)
-                text: list[bytes] = []
+                level, text, shorter = 1, [], []
                 for length, counts, _, before, last in words.levels(most_words, lambda length, counts, hashes: in_filter(held.value, hashes)):
+                    if length > level:
+                        level, text, shorter = length, [], text
                     own = [words.names[w] for w in last.tolist()]
-                    text = own if length == 1 else [text[b] + b" " + w for b, w in zip(before.tolist(), own, strict=True)]
-                    for at in range(0, len(text), ROWS_OUT):
-                        some = text[at : at + ROWS_OUT]
+                    part = own if length == 1 else [shorter[b] + b" " + w for b, w in zip(before.tolist(), own, strict=True)]
+                    if length < most_words:
+                        text += part
+                    for at in range(0, len(part), ROWS_OUT):
+                        some = part[at : at + ROWS_OUT]
                         columns = [pa.repeat(lang, len(some)), pa.repeat(pa.scalar(length, pa.int32()), len(some)), pa.array(some, pa.binary()).cast(pa.string())]
                         yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at : at + ROWS_OUT].astype(np.int64))], schema=schema)
 
     return run
 
 
+def _by_shards(rows: DataFrame, totals: DataFrame, support: int, most_words: int, shards: int, most_bytes: int) -> DataFrame:
+    """Hashes of the phrases that may reach the support, from what each shard returns at its lowered one."""
+    dealt = rows.join(broadcast_if_small(totals), "lang").coalesce(shards)
+    mined = dealt.mapInArrow(_mine(support, most_words, most_bytes), "lang string, hash long, excess long")
+    returned = stage_table(mined.groupBy("lang", "hash").agg(F.sum("excess").alias("excess")), "locally-frequent")
+    unreturned = returned.filter("hash IS NULL").select("lang", F.col("excess").alias("elsewhere"))
+    possible = returned.filter("hash IS NOT NULL").join(broadcast_if_small(unreturned), "lang")
+    return stage_table(possible.filter(F.col("excess") + F.col("elsewhere") >= support).select("hash"), "candidates")
+
+
 def frequent_phrases(
     docs: DataFrame, support: int, most_words: int = 5, text: str = "text", lang: str = "lang", shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
@@ -247,19 +323,15 @@ def frequent_phrases(
     )
     totals = stage_table(rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("lang_bytes")), "language-bytes")
     whole = totals.agg(F.sum("lang_bytes")).first()[0] or 0
-    shards = max(1, support // LEAST_LOCAL, -(-whole // shard_bytes))
-    most_bytes = shard_bytes * 3 // 2
-    dealt = rows.join(broadcast_if_small(totals), "lang").coalesce(shards)
-    mined = dealt.mapInArrow(_mine(support, most_words, most_bytes), "lang string, hash long, excess long")
-    returned = stage_table(mined.groupBy("lang", "hash").agg(F.sum("excess").alias("excess")), "locally-frequent")
-    unreturned = returned.filter("hash IS NULL").select("lang", F.col("excess").alias("elsewhere"))
-    possible = returned.filter("hash IS NOT NULL").join(broadcast_if_small(unreturned), "lang")
-    union = stage_table(possible.filter(F.col("excess") + F.col("elsewhere") >= support).select("hash"), "candidates")
-    wanted = min(FILTER_BITS, BITS_EACH * max(1, union.count()))
-    bits = FILTER_PARTS * 8
-    while bits < wanted:
-        bits *= 2
-    held = spark.sparkContext.broadcast(bloom_filter(union, bits))
+    full = -(-whole // shard_bytes)
+    if full > 1 and support < LEAST_MINED * full:
+        shard_bytes = min(shard_bytes, LEVEL_BYTES)
+        shards, most_bytes = -(-whole // shard_bytes), shard_bytes * 3 // 2
+        union = _by_levels(rows, support, most_words, shards, most_bytes)
+    else:
+        shards, most_bytes = max(1, support // LEAST_LOCAL, full), shard_bytes * 3 // 2
+        union = _by_shards(rows, totals, support, most_words, shards, most_bytes)
+    held = spark.sparkContext.broadcast(bloom_filter(union, _filter_bits(union.count())))
     counted = rows.coalesce(shards).mapInArrow(_count(most_words, most_bytes, held), "lang string, words int, phrase string, n long")
     summed = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     return stage_table(summed.filter((F.col("words") == 0) | (F.col("n") >= support)), "frequent-phrases")

@@ -85,6 +85,28 @@ def test_union_holds_every_frequent_phrase_and_few_more(spark, texts, monkeypatc
     assert len(often) <= kept[0] < 3 * len(often)
 
 
+@pytest.mark.parametrize("most", [1, 3, 7])
+def test_many_shards_are_mined_level_by_level(spark, texts, monkeypatch, most):
+    """A shard at a support near one would return every phrase; counts over all shards rule them out length by length."""
+    rows = sample(texts)
+    frame = spark.createDataFrame([(lang, t) for lang, t in rows], "lang string, text string").repartition(6)
+    kept, held = [], phrases.bloom_filter
+    monkeypatch.setattr(phrases, "bloom_filter", lambda hashes, bits: kept.append(hashes.count()) or held(hashes, bits))
+    monkeypatch.setattr(phrases, "_mine", lambda *_: pytest.fail("mined at a support near one"))
+    often = plain(rows, 20, 25, most)[0]
+    assert {(r.lang, tuple(r.phrase.split(" "))): r.n for r in phrases.frequent_phrases(frame, 20, most, shard_bytes=4000).collect() if r.words} == often
+    assert kept[-1] == len(often)  # the filter of the counting pass holds nothing else
+
+
+def test_levels_look_only_where_shorter_parts_are_frequent(spark, texts):
+    """Triples returned at a pass are those whose pairs are in the filter."""
+    batch = phrases.pa.RecordBatch.from_pylist([{"lang": "en", "text": t or ""} for t in texts])
+    full, empty = (np.full(64, fill, np.uint8) for fill in (255, 0))
+    held = [{n: type("Held", (), {"value": bits}) for n in (1, 2)} for bits in (full, empty)]
+    returned = [sum(b.num_rows for b in phrases._mine_levels((3,), 1 << 25, h)(iter([batch]))) for h in held]
+    assert returned[0] > 0 and returned[1] == 0
+
+
 def test_filter_holds_every_member(spark):
     hashes = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 4000)
     held = phrases.bloom_filter(spark.createDataFrame([(int(h),) for h in hashes], "hash long"), 1 << 16)

@@ -8,7 +8,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from gaugeline.functions import trees
-from gaugeline.operators import anomaly, supervised
+from gaugeline.operators import anomaly, logistic, supervised
 from gaugeline.operators.split import stratified_folds
 from tests.conftest import plan_of
 
@@ -296,3 +296,47 @@ def test_flag_all_scores_each_row_once(spark, monkeypatch):
     assert sorted(flagged.select(columns).collect()) == sorted(expected.select(columns).collect())
     assert len(scored) == 1
     assert "ArrowEvalPython" not in plan_of(flagged)  # later reads take the staged scores
+
+
+def noisy(spark, n):
+    """Three sensors, two of them related, and a label that follows them with errors."""
+    df = cloud(spark, n, outliers=0).withColumn("c", F.col("a") * 3 + F.col("b") + F.lit(40.0))
+    flip = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(10)) == 0
+    return df.withColumn("class", F.when((F.col("a") + F.col("b") / 2 > 0.3) != flip, "malware").otherwise("benign"))
+
+
+def test_large_grid_searches_fit_all_points_and_folds_together(spark, monkeypatch):
+    """As many fits as best models, and the areas of the fits one by one."""
+    vectors = supervised.labelled_vectors(noisy(spark, 3000), ["a", "b", "c"], "key")
+    plain = supervised.cross_validate(vectors, "key")
+    fits, fit_one = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, *a: fits.append(a) or fit_one(self, *a))
+    monkeypatch.setattr(supervised, "PARTITION_ROWS", 100)
+    found = supervised.cross_validate(vectors, "key")
+    assert len(fits) == 1
+    assert found.avgMetrics == pytest.approx(plain.avgMetrics, abs=2e-6) and found.stdMetrics == pytest.approx(plain.stdMetrics, abs=2e-6)
+    assert found.bestModel.coefficients.toArray() == pytest.approx(plain.bestModel.coefficients.toArray(), rel=1e-6)
+
+
+def test_joint_fits_reach_the_optimum_of_the_library(spark, monkeypatch):
+    """Coefficients of one left-out fold, also with features that the L1 part drops or that never vary."""
+    df = noisy(spark, 2000).withColumn("d", F.lit(5.0))
+    folded = stratified_folds(supervised.labelled_vectors(df, ["a", "b", "c", "d"], "key"), "key", 2, label="label")
+    estimator = LogisticRegression(maxIter=500, tol=1e-12)
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.02]).addGrid(estimator.elasticNetParam, [0.0, 0.5, 1.0]).build()
+    ended, scored = [], logistic.blocks.margins
+    monkeypatch.setattr(logistic.blocks, "margins", lambda held, *a: ended.append(held.value + a[:2]) or scored(held, *a))
+    assert logistic.grid_areas(folded, estimator, grid, 2).shape == (2, 3)
+    left_out, coefficients, mean, scale = ended[0]
+    for i, own in enumerate(coefficients):
+        expected = estimator.fit(folded.filter(F.col("fold") != int(left_out[i])), grid[i % len(grid)])
+        assert own[:-1] / scale == pytest.approx(expected.coefficients.toArray(), abs=1e-5)
+        assert own[-1] - (own[:-1] / scale) @ mean == pytest.approx(expected.intercept, abs=1e-3)
+
+
+def test_rows_that_do_not_suit_are_left_to_the_library(spark):
+    df = labelled(spark, 60)
+    one = stratified_folds(supervised.labelled_vectors(df.filter("class = 'malware'"), ["a", "b"], "key"), "key", 3, label="label")
+    estimator = LogisticRegression()
+    assert logistic.grid_areas(one, estimator, [{}], 3) is None
+    assert not logistic.fits_together(estimator, [{estimator.maxIter: 3}]) and not logistic.fits_together(supervised.random_forest(), [{}])

@@ -2,13 +2,13 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from gaugeline.functions import trees
-from gaugeline.operators import anomaly, logistic, supervised
+from gaugeline.functions import binned, trees
+from gaugeline.operators import anomaly, grown, logistic, supervised
 from gaugeline.operators.split import stratified_folds
 from tests.conftest import plan_of
 
@@ -340,3 +340,67 @@ def test_rows_that_do_not_suit_are_left_to_the_library(spark):
     estimator = LogisticRegression()
     assert logistic.grid_areas(one, estimator, [{}], 3) is None
     assert not logistic.fits_together(estimator, [{estimator.maxIter: 3}]) and not logistic.fits_together(supervised.random_forest(), [{}])
+
+
+def coarse(spark, n):
+    """Vectors with fewer values than bins, where candidate cuts do not depend on a sample."""
+    df = noisy(spark, n).withColumns({c: F.floor(F.col(c) * 6).cast("double") for c in ("a", "b", "c")})
+    return supervised.labelled_vectors(df, ["a", "b", "c"], "key")
+
+
+def probabilities(model, vectors):
+    return {r["key"]: r["probability"][1] for r in model.transform(vectors).collect()}
+
+
+def test_grown_boosting_is_that_of_the_library(spark, monkeypatch):
+    """Also with many chunks and slices, and scores stored between the trees."""
+    monkeypatch.setattr(binned, "CHUNK_ROWS", 150)
+    monkeypatch.setattr(binned, "SLICE_ROWS", 64)
+    vectors = coarse(spark, 3000)
+    estimator = GBTClassifier(maxIter=5, maxDepth=3, seed=7)
+    expected, found = estimator.fit(vectors), grown.grow_model(estimator, vectors.repartition(5), 3000)
+    assert found.totalNumNodes == expected.totalNumNodes and found.treeWeights == expected.treeWeights
+    first, second = probabilities(expected, vectors), probabilities(found, vectors)
+    assert max(abs(first[k] - second[k]) for k in first) < 1e-9
+    assert found.featureImportances.toArray() == pytest.approx(expected.featureImportances.toArray(), abs=1e-9)
+
+
+def test_grown_forest_is_like_that_of_the_library(spark):
+    vectors = coarse(spark, 4000)
+    estimator = RandomForestClassifier(numTrees=60, maxDepth=5, seed=7)
+    expected, found = estimator.fit(vectors), grown.grow_model(estimator, vectors, 4000)
+    assert found.getNumTrees == 60 and found.totalNumNodes == pytest.approx(expected.totalNumNodes, rel=0.1)
+    first, second = probabilities(expected, vectors), probabilities(found, vectors)
+    gaps = [abs(first[k] - second[k]) for k in first]
+    assert np.mean(gaps) < 0.02 and max(gaps) < 0.15
+    weights = binned.bootstrap_weights()
+    assert weights.mean() == pytest.approx(1, abs=1e-3) and weights.var() == pytest.approx(1, abs=1e-2)
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gradient_boosted_trees"])
+def test_trees_of_large_tables_grow_on_binned_rows_on_any_cluster(spark, monkeypatch, kind, tmp_path):
+    vectors = supervised.labelled_vectors(noisy(spark, 600), ["a", "b", "c"], "key")
+    estimator = getattr(supervised, kind)()
+    estimator.setMaxIter(4) if kind == "gradient_boosted_trees" else estimator.setNumTrees(6)
+    monkeypatch.setattr(supervised, "PARTITION_ROWS", 20)
+    seen, plain = [], type(estimator)._fit
+    monkeypatch.setattr(type(estimator), "_fit", lambda self, rows: seen.append(rows.count()) or plain(self, rows))
+    models = [supervised.fit(estimator, vectors.repartition(n)) for n in (3, 9)]
+    text = [m.stages[0].toDebugString.split("\n", 1)[1] for m in models]
+    assert text[0] == text[1] and set(seen) == {2}  # the library fits two rows, for the frame of the model
+    supervised.save_model(models[0], str(tmp_path / "m"))
+    assert supervised.load_model(str(tmp_path / "m")).stages[0].toDebugString.split("\n", 1)[1] == text[0]
+    assert supervised.evaluate(models[0], vectors).first()["accuracy"] > 0.8
+
+
+def test_candidate_cuts_lie_between_values():
+    assert binned.candidate_cuts(np.array([3.0, 1.0, 1.0, 2.0]), 32).tolist() == [1.5, 2.5]
+    assert binned.candidate_cuts(np.full(9, 4.0), 32).tolist() == []
+    cuts = binned.candidate_cuts(np.arange(1000.0), 4)
+    assert len(cuts) == 3 and abs(cuts - np.array([250, 500, 750])).max() <= 1
+
+
+def test_unknown_parameters_are_left_to_the_library():
+    assert grown.grows(supervised.random_forest()) and grown.grows(supervised.gradient_boosted_trees())
+    assert not grown.grows(RandomForestClassifier(subsamplingRate=0.5)) and not grown.grows(GBTClassifier(minInstancesPerNode=3))
+    assert not grown.grows(LogisticRegression())
